@@ -72,19 +72,23 @@ def items_from_vectors(
     return named.select(*out)
 
 
-def defect(width: int, vector: str = "encd", key: str = "id") -> Column:
-    """Why a row cannot be stored, or NULL when it can."""
+def defect(width: int, vector: str = "encd", key: str = "id", text: str | None = None) -> Column:
+    """Why a row cannot be stored, or NULL when it can; ``text`` is what the vector was parsed from."""
     v = F.col(vector)
+    unread = F.col(text).isNotNull() if text else F.lit(False)
     broken = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
         F.when(F.col(key).isNull(), "missing id")
+        .when(v.isNull() & unread, "unreadable vector")
         .when(v.isNull(), "missing vector")
         .when(F.array_size(v) != width, "wrong width")
         .when(broken, "not a number")
     )
 
 
-def split_valid(rows: DataFrame, width: int, vector: str = "encd", key: str = "id") -> tuple[DataFrame, DataFrame]:
+def split_valid(
+    rows: DataFrame, width: int, vector: str = "encd", key: str = "id", text: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows that can be stored, and the others with a ``reason``."""
-    marked = rows.withColumn("reason", defect(width, vector, key))
+    marked = rows.withColumn("reason", defect(width, vector, key, text))
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")

@@ -118,7 +118,7 @@ def ingest_csv(
     ``on_error="fail"`` stores nothing when any row is bad.
     """
     parsed = with_keys(read_csv_items(table.spark, path, form=form), dataset)
-    good, bad = split_valid(parsed, width)
+    good, bad = split_valid(parsed, width, text="encd_text")
     if on_error == "fail" and not bad.isEmpty():
         raise RejectedRows(f"rows of {path} cannot be stored")
     table.upsert(stored_layout(last_wins(good, ["line"])), None)
