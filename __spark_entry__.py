@@ -572,7 +572,7 @@ ITEMS = f"""items AS (
          embedding::DOUBLE[] AS encd, {NAME} AS img_name, label AS cluster_id
   FROM embeddings)"""
 CELLS = """cells AS (
-  SELECT id, cluster_id, unnest(encd) AS x, generate_subscripts(encd, 1) - 1 AS dim FROM items)"""
+  SELECT id, cluster_id, unnest(encd) AS x, (generate_subscripts(encd, 1) - 1)::INT AS dim FROM items)"""
 MEANS = """means AS (SELECT cluster_id, dim, avg(x) AS m, count(*) AS n FROM cells GROUP BY cluster_id, dim)"""
 SSE = f"""WITH {ITEMS}, {CELLS}, {MEANS}
 SELECT cluster_id, count(DISTINCT id) AS size, round(sum((x - m) * (x - m)), 6) AS sse
@@ -589,7 +589,7 @@ def nearest_sql(points: str, centers: str) -> str:
 def pairs_sql(items: str, queries: str, k: int, vector: str = "encd") -> str:
     """Ranked items of each query's cluster."""
     similarity = f"round(coalesce(list_cosine_similarity(q.{vector}, i.{vector}), 0.0), 12)"
-    return f"""SELECT q.query_id, row_number() OVER (PARTITION BY q.query_id ORDER BY {similarity} DESC, i.id) AS rank,
+    return f"""SELECT q.query_id, (row_number() OVER (PARTITION BY q.query_id ORDER BY {similarity} DESC, i.id))::INT AS rank,
         i.id, i.img_name, i.url, round({similarity}, 6) AS similarity
       FROM {queries} q JOIN {items} i USING (cluster_id) QUALIFY rank <= {k}"""
 
@@ -663,16 +663,16 @@ def oracle_sql() -> dict[str, str]:
     single = f"""WITH {ITEMS}, q AS (SELECT id AS query_id, cluster_id, encd FROM items WHERE id = 'images_000000000019'),
       r AS (%s) SELECT rank, id, img_name, url, similarity FROM r"""
     return {
-        "scan_items": f"WITH {ITEMS} SELECT id, dataset, url, img_name, len(encd) AS width FROM items",
+        "scan_items": f"WITH {ITEMS} SELECT id, dataset, url, img_name, len(encd)::INT AS width FROM items",
         "first_items": f"WITH {ITEMS} SELECT id, img_name, url FROM items ORDER BY id LIMIT 10",
         "older_names": f"""WITH {ITEMS}, {CELLS}, {MEANS},
             sums AS (SELECT cluster_id, round(sum(m), 6) AS centroid_sum FROM means GROUP BY cluster_id)
-            SELECT id, cluster_id, dataset, img_name, len(encd) AS width, centroid_sum
+            SELECT id, cluster_id, dataset, img_name, len(encd)::INT AS width, centroid_sum
             FROM items JOIN sums USING (cluster_id)""",
         "parse_text_vector": f"""WITH {ITEMS}
-            SELECT id, len(encd) AS width, round(list_sum(encd), 6) AS total FROM items""",
+            SELECT id, len(encd)::INT AS width, round(list_sum(encd), 6) AS total FROM items""",
         "parse_json_vector": f"""WITH {ITEMS}
-            SELECT id, len(encd) AS width, round(list_sum(encd[1:10]), 6) AS first_ten FROM items""",
+            SELECT id, len(encd)::INT AS width, round(list_sum(encd[1:10]), 6) AS first_ten FROM items""",
         "wide_columns": f"WITH {ITEMS} SELECT id, {', '.join(f'encd[{i + 1}] AS encd_{i}' for i in range(8))} FROM items",
         "lookup_id": f"WITH {ITEMS} SELECT id, img_name, cluster_id FROM items WHERE id = 'images_000000000042'",
         "lookup_ids": f"WITH {ITEMS} SELECT id, img_name, cluster_id FROM items WHERE id IN {ids}",
@@ -705,7 +705,7 @@ def oracle_sql() -> dict[str, str]:
             WHEN 5 THEN 'wrong width' ELSE 'missing vector' END AS reason FROM items WHERE cluster_id IN (3, 5, 7)""",
         "append_items": """SELECT unnest(['images', 'copies']) AS dataset, count(*) AS rows, count(DISTINCT vec_id) AS ids
             FROM embeddings""",
-        "truncate_count": "SELECT count(*) AS stored, 0 AS remaining, count(*) AS removed FROM embeddings",
+        "truncate_count": "SELECT count(*) AS stored, 0::BIGINT AS remaining, count(*) AS removed FROM embeddings",
         "csv_round_trip": "SELECT true AS same, count(*) AS rows FROM embeddings",
         "partitioned_read": f"WITH {ITEMS} SELECT id, cluster_id, {WIDTH} AS centroid_width FROM items WHERE cluster_id = 3",
         "topk_raw_single": single % pairs_sql("items", "q", 20),
@@ -758,13 +758,13 @@ def oracle_sql() -> dict[str, str]:
         "gmm_event_values": em_sql(),
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",
-        "index_upsert": f"WITH {ITEMS} SELECT id, dataset, url, len(encd) AS width FROM items",
+        "index_upsert": f"WITH {ITEMS} SELECT id, dataset, url, len(encd)::INT AS width FROM items",
         "encode_documents": f"""WITH {TEXTS} SELECT id, round(list_sum(encd[1:8]), 6) AS first_eight,
             round(list_sum(encd), 6) AS total, round(sqrt(list_sum(list_transform(encd, lambda x: x * x))), 6) AS length
             FROM items""",
         "search_text_by_language": f"""WITH {TEXTS}, {CELLS}, {MEANS},
             b AS (SELECT key AS id, encd FROM {encoded_sql('benchmark', 'item_id')}),
-            bc AS (SELECT id, unnest(encd) AS x, generate_subscripts(encd, 1) - 1 AS dim FROM b),
+            bc AS (SELECT id, unnest(encd) AS x, (generate_subscripts(encd, 1) - 1)::INT AS dim FROM b),
             q AS (SELECT b.id AS query_id, cluster_id, encd FROM b JOIN {nearest_sql('bc', 'means')} n USING (id)),
             r AS ({pairs_sql('items', 'q', 10)}) SELECT query_id, rank, id, similarity FROM r""",
     }
