@@ -23,6 +23,7 @@ from vecshoal.functions.encode import HashingEncoder, encode_text
 from vecshoal.operators import aggregates, kmeans, lookup, mixture, search, secondary
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import fit_features
+from vecshoal.operators.joins import attach
 from vecshoal.plans.index import IndexModel, SearchIndex, fit_index
 from vecshoal.plans.text import search_text
 from vecshoal.session import materialise, scratch_path
@@ -35,6 +36,7 @@ URL = "https://images.example/"
 WIDTH = 64
 TEXT_WIDTH = 64
 SWEEP = list(range(1, 50, 3))
+FLAGS = ["A", "N", "R"]
 LANGS = ["en", "de", "es", "fr"]
 
 
@@ -242,11 +244,9 @@ def append_items(spark, sf):
 
 def truncate_count(spark, sf):
     items = stored_items(spark, sf, labelled(spark, sf))
-    before = items.read().groupBy().agg(F.count("*").alias("stored"))
-    before, _ = materialise(before, "count")
-    removed = items.truncate()
-    left = items.read().groupBy().agg(F.count("*").alias("remaining"))
-    return before.crossJoin(F.broadcast(left)).withColumn("removed", F.lit(removed).cast("long"))
+    stored, removed = items.read().count(), items.truncate()
+    counts = [(stored, removed, items.read().count())]
+    return spark.createDataFrame(counts, "stored long, removed long, remaining long")
 
 
 def csv_round_trip(spark, sf):
@@ -396,7 +396,7 @@ def elbow_price_bins(spark, sf):
     """Elbow of the squared error of k equal bins of order prices, a curve per priority."""
     orders = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("curve"), F.col("o_totalprice").alias("v"))
     ends = orders.groupBy("curve").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    each = orders.join(F.broadcast(ends), "curve").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(49), F.lit(3))))
+    each = attach(orders, ends, "curve", spread="v").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(49), F.lit(3))))
     spot = F.floor(F.col("k") * ((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))))
     binned = each.withColumn("bin", F.least(F.col("k") - 1, spot))
     parts = binned.groupBy("curve", "k", "bin").agg(F.var_pop("v").alias("var"), F.count("*").alias("n"))
@@ -437,6 +437,23 @@ def gmm_event_values(spark, sf):
     return rounded(made, *[f.name for f in made.schema.fields[1:]], digits=5)
 
 
+def gmm_line_items(spark, sf):
+    """Two rounds of EM with three components on two columns, from a split by return flag."""
+    start = (F.array_position(F.array(*[F.lit(flag) for flag in FLAGS]), F.col("l_returnflag")) - 1).alias("side")
+    vector = F.array("l_quantity", F.col("l_extendedprice") / 1000).alias("v")
+    key = F.xxhash64("l_orderkey", "l_linenumber").alias("line")
+    points = table(spark, sf, "lineitem").select(key, vector, start)
+    model = mixture.fit_mixtures(points, [3], "v", "line", start="side", tol=0.0, max_iter=2)[0]
+    rows = []
+    for i in range(3):
+        c = model.covariances[i]
+        values = [model.weights[i], *model.means[i], c[0, 0], c[0, 1], c[1, 1], model.log_likelihood / model.rows]
+        rows.append((i, *[float(v) for v in values]))
+    names = ["weight", "mean_0", "mean_1", "cov_00", "cov_01", "cov_11", "mean_log_likelihood"]
+    made = spark.createDataFrame(rows, "component int, " + ", ".join(f"{n} double" for n in names))
+    return rounded(made, *names)
+
+
 def secondary_key(spark, sf):
     points = reduced_items(spark, sf, 8)
     model = mixture.fit_mixtures(points, [4])[0]
@@ -451,7 +468,7 @@ def sub_sweep(spark, sf):
     first = kmeans.best_fits(kmeans.fit_many(points, [4]))[0, 4]
     inside = points.withColumn("cluster_id", kmeans.nearest("reduced", first.centers)).where("cluster_id = 0")
     keys = secondary.fit_secondary(materialise(inside, "inside")[0], "cluster_id")
-    return keys.sweep.join(F.broadcast(keys.elbow), "cluster_id")
+    return keys.sweep.join(keys.elbow, "cluster_id")
 
 
 # The whole index
@@ -557,7 +574,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_sliced, topk_urls, query_rejects, stream_search,
         pca_variance_curve, pca_component_count, pca_spectrum_moments, pca_distances, search_standardised,
         lloyd_from_label_means, sse_sweep, elbow, sweep_of_one, elbow_price_bins,
-        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_event_values, secondary_key, sub_sweep,
+        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_event_values, gmm_line_items, secondary_key, sub_sweep,
         fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
         encode_documents, search_text_by_language, search_text_index,
     ]
@@ -609,7 +626,7 @@ def em_sql() -> str:
             f"""j{i} AS (SELECT event_id, x, c, ln(w) - 0.5 * ln(2 * pi() * v) - 0.5 * (x - mu) * (x - mu) / v AS lp
             FROM p, m{i})"""
         )
-        steps.append(f"l{i} AS (SELECT event_id, max(lp) + ln(sum(exp(lp - 0))) - max(lp) AS ll FROM j{i} GROUP BY event_id)")
+        steps.append(f"l{i} AS (SELECT event_id, ln(sum(exp(lp))) AS ll FROM j{i} GROUP BY event_id)")
         if i < 3:
             steps.append(f"r{i} AS (SELECT c, x, exp(lp - ll) AS r FROM j{i} JOIN l{i} USING (event_id))")
             steps.append(f"u{i} AS (SELECT c, sum(r) AS nk, sum(r * x) / sum(r) AS mu FROM r{i} GROUP BY c)")
@@ -623,6 +640,26 @@ def em_sql() -> str:
     FROM m3, total, n"""
 
 
+def plane_em_sql(rounds: int = 2) -> str:
+    """The same for two columns and three components, the 2 x 2 covariance inverted by hand."""
+    steps = [f"""p AS (SELECT row_number() OVER () AS row, l_quantity AS x, l_extendedprice / 1000 AS y,
+        list_position({FLAGS}, l_returnflag) - 1 AS side FROM lineitem)""",
+        "r0 AS (SELECT row, x, y, side AS c, 1.0::DOUBLE AS r FROM p)"]
+    for i in range(rounds + 1):
+        steps.append(f"u{i} AS (SELECT c, sum(r) AS nk, sum(r * x) / sum(r) AS mx, sum(r * y) / sum(r) AS my FROM r{i} GROUP BY c)")
+        steps.append(f"""m{i} AS (SELECT c, any_value(nk) / (SELECT count(*) FROM p) AS w, any_value(mx) AS mx, any_value(my) AS my,
+            sum(r * (x - mx) * (x - mx)) / any_value(nk) + 1e-6 AS a, sum(r * (x - mx) * (y - my)) / any_value(nk) AS b,
+            sum(r * (y - my) * (y - my)) / any_value(nk) + 1e-6 AS d FROM r{i} JOIN u{i} USING (c) GROUP BY c)""")
+        steps.append(f"""j{i} AS (SELECT row, x, y, c, ln(w) - ln(2 * pi()) - 0.5 * ln(a * d - b * b)
+            - 0.5 * (d * (x - mx) ** 2 - 2 * b * (x - mx) * (y - my) + a * (y - my) ** 2) / (a * d - b * b) AS lp
+            FROM p, m{i})""")
+        steps.append(f"l{i} AS (SELECT row, ln(sum(exp(lp))) AS ll FROM j{i} GROUP BY row)")
+        steps.append(f"r{i + 1} AS (SELECT row, x, y, c, exp(lp - ll) AS r FROM j{i} JOIN l{i} USING (row))")
+    return f"""WITH {', '.join(steps)} SELECT c::INT AS component, round(w, 6) AS weight, round(mx, 6) AS mean_0,
+        round(my, 6) AS mean_1, round(a, 6) AS cov_00, round(b, 6) AS cov_01, round(d, 6) AS cov_11,
+        (SELECT round(avg(ll), 6) FROM l{rounds}) AS mean_log_likelihood FROM m{rounds}"""
+
+
 def encoded_sql(source_sql: str, key: str) -> str:
     """Hashed, signed, unit-length token counts of ``text`` as ``(key, encd)``."""
     return f"""(
@@ -756,6 +793,7 @@ def oracle_sql() -> dict[str, str]:
             curves AS (SELECT curve, k AS x, sum(sse) AS y FROM e GROUP BY curve, k),
             {elbow_sql('curves')}""",
         "gmm_event_values": em_sql(),
+        "gmm_line_items": plane_em_sql(),
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",
         "index_upsert": f"WITH {ITEMS} SELECT id, dataset, url, len(encd)::INT AS width FROM items",

@@ -210,25 +210,24 @@ def fit_many(
     """Fit K-Means for every k of ``grid`` and every restart, in every group.
 
     ``grid`` is one list of k for all groups, or one list per group. A k above the row count of
-    its group has no fit. ``points`` is read three times, so pass a stored table; the iterations
-    work on a copy the executors keep.
+    its group has no fit. ``points`` is read once, into a copy that the executors keep.
     """
-    rows = grouped(points, vector, key, group)
     most = max(max(ks) for ks in (grid.values() if isinstance(grid, dict) else [grid]))
-    facts = group_facts(rows, max(POOL_ROWS, most), seed)
-    fits = []
-    for g, fact in sorted(facts.items()):
-        distinct = np.unique(fact.pool, axis=0)
-        for k in grid.get(g, []) if isinstance(grid, dict) else grid:
-            # With k = 1 every start leads to the mean.
-            for restart in range(restarts if k > 1 else 1) if k <= fact.rows else ():
-                rng = np.random.default_rng([seed, g & 0x7FFFFFFF, k, restart])
-                start = fact.mean[None, :].copy() if k == 1 else _starts(fact, distinct, k, rng)
-                fits.append(Fit(g, k, restart, start, tol * fact.variance))
-    if not fits:
-        return []
-    with working_copy(rows, "key") as (copy, tasks):
-        return run_lloyd(copy, tasks, fits, {g: fact.pool for g, fact in facts.items()}, max_iter)
+    with working_copy(grouped(points, vector, key, group), "key") as (copy, tasks):
+        facts = group_facts(copy, max(POOL_ROWS, most), seed)
+        fits = []
+        for g, fact in sorted(facts.items()):
+            distinct = np.unique(fact.pool, axis=0)
+            for k in grid.get(g, []) if isinstance(grid, dict) else grid:
+                # With k = 1 every start leads to the mean.
+                for restart in range(restarts if k > 1 else 1) if k <= fact.rows else ():
+                    rng = np.random.default_rng([seed, g & 0x7FFFFFFF, k, restart])
+                    start = fact.mean[None, :].copy() if k == 1 else _starts(fact, distinct, k, rng)
+                    fits.append(Fit(g, k, restart, start, tol * fact.variance))
+        if not fits:
+            return []
+        pools = {g: fact.pool for g, fact in facts.items()}
+        return run_lloyd(copy.select("g", "v"), tasks, fits, pools, max_iter)
 
 
 def fit_from(
@@ -242,7 +241,7 @@ def fit_from(
     """Lloyd iterations from given centres; a centre that loses its rows stays where it is."""
     fit = Fit(0, len(start), 0, np.array(start, dtype=np.float64), tol)
     with working_copy(grouped(points, vector, key, None), "key") as (copy, tasks):
-        return run_lloyd(copy, tasks, [fit], {0: np.zeros((0, start.shape[1]))}, max_iter)[0]
+        return run_lloyd(copy.select("g", "v"), tasks, [fit], {0: np.zeros((0, start.shape[1]))}, max_iter)[0]
 
 
 def best_fits(fits: list[Fit]) -> dict[tuple[int, int], Fit]:

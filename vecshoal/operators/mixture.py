@@ -177,27 +177,25 @@ def fit_mixtures(
     """Fit one mixture per size, all in the same passes.
 
     Each starts from K-Means clusters, or from the component number in the column ``start``.
-    A model stops when its mean log likelihood changes by less than ``tol``. ``points`` is read a
-    few times, so pass a stored table; the rounds work on a copy the executors keep.
+    A model stops when its mean log likelihood changes by less than ``tol``. ``points`` is read
+    into a copy that the executors keep.
     """
-    rows = kmeans.grouped(points, vector, key, start)
-    facts = kmeans.group_facts(rows.withColumn("g", F.lit(0)), 0, seed, with_pool=False)[0]
-    n, origin = facts.rows, facts.mean
-    if max(sizes) > n:
-        raise ValueError(f"{max(sizes)} components but only {n} rows")
-    if start is not None:
-        rules = [("given", size) for size in sizes]
-    else:
+    if start is None:
         fits = kmeans.fit_many(points, sizes, vector, key, restarts=restarts, seed=seed)
         best = kmeans.best_fits(fits)
-        rules = [("hard", best[0, size].centers - origin) for size in sizes]
-    with working_copy(rows, "key") as (copy, tasks):
-        models = [_maximise(block, n, reg) for block, _ in _one_round(copy, tasks, rules, sizes, origin)]
+        if (0, max(sizes)) not in best:
+            raise ValueError(f"fewer rows than {max(sizes)} components")
+    with working_copy(kmeans.grouped(points, vector, key, start), "key") as (copy, tasks):
+        facts = kmeans.group_facts(copy.withColumn("g", F.lit(0)), 0, seed, with_pool=False)[0]
+        n, origin = facts.rows, facts.mean
+        rules = [("given", size) if start else ("hard", best[0, size].centers - origin) for size in sizes]
+        rows = copy.select("g", "v")
+        models = [_maximise(block, n, reg) for block, _ in _one_round(rows, tasks, rules, sizes, origin)]
         last = {i: -np.inf for i in range(len(models))}
         while last:
             going = sorted(last)
             rules = [("soft", models[i].log_terms()) for i in going]
-            sums = _one_round(copy, tasks, rules, [models[i].size for i in going], origin)
+            sums = _one_round(rows, tasks, rules, [models[i].size for i in going], origin)
             for i, (block, total) in zip(going, sums):
                 model = models[i]
                 if model.converged or model.rounds >= max_iter:

@@ -21,29 +21,33 @@ DIRECT_BYTES = 64 << 20
 _ROWS = "slot int, stats array<double>"
 
 
+def task_limit(df: DataFrame) -> int:
+    return max(4096, 4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fewer_tasks(df: DataFrame) -> DataFrame:
     """Let one task take several splits when there are far more splits than cores.
 
     Tasks stream their input, so size costs no memory, and each emits its state only once.
     """
-    return df.coalesce(max(4096, 4 * df.sparkSession.sparkContext.defaultParallelism))
+    return df.coalesce(task_limit(df))
 
 
 @contextmanager
 def working_copy(points: DataFrame, key: str) -> Iterator[tuple[DataFrame, int]]:
-    """``points`` without ``key``, kept on the executors for many passes, and its task count.
+    """``points`` kept on the executors for many passes, and the number of tasks of a pass.
 
-    A table of fewer splits than cores is small, and is spread over all cores first.
+    A table of fewer splits than cores is small, and is spread over all cores first. A lost
+    executor costs a re-read of the splits it held.
     """
     cores = points.sparkSession.sparkContext.defaultParallelism
-    rows = fewer_tasks(points)
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores, key)
-    rows = rows.drop(key).persist(StorageLevel.MEMORY_AND_DISK)
+    if points.rdd.getNumPartitions() < cores:
+        points = points.repartition(cores, key)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield rows, rows.rdd.getNumPartitions()
+        yield points, min(points.rdd.getNumPartitions(), task_limit(points))
     finally:
-        rows.unpersist()
+        points.unpersist()
 
 
 def _slot_rows(state: np.ndarray) -> pa.RecordBatch:

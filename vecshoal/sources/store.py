@@ -11,9 +11,13 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from vecshoal.functions import vectors
-from vecshoal.session import file_system
+from vecshoal.operators.joins import local_copy
+from vecshoal.session import file_system, materialise, remove_path
 from vecshoal.sources.items import read_csv_items, split_valid, stored_layout, with_keys
 
+# Up to this many incoming ids are sent to every task that filters the stored rows.
+REPLACED_IDS = 500_000
+
 
 class ItemTable:
     """A versioned Parquet table, split by ``partition`` so that one cluster can be read alone."""
@@ -47,14 +51,12 @@ class ItemTable:
 
     def replace(self, rows: DataFrame) -> int:
         """Store ``rows`` as the next version."""
-        version = (self.versions() or [0])[-1] + 1
-        self._write(rows, self.folder(version), "overwrite")
-        return version
+        return self._store(self._arranged(rows.select(*self.schema.names)))
 
     def append(self, rows: DataFrame) -> int:
         """Add rows to the current version, without looking at their ids."""
         version = (self.versions() or [1])[-1]
-        self._write(rows, self.folder(version), "append")
+        self._write(self._arranged(rows.select(*self.schema.names)), self.folder(version), "append")
         return version
 
     def upsert(self, incoming: DataFrame, order: list[str] | None, key: str = "id") -> int:
@@ -64,9 +66,18 @@ class ItemTable:
         that no id comes twice.
         """
         latest = incoming if order is None else last_wins(incoming, order, key)
-        latest = latest.select(*self.schema.names)
-        kept = self.read().join(latest.select(key), key, "left_anti")
-        return self.replace(kept.select(*self.schema.names).unionByName(latest))
+        # Read twice below, and to be the same rows both times.
+        latest, path = materialise(latest.select(*self.schema.names), "incoming")
+        ids = local_copy(latest.select(key), REPLACED_IDS)
+        if ids is not None:
+            # The stored rows are filtered where they lie and keep their files' arrangement.
+            kept = self.read().join(F.broadcast(ids), key, "left_anti").select(*self.schema.names)
+            version = self._store(kept.unionByName(self._arranged(latest)))
+        else:
+            kept = self.read().join(latest.select(key), key, "left_anti").select(*self.schema.names)
+            version = self._store(self._arranged(kept.unionByName(latest)))
+        remove_path(self.spark, path)
+        return version
 
     def truncate(self) -> int:
         """Remove all rows and say how many there were."""
@@ -74,13 +85,20 @@ class ItemTable:
         self.replace(self.spark.createDataFrame([], self.schema))
         return removed
 
+    def _arranged(self, rows: DataFrame) -> DataFrame:
+        """Rows of a cluster gathered into few files, a large cluster split over many tasks."""
+        return rows.hint("rebalance", self.partition) if self.partition else rows
+
+    def _store(self, rows: DataFrame) -> int:
+        version = (self.versions() or [0])[-1] + 1
+        self._write(rows, self.folder(version), "overwrite")
+        return version
+
     def _write(self, rows: DataFrame, folder: str, mode: str) -> None:
-        rows = rows.select(*self.schema.names)
-        if self.partition is None:
-            rows.write.mode(mode).parquet(folder)
-            return
-        # Rebalancing gathers a cluster into few files and splits a large one over many tasks.
-        rows.hint("rebalance", self.partition).write.mode(mode).partitionBy(self.partition).parquet(folder)
+        writer = rows.write.mode(mode)
+        if self.partition:
+            writer = writer.partitionBy(self.partition)
+        writer.parquet(folder)
 
 
 def last_wins(rows: DataFrame, order: list[str], key: str = "id") -> DataFrame:
