@@ -20,6 +20,11 @@ def plain_lloyd(x, centers, rounds):
     return centers, ((x[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum()
 
 
+@pytest.fixture(params=[0, 16 << 20], ids=["by rows", "by fits"])
+def split(request, monkeypatch):
+    monkeypatch.setattr(kmeans, "SMALL_BYTES", request.param)
+
+
 @pytest.mark.parametrize("rounds", [0, 1, 4])
 def test_same_as_plain_lloyd(points, rounds):
     x = blobs()
@@ -30,7 +35,7 @@ def test_same_as_plain_lloyd(points, rounds):
     assert fit.sizes.sum() == len(x)
 
 
-def test_sweep(points):
+def test_sweep(points, split):
     x = blobs()
     fits = kmeans.fit_many(points(x), [1, 2, 5, 9, 300], restarts=4)
     best = kmeans.best_fits(fits)
@@ -61,7 +66,21 @@ def test_layout_does_not_matter(points):
         np.testing.assert_allclose(a.centers, b.centers)
 
 
-def test_groups_are_fitted_apart(points):
+def test_split_by_rows_or_by_fits(points, monkeypatch):
+    x = np.vstack([blobs(1, 150), blobs(2, 90) + 20])
+    table = points(x, g=[0] * 150 + [4] * 90)
+    by_fits = kmeans.fit_many(table, [1, 3, 6], group="g", restarts=3)
+    monkeypatch.setattr(kmeans, "SMALL_BYTES", 0)
+    by_rows = kmeans.fit_many(table, [1, 3, 6], group="g", restarts=3)
+    assert len(by_fits) == len(by_rows) == 14
+    for a, b in zip(by_fits, by_rows):
+        assert (a.group, a.k, a.restart, a.iterations) == (b.group, b.k, b.restart, b.iterations)
+        np.testing.assert_allclose(a.centers, b.centers)
+        assert list(a.sizes) == list(b.sizes)
+        assert a.sse == pytest.approx(b.sse)
+
+
+def test_groups_are_fitted_apart(points, split):
     x, y = blobs(1, 90), blobs(2, 60) + 50
     label = [3] * 90 + [8] * 60
     fits = kmeans.fit_many(points(np.vstack([x, y]), g=label), {3: [1, 3], 8: [1, 2]}, group="g", restarts=3)
@@ -72,14 +91,14 @@ def test_groups_are_fitted_apart(points):
     assert best[3, 3].sizes.sum() == 90 and best[8, 2].sizes.sum() == 60
 
 
-def test_copies_leave_no_cluster_empty(points):
+def test_copies_leave_no_cluster_empty(points, split):
     x = blobs(rows=200)
     x[:70] = x[0]
     for fit in kmeans.fit_many(points(x), [20], restarts=5):
         assert (fit.sizes > 0).all()
 
 
-def test_fewer_values_than_clusters(points):
+def test_fewer_values_than_clusters(points, split):
     x = np.repeat(np.array([[0.0, 0.0], [1.0, 1.0]]), 10, axis=0)
     best = kmeans.best_fits(kmeans.fit_many(points(x), [1, 2, 4], restarts=2))
     assert best[0, 2].sse == pytest.approx(0.0)

@@ -32,8 +32,13 @@ def plain_em(x, share, rounds, reg=1e-6):
     return (*parts, np.log(p.sum(axis=1)).sum(), p.argmax(axis=1))
 
 
+@pytest.fixture(params=[0, 16 << 20], ids=["by rows", "by models"])
+def split(request, monkeypatch):
+    monkeypatch.setattr(mixture, "SMALL_BYTES", request.param)
+
+
 @pytest.mark.parametrize("rounds", [0, 1, 5])
-def test_same_as_plain_em(points, rounds):
+def test_same_as_plain_em(points, rounds, split):
     x = cloud()
     side = (x[:, 0] > 101).astype(int)
     table = points(x, side=side)
@@ -58,7 +63,7 @@ def test_one_component_in_closed_form(points):
     assert model.bic == pytest.approx(9 * np.log(240) - 2 * likely)
 
 
-def test_criteria_pick_two(spark, points):
+def test_criteria_pick_two(spark, points, split):
     models = mixture.fit_mixtures(points(cloud()), [1, 2, 3, 4])
     table = mixture.criteria_table(spark, models).orderBy("bic").collect()
     assert table[0].n_components == 2

@@ -3,7 +3,8 @@
 A sweep needs hundreds of fits (every k, every restart, and for secondary keys every group).
 Run one after another each of them would read the table once per iteration. Here one pass
 serves a whole iteration of all fits that have not converged yet, so a sweep reads the table
-as often as its slowest fit does.
+as often as its slowest fit does. Of a table measured to be small each task gets a copy instead,
+and runs some of the fits to their end.
 """
 
 from dataclasses import dataclass, field
@@ -20,6 +21,8 @@ from vecshoal.functions.keys import uniform_hash
 from vecshoal.operators.partials import sum_over_tasks, working_copy
 
 POOL_ROWS = 1000
+# Tables up to this size are sent to the tasks whole, and the fits rather than the rows are split.
+SMALL_BYTES = 16 << 20
 _CELLS = 1 << 21
 
 
@@ -110,42 +113,48 @@ def _starts(fact: GroupFacts, distinct: np.ndarray, k: int, rng: np.random.Gener
     return source[rng.choice(len(source), k, replace=len(source) < k)].copy()
 
 
+def _tally(x: np.ndarray, cuts: np.ndarray, centers: np.ndarray, half: np.ndarray, state: np.ndarray) -> None:
+    """Add to ``state`` the row count, squared distance and vector sum of every centre.
+
+    ``centers`` holds the centres of several fits one after another, ``cuts`` where each begins.
+    """
+    step = max(1, _CELLS // len(centers))
+    for at in range(0, len(x), step):
+        block = x[at : at + step]
+        away = half - block @ centers.T
+        square = (block**2).sum(axis=1)
+        line = np.arange(len(block))
+        member = np.zeros(away.shape)
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            chosen = away[:, lo:hi].argmin(axis=1) + lo
+            member[line, chosen] = 1.0
+            missed = np.clip(2 * away[line, chosen] + square, 0.0, None)
+            state[lo:hi, 1] += np.bincount(chosen - lo, weights=missed, minlength=hi - lo)
+        state[:, 0] += member.sum(axis=0)
+        state[:, 2:] += member.T @ block
+
+
+def _stack(fits: list[Fit]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    centers = np.vstack([fit.centers for fit in fits])
+    return np.cumsum([0] + [fit.k for fit in fits]), centers, 0.5 * (centers**2).sum(axis=1)
+
+
 def _one_pass(rows: DataFrame, tasks: int, fits: list[Fit], width: int) -> np.ndarray:
-    """Row count, squared distance and vector sum for every centre of every fit."""
+    """The tallies of all centres of all fits, which come in order of their groups."""
     models, total = {}, 0
     for g in sorted({fit.group for fit in fits}):
-        own = [fit for fit in fits if fit.group == g]
-        cuts = np.cumsum([0] + [fit.k for fit in own])
-        centers = np.vstack([fit.centers for fit in own])
-        models[g] = (total, cuts, centers, 0.5 * (centers**2).sum(axis=1))
-        total += int(cuts[-1])
+        stacked = _stack([fit for fit in fits if fit.group == g])
+        models[g] = (total, stacked)
+        total += len(stacked[1])
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def fold(batches, state):
         for batch in batches:
-            groups, x_all = batch.column(0).to_numpy(), matrix(batch.column(1), width)
+            groups, x = batch.column(0).to_numpy(), matrix(batch.column(1), width)
             for g in np.unique(groups):
-                if g not in shared.value:
-                    continue
-                base, cuts, centers, half = shared.value[g]
-                mine = x_all[groups == g]
-                step = max(1, _CELLS // len(centers))
-                for at in range(0, len(mine), step):
-                    x = mine[at : at + step]
-                    away = half - x @ centers.T
-                    square = (x**2).sum(axis=1)
-                    line = np.arange(len(x))
-                    member = np.zeros(away.shape)
-                    cost = np.zeros(len(centers))
-                    for lo, hi in zip(cuts[:-1], cuts[1:]):
-                        chosen = away[:, lo:hi].argmin(axis=1) + lo
-                        member[line, chosen] = 1.0
-                        missed = np.clip(2 * away[line, chosen] + square, 0.0, None)
-                        cost += np.bincount(chosen, weights=missed, minlength=len(centers))
-                    part = state[base : base + len(centers)]
-                    part[:, 0] += member.sum(axis=0)
-                    part[:, 1] += cost
-                    part[:, 2:] += member.T @ x
+                if g in shared.value:
+                    base, (cuts, centers, half) = shared.value[g]
+                    _tally(x[groups == g], cuts, centers, half, state[base : base + len(centers)])
 
     try:
         return sum_over_tasks(rows, fold, total, width + 2, tasks)
@@ -162,40 +171,82 @@ def _refill(fit: Fit, empty: np.ndarray, pool: np.ndarray) -> None:
             fit.centers[slot] = pool[away.argmax()]
 
 
+def _advance(fit: Fit, tally: np.ndarray, pool: np.ndarray, max_iter: int) -> bool:
+    """Move the centres of a fit to their means; True once the fit is measured and done."""
+    if fit.converged or fit.iterations >= max_iter:
+        # The pass after the last move only measures the final centres.
+        fit.sizes, fit.sse, fit.converged = tally[:, 0].copy(), float(tally[:, 1].sum()), True
+        return True
+    held = tally[:, 0] > 0
+    before = fit.centers
+    fit.centers = before.copy()
+    fit.centers[held] = tally[held, 2:] / tally[held, :1]
+    if not held.all():
+        _refill(fit, np.flatnonzero(~held), pool)
+    fit.iterations += 1
+    fit.converged = float(((fit.centers - before) ** 2).sum()) <= fit.tolerance
+    return False
+
+
 def run_lloyd(
     rows: DataFrame, tasks: int, fits: list[Fit], pools: dict[int, np.ndarray], max_iter: int
 ) -> list[Fit]:
-    """Iterate all fits together until each has converged; then measure them at their final centres."""
+    """Iterate all fits together, one pass over the rows at a time, until each has converged."""
     width = fits[0].centers.shape[1]
     ordered = sorted(fits, key=lambda fit: fit.group)
-    open_fits = ordered
-    while open_fits:
-        total = _one_pass(rows, tasks, open_fits, width)
-        at = 0
-        for fit in open_fits:
-            own = total[at : at + fit.k]
-            at += fit.k
-            fit.sizes, fit.sse = own[:, 0].copy(), float(own[:, 1].sum())
-            if fit.converged or fit.iterations >= max_iter:
-                fit.converged = True
-                continue
-            held = own[:, 0] > 0
-            moved = fit.centers.copy()
-            moved[held] = own[held, 2:] / own[held, :1]
-            shift = float(((moved - fit.centers) ** 2).sum())
-            fit.centers = moved
-            fit.iterations += 1
-            before = fit.centers.copy()
-            if not held.all():
-                _refill(fit, np.flatnonzero(~held), pools[fit.group])
-            refilled = not np.array_equal(before, fit.centers)
-            # The pass after the last move only measures the final centres.
-            fit.converged = shift <= fit.tolerance and not refilled
-            fit.sse = float("nan")
-        open_fits = [fit for fit in open_fits if np.isnan(fit.sse)]
+    going = ordered
+    while going:
+        total = _one_pass(rows, tasks, going, width)
+        ends = np.cumsum([fit.k for fit in going])
+        parts = np.split(total, ends[:-1])
+        going = [fit for fit, part in zip(going, parts) if not _advance(fit, part, pools[fit.group], max_iter)]
     return ordered
 
 
+def run_lloyd_small(rows: DataFrame, fits: list[Fit], pools: dict[int, np.ndarray], max_iter: int) -> list[Fit]:
+    """The same for a table known to be small: the rows go to every task, and the fits are shared out."""
+    spark = rows.sparkSession
+    width = fits[0].centers.shape[1]
+    table = rows.toArrow().combine_chunks()
+    groups, x = table.column("g").to_numpy(), matrix(table.column("v").combine_chunks(), width)
+    parts = {int(g): x[groups == g] for g in np.unique(groups)}
+    # Large and small k mixed, so that tasks take about equally long.
+    mixed = [fits[i] for i in np.random.default_rng(0).permutation(len(fits))]
+    shared = spark.sparkContext.broadcast((parts, mixed, pools))
+
+    def task(batches):
+        parts, mixed, pools = shared.value
+        for batch in batches:
+            done = [mixed[i] for i in batch.column(0).to_pylist()]
+            for fit in done:
+                finished = False
+                while not finished:
+                    state = np.zeros((fit.k, width + 2))
+                    _tally(parts[fit.group], *_stack([fit]), state)
+                    finished = _advance(fit, state, pools[fit.group], max_iter)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([fit.centers.ravel().tolist() for fit in done]),
+                    pa.array([fit.sizes.tolist() for fit in done]),
+                    pa.array([fit.sse for fit in done]),
+                    pa.array([fit.iterations for fit in done], type=pa.int32()),
+                ],
+                names=["id", "centers", "sizes", "sse", "iterations"],
+            )
+
+    count = min(len(mixed), 4 * spark.sparkContext.defaultParallelism)
+    schema = "id long, centers array<double>, sizes array<double>, sse double, iterations int"
+    try:
+        for row in spark.range(0, len(mixed), 1, count).mapInArrow(task, schema).collect():
+            fit = mixed[row.id]
+            fit.centers = np.array(row.centers).reshape(fit.k, width)
+            fit.sizes, fit.sse, fit.iterations, fit.converged = np.array(row.sizes), row.sse, row.iterations, True
+    finally:
+        shared.destroy()
+    return sorted(fits, key=lambda fit: fit.group)
+
+
 def fit_many(
     points: DataFrame,
     grid: list[int] | dict[int, list[int]],
@@ -227,7 +278,11 @@ def fit_many(
         if not fits:
             return []
         pools = {g: fact.pool for g, fact in facts.items()}
-        return run_lloyd(copy.select("g", "v"), tasks, fits, pools, max_iter)
+        rows = copy.select("g", "v")
+        size = 8 * sum(fact.rows * len(fact.mean) for fact in facts.values())
+        if size <= SMALL_BYTES:
+            return run_lloyd_small(rows, fits, pools, max_iter)
+        return run_lloyd(rows, tasks, fits, pools, max_iter)
 
 
 def fit_from(

@@ -1,7 +1,8 @@
 """Gaussian mixtures with full covariance, fitted by EM in log space.
 
 Densities of wide vectors underflow, so responsibilities are formed from log densities. All
-model sizes are fitted together: one pass over the table is one round of every open model.
+model sizes are fitted together: one pass over the table is one round of every open model. Of a
+table measured to be small each task gets a copy instead, and fits one of the models.
 """
 
 from dataclasses import dataclass
@@ -15,6 +16,9 @@ from vecshoal.functions.blocks import label_vectors, matrix
 from vecshoal.operators import kmeans
 from vecshoal.operators.partials import sum_over_tasks, working_copy
 
+# Tables up to this size are sent to the tasks whole, and the models rather than the rows are split.
+SMALL_BYTES = 16 << 20
+
 
 @dataclass
 class Mixture:
@@ -114,43 +118,124 @@ def _hard_shares(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nda
     return share, np.zeros(len(x))
 
 
-def _one_round(
-    rows: DataFrame, tasks: int, rules: list, sizes: list[int], origin: np.ndarray
-) -> list[tuple[np.ndarray, float]]:
-    """Per model: sums of ``r z z^T`` with ``z = (1, x - origin)`` per component, and the log likelihood.
+def _add_block(x: np.ndarray, given: np.ndarray, rule, size: int, state: np.ndarray) -> None:
+    """Add to ``state`` the sums of ``r z z^T`` with ``z = (1, x)`` per component, and the log likelihood.
 
-    A rule maps a block to responsibilities: ``("soft", terms)``, ``("hard", centres)`` or
-    ``("given", size)``, where the table itself says which component a row starts in.
+    A rule says how a row is shared out: ``("soft", terms)``, ``("hard", centres)``, or
+    ``("given", None)`` where the table itself names the component a row starts in.
     """
+    kind, detail = rule
+    if kind == "soft":
+        share, likely = _shares(x, detail)
+    elif kind == "hard":
+        share, likely = _hard_shares(x, detail)
+    else:
+        share, likely = np.eye(size)[given], np.zeros(len(x))
+    z = np.hstack([np.ones((len(x), 1)), x])
+    side = z.shape[1]
+    for i in range(size):
+        state[i * side : (i + 1) * side] += (z * share[:, i : i + 1]).T @ z
+    state[size * side, 0] += likely.sum()
+
+
+def _one_round(rows: DataFrame, tasks: int, runs: list["_Run"], origin: np.ndarray) -> list[np.ndarray]:
+    """The sums of every open model, in one pass over the rows."""
     width = len(origin)
-    side = width + 1
-    bases = np.cumsum([0] + [size * side + 1 for size in sizes])
-    shared = rows.sparkSession.sparkContext.broadcast(rules)
+    ends = np.cumsum([run.slots(width) for run in runs])
+    shared = rows.sparkSession.sparkContext.broadcast([(run.rule, run.size) for run in runs])
 
     def fold(batches, state):
         for batch in batches:
-            x = matrix(batch.column(1), width) - origin
-            z = np.hstack([np.ones((len(x), 1)), x])
-            for (kind, detail), size, base in zip(shared.value, sizes, bases):
-                if kind == "soft":
-                    share, likely = _shares(x, detail)
-                elif kind == "hard":
-                    share, likely = _hard_shares(x, detail)
-                else:
-                    share, likely = np.eye(size)[batch.column(0).to_numpy()], np.zeros(len(x))
-                for i in range(size):
-                    state[base + i * side : base + (i + 1) * side] += (z * share[:, i : i + 1]).T @ z
-                state[base + size * side, 0] += likely.sum()
+            x, given = matrix(batch.column(1), width) - origin, batch.column(0).to_numpy()
+            for (rule, size), part in zip(shared.value, np.split(state, ends[:-1])):
+                _add_block(x, given, rule, size, part)
 
     try:
-        total = sum_over_tasks(rows, fold, int(bases[-1]), side, tasks)
+        return np.split(sum_over_tasks(rows, fold, int(ends[-1]), width + 1, tasks), ends[:-1])
     finally:
         shared.destroy()
-    out = []
-    for size, base in zip(sizes, bases):
-        block = total[base : base + size * side].reshape(size, side, side)
-        out.append((block, float(total[base + size * side, 0])))
-    return out
+
+
+@dataclass
+class _Run:
+    """One model on its way: how rows are shared out next, and the likelihood of the last round."""
+
+    size: int
+    rule: tuple
+    rows: int
+    reg: float
+    tol: float
+    max_iter: int
+    model: Mixture | None = None
+    last: float = -np.inf
+
+    def slots(self, width: int) -> int:
+        return self.size * (width + 1) + 1
+
+    def absorb(self, state: np.ndarray) -> bool:
+        """Take in the sums of one round; True once the final parameters are measured."""
+        side = state.shape[1]
+        block, total = state[:-1].reshape(self.size, side, side), float(state[-1, 0])
+        before = self.model
+        if before is not None and (before.converged or before.rounds >= self.max_iter):
+            before.log_likelihood = total
+            return True
+        self.model = _maximise(block, self.rows, self.reg)
+        if before is not None:
+            self.model.rounds = before.rounds + 1
+            self.model.converged = abs(total / self.rows - self.last) < self.tol
+            self.last = total / self.rows
+        self.rule = ("soft", self.model.log_terms())
+        return False
+
+
+def _run_small(rows: DataFrame, runs: list[_Run], origin: np.ndarray) -> list[_Run]:
+    """Fit a table known to be small: the rows go to every task, and the models are shared out."""
+    spark = rows.sparkSession
+    width = len(origin)
+    table = rows.toArrow()
+    given = table.column("g").to_numpy()
+    shared = spark.sparkContext.broadcast((matrix(table.column("v").combine_chunks(), width) - origin, given, runs))
+
+    def task(batches):
+        x, given, runs = shared.value
+        for batch in batches:
+            done = [runs[number] for number in batch.column(0).to_pylist()]
+            for run in done:
+                finished = False
+                while not finished:
+                    state = np.zeros((run.slots(width), width + 1))
+                    for at in range(0, len(x), 4096):
+                        _add_block(x[at : at + 4096], given[at : at + 4096], run.rule, run.size, state)
+                    finished = run.absorb(state)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([run.model.weights.tolist() for run in done]),
+                    pa.array([run.model.means.ravel().tolist() for run in done]),
+                    pa.array([run.model.covariances.ravel().tolist() for run in done]),
+                    pa.array([run.model.log_likelihood for run in done]),
+                    pa.array([run.model.rounds for run in done], type=pa.int32()),
+                ],
+                names=["id", "weights", "means", "covariances", "log_likelihood", "rounds"],
+            )
+
+    schema = "id long, weights array<double>, means array<double>, covariances array<double>, log_likelihood double, rounds int"
+    try:
+        for row in spark.range(0, len(runs), 1, len(runs)).mapInArrow(task, schema).collect():
+            run = runs[row.id]
+            run.model = Mixture(
+                np.array(row.weights),
+                np.array(row.means).reshape(run.size, width),
+                np.array(row.covariances).reshape(run.size, width, width),
+                row.log_likelihood,
+                run.rows,
+                row.rounds,
+                True,
+            )
+    finally:
+        shared.destroy()
+    return runs
 
 
 def _maximise(block: np.ndarray, n: int, reg: float) -> Mixture:
@@ -188,25 +273,17 @@ def fit_mixtures(
     with working_copy(kmeans.grouped(points, vector, key, start), "key") as (copy, tasks):
         facts = kmeans.group_facts(copy.withColumn("g", F.lit(0)), 0, seed, with_pool=False)[0]
         n, origin = facts.rows, facts.mean
-        rules = [("given", size) if start else ("hard", best[0, size].centers - origin) for size in sizes]
+        rules = [("given", None) if start else ("hard", best[0, size].centers - origin) for size in sizes]
+        runs = [_Run(size, rule, n, reg, tol, max_iter) for size, rule in zip(sizes, rules)]
         rows = copy.select("g", "v")
-        models = [_maximise(block, n, reg) for block, _ in _one_round(rows, tasks, rules, sizes, origin)]
-        last = {i: -np.inf for i in range(len(models))}
-        while last:
-            going = sorted(last)
-            rules = [("soft", models[i].log_terms()) for i in going]
-            sums = _one_round(rows, tasks, rules, [models[i].size for i in going], origin)
-            for i, (block, total) in zip(going, sums):
-                model = models[i]
-                if model.converged or model.rounds >= max_iter:
-                    # The pass after the last update only measures the final parameters.
-                    model.log_likelihood = total
-                    del last[i]
-                    continue
-                models[i] = _maximise(block, n, reg)
-                models[i].rounds = model.rounds + 1
-                models[i].converged = abs(total / n - last[i]) < tol
-                last[i] = total / n
+        if 8 * n * len(origin) <= SMALL_BYTES:
+            runs = _run_small(rows, runs, origin)
+        else:
+            going = runs
+            while going:
+                sums = _one_round(rows, tasks, going, origin)
+                going = [run for run, state in zip(going, sums) if not run.absorb(state)]
+    models = [run.model for run in runs]
     for model in models:
         model.means = model.means + origin
     return models
