@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshoal.functions import vectors
-from vecshoal.functions.encode import HashingEncoder, encode_text
+from vecshoal.functions.encode import HashingEncoder
 from vecshoal.operators import aggregates, kmeans, lookup, mixture, search, secondary
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import fit_features
 from vecshoal.operators.joins import attach
 from vecshoal.plans.index import IndexModel, SearchIndex, fit_index
-from vecshoal.plans.text import search_text
+from vecshoal.plans.text import search_text, with_vectors
 from vecshoal.session import materialise, scratch_path
 from vecshoal.sources import items as source
 from vecshoal.sources.schema import CLUSTERED, ITEM
@@ -520,7 +520,7 @@ def encoder() -> HashingEncoder:
 
 
 def document_items(spark, sf) -> DataFrame:
-    docs = table(spark, sf, "documents").withColumn("embedding", encode_text(F.col("text"), encoder))
+    docs = with_vectors(table(spark, sf, "documents"), encoder, "doc_id", vector="embedding")
     code = F.array_position(F.array(*[F.lit(lang) for lang in LANGS]), F.col("lang")) - 1
     rows = docs.withColumn("code", code)
     return source.items_from_vectors(rows, "doc_id", "embedding", URL, dataset="texts", label="code")
@@ -542,7 +542,7 @@ def search_text_by_language(spark, sf):
     items, _ = materialise(document_items(spark, sf), "texts")
     means = label_means(items)
     texts = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    encoded = texts.withColumn("encd", encode_text(F.col("text"), encoder))
+    encoded = with_vectors(texts, encoder, "query_id")
     placed = encoded.withColumn("cluster_id", kmeans.nearest("encd", means))
     return rounded(search.top_k(items, placed, 10), "similarity").select("query_id", "rank", "id", "similarity")
 

@@ -124,14 +124,15 @@ def _tally(x: np.ndarray, cuts: np.ndarray, centers: np.ndarray, half: np.ndarra
         away = half - block @ centers.T
         square = (block**2).sum(axis=1)
         line = np.arange(len(block))
-        member = np.zeros(away.shape)
         for lo, hi in zip(cuts[:-1], cuts[1:]):
-            chosen = away[:, lo:hi].argmin(axis=1) + lo
-            member[line, chosen] = 1.0
-            missed = np.clip(2 * away[line, chosen] + square, 0.0, None)
-            state[lo:hi, 1] += np.bincount(chosen - lo, weights=missed, minlength=hi - lo)
-        state[:, 0] += member.sum(axis=0)
-        state[:, 2:] += member.T @ block
+            chosen = away[:, lo:hi].argmin(axis=1)
+            missed = np.clip(2 * away[line, chosen + lo] + square, 0.0, None)
+            counts = np.bincount(chosen, minlength=hi - lo)
+            held = np.flatnonzero(counts)
+            starts = np.cumsum(counts[held]) - counts[held]
+            state[lo:hi, 0] += counts
+            state[lo:hi, 1] += np.bincount(chosen, weights=missed, minlength=hi - lo)
+            state[lo + held, 2:] += np.add.reduceat(block[np.argsort(chosen, kind="stable")], starts, axis=0)
 
 
 def _stack(fits: list[Fit]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,12 +213,14 @@ def run_lloyd_small(rows: DataFrame, fits: list[Fit], pools: dict[int, np.ndarra
     parts = {int(g): x[groups == g] for g in np.unique(groups)}
     # Large and small k mixed, so that tasks take about equally long.
     mixed = [fits[i] for i in np.random.default_rng(0).permutation(len(fits))]
-    shared = spark.sparkContext.broadcast((parts, mixed, pools))
+    # Plain values only: broadcast data is read back without this package.
+    jobs = [(fit.group, fit.k, fit.restart, fit.centers, fit.tolerance) for fit in mixed]
+    shared = spark.sparkContext.broadcast((parts, jobs, pools))
 
     def task(batches):
-        parts, mixed, pools = shared.value
+        parts, jobs, pools = shared.value
         for batch in batches:
-            done = [mixed[i] for i in batch.column(0).to_pylist()]
+            done = [Fit(*jobs[i]) for i in batch.column(0).to_pylist()]
             for fit in done:
                 finished = False
                 while not finished:

@@ -195,12 +195,15 @@ def _run_small(rows: DataFrame, runs: list[_Run], origin: np.ndarray) -> list[_R
     width = len(origin)
     table = rows.toArrow()
     given = table.column("g").to_numpy()
-    shared = spark.sparkContext.broadcast((matrix(table.column("v").combine_chunks(), width) - origin, given, runs))
+    x = matrix(table.column("v").combine_chunks(), width) - origin
+    # Plain values only: broadcast data is read back without this package.
+    jobs = [(run.size, run.rule, run.rows, run.reg, run.tol, run.max_iter) for run in runs]
+    shared = spark.sparkContext.broadcast((x, given, jobs))
 
     def task(batches):
-        x, given, runs = shared.value
+        x, given, jobs = shared.value
         for batch in batches:
-            done = [runs[number] for number in batch.column(0).to_pylist()]
+            done = [_Run(*jobs[number]) for number in batch.column(0).to_pylist()]
             for run in done:
                 finished = False
                 while not finished:

@@ -33,17 +33,19 @@ def fewer_tasks(df: DataFrame) -> DataFrame:
     return df.coalesce(task_limit(df))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of fewer splits than cores is small: share it among all cores before heavy work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def working_copy(points: DataFrame, key: str) -> Iterator[tuple[DataFrame, int]]:
     """``points`` kept on the executors for many passes, and the number of tasks of a pass.
 
-    A table of fewer splits than cores is small, and is spread over all cores first. A lost
-    executor costs a re-read of the splits it held.
+    A lost executor costs a re-read of the splits it held.
     """
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() < cores:
-        points = points.repartition(cores, key)
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    points = spread(points, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield points, min(points.rdd.getNumPartitions(), task_limit(points))
     finally:
