@@ -86,6 +86,21 @@ def test_upsert_labels_new_items(index, items, matrix):
     assert rows["new"].encd == rows["i0003"].encd
 
 
+def test_misfit_items_are_kept_aside(index, items, table, scratch):
+    bad = items([("short", [1], 0), ("none", None, 0), ("nan", [float("nan")] * 8, 0), ("inf", [float("inf")] * 8, 0)])
+    index.upsert(bad, None)
+    assert index.table.read().count() == 304
+    assert {r.id: r.reason for r in index.rejected().collect()} == {
+        "short": "wrong width", "none": "missing vector", "nan": "not a number", "inf": "not a number",
+    }
+    found = index.search(table.select(F.col("id").alias("query_id"), "encd"), 300)
+    assert found.where(F.col("id").isin("short", "none", "nan", "inf")).count() == 0
+    mixed = table.unionByName(bad.drop("cluster_id"))
+    again = SearchIndex.build(mixed, scratch("index"), fit_index(mixed, k=4, width=8, restarts=3))
+    assert again.model.features.rows == 300
+    assert again.rejected().count() == 4
+
+
 def test_elbow_chooses_k(table):
     model = fit_index(table, sizes=list(range(1, 12)), restarts=3)
     sizes = [k for _, k in sorted(model.sweep)]

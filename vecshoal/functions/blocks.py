@@ -5,16 +5,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def valid_rows(column: pa.Array, width: int) -> np.ndarray:
-    """True where the row holds a vector of ``width`` elements, none of them NULL."""
-    ok = pc.fill_null(pc.equal(pc.list_value_length(column), width), False)
-    ok = ok.to_numpy(zero_copy_only=False).copy()
-    if column.flatten().null_count:
-        bad = [i for i, row in enumerate(column.to_pylist()) if row is None or None in row]
-        ok[bad] = False
-    return ok
-
-
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column, all of ``width`` elements, as one float64 matrix."""
     values = column.flatten().to_numpy(zero_copy_only=False)
@@ -32,20 +22,29 @@ def list_column(rows: np.ndarray, present: np.ndarray | None = None) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(~present))
 
 
+def fitting(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows hold ``width`` finite numbers, and those rows as a matrix."""
+    ok = pc.fill_null(pc.equal(pc.list_value_length(column), width), False)
+    ok = ok.to_numpy(zero_copy_only=False).copy()
+    rows = matrix(column if ok.all() else column.filter(pa.array(ok)), width)
+    # A missing element reads as NaN, and one NaN or infinity spoils the sum of its row.
+    with np.errstate(invalid="ignore"):
+        finite = np.isfinite(rows.sum(axis=1))
+    if not finite.all():
+        ok[ok] = finite
+        rows = rows[finite]
+    return ok, rows
+
+
 def map_vectors(column: pa.Array, width: int, apply) -> pa.Array:
-    """Apply a matrix-to-matrix function to the valid rows; other rows give NULL."""
-    ok = valid_rows(column, width)
-    if ok.all():
-        return list_column(apply(matrix(column, width)))
-    kept = column.filter(pa.array(ok))
-    return list_column(apply(matrix(kept, width)), ok)
+    """Apply a matrix-to-matrix function to the fitting rows; other rows give NULL."""
+    ok, rows = fitting(column, width)
+    return list_column(apply(rows), ok)
 
 
 def label_vectors(column: pa.Array, width: int, apply) -> pa.Array:
-    """Apply a matrix-to-integers function to the valid rows; other rows give NULL."""
-    ok = valid_rows(column, width)
-    if ok.all():
-        return pa.array(apply(matrix(column, width)), type=pa.int32())
+    """Apply a matrix-to-integers function to the fitting rows; other rows give NULL."""
+    ok, rows = fitting(column, width)
     labels = np.zeros(len(ok), dtype=np.int32)
-    labels[ok] = apply(matrix(column.filter(pa.array(ok)), width))
+    labels[ok] = apply(rows)
     return pa.array(labels, type=pa.int32(), mask=~ok)

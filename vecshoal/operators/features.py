@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import map_vectors, matrix, valid_rows
+from vecshoal.functions.blocks import fitting, map_vectors
 from vecshoal.operators.partials import sum_over_tasks
 
 
@@ -108,7 +108,8 @@ def fit_features(
 ) -> FeatureModel:
     """Fit scaler and components on the rows whose vector has ``width`` elements."""
     rows = items.select(vector).where(F.col(vector).isNotNull())
-    first = rows.where(F.array_size(vector) == width).first() if width else rows.first()
+    right = F.array_size(vector) == width if width else F.array_size(vector) > 0
+    first = rows.where(right & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x))).first()
     if first is None:
         raise ValueError("no vector to fit on")
     # Any row near the data will do: sums of differences from it lose no digits.
@@ -117,9 +118,7 @@ def fit_features(
 
     def fold(batches, state):
         for batch in batches:
-            column = batch.column(0)
-            ok = valid_rows(column, width)
-            x = matrix(column if ok.all() else column.filter(pa.array(ok)), width) - origin
+            x = fitting(batch.column(0), width)[1] - origin
             z = np.hstack([np.ones((len(x), 1)), x])
             state += z.T @ z
 

@@ -24,6 +24,7 @@ POOL_ROWS = 1000
 # Tables up to this size are sent to the tasks whole, and the fits rather than the rows are split.
 SMALL_BYTES = 16 << 20
 _CELLS = 1 << 21
+_BLOCK = 4096
 
 
 @dataclass
@@ -113,40 +114,45 @@ def _starts(fact: GroupFacts, distinct: np.ndarray, k: int, rng: np.random.Gener
     return source[rng.choice(len(source), k, replace=len(source) < k)].copy()
 
 
-def _tally(x: np.ndarray, cuts: np.ndarray, centers: np.ndarray, half: np.ndarray, state: np.ndarray) -> None:
-    """Add to ``state`` the row count, squared distance and vector sum of every centre.
+def _scorers(fits: list[Fit]) -> list[np.ndarray]:
+    """Per fit the matrix that takes rows ``(x, 1)`` to half the squared distance, short of ``x x / 2``."""
+    return [np.vstack([-fit.centers.T, 0.5 * (fit.centers**2).sum(axis=1)]) for fit in fits]
 
-    ``centers`` holds the centres of several fits one after another, ``cuts`` where each begins.
+
+def _tally(x: np.ndarray, scorers: list[np.ndarray], state: np.ndarray) -> None:
+    """Add to ``state`` the row count, squared distance and vector sum of every centre of every fit.
+
+    Rows go through in blocks, and a block meets one fit at a time, so that its scores stay in cache.
     """
-    step = max(1, _CELLS // len(centers))
-    for at in range(0, len(x), step):
-        block = x[at : at + step]
-        away = half - block @ centers.T
+    for at in range(0, len(x), _BLOCK):
+        block = x[at : at + _BLOCK]
+        longer = np.hstack([block, np.ones((len(block), 1))])
         square = (block**2).sum(axis=1)
         line = np.arange(len(block))
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            chosen = away[:, lo:hi].argmin(axis=1)
-            missed = np.clip(2 * away[line, chosen + lo] + square, 0.0, None)
-            counts = np.bincount(chosen, minlength=hi - lo)
+        lo = 0
+        for scorer in scorers:
+            k = scorer.shape[1]
+            away = longer @ scorer
+            chosen = away.argmin(axis=1)
+            missed = np.clip(2 * away[line, chosen] + square, 0.0, None)
+            counts = np.bincount(chosen, minlength=k)
             held = np.flatnonzero(counts)
-            starts = np.cumsum(counts[held]) - counts[held]
-            state[lo:hi, 0] += counts
-            state[lo:hi, 1] += np.bincount(chosen, weights=missed, minlength=hi - lo)
-            state[lo + held, 2:] += np.add.reduceat(block[np.argsort(chosen, kind="stable")], starts, axis=0)
-
-
-def _stack(fits: list[Fit]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    centers = np.vstack([fit.centers for fit in fits])
-    return np.cumsum([0] + [fit.k for fit in fits]), centers, 0.5 * (centers**2).sum(axis=1)
+            # Sorting small integers takes linear time.
+            order = np.argsort(chosen.astype(np.uint16 if k <= 1 << 16 else np.int64), kind="stable")
+            state[lo : lo + k, 0] += counts
+            state[lo : lo + k, 1] += np.bincount(chosen, weights=missed, minlength=k)
+            state[lo + held, 2:] += np.add.reduceat(block[order], np.cumsum(counts[held]) - counts[held], axis=0)
+            lo += k
 
 
 def _one_pass(rows: DataFrame, tasks: int, fits: list[Fit], width: int) -> np.ndarray:
     """The tallies of all centres of all fits, which come in order of their groups."""
     models, total = {}, 0
     for g in sorted({fit.group for fit in fits}):
-        stacked = _stack([fit for fit in fits if fit.group == g])
-        models[g] = (total, stacked)
-        total += len(stacked[1])
+        own = [fit for fit in fits if fit.group == g]
+        count = sum(fit.k for fit in own)
+        models[g] = (total, total + count, _scorers(own))
+        total += count
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def fold(batches, state):
@@ -154,8 +160,8 @@ def _one_pass(rows: DataFrame, tasks: int, fits: list[Fit], width: int) -> np.nd
             groups, x = batch.column(0).to_numpy(), matrix(batch.column(1), width)
             for g in np.unique(groups):
                 if g in shared.value:
-                    base, (cuts, centers, half) = shared.value[g]
-                    _tally(x[groups == g], cuts, centers, half, state[base : base + len(centers)])
+                    lo, hi, scorers = shared.value[g]
+                    _tally(x[groups == g], scorers, state[lo:hi])
 
     try:
         return sum_over_tasks(rows, fold, total, width + 2, tasks)
@@ -225,7 +231,7 @@ def run_lloyd_small(rows: DataFrame, fits: list[Fit], pools: dict[int, np.ndarra
                 finished = False
                 while not finished:
                     state = np.zeros((fit.k, width + 2))
-                    _tally(parts[fit.group], *_stack([fit]), state)
+                    _tally(parts[fit.group], _scorers([fit]), state)
                     finished = _advance(fit, state, pools[fit.group], max_iter)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -97,7 +97,9 @@ def _joint(x: np.ndarray, terms) -> np.ndarray:
     whiten, centre, constant = terms
     out = np.empty((len(x), len(constant)))
     for i in range(len(constant)):
-        out[:, i] = constant[i] - 0.5 * ((x @ whiten[i] - centre[i]) ** 2).sum(axis=1)
+        away = x @ whiten[i]
+        away -= centre[i]
+        out[:, i] = constant[i] - 0.5 * np.einsum("ij,ij->i", away, away)
     return out
 
 
@@ -260,16 +262,17 @@ def fit_mixtures(
     reg: float = 1e-6,
     max_iter: int = 100,
     restarts: int = 1,
+    start_iter: int = 30,
     seed: int = 0,
 ) -> list[Mixture]:
     """Fit one mixture per size, all in the same passes.
 
-    Each starts from K-Means clusters, or from the component number in the column ``start``.
+    Each starts from K-Means clusters, moved at most ``start_iter`` times, or from the component number in the column ``start``.
     A model stops when its mean log likelihood changes by less than ``tol``. ``points`` is read
     into a copy that the executors keep.
     """
     if start is None:
-        fits = kmeans.fit_many(points, sizes, vector, key, restarts=restarts, seed=seed)
+        fits = kmeans.fit_many(points, sizes, vector, key, restarts=restarts, max_iter=start_iter, seed=seed)
         best = kmeans.best_fits(fits)
         if (0, max(sizes)) not in best:
             raise ValueError(f"fewer rows than {max(sizes)} components")

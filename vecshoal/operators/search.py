@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshoal.functions import vectors
-from vecshoal.functions.blocks import matrix, valid_rows
+from vecshoal.functions.blocks import fitting, matrix
 from vecshoal.operators.partials import fewer_tasks
 from vecshoal.session import materialise, scratch_path
 
@@ -121,7 +121,7 @@ def _score(
         by_cluster, query_ids = shared.value
         best = None
         for batch in batches:
-            ok = valid_rows(batch.column(1), width)
+            ok, points = fitting(batch.column(1), width)
             if not ok.all():
                 batch = batch.filter(pa.array(ok))
             payload = pa.table(batch.columns[2:], names=batch.schema.names[2:])
@@ -131,7 +131,7 @@ def _score(
             # In id order, so that among equal similarities the lowest ids are met first.
             order = pc.sort_indices(batch.column(2)).to_numpy()
             clusters = batch.column(0).to_numpy()[order]
-            points = _unit(matrix(batch.column(1), width))[order]
+            points = _unit(points)[order]
             for c in np.unique(clusters):
                 at, probes = by_cluster[int(c)]
                 mine = np.flatnonzero(clusters == c)

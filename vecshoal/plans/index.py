@@ -10,6 +10,7 @@ from vecshoal.operators import kmeans, search
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import FeatureModel, fit_features
 from vecshoal.session import materialise, remove_path
+from vecshoal.sources.items import defect
 from vecshoal.sources.schema import INDEXED
 from vecshoal.sources.store import ItemTable, last_wins
 
@@ -31,11 +32,14 @@ class IndexModel:
         return reduced.withColumn("cluster_id", kmeans.nearest("reduced", self.centers))
 
     def label(self, items: DataFrame) -> DataFrame:
-        """Items in the stored layout, with their cluster, its centroid and the reduced vector."""
+        """Items in the stored layout, with their cluster, its centroid and the reduced vector.
+
+        An item whose vector does not fit the model stays, without a cluster.
+        """
         centroids = kmeans.centroid_table(items.sparkSession, self.centers)
         named = centroids.withColumnRenamed("centroid", "cluster_centroid")
         # One row per centre, at most as many as the model holds.
-        return self.place(items).join(F.broadcast(named), "cluster_id").select(*INDEXED.names)
+        return self.place(items).join(F.broadcast(named), "cluster_id", "left").select(*INDEXED.names)
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.features.save(spark, f"{path}/features")
@@ -109,6 +113,11 @@ class SearchIndex:
             items = last_wins(items, order)
         return self.table.upsert(self.model.label(items.select(*columns)), None)
 
+    def rejected(self) -> DataFrame:
+        """Stored items no search can find, with the reason; they lie in a folder of their own."""
+        lost = self.table.read().where(F.col("cluster_id").isNull())
+        return lost.withColumn("reason", defect(self.model.features.width)).drop("reduced")
+
     def search(self, queries: DataFrame, k: int = 20, space: str = "reduced", keep=search.ITEM_COLUMNS) -> DataFrame:
         """The k most similar items of the cluster of each query ``(query_id, encd)``.
 
