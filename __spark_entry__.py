@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -106,7 +107,7 @@ def parse_json_vector(spark, sf):
 
 
 def wide_columns(spark, sf):
-    return vectors.wide_columns(plain(spark, sf), "encd", 8)
+    return vectors.wide_columns(plain(spark, sf), "encd", WIDTH)
 
 
 # Lookups
@@ -385,6 +386,20 @@ def elbow(spark, sf):
     return elbows(kmeans.sweep_table(spark, best_sweep(spark, sf)))
 
 
+def sweep_recomputed(spark, sf):
+    """The reported sums of squares against labels and distances computed item by item."""
+    points = reduced_items(spark, sf)
+    best = kmeans.best_fits(kmeans.fit_many(points, SWEEP))
+    parts = []
+    for (_, k), fit in sorted(best.items()):
+        labelled_points = points.withColumn("cluster_id", kmeans.nearest("reduced", fit.centers))
+        per_cluster = aggregates.centroid_sse(labelled_points, kmeans.centroid_table(spark, fit.centers), "reduced")
+        agree = F.abs(F.sum("sse") - fit.sse) < 1e-6 * fit.sse + 1e-9
+        clusters = F.count_if(F.col("size") > 0)
+        parts.append(per_cluster.agg(F.lit(k).alias("k"), F.sum("size").alias("rows"), clusters.alias("clusters"), agree.alias("agree")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def sweep_of_one(spark, sf):
     """k = 1 has one answer: the squared distances to the mean."""
     fits = kmeans.fit_many(labelled(spark, sf), [1], "encd", group="cluster_id")
@@ -462,6 +477,13 @@ def secondary_key(spark, sf):
     return keys.label(grouped, "gmm_cluster_id").select("id", "gmm_cluster_id", "secondary_cluster_id")
 
 
+def secondary_complete(spark, sf):
+    """Every item has both keys."""
+    keyed = secondary_key(spark, sf)
+    both = F.col("gmm_cluster_id").isNotNull() & F.col("secondary_cluster_id").isNotNull()
+    return keyed.agg(F.count("*").alias("rows"), F.count_if(both).alias("keyed"))
+
+
 def sub_sweep(spark, sf):
     """The sweep inside cluster 0 of a K-Means fit."""
     points = reduced_items(spark, sf)
@@ -515,8 +537,8 @@ def index_upsert(spark, sf):
 # Text
 
 
-def encoder() -> HashingEncoder:
-    return HashingEncoder(TEXT_WIDTH)
+# Built from a class of the package, so that tasks need not import this file.
+encoder = partial(HashingEncoder, TEXT_WIDTH)
 
 
 def document_items(spark, sf) -> DataFrame:
@@ -528,10 +550,10 @@ def document_items(spark, sf) -> DataFrame:
 
 def encode_documents(spark, sf):
     items = document_items(spark, sf)
-    first = vectors.element_sum(vectors.first_elements(F.col("encd"), 8))
+    weighted = vectors.dot(F.col("encd"), vectors.literal(range(1, TEXT_WIDTH + 1)))
     return items.select(
         "id",
-        F.round(first, 6).alias("first_eight"),
+        F.round(weighted, 6).alias("weighted"),
         F.round(vectors.element_sum(F.col("encd")), 6).alias("total"),
         F.round(vectors.norm(F.col("encd")), 6).alias("length"),
     )
@@ -573,8 +595,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         partitioned_read,
         topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_sliced, topk_urls, query_rejects, stream_search,
         pca_variance_curve, pca_component_count, pca_spectrum_moments, pca_distances, search_standardised,
-        lloyd_from_label_means, sse_sweep, elbow, sweep_of_one, elbow_price_bins,
-        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_event_values, gmm_line_items, secondary_key, sub_sweep,
+        lloyd_from_label_means, sse_sweep, elbow, sweep_recomputed, sweep_of_one, elbow_price_bins,
+        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_event_values, gmm_line_items, secondary_key, secondary_complete, sub_sweep,
         fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
         encode_documents, search_text_by_language, search_text_index,
     ]
@@ -710,7 +732,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT id, len(encd)::INT AS width, round(list_sum(encd), 6) AS total FROM items""",
         "parse_json_vector": f"""WITH {ITEMS}
             SELECT id, len(encd)::INT AS width, round(list_sum(encd[1:10]), 6) AS first_ten FROM items""",
-        "wide_columns": f"WITH {ITEMS} SELECT id, {', '.join(f'encd[{i + 1}] AS encd_{i}' for i in range(8))} FROM items",
+        "wide_columns": f"WITH {ITEMS} SELECT id, {', '.join(f'encd[{i + 1}] AS encd_{i}' for i in range(WIDTH))} FROM items",
         "lookup_id": f"WITH {ITEMS} SELECT id, img_name, cluster_id FROM items WHERE id = 'images_000000000042'",
         "lookup_ids": f"WITH {ITEMS} SELECT id, img_name, cluster_id FROM items WHERE id IN {ids}",
         "lookup_ids_semi": f"""WITH {ITEMS} SELECT id, cluster_id FROM items
@@ -781,6 +803,9 @@ def oracle_sql() -> dict[str, str]:
             c AS (SELECT cluster_id, round(sum(m), 6) AS center_sum FROM m2 GROUP BY cluster_id)
             SELECT cluster_id, count(*) AS size, center_sum, (SELECT round(sum(square), 6) FROM a3) AS total_sse
             FROM a3 JOIN c USING (cluster_id) GROUP BY cluster_id, center_sum""",
+        "sweep_recomputed": """SELECT k::INT AS k, rows, k AS clusters, true AS agree
+            FROM (SELECT count(*) AS rows FROM embeddings), (SELECT unnest(range(1, 50, 3)) AS k)""",
+        "secondary_complete": "SELECT count(*) AS rows, count(*) AS keyed FROM embeddings",
         "sweep_of_one": f"""WITH {ITEMS}, {CELLS}, {MEANS}
             SELECT cluster_id, 1 AS k, round(sum((x - m) * (x - m)), 6) AS sse
             FROM cells JOIN means USING (cluster_id, dim) GROUP BY cluster_id""",
@@ -797,7 +822,7 @@ def oracle_sql() -> dict[str, str]:
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",
         "index_upsert": f"WITH {ITEMS} SELECT id, dataset, url, len(encd)::INT AS width FROM items",
-        "encode_documents": f"""WITH {TEXTS} SELECT id, round(list_sum(encd[1:8]), 6) AS first_eight,
+        "encode_documents": f"""WITH {TEXTS} SELECT id, round(list_sum(list_transform(encd, lambda x, i: x * i)), 6) AS weighted,
             round(list_sum(encd), 6) AS total, round(sqrt(list_sum(list_transform(encd, lambda x: x * x))), 6) AS length
             FROM items""",
         "search_text_by_language": f"""WITH {TEXTS}, {CELLS}, {MEANS},

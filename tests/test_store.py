@@ -79,6 +79,15 @@ def test_append_and_truncate(stored, items):
     assert list(content(stored)) == ["x"]
 
 
+def test_old_versions_can_go(stored, items):
+    for i in range(3):
+        stored.upsert(items([(f"n{i}", [1, 2], 0)]), None)
+    assert stored.versions() == [1, 2, 3, 4]
+    assert stored.drop_old(keep=2) == [1, 2]
+    assert stored.versions() == [3, 4]
+    assert stored.read().count() == 7
+
+
 def test_a_table_without_versions_is_empty(spark, scratch):
     assert ItemTable(spark, scratch("none"), CLUSTERED).read().count() == 0
 

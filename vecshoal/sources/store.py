@@ -85,6 +85,13 @@ class ItemTable:
         self.replace(self.spark.createDataFrame([], self.schema))
         return removed
 
+    def drop_old(self, keep: int = 2) -> list[int]:
+        """Delete all but the last ``keep`` versions and say which; readers of those must be done."""
+        old = self.versions()[:-keep]
+        for version in old:
+            remove_path(self.spark, self.folder(version))
+        return old
+
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Rows of a cluster gathered into few files, a large cluster split over many tasks."""
         return rows.hint("rebalance", self.partition) if self.partition else rows
