@@ -626,8 +626,8 @@ def nearest_sql(points: str, centers: str) -> str:
 
 
 def pairs_sql(items: str, queries: str, k: int, vector: str = "encd") -> str:
-    """Ranked items of each query's cluster."""
-    similarity = f"round(coalesce(list_cosine_similarity(q.{vector}, i.{vector}), 0.0), 12)"
+    """Ranked items of each query's cluster; a zero vector, for which DuckDB gives NaN, counts as 0."""
+    similarity = f"round(coalesce(nullif(list_cosine_similarity(q.{vector}, i.{vector}), 'nan'::DOUBLE), 0.0), 12)"
     return f"""SELECT q.query_id, (row_number() OVER (PARTITION BY q.query_id ORDER BY {similarity} DESC, i.id))::INT AS rank,
         i.id, i.img_name, i.url, round({similarity}, 6) AS similarity
       FROM {queries} q JOIN {items} i USING (cluster_id) QUALIFY rank <= {k}"""
