@@ -44,7 +44,7 @@ def test_upsert_inserts_replaces_and_moves(stored, items):
     assert lookup.by_cluster(stored.read(), 0).count() == 0
 
 
-@pytest.mark.parametrize("limit", [500_000, 1])
+@pytest.mark.parametrize("limit", [500_000, 2, 1])
 def test_upsert_twice_is_upsert_once(stored, items, monkeypatch, limit):
     monkeypatch.setattr(store, "REPLACED_IDS", limit)
     batch = items([("a", [9, 9], 2), ("b", [1, 1], 0), ("e", [0, 0], 5)])

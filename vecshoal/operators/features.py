@@ -31,12 +31,15 @@ class FeatureModel:
     def width(self) -> int:
         return len(self.mean)
 
-    def project(self, vector: Column | str) -> Column:
-        """Standardised and reduced vector; NULL where the input has another width."""
+    def projection(self) -> tuple[np.ndarray, np.ndarray]:
+        """``weights`` and ``offset`` such that ``x @ weights - offset`` is standardised and reduced."""
         scale = np.where(self.deviation > 0, self.deviation, 1.0)
         weights = self.loadings[: self.kept].T / scale[:, None]
-        offset = self.mean @ weights
-        width = self.width
+        return weights, self.mean @ weights
+
+    def project(self, vector: Column | str) -> Column:
+        """Standardised and reduced vector; NULL for a vector that does not fit."""
+        (weights, offset), width = self.projection(), self.width
 
         @F.arrow_udf("array<double>")
         def reduce(column: pa.Array) -> pa.Array:

@@ -52,19 +52,21 @@ class GroupFacts:
     pool: np.ndarray
 
 
-def nearest(vector: Column | str, centers: np.ndarray) -> Column:
-    """Number of the nearest centre; the lowest number on ties, NULL for a misfit vector."""
+def closest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Number of the nearest centre of every row of a matrix; the lowest number on ties."""
     half = 0.5 * (centers**2).sum(axis=1)
-    width = centers.shape[1]
     step = max(1, _CELLS // len(centers))
+    parts = [(half - rows[i : i + step] @ centers.T).argmin(axis=1) for i in range(0, len(rows), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+
+def nearest(vector: Column | str, centers: np.ndarray) -> Column:
+    """Number of the nearest centre; NULL for a vector that does not fit."""
+    width = centers.shape[1]
 
     @F.arrow_udf("int")
     def label(column: pa.Array) -> pa.Array:
-        def closest(rows):
-            parts = [(half - rows[i : i + step] @ centers.T).argmin(axis=1) for i in range(0, len(rows), step)]
-            return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-
-        return label_vectors(column, width, closest)
+        return label_vectors(column, width, lambda rows: closest(rows, centers))
 
     return label(vector)
 

@@ -34,8 +34,7 @@ class SecondaryKeys:
             for g, own in centers.items():
                 at = np.flatnonzero((number == g) & column.is_valid().to_numpy(zero_copy_only=False))
                 if len(at):
-                    x = matrix(column.take(pa.array(at)), own.shape[1])
-                    out[at] = (0.5 * (own**2).sum(axis=1) - x @ own.T).argmin(axis=1)
+                    out[at] = kmeans.closest(matrix(column.take(pa.array(at)), own.shape[1]), own)
             return pa.array(out, mask=out < 0)
 
         return points.withColumn("secondary_cluster_id", inside(F.col(group).cast("int"), F.col(vector)))

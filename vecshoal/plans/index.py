@@ -3,9 +3,11 @@
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecshoal.functions.blocks import fitting, list_column
 from vecshoal.operators import kmeans, search
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import FeatureModel, fit_features
@@ -27,19 +29,34 @@ class IndexModel:
     sweep: dict[tuple[int, int], float]
 
     def place(self, rows: DataFrame, vector: str = "encd") -> DataFrame:
-        """Add the ``reduced`` vector and the ``cluster_id`` of its nearest centre."""
-        reduced = rows.withColumn("reduced", self.features.project(vector))
-        return reduced.withColumn("cluster_id", kmeans.nearest("reduced", self.centers))
-
-    def label(self, items: DataFrame) -> DataFrame:
+        """Add the ``reduced`` vector and the ``cluster_id`` of its nearest centre, both from one call."""
+        (weights, offset), width, centers = self.features.projection(), self.features.width, self.centers
+
+        @F.arrow_udf("reduced array<double>, cluster_id int")
+        def both(column: pa.Array) -> pa.Array:
+            ok, found = fitting(column, width)
+            reduced = found @ weights - offset
+            labels = np.zeros(len(ok), dtype=np.int32)
+            labels[ok] = kmeans.closest(reduced, centers)
+            parts = [list_column(reduced, ok), pa.array(labels, mask=~ok)]
+            return pa.StructArray.from_arrays(parts, names=["reduced", "cluster_id"])
+
+        placed = rows.withColumn("_placed", both(vector))
+        return placed.withColumns({name: F.col(f"_placed.{name}") for name in ("reduced", "cluster_id")}).drop("_placed")
+
+    def label(self, items: DataFrame, arranged: bool = False) -> DataFrame:
         """Items in the stored layout, with their cluster, its centroid and the reduced vector.
 
-        An item whose vector does not fit the model stays, without a cluster.
+        An item whose vector does not fit the model stays, without a cluster. ``arranged`` gathers
+        the rows of a cluster first, so that centroids are added after the shuffle.
         """
         centroids = kmeans.centroid_table(items.sparkSession, self.centers)
         named = centroids.withColumnRenamed("centroid", "cluster_centroid")
+        placed = self.place(items)
+        if arranged:
+            placed = placed.hint("rebalance", "cluster_id")
         # One row per centre, at most as many as the model holds.
-        return self.place(items).join(F.broadcast(named), "cluster_id", "left").select(*INDEXED.names)
+        return placed.join(F.broadcast(named), "cluster_id", "left").select(*INDEXED.names)
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.features.save(spark, f"{path}/features")
@@ -99,7 +116,7 @@ class SearchIndex:
     def build(items: DataFrame, path: str, model: IndexModel) -> "SearchIndex":
         index = SearchIndex(items.sparkSession, path, model)
         model.save(items.sparkSession, path)
-        index.table.replace(model.label(items))
+        index.table.replace(model.label(items, arranged=True), arranged=True)
         return index
 
     @staticmethod

@@ -49,9 +49,10 @@ class ItemTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.folder(versions[-1])).select(*self.schema.names)
 
-    def replace(self, rows: DataFrame) -> int:
-        """Store ``rows`` as the next version."""
-        return self._store(self._arranged(rows.select(*self.schema.names)))
+    def replace(self, rows: DataFrame, arranged: bool = False) -> int:
+        """Store ``rows`` as the next version; ``arranged`` rows are written as they come."""
+        rows = rows.select(*self.schema.names)
+        return self._store(rows if arranged else self._arranged(rows))
 
     def append(self, rows: DataFrame) -> int:
         """Add rows to the current version, without looking at their ids."""
@@ -68,13 +69,17 @@ class ItemTable:
         latest = incoming if order is None else last_wins(incoming, order, key)
         # Read twice below, and to be the same rows both times.
         latest, path = materialise(latest.select(*self.schema.names), "incoming")
+        stored = self.read()
         ids = local_copy(latest.select(key), REPLACED_IDS)
+        if ids is None:
+            # Of a large batch of mostly new rows few ids are stored already; finding them moves ids only.
+            ids = local_copy(stored.select(key).join(latest.select(key), key, "left_semi"), REPLACED_IDS)
         if ids is not None:
             # The stored rows are filtered where they lie and keep their files' arrangement.
-            kept = self.read().join(F.broadcast(ids), key, "left_anti").select(*self.schema.names)
+            kept = stored.join(F.broadcast(ids), key, "left_anti").select(*self.schema.names)
             version = self._store(kept.unionByName(self._arranged(latest)))
         else:
-            kept = self.read().join(latest.select(key), key, "left_anti").select(*self.schema.names)
+            kept = stored.join(latest.select(key), key, "left_anti").select(*self.schema.names)
             version = self._store(self._arranged(kept.unionByName(latest)))
         remove_path(self.spark, path)
         return version
