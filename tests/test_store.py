@@ -61,6 +61,13 @@ def test_last_row_of_a_batch_wins(stored, items):
     assert len(content(stored)) == 4
 
 
+@pytest.mark.parametrize("order", [None, ["cluster_id"]])
+def test_rows_without_id_are_set_aside(stored, items, order):
+    stored.upsert(items([(None, [1, 0], 1), ("e", [2, 0], 2), (None, [3, 0], 3)]), order)
+    assert sorted(r.cluster_id for r in stored.rejected().collect()) == [1, 3]
+    assert sorted(content(stored)) == ["a", "b", "d", "e", "o'c"]
+
+
 def test_an_unfinished_version_is_not_read(stored, items):
     rows = stored.read()
     rows.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(stored.folder(2))

@@ -131,8 +131,8 @@ class SearchIndex:
         return self.table.upsert(self.model.label(items.select(*columns)), None)
 
     def rejected(self) -> DataFrame:
-        """Stored items no search can find, with the reason; they lie in a folder of their own."""
-        lost = self.table.read().where(F.col("cluster_id").isNull())
+        """Items no search can find, with the reason: those without a fitting vector or an id."""
+        lost = self.table.read().where(F.col("cluster_id").isNull()).unionByName(self.table.rejected())
         return lost.withColumn("reason", defect(self.model.features.width)).drop("reduced")
 
     def search(self, queries: DataFrame, k: int = 20, space: str = "reduced", keep=search.ITEM_COLUMNS) -> DataFrame:

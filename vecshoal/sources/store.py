@@ -64,8 +64,12 @@ class ItemTable:
         """Insert rows, replacing stored rows of the same id; the last row of a batch wins.
 
         ``order`` names the columns that tell which of two incoming rows is later; None states
-        that no id comes twice.
+        that no id comes twice. Rows without an id are set aside, and the rest goes on.
         """
+        nameless = incoming.where(F.col(key).isNull())
+        if not nameless.isEmpty():
+            nameless.select(*self.schema.names).write.mode("append").parquet(f"{self.path}/rejected")
+        incoming = incoming.where(F.col(key).isNotNull())
         latest = incoming if order is None else last_wins(incoming, order, key)
         # Read twice below, and to be the same rows both times.
         latest, path = materialise(latest.select(*self.schema.names), "incoming")
@@ -84,6 +88,13 @@ class ItemTable:
         remove_path(self.spark, path)
         return version
 
+    def rejected(self) -> DataFrame:
+        """Rows that came without an id."""
+        fs, folder = file_system(self.spark, f"{self.path}/rejected")
+        if not fs.exists(folder):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rejected")
+
     def truncate(self) -> int:
         """Remove all rows and say how many there were."""
         removed = self.read().count()
