@@ -63,13 +63,13 @@ def _cut(found: pa.Table, k: int) -> pa.Table:
     return found.filter(pa.array(place < k))
 
 
-def _cut_ties(q: np.ndarray, item: np.ndarray, similarity: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _cut_ties(q: np.ndarray, item: np.ndarray, similarity: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """The k best pairs per query of one block whose items are in id order."""
     order = np.lexsort((item, -similarity, q))
-    q, item = q[order], item[order]
+    q, item, similarity = q[order], item[order], similarity[order]
     starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-    place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
-    return q[place < k], item[place < k]
+    kept = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)])) < k
+    return q[kept], item[kept], similarity[kept]
 
 
 class _Best:
@@ -138,14 +138,16 @@ def _score(
                 block = points[mine]
                 step = max(1, _CELLS // len(mine))
                 for lo in range(0, len(at), step):
-                    sims = np.round(probes[lo : lo + step] @ block.T, DIGITS)
+                    sims = probes[lo : lo + step] @ block.T
                     floor = best.floor[at[lo : lo + step]]
-                    if len(mine) > k:
+                    if len(mine) > k and np.isneginf(floor).any():
                         floor = np.maximum(floor, np.partition(sims, len(mine) - k, axis=1)[:, len(mine) - k])
-                    q, item = np.nonzero(sims >= floor[:, None])
+                    # Only what may still count is rounded, with room for what rounding may lift.
+                    q, item = np.nonzero(sims >= (floor - 2 * 10.0**-DIGITS)[:, None])
+                    found = np.round(sims[q, item], DIGITS)
                     if len(q) > 2 * k * len(sims):
-                        q, item = _cut_ties(q, item, sims[q, item], k)
-                    best.add(at[lo + q], sims[q, item], payload.take(pa.array(order[mine[item]])))
+                        q, item, found = _cut_ties(q, item, found, k)
+                    best.add(at[lo + q], found, payload.take(pa.array(order[mine[item]])))
         if best is None:
             return
         best.prune()
@@ -154,9 +156,9 @@ def _score(
             out = best.kept.drop_columns(["query"]).add_column(0, "query_id", ids)
             yield from out.combine_chunks().to_batches(max_chunksize=10_000)
 
-    found = fewer_tasks(rows).mapInArrow(task, schema)
+    kept = fewer_tasks(rows).mapInArrow(task, schema)
     place = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    ranked = kept.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", *keep, "similarity")
 
 
