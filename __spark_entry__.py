@@ -534,6 +534,29 @@ def index_upsert(spark, sf):
     return index.table.read().select("id", "dataset", "url", F.array_size("encd").alias("width"))
 
 
+def given_index(spark, sf) -> SearchIndex:
+    """A stored index whose answers do not depend on a random fit: all components, label means as centres."""
+    items = labelled(spark, sf)
+    features = fit_features(items, share=None, components=WIDTH)
+    reduced = items.select("cluster_id", features.project("encd").alias("reduced"))
+    means = aggregates.cluster_centroids(reduced, "reduced").orderBy("cluster_id").collect()
+    model = IndexModel(features, np.array([r.centroid for r in means]), {})
+    path = scratch_path(spark, "index")
+    SearchIndex.build(items, path, model)
+    return SearchIndex.open(spark, path)
+
+
+def search_given_index(spark, sf):
+    """The whole online path for all items as queries: project, find the cluster, read it, rank."""
+    return rounded(given_index(spark, sf).search(as_queries(plain(spark, sf)), 20), "similarity")
+
+
+def search_given_index_one(spark, sf):
+    """The same for one vector."""
+    probe = lookup.by_id(plain(spark, sf), "images_000000000019").first()
+    return rounded(given_index(spark, sf).search_one(probe.encd, 20), "similarity")
+
+
 # Text
 
 
@@ -598,6 +621,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lloyd_from_label_means, sse_sweep, elbow, sweep_recomputed, sweep_of_one, elbow_price_bins,
         gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_event_values, gmm_line_items, secondary_key, secondary_complete, sub_sweep,
         fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
+        search_given_index, search_given_index_one,
         encode_documents, search_text_by_language, search_text_index,
     ]
     return {query.__name__: query for query in made}
@@ -700,6 +724,16 @@ TEXTS = f"""items AS (
   FROM documents JOIN {encoded_sql('documents', 'doc_id')} e ON e.key = doc_id)"""
 
 
+GIVEN = f"""{ITEMS}, {CELLS},
+  s AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS sd FROM cells GROUP BY dim),
+  zc AS (SELECT id, cluster_id, dim, (x - m) / sd AS x FROM cells JOIN s USING (dim)),
+  zm AS (SELECT cluster_id, dim, avg(x) AS m FROM zc GROUP BY cluster_id, dim),
+  i AS (SELECT items.* EXCLUDE (cluster_id), a.cluster_id, z.std FROM items
+        JOIN {nearest_sql('zc', 'zm')} a USING (id)
+        JOIN (SELECT id, list(x ORDER BY dim) AS std FROM zc GROUP BY id) z USING (id)),
+  q AS (SELECT id AS query_id, cluster_id, std FROM i)"""
+
+
 def elbow_sql(curves: str) -> str:
     """The windows of the elbow in SQL; ``curves`` holds ``(curve, x, y)``."""
     return f"""u AS (
@@ -821,6 +855,9 @@ def oracle_sql() -> dict[str, str]:
         "gmm_line_items": plane_em_sql(),
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",
+        "search_given_index": f"WITH {GIVEN} {pairs_sql('i', 'q', 20, 'std')}",
+        "search_given_index_one": f"""WITH {GIVEN}, r AS ({pairs_sql('i', 'q', 20, 'std')})
+            SELECT rank, id, img_name, url, similarity FROM r WHERE query_id = 'images_000000000019'""",
         "index_upsert": f"WITH {ITEMS} SELECT id, dataset, url, len(encd)::INT AS width FROM items",
         "encode_documents": f"""WITH {TEXTS} SELECT id, round(list_sum(list_transform(encd, lambda x, i: x * i)), 6) AS weighted,
             round(list_sum(encd), 6) AS total, round(sqrt(list_sum(list_transform(encd, lambda x: x * x))), 6) AS length

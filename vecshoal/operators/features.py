@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import fitting, map_vectors
 from vecshoal.operators.partials import sum_over_tasks
+from vecshoal.session import write_small
 
 
 @dataclass
@@ -72,16 +73,13 @@ class FeatureModel:
     def save(self, spark: SparkSession, path: str) -> None:
         """Two small tables: the scaler by dimension, and one row per component."""
         scaler = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(self.mean, self.deviation))]
-        spark.createDataFrame(scaler, "dim int, mean double, deviation double").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/scaler")
-        rows = [
+        parts = [
             (i, float(r), i < self.kept, self.rows, vector.tolist())
             for i, (r, vector) in enumerate(zip(self.ratio, self.loadings))
         ]
-        spark.createDataFrame(
-            rows, "component int, ratio double, kept boolean, rows long, loading array<double>"
-        ).write.mode("overwrite").parquet(f"{path}/components")
+        write_small(spark, scaler, "dim int, mean double, deviation double", f"{path}/scaler")
+        schema = "component int, ratio double, kept boolean, rows long, loading array<double>"
+        write_small(spark, parts, schema, f"{path}/components")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FeatureModel":

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from vecshoal.functions.blocks import label_vectors, matrix
 from vecshoal.operators import kmeans
 from vecshoal.operators.partials import sum_over_tasks, working_copy
+from vecshoal.session import write_small
 
 # Tables up to this size are sent to the tasks whole, and the models rather than the rows are split.
 SMALL_BYTES = 16 << 20
@@ -77,7 +78,7 @@ class Mixture:
             for i in range(self.size)
         ]
         schema = "component int, weight double, mean array<double>, covariance array<double>, log_likelihood double, rows long"
-        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(path)
+        write_small(spark, rows, schema, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Mixture":

@@ -11,7 +11,7 @@ from vecshoal.functions.blocks import fitting, list_column
 from vecshoal.operators import kmeans, search
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import FeatureModel, fit_features
-from vecshoal.session import materialise, remove_path
+from vecshoal.session import materialise, remove_path, write_small
 from vecshoal.sources.items import defect
 from vecshoal.sources.schema import INDEXED
 from vecshoal.sources.store import ItemTable, last_wins
@@ -60,9 +60,9 @@ class IndexModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.features.save(spark, f"{path}/features")
-        kmeans.centroid_table(spark, self.centers).write.mode("overwrite").parquet(f"{path}/centroids")
-        sweep = spark.createDataFrame([(k, s) for (_, k), s in sorted(self.sweep.items())], "k int, sse double")
-        sweep.write.mode("overwrite").parquet(f"{path}/sweep")
+        centers = [(i, center.tolist()) for i, center in enumerate(self.centers)]
+        write_small(spark, centers, "cluster_id int, centroid array<double>", f"{path}/centroids")
+        write_small(spark, [(k, s) for (_, k), s in sorted(self.sweep.items())], "k int, sse double", f"{path}/sweep")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "IndexModel":

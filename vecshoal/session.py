@@ -59,6 +59,11 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def write_small(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
+    """A model table, whose size does not grow with the data, as one file."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop file system and path objects for ``path``, whatever store it lives in."""
     jvm = spark._jvm
