@@ -1,3 +1,6 @@
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +80,20 @@ def test_an_unfinished_version_is_not_read(stored, items):
     assert len(content(stored)) == 5
 
 
+def test_files_are_sorted_by_id(spark, items, scratch):
+    rows = items([(f"i{i * 7919 % 1000:04d}", [i, 0], i % 3) for i in range(1000)])
+    table = ItemTable(spark, scratch("items"), rows.schema)
+    table.replace(rows)
+    table.upsert(items([(f"i{i:04d}", [0, 0], 1) for i in range(500, 1100)]), None)
+    for version in (1, 2):
+        files = glob.glob(table.folder(version) + "/cluster_id=*/*.parquet")
+        assert files
+        for file in files:
+            ids = pq.read_table(file, columns=["id"], partitioning=None).column("id").to_pylist()
+            assert ids == sorted(ids)
+    assert table.read().count() == 1100
+
+
 def test_append_and_truncate(stored, items):
     stored.append(items([("a", [1, 2], 0)]))
     assert stored.read().count() == 5

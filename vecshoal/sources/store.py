@@ -20,13 +20,25 @@ REPLACED_IDS = 500_000
 
 
 class ItemTable:
-    """A versioned Parquet table, split by ``partition`` so that one cluster can be read alone."""
+    """A versioned Parquet table, split by ``partition`` so that one cluster can be read alone.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition: str | None = "cluster_id"):
+    Files are sorted by ``key`` and carry a Bloom filter on it, so that looking up a few ids skips
+    nearly all of the vectors.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        partition: str | None = "cluster_id",
+        key: str = "id",
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition = partition
+        self.key = key
 
     def versions(self) -> list[int]:
         fs, root = file_system(self.spark, self.path)
@@ -60,12 +72,13 @@ class ItemTable:
         self._write(self._arranged(rows.select(*self.schema.names)), self.folder(version), "append")
         return version
 
-    def upsert(self, incoming: DataFrame, order: list[str] | None, key: str = "id") -> int:
+    def upsert(self, incoming: DataFrame, order: list[str] | None) -> int:
         """Insert rows, replacing stored rows of the same id; the last row of a batch wins.
 
         ``order`` names the columns that tell which of two incoming rows is later; None states
         that no id comes twice. Rows without an id are set aside, and the rest goes on.
         """
+        key = self.key
         nameless = incoming.where(F.col(key).isNull())
         if not nameless.isEmpty():
             nameless.select(*self.schema.names).write.mode("append").parquet(f"{self.path}/rejected")
@@ -118,7 +131,10 @@ class ItemTable:
         return version
 
     def _write(self, rows: DataFrame, folder: str, mode: str) -> None:
-        writer = rows.write.mode(mode)
+        # Writing by cluster sorts by it anyway.
+        rows = rows.sortWithinPartitions(*([self.partition] if self.partition else []), self.key)
+        writer = rows.write.mode(mode).option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         if self.partition:
             writer = writer.partitionBy(self.partition)
         writer.parquet(folder)
