@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import fitting, map_vectors
 from vecshoal.operators.partials import sum_over_tasks
-from vecshoal.session import write_small
+from vecshoal.session import small_table, write_small
 
 
 @dataclass
@@ -66,7 +66,7 @@ class FeatureModel:
     def variance_curve(self, spark: SparkSession) -> DataFrame:
         """Explained-variance ratio per component and its running total."""
         rows = [(i + 1, float(r)) for i, r in enumerate(self.ratio)]
-        curve = spark.createDataFrame(rows, "component int, ratio double").withColumn("curve", F.lit(1))
+        curve = small_table(spark, rows, "component int, ratio double").withColumn("curve", F.lit(1))
         running = Window.partitionBy("curve").orderBy("component").rowsBetween(Window.unboundedPreceding, 0)
         return curve.withColumn("cumulative", F.sum("ratio").over(running)).drop("curve")
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from vecshoal.functions.blocks import label_vectors, matrix
 from vecshoal.functions.keys import uniform_hash
 from vecshoal.operators.partials import sum_over_tasks, working_copy
+from vecshoal.session import small_table
 
 POOL_ROWS = 1000
 # Tables up to this size are sent to the tasks whole, and the fits rather than the rows are split.
@@ -323,9 +324,9 @@ def best_fits(fits: list[Fit]) -> dict[tuple[int, int], Fit]:
 def sweep_table(spark: SparkSession, best: dict[tuple[int, int], Fit], group: str = "curve") -> DataFrame:
     """``(group, k, sse)`` of the best fits."""
     rows = [(g, k, fit.sse) for (g, k), fit in sorted(best.items())]
-    return spark.createDataFrame(rows, f"{group} int, k int, sse double")
+    return small_table(spark, rows, f"{group} int, k int, sse double")
 
 
 def centroid_table(spark: SparkSession, centers: np.ndarray) -> DataFrame:
     rows = [(i, center.tolist()) for i, center in enumerate(centers)]
-    return spark.createDataFrame(rows, "cluster_id int, centroid array<double>")
+    return small_table(spark, rows, "cluster_id int, centroid array<double>")

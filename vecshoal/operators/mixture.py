@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vecshoal.functions.blocks import label_vectors, matrix
 from vecshoal.operators import kmeans
 from vecshoal.operators.partials import sum_over_tasks, working_copy
-from vecshoal.session import write_small
+from vecshoal.session import small_table, write_small
 
 # Tables up to this size are sent to the tasks whole, and the models rather than the rows are split.
 SMALL_BYTES = 16 << 20
@@ -299,4 +299,4 @@ def fit_mixtures(
 def criteria_table(spark: SparkSession, models: list[Mixture]) -> DataFrame:
     """``(n_components, log_likelihood, bic, aic)``, one row per model."""
     rows = [(m.size, m.log_likelihood, float(m.bic), float(m.aic)) for m in models]
-    return spark.createDataFrame(rows, "n_components int, log_likelihood double, bic double, aic double")
+    return small_table(spark, rows, "n_components int, log_likelihood double, bic double, aic double")

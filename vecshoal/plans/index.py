@@ -11,7 +11,7 @@ from vecshoal.functions.blocks import fitting, list_column
 from vecshoal.operators import kmeans, search
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import FeatureModel, fit_features
-from vecshoal.session import materialise, remove_path, write_small
+from vecshoal.session import materialise, remove_path, small_table, write_small
 from vecshoal.sources.items import defect
 from vecshoal.sources.schema import INDEXED
 from vecshoal.sources.store import ItemTable, last_wins
@@ -146,5 +146,5 @@ class SearchIndex:
 
     def search_one(self, query, k: int = 20) -> DataFrame:
         """The same for one vector given as a Python sequence."""
-        one = self.spark.createDataFrame([(0, [float(v) for v in query])], "query_id long, encd array<double>")
+        one = small_table(self.spark, [(0, [float(v) for v in query])], "query_id long, encd array<double>")
         return self.search(one, k).drop("query_id")

@@ -3,7 +3,9 @@
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _local_roots: dict[str, str] = {}
 
@@ -59,9 +61,16 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A model table, whose size does not grow with the data, as a local relation of known size."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    names = T.StructType.fromDDL(schema).names
+    return spark.createDataFrame(pa.table([list(column) for column in zip(*rows)], names=names), schema)
+
+
 def write_small(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
-    """A model table, whose size does not grow with the data, as one file."""
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+    small_table(spark, rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def file_system(spark: SparkSession, path: str):
