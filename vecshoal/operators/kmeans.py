@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import label_vectors, matrix
 from vecshoal.functions.keys import uniform_hash
-from vecshoal.operators.partials import sum_over_tasks, working_copy
+from vecshoal.operators.partials import few_rows_for, sum_over_tasks, working_copy
 from vecshoal.session import small_table
 
 POOL_ROWS = 1000
@@ -292,7 +292,7 @@ def fit_many(
         pools = {g: fact.pool for g, fact in facts.items()}
         rows = copy.select("g", "v")
         size = 8 * sum(fact.rows * len(fact.mean) for fact in facts.values())
-        if size <= SMALL_BYTES:
+        if few_rows_for(rows, size, len(fits), SMALL_BYTES):
             return run_lloyd_small(rows, fits, pools, max_iter)
         return run_lloyd(rows, tasks, fits, pools, max_iter)
 

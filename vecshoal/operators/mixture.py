@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import label_vectors, matrix
 from vecshoal.operators import kmeans
-from vecshoal.operators.partials import sum_over_tasks, working_copy
+from vecshoal.operators.partials import few_rows_for, sum_over_tasks, working_copy
 from vecshoal.session import small_table, write_small
 
 # Tables up to this size are sent to the tasks whole, and the models rather than the rows are split.
@@ -283,7 +283,7 @@ def fit_mixtures(
         rules = [("given", None) if start else ("hard", best[0, size].centers - origin) for size in sizes]
         runs = [_Run(size, rule, n, reg, tol, max_iter) for size, rule in zip(sizes, rules)]
         rows = copy.select("g", "v")
-        if 8 * n * len(origin) <= SMALL_BYTES:
+        if few_rows_for(rows, 8 * n * len(origin), len(runs), SMALL_BYTES):
             runs = _run_small(rows, runs, origin)
         else:
             going = runs

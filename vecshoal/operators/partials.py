@@ -33,10 +33,23 @@ def fewer_tasks(df: DataFrame) -> DataFrame:
     return df.coalesce(task_limit(df))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table of fewer splits than cores is small: share it among all cores before heavy work."""
+def spread(df: DataFrame, key: str, rows_per_task: int = 256) -> DataFrame:
+    """Share a table of fewer splits than cores among more of them, before heavy work on its rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores:
+        return df
+    wanted = min(cores, -(-df.count() // rows_per_task))
+    return df.repartition(wanted, key) if wanted > splits else df
+
+
+def few_rows_for(df: DataFrame, size: int, fits: int, bound: int) -> bool:
+    """Whether to hand all ``size`` bytes of vectors to every task and share out the fits.
+
+    Fewer fits than cores leave cores idle, so the table must be the smaller.
+    """
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, 32)
+    return size * max(1, cores // fits) <= bound
 
 
 @contextmanager
