@@ -66,6 +66,14 @@ def test_misfit_vectors_are_left_out(spark, points, matrix):
     assert sum(v is not None for v in out.values()) == 200
 
 
+def test_the_common_width_is_found(spark, points, matrix):
+    short = spark.createDataFrame([("a", [1.0]), ("b", [2.0]), ("c", None)], "id string, reduced array<double>")
+    model = fit_features(short.coalesce(1).unionByName(points(matrix)), "reduced")
+    assert (model.width, model.rows) == (6, 200)
+    with pytest.raises(ValueError):
+        fit_features(short.where("id = 'c'"), "reduced")
+
+
 def test_save_and_load(spark, points, matrix, scratch):
     model = fit_features(points(matrix), "reduced")
     path = scratch("features")

@@ -107,15 +107,21 @@ def fit_features(
     share: float | None = 0.95,
     components: int | None = None,
 ) -> FeatureModel:
-    """Fit scaler and components on the rows whose vector has ``width`` elements."""
+    """Fit scaler and components on the rows whose vector has ``width`` finite elements.
+
+    Without ``width`` it is the most common one among the first thousand vectors.
+    """
     rows = items.select(vector).where(F.col(vector).isNotNull())
-    right = F.array_size(vector) == width if width else F.array_size(vector) > 0
-    first = rows.where(right & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x))).first()
+    if width is None:
+        widths = rows.limit(1000).groupBy(F.array_size(vector).alias("width")).count()
+        common = widths.where("width > 0").orderBy(F.desc("count"), "width").first()
+        width = common.width if common is not None else 0
+    sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    first = rows.where((F.array_size(vector) == width) & sound).first()
     if first is None:
         raise ValueError("no vector to fit on")
     # Any row near the data will do: sums of differences from it lose no digits.
     origin = np.array(first[0], dtype=np.float64)
-    width = len(origin)
 
     def fold(batches, state):
         for batch in batches:
