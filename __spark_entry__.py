@@ -33,6 +33,15 @@ from vecshoal.sources.schema import CLUSTERED, ITEM
 from vecshoal.sources.store import ItemTable, export_csv, ingest_csv, last_wins
 from vecshoal.streaming.serve import answer_stream
 
+# The operators for training data may be absent; all other queries do without them.
+try:
+    import corpus_pipeline
+    from vecshoal.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "vecshoal.llm"):
+        raise
+    corpus = None
+
 URL = "https://images.example/"
 WIDTH = 64
 TEXT_WIDTH = 64
@@ -624,7 +633,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_given_index, search_given_index_one,
         encode_documents, search_text_by_language, search_text_index,
     ]
-    return {query.__name__: query for query in made}
+    found = {query.__name__: query for query in made}
+    if corpus is not None:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # SQL
@@ -755,7 +767,7 @@ def oracle_sql() -> dict[str, str]:
     ids = "('images_000000000001', 'images_000000000019', 'images_000000000063', 'no''such_item')"
     single = f"""WITH {ITEMS}, q AS (SELECT id AS query_id, cluster_id, encd FROM items WHERE id = 'images_000000000019'),
       r AS (%s) SELECT rank, id, img_name, url, similarity FROM r"""
-    return {
+    found = {
         "scan_items": f"WITH {ITEMS} SELECT id, dataset, url, img_name, len(encd)::INT AS width FROM items",
         "first_items": f"WITH {ITEMS} SELECT id, img_name, url FROM items ORDER BY id LIMIT 10",
         "older_names": f"""WITH {ITEMS}, {CELLS}, {MEANS},
@@ -868,3 +880,8 @@ def oracle_sql() -> dict[str, str]:
             q AS (SELECT b.id AS query_id, cluster_id, encd FROM b JOIN {nearest_sql('bc', 'means')} n USING (id)),
             r AS ({pairs_sql('items', 'q', 10)}) SELECT query_id, rank, id, similarity FROM r""",
     }
+    if corpus is not None:
+        found |= corpus.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
