@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, packing
+from vecshoal.llm import classifier, packing, pii, rules
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,8 +35,30 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf, "documents"))
+    spans = F.col("spans")
+
+    def listed(some: Column) -> Column:
+        return F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(*kinds: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE]
+    base = listed(of(*pii.BASE))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), listed(spans).alias("spans"))
+
+
+def op8_adaptive_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.apply_rules(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_pack_best_fit, op2_quality_classifier)
+    query.__name__: query
+    for query in (op1_pack_best_fit, op2_quality_classifier, op7_personal_data, op8_adaptive_rules)
 }
 
 SQL: dict[str, str] = {}
