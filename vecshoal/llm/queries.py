@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, packing, pii, rules
+from vecshoal.llm import classifier, html_text, packing, pii, rules
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -56,9 +56,14 @@ def op8_adaptive_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_pack_best_fit, op2_quality_classifier, op7_personal_data, op8_adaptive_rules)
+    for query in (op1_pack_best_fit, op2_quality_classifier, op7_personal_data, op8_adaptive_rules, op9_html_main_text)
 }
 
 SQL: dict[str, str] = {}
