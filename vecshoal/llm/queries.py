@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, html_text, packing, pii, rules
+from vecshoal.llm import classifier, fingerprints, html_text, packing, pii, rules
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_weighted_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf, "documents"))
     spans = F.col("spans")
@@ -63,7 +67,7 @@ def op9_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_pack_best_fit, op2_quality_classifier, op7_personal_data, op8_adaptive_rules, op9_html_main_text)
+    for query in (op1_pack_best_fit, op2_quality_classifier, op5_weighted_fingerprints, op7_personal_data, op8_adaptive_rules, op9_html_main_text)
 }
 
 SQL: dict[str, str] = {}
