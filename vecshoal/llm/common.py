@@ -40,3 +40,9 @@ def whole(text: str | Column) -> Column:
 def text_key(text: Column, seed: int = 0) -> Column:
     """64 bits of a text; two seeds give 128."""
     return F.xxhash64(F.lit(seed), text) if seed else F.xxhash64(text)
+
+
+def kept_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`stored`, with the folder, for :func:`vecshoal.session.remove_path` once the next step is stored."""
+    with freed_shuffles(df.sparkSession):
+        return materialise(df, label)

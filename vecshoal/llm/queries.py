@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, fingerprints, html_text, packing, pii, rules
+from vecshoal.llm import classifier, fingerprints, html_text, packing, pii, rules, substrings
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -65,9 +65,22 @@ def op9_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_pack_best_fit, op2_quality_classifier, op5_weighted_fingerprints, op7_personal_data, op8_adaptive_rules, op9_html_main_text)
+    for query in (
+        op1_pack_best_fit,
+        op2_quality_classifier,
+        op5_weighted_fingerprints,
+        op7_personal_data,
+        op8_adaptive_rules,
+        op9_html_main_text,
+        op10_repeated_passages,
+    )
 }
 
 SQL: dict[str, str] = {}
