@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, fingerprints, html_text, packing, pii, rules, substrings
+from vecshoal.llm import classifier, fingerprints, html_text, jaccard, packing, pii, rules, substrings
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op5_weighted_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op7_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf, "documents"))
     spans = F.col("spans")
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_pack_best_fit,
         op2_quality_classifier,
         op5_weighted_fingerprints,
+        op6_ngram_jaccard_join,
         op7_personal_data,
         op8_adaptive_rules,
         op9_html_main_text,
