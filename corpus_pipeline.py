@@ -14,8 +14,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, packing
+from vecshoal.llm import classifier, jaccard, lines, mixing, packing
 from vecshoal.llm.common import stored
+from vecshoal.llm.queries import WEIGHTS, mix_levels
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,6 +28,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score") >= 0.7).select(*COLUMNS)
 
 
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines equal or near-equal to an earlier one go; documents all of whose lines go stay with the empty text."""
+    cut = lines.dedup_lines(docs.select(*COLUMNS))
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-equal texts stays."""
+    return jaccard.one_of_each(docs.select(*COLUMNS))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Four fifths of all words, by target weights; no document is taken twice."""
+    return mixing.mix(docs.select(*COLUMNS), mix_levels(), WEIGHTS, budget_share=0.8, max_epochs=1, seed=17)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their place in sequences of 2048."""
     import public_tokenizers
@@ -34,14 +51,20 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality classifier", quality), ("packing", packed)]
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", without_repeated_lines),
+    ("n-gram Jaccard join", without_near_duplicates),
+    ("mixing sources to target weights", mixed),
+    ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -334,6 +334,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
     heads = found.groupBy("class_key").agg(F.min(order).alias("head"))
     heads = heads.select(F.col("head.doc_id").alias("_id"), F.col("head.text_key").alias("_key"))
-    keyed = docs.withColumn("_own", text_key(whole(text)))
-    kept = keyed.join(heads, keyed[doc_id].eqNullSafe(heads["_id"]) & (keyed["_own"] == heads["_key"]), "left_semi")
-    return kept.dropDuplicates([doc_id, "_own"]).drop("_own")
+    # The input's columns travel as one struct, whatever their names.
+    keyed = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), text_key(whole(text)).alias("own"))
+    kept = keyed.join(heads, keyed["id"].eqNullSafe(heads["_id"]) & (keyed["own"] == heads["_key"]), "left_semi")
+    return kept.dropDuplicates(["id", "own"]).select("doc.*")

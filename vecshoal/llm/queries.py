@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, fingerprints, html_text, jaccard, packing, pii, rules, substrings
+from vecshoal.llm import classifier, fingerprints, html_text, jaccard, lines, mixing, packing, pii, rules, substrings
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,6 +35,29 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, sf, "documents"), count="n_removed")
+    return cut.select("doc_id", "text", "n_removed")
+
+
+#: Sources numbered under ten are the web, the others curated; targets by level.
+WEIGHTS = (
+    {"web": 0.6, "curated": 0.4},
+    {"en": 0.4, "de": 0.25, "fr": 0.2, "es": 0.15},
+    {"src0": 2.0},
+)
+
+
+def mix_levels() -> tuple[Column, Column, Column]:
+    web = F.regexp_like("source", F.lit("^src[0-9]$"))
+    return F.when(web, "web").otherwise("curated"), F.col("lang"), F.col("source")
+
+
+def op4_mix_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    chosen = mixing.choose(table(spark, sf, "documents"), mix_levels(), WEIGHTS, budget_share=0.5, max_epochs=2, seed=17)
+    return chosen.select("doc_id", F.col("l1").alias("domain"), F.col("l2").alias("lang"), F.col("l3").alias("source"), "tokens", "epochs")
+
+
 def op5_weighted_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf, "documents"))
 
@@ -79,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_pack_best_fit,
         op2_quality_classifier,
+        op3_line_dedup,
+        op4_mix_hierarchy,
         op5_weighted_fingerprints,
         op6_ngram_jaccard_join,
         op7_personal_data,
@@ -88,4 +113,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+BLANKS = r"'[\t\n\x0b\x0c\r ]+'"
+
+
+def words_sql(text: str) -> str:
+    return f"list_filter(regexp_split_to_array({text}, {BLANKS}), lambda w: w <> '')"
+
+
+LINE_SQL = f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS no FROM d),
+w AS (SELECT doc_id, no, line, {words_sql('line')} AS words FROM l),
+f AS (SELECT words, min({{'d': doc_id, 'n': no}}) AS spot FROM w WHERE len(words) > 0 GROUP BY words),
+v AS (SELECT words, spot, i, list_concat(words[:i - 1], words[i + 1:]) AS rest
+      FROM (SELECT words, spot, unnest(range(1, len(words) + 1)) AS i FROM f WHERE len(words) >= 8)
+      UNION ALL SELECT words, spot, 0, words FROM f WHERE len(words) >= 8),
+e AS (SELECT rest, i, min(spot) AS spot FROM v GROUP BY rest, i),
+gone AS (SELECT DISTINCT v.words FROM v JOIN e ON v.rest = e.rest AND (v.i = e.i OR (v.i = 0) <> (e.i = 0)) WHERE e.spot < v.spot),
+k AS (SELECT w.*, len(words) = 0 AS blank,
+        len(words) = 0 OR (f.spot = {{'d': doc_id, 'n': no}} AND words NOT IN (SELECT words FROM gone)) AS stays
+      FROM w LEFT JOIN f USING (words))
+SELECT doc_id, CASE WHEN bool_or(stays AND NOT blank) THEN string_agg(line, chr(10) ORDER BY no) FILTER (WHERE stays) ELSE '' END AS text,
+  count(*) FILTER (WHERE NOT stays) AS n_removed FROM k GROUP BY doc_id"""
+
+
+def poured_sql(name: str, nodes: str, parent: str, key: str, weight: str) -> str:
+    """Steps ``<name>`` that share the ``budget`` of the rows of ``nodes`` among siblings."""
+    over = f"PARTITION BY {parent}" if parent else ""
+    return f"""{name}_w AS (SELECT *, room / weight AS ratio, least(budget, sum(room) OVER ({over})) AS b
+        FROM (SELECT *, {weight} AS weight FROM {nodes})),
+      {name}_f AS (SELECT *, ratio * sum(weight) OVER ({over} ORDER BY ratio, {key} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+          <= b - coalesce(sum(room) OVER ({over} ORDER BY ratio, {key} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled FROM {name}_w),
+      {name} AS (SELECT * EXCLUDE (budget), CASE WHEN filled THEN room ELSE
+          (b - coalesce(sum(room) FILTER (WHERE filled) OVER ({over}), 0)) / sum(weight) FILTER (WHERE NOT filled) OVER ({over}) * weight END AS budget
+        FROM {name}_f)"""
+
+
+def weights_sql(column: str, weights: dict[str, float]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1.0 END::DOUBLE"
+
+
+MIX_SQL = f"""WITH t AS (SELECT doc_id, CASE WHEN regexp_matches(source, '^src[0-9]$') THEN 'web' ELSE 'curated' END AS l1,
+    coalesce(lang, '') AS l2, coalesce(source, '') AS l3, len({words_sql("coalesce(text, '')")}) AS tokens FROM documents),
+  leaf AS (SELECT l1, l2, l3, sum(tokens)::BIGINT AS tokens FROM t GROUP BY ALL),
+  total AS (SELECT least(sum(tokens) * 0.5, sum(tokens) * 2)::DOUBLE AS budget FROM leaf),
+  n1 AS (SELECT l1, (sum(tokens) * 2)::DOUBLE AS room, any_value(budget) AS budget FROM leaf, total GROUP BY l1),
+  {poured_sql('p1', 'n1', '', 'l1', weights_sql('l1', WEIGHTS[0]))},
+  n2 AS (SELECT l1, l2, (sum(tokens) * 2)::DOUBLE AS room, any_value(p1.budget) AS budget FROM leaf JOIN p1 USING (l1) GROUP BY l1, l2),
+  {poured_sql('p2', 'n2', 'l1', 'l2', weights_sql('l2', WEIGHTS[1]))},
+  n3 AS (SELECT l1, l2, l3, (sum(tokens) * 2)::DOUBLE AS room, any_value(p2.budget) AS budget FROM leaf JOIN p2 USING (l1, l2) GROUP BY l1, l2, l3),
+  {poured_sql('p3', 'n3', 'l1, l2', 'l3', weights_sql('l3', WEIGHTS[2]))},
+  plan AS (SELECT l1, l2, l3, CASE WHEN tokens > 0 THEN floor(budget + 1e-6)::BIGINT // tokens ELSE 0 END AS passes,
+      floor(budget + 1e-6)::BIGINT AS words, tokens AS has FROM p3 JOIN leaf USING (l1, l2, l3)),
+  r AS (SELECT t.*, passes, words - passes * has AS rest, sum(tokens) OVER (PARTITION BY l1, l2, l3
+      ORDER BY md5('17:' || passes::VARCHAR || ':' || doc_id::VARCHAR) ROWS UNBOUNDED PRECEDING) AS upto FROM t JOIN plan USING (l1, l2, l3))
+  SELECT doc_id, l1 AS domain, l2 AS lang, l3 AS source, tokens::BIGINT AS tokens, (passes + (upto <= rest)::INT)::BIGINT AS epochs
+  FROM r WHERE passes + (upto <= rest)::INT > 0"""
+
+SQL: dict[str, str] = {"op3_line_dedup": LINE_SQL, "op4_mix_hierarchy": MIX_SQL}
