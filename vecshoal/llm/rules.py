@@ -23,8 +23,8 @@ SYMBOLS = "#*$%&|<>"
 #: Measure: least distance of a fence from its quartile, and the sides that are fenced.
 FENCED = {
     "symbol_share": (0.10, "upper"),
-    "dup_line_share": (0.30, "upper"),
-    "repeat_share": (0.20, "upper"),
+    "dup_line_share": (0.40, "upper"),
+    "repeat_share": (0.40, "upper"),
     "mean_word": (2.0, "both"),
 }
 
