@@ -2,7 +2,8 @@
 
 A document longer than a window is first cut into full windows, which need no packing. What
 remains of each document is packed, longest first, into the open window with the least room
-that still holds it; a segment tree over remaining capacities finds that window.
+that still holds it; a segment tree over remaining capacities finds that window. Where pieces are too long to share
+windows well, windows still over 1/64 empty are topped up by cutting pieces of the emptiest ones.
 
 Packing needs no shuffle. Each task tokenises its rows as they stream by, holds at most
 ``buffer_tokens`` tokens, packs them, gives out the windows that are nearly full and carries the
@@ -177,6 +178,31 @@ def best_fit_decreasing(lengths: list[int], window: int) -> list[list[int]]:
     return windows
 
 
+def top_up(windows: list[list[tuple]], window: int, slack: int) -> list[list[tuple]]:
+    """Windows with more room than ``slack`` filled by cutting pieces of the emptiest; all but one are then nearly full.
+
+    A piece is ``(document, start, ids as 4-byte numbers, tokens of the document)``.
+    """
+    room = [window - sum(len(piece[2]) for piece in pieces) // 4 for pieces in windows]
+    by_room = sorted(range(len(windows)), key=room.__getitem__)
+    windows, room = [list(windows[w]) for w in by_room], [room[w] for w in by_room]
+    fill, empty = 0, len(windows) - 1
+    while fill < empty:
+        if room[fill] <= slack:
+            fill += 1
+        elif not windows[empty]:
+            empty -= 1
+        else:
+            doc, start, ids, total = windows[empty].pop()
+            cut = min(room[fill], len(ids) // 4)
+            windows[fill].append((doc, start, ids[: 4 * cut], total))
+            room[fill] -= cut
+            room[empty] += cut
+            if cut < len(ids) // 4:
+                windows[empty].append((doc, start + cut, ids[4 * cut :], total))
+    return [pieces for pieces in windows if pieces]
+
+
 def pieces_schema(id_type: T.DataType) -> T.StructType:
     return T.StructType(
         [
@@ -218,7 +244,7 @@ def pack(
             [("doc_id", id_type), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
              ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
         )
-        encoder = WordTokens(tokenizer_path)
+        encoder, slack = WordTokens(tokenizer_path), window // 64
         sequence = TaskContext.get().partitionId() << 33
         held: list[tuple] = []
         held_tokens = 0
@@ -226,20 +252,18 @@ def pack(
         def close(last: bool) -> tuple[list[tuple], list[tuple]]:
             """Rows of finished windows, and pieces carried over."""
             nonlocal sequence
+            packed = best_fit_decreasing([len(piece[2]) // 4 for piece in held], window)
+            windows = top_up([[held[p] for p in members] for members in packed], window, slack)
             rows, carried = [], []
-            lengths = [len(piece[2]) // 4 for piece in held]
-            windows = best_fit_decreasing(lengths, window)
-            room = [window - sum(lengths[p] for p in members) for members in windows]
-            loose = set() if last else {w for w in sorted(range(len(windows)), key=lambda w: -room[w])[: len(windows) // 4] if room[w] > window // 64}
-            for number, members in enumerate(windows):
-                if number in loose:
-                    carried.extend(held[p] for p in members)
+            for pieces in windows:
+                filled = sum(len(piece[2]) for piece in pieces) // 4
+                if not last and window - filled > slack:
+                    carried.extend(pieces)
                     continue
                 offset = 0
-                for p in members:
-                    doc, start, ids, total = held[p]
-                    rows.append((doc, start, lengths[p], ids, total, sequence, offset))
-                    offset += lengths[p]
+                for doc, start, ids, total in pieces:
+                    rows.append((doc, start, len(ids) // 4, ids, total, sequence, offset))
+                    offset += len(ids) // 4
                 sequence += 1
             return rows, carried
 
