@@ -450,7 +450,7 @@ def gmm_event_values(spark, sf):
     """Three rounds of EM with two components on one column, from a split at 50."""
     start = (F.col("value") > 50).cast("int").alias("side")
     points = table(spark, sf, "events").select("event_id", F.array("value").alias("v"), start)
-    model = mixture.fit_mixtures(points, [2], "v", "event_id", start="side", tol=0.0, max_iter=3)[0]
+    model = mixture.fit_mixtures(points, [2], "v", start="side", tol=0.0, max_iter=3)[0]
     rows = [
         (i, float(model.weights[i]), float(model.means[i, 0]), float(model.covariances[i, 0, 0]), model.log_likelihood,
          float(model.bic), float(model.aic))
@@ -467,7 +467,7 @@ def gmm_line_items(spark, sf):
     vector = F.array("l_quantity", F.col("l_extendedprice") / 1000).alias("v")
     key = F.xxhash64("l_orderkey", "l_linenumber").alias("line")
     points = table(spark, sf, "lineitem").select(key, vector, start)
-    model = mixture.fit_mixtures(points, [3], "v", "line", start="side", tol=0.0, max_iter=2)[0]
+    model = mixture.fit_mixtures(points, [3], "v", start="side", tol=0.0, max_iter=2)[0]
     rows = []
     for i in range(3):
         c = model.covariances[i]

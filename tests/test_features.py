@@ -69,7 +69,11 @@ def test_misfit_vectors_are_left_out(spark, points, matrix):
 def test_the_common_width_is_found(spark, points, matrix):
     short = spark.createDataFrame([("a", [1.0]), ("b", [2.0]), ("c", None)], "id string, reduced array<double>")
     model = fit_features(short.coalesce(1).unionByName(points(matrix)), "reduced")
-    assert (model.width, model.rows) == (6, 200)
+    assert (model.width, model.rows, model.left_out) == (6, 200, 3)
+    # Short vectors in front, more of them than any prefix would hold, do not win over more long ones.
+    many = spark.createDataFrame([(f"s{n}", [1.0, 2.0]) for n in range(190)], "id string, reduced array<double>")
+    model = fit_features(many.coalesce(1).unionByName(points(matrix)), "reduced")
+    assert (model.width, model.rows, model.left_out) == (6, 200, 190)
     with pytest.raises(ValueError):
         fit_features(short.where("id = 'c'"), "reduced")
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 
-from vecshoal.operators import kmeans
+from vecshoal.operators import kmeans, partials
 from vecshoal.operators.secondary import fit_secondary
 
 
@@ -20,9 +20,9 @@ def plain_lloyd(x, centers, rounds):
     return centers, ((x[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum()
 
 
-@pytest.fixture(params=[0, 16 << 20], ids=["by rows", "by fits"])
+@pytest.fixture(params=[0, 64 << 20], ids=["a pass per fit", "one pass for all"])
 def split(request, monkeypatch):
-    monkeypatch.setattr(kmeans, "SMALL_BYTES", request.param)
+    monkeypatch.setattr(partials, "STATE_BYTES", request.param)
 
 
 @pytest.mark.parametrize("rounds", [0, 1, 4])
@@ -66,14 +66,14 @@ def test_layout_does_not_matter(points):
         np.testing.assert_allclose(a.centers, b.centers)
 
 
-def test_split_by_rows_or_by_fits(points, monkeypatch):
+def test_fits_together_or_in_batches(points, monkeypatch):
     x = np.vstack([blobs(1, 150), blobs(2, 90) + 20])
     table = points(x, g=[0] * 150 + [4] * 90)
-    by_fits = kmeans.fit_many(table, [1, 3, 6], group="g", restarts=3)
-    monkeypatch.setattr(kmeans, "SMALL_BYTES", 0)
-    by_rows = kmeans.fit_many(table, [1, 3, 6], group="g", restarts=3)
-    assert len(by_fits) == len(by_rows) == 14
-    for a, b in zip(by_fits, by_rows):
+    together = kmeans.fit_many(table, [1, 3, 6], group="g", restarts=3)
+    monkeypatch.setattr(partials, "STATE_BYTES", 500)
+    batched = kmeans.fit_many(table, [1, 3, 6], group="g", restarts=3)
+    assert len(together) == len(batched) == 14
+    for a, b in zip(together, batched):
         assert (a.group, a.k, a.restart, a.iterations) == (b.group, b.k, b.restart, b.iterations)
         np.testing.assert_allclose(a.centers, b.centers)
         assert list(a.sizes) == list(b.sizes)
@@ -108,11 +108,39 @@ def test_fewer_values_than_clusters(points, split):
 def test_a_lost_centre_is_moved(points):
     x = np.vstack([blobs(rows=50, centres=1), [[30.0, 30.0, 30.0, 30.0]]])
     fits = [kmeans.Fit(0, 2, 0, np.array([x[0], np.full(4, -1000.0)]), 0.0)]
-    rows = kmeans.grouped(points(x), "reduced", "id", None).select("g", "v")
-    fit = kmeans.run_lloyd(rows, 1, fits, {0: x}, 50)[0]
+    with partials.working_copy(kmeans.grouped(points(x), "reduced", None)) as blocks:
+        fit = kmeans.run_lloyd(blocks, fits, 50)[0]
     assert sorted(fit.sizes) == [1, 50]
 
 
+def test_few_values_fill_all_clusters(points):
+    """Forty thousand rows of 31 values: twenty clusters are filled, whatever the values' shares."""
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=(31, 3)) * 10
+    x = values[np.minimum(rng.geometric(0.2, 40_000) - 1, 30)]
+    x[:31] = values
+    fits = kmeans.fit_many(points(x), [20], restarts=4)
+    assert all((fit.sizes > 0).all() for fit in fits)
+
+
+def test_many_groups(points):
+    x = blobs(rows=1500)
+    fits = kmeans.fit_many(points(x, g=[n % 500 for n in range(1500)]), [1, 2], group="g", restarts=1)
+    assert len(fits) == 1000 and all(fit.sizes.sum() == 3 for fit in fits)
+
+
+def test_short_vectors_and_missing_ids_are_no_obstacle(spark, points):
+    x = blobs()
+    odd = spark.createDataFrame([("a", [1.0]), ("b", None), (None, [float("nan")] * 4), ("c", [float("inf"), 0.0, 0.0, 0.0])], "id string, reduced array<double>")
+    nameless = points(x).selectExpr("cast(null as string) as id", "reduced")
+    fits = kmeans.fit_many(odd.unionByName(nameless), [3], restarts=2)
+    same = kmeans.fit_many(points(x), [3], restarts=2)
+    for a, b in zip(fits, same):
+        assert a.sizes.sum() == len(x)
+        np.testing.assert_allclose(a.centers, b.centers)
+    assert kmeans.fit_many(odd.where("id = 'b'"), [1]) == []
+
+
 def test_nearest_takes_the_lowest_number_and_skips_misfits(spark):
     rows = spark.createDataFrame(
         [("tie", [0.0]), ("b", [0.9]), ("wide", [1.0, 2.0]), ("none", None)], "id string, v array<double>"
@@ -123,8 +151,6 @@ def test_nearest_takes_the_lowest_number_and_skips_misfits(spark):
 
 
 def test_summed_by_shuffle_or_by_driver(points, monkeypatch):
-    from vecshoal.operators import partials
-
     x = blobs()
     direct = kmeans.fit_from(points(x), x[:3].copy(), max_iter=3)
     monkeypatch.setattr(partials, "DIRECT_BYTES", 0)
@@ -132,12 +158,8 @@ def test_summed_by_shuffle_or_by_driver(points, monkeypatch):
     np.testing.assert_allclose(direct.centers, shuffled.centers)
 
 
-def test_state_is_bounded(points, monkeypatch):
-    from vecshoal.operators import partials
-
-    monkeypatch.setattr(partials, "STATE_BYTES", 100)
-    with pytest.raises(ValueError, match="exceed"):
-        kmeans.fit_from(points(blobs()), blobs()[:3].copy())
+def test_batches_keep_order_and_bound():
+    assert partials.batches_of([3, 4, 5, 20, 1], lambda x: x, 8) == [[3, 4], [5], [20], [1]]
 
 
 def test_secondary_keys(points):

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from vecshoal.operators import mixture
+from vecshoal.operators import mixture, partials
 
 
 def cloud(seed=0):
@@ -32,9 +32,9 @@ def plain_em(x, share, rounds, reg=1e-6):
     return (*parts, np.log(p.sum(axis=1)).sum(), p.argmax(axis=1))
 
 
-@pytest.fixture(params=[0, 16 << 20], ids=["by rows", "by models"])
+@pytest.fixture(params=[0, 16 << 20], ids=["a pass per model", "one pass for all"])
 def split(request, monkeypatch):
-    monkeypatch.setattr(mixture, "SMALL_BYTES", request.param)
+    monkeypatch.setattr(partials, "STATE_BYTES", request.param)
 
 
 @pytest.mark.parametrize("rounds", [0, 1, 5])

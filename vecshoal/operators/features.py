@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import fitting, map_vectors
-from vecshoal.operators.partials import sum_over_tasks
+from vecshoal.operators.partials import common_width, sum_over_tasks
 from vecshoal.session import small_table, write_small
 
 
@@ -27,6 +27,7 @@ class FeatureModel:
     ratio: np.ndarray
     kept: int
     rows: int
+    left_out: int = 0
 
     @property
     def width(self) -> int:
@@ -61,7 +62,7 @@ class FeatureModel:
     def keep(self, share: float | None = 0.95, components: int | None = None) -> "FeatureModel":
         """The same fit with another number of components: a count, or a share of variance."""
         count = components if components is not None else component_count(self.ratio, share)
-        return FeatureModel(self.mean, self.deviation, self.loadings, self.ratio, count, self.rows)
+        return FeatureModel(self.mean, self.deviation, self.loadings, self.ratio, count, self.rows, self.left_out)
 
     def variance_curve(self, spark: SparkSession) -> DataFrame:
         """Explained-variance ratio per component and its running total."""
@@ -109,13 +110,11 @@ def fit_features(
 ) -> FeatureModel:
     """Fit scaler and components on the rows whose vector has ``width`` finite elements.
 
-    Without ``width`` it is the most common one among the first thousand vectors.
+    Without ``width`` it is the most common one of all vectors. The model's ``left_out`` counts the other rows.
     """
+    common, everyone = common_width(items, vector)
+    width = common if width is None else width
     rows = items.select(vector).where(F.col(vector).isNotNull())
-    if width is None:
-        widths = rows.limit(1000).groupBy(F.array_size(vector).alias("width")).count()
-        common = widths.where("width > 0").orderBy(F.desc("count"), "width").first()
-        width = common.width if common is not None else 0
     sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     first = rows.where((F.array_size(vector) == width) & sound).first()
     if first is None:
@@ -143,5 +142,6 @@ def fit_features(
     # Directions have no natural sign; make the largest loading positive.
     peak = np.abs(loadings).argmax(axis=1)
     loadings = loadings * np.sign(loadings[np.arange(width), peak])[:, None]
-    model = FeatureModel(origin + shifted, deviation, loadings, values / max(values.sum(), 1e-300), width, n)
+    ratio = values / max(values.sum(), 1e-300)
+    model = FeatureModel(origin + shifted, deviation, loadings, ratio, width, n, everyone - n)
     return model.keep(share, components)

@@ -2,30 +2,26 @@
 
 A sweep needs hundreds of fits (every k, every restart, and for secondary keys every group).
 Run one after another each of them would read the table once per iteration. Here one pass
-serves a whole iteration of all fits that have not converged yet, so a sweep reads the table
-as often as its slowest fit does. Of a table measured to be small each task gets a copy instead,
-and runs some of the fits to their end.
+serves a whole iteration of all fits that have not converged yet, so a sweep passes over the table
+as often as its slowest fit does. Starts are drawn from all rows, and a centre that loses its rows
+moves to the farthest of all rows.
 """
 
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import label_vectors, matrix
-from vecshoal.functions.keys import uniform_hash
-from vecshoal.operators.partials import few_rows_for, sum_over_tasks, working_copy
+from vecshoal.functions.blocks import label_vectors
+from vecshoal.operators import partials
+from vecshoal.operators.partials import Blocks, batches_of, working_copy
 from vecshoal.session import small_table
 
-POOL_ROWS = 1000
-# Tables up to this size are sent to the tasks whole, and the fits rather than the rows are split.
-SMALL_BYTES = 16 << 20
 _CELLS = 1 << 21
 _BLOCK = 4096
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass
@@ -45,12 +41,11 @@ class Fit:
 
 @dataclass
 class GroupFacts:
-    """Row count, mean and mean variance of one group, and a uniform sample of its rows."""
+    """Row count, mean and mean variance of one group."""
 
     rows: int
     mean: np.ndarray
     variance: float
-    pool: np.ndarray
 
 
 def closest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -72,49 +67,90 @@ def nearest(vector: Column | str, centers: np.ndarray) -> Column:
     return label(vector)
 
 
-def grouped(points: DataFrame, vector: str, key: str, group: str | None) -> DataFrame:
-    """``(g, v, key)``: the group number, the vector and the key of every row that has both."""
+def grouped(points: DataFrame, vector: str, group: str | None) -> DataFrame:
+    """``(g, v)``: the group number and the vector of every row that has both."""
     label = F.col(group).cast("int") if group else F.lit(0)
-    rows = points.select(label.alias("g"), F.col(vector).alias("v"), F.col(key).alias("key"))
-    return rows.where("g IS NOT NULL AND v IS NOT NULL")
+    return points.select(label.alias("g"), F.col(vector).alias("v")).where("g IS NOT NULL AND v IS NOT NULL")
 
 
-def group_facts(rows: DataFrame, pool_rows: int, seed: int, with_pool: bool = True) -> dict[int, GroupFacts]:
-    """Facts about every group of ``(g, v, key)``; the pool is drawn by a hash of the key.
+def group_facts(blocks: Blocks) -> dict[int, GroupFacts]:
+    """Facts about every group, from one pass."""
 
-    The hash makes the draw repeatable however the rows are laid out. Rows whose hash is far
-    from the smallest are dropped before ranking, so only a small excess is ever sorted.
-    """
-    summary = Summarizer.metrics("count", "mean", "variance").summary(array_to_vector("v")).alias("m")
-    stats = rows.groupBy("g").agg(summary).select(
-        "g", "m.count", vector_to_array("m.mean").alias("mean"), vector_to_array("m.variance").alias("variance")
-    )
-    facts = {}
-    for row in stats.collect():
-        n = row["count"]
-        spread = float(np.mean(row.variance)) * (n - 1) / n if n > 1 else 0.0
-        facts[row.g] = GroupFacts(n, np.array(row.mean), spread, np.zeros((0, len(row.mean))))
-    if not with_pool:
-        return facts
-    share = F.lit(0.0)
-    for g, fact in facts.items():
-        share = F.when(F.col("g") == g, min(1.0, (2 * pool_rows + 100) / fact.rows)).otherwise(share)
-    drawn = rows.withColumn("u", uniform_hash(F.col("key"), seed)).where(F.col("u") < share)
-    place = F.row_number().over(Window.partitionBy("g").orderBy("u", "key"))
-    pool = drawn.withColumn("place", place).where(F.col("place") <= pool_rows).select("g", "place", "v").toArrow()
-    if pool.num_rows:
-        pool = pool.sort_by([("g", "ascending"), ("place", "ascending")])
-        width = len(next(iter(facts.values())).mean)
-        groups, vectors = pool.column("g").to_numpy(), matrix(pool.column("v").combine_chunks(), width)
-        for g, fact in facts.items():
-            fact.pool = vectors[groups == g]
-    return facts
+    def merge(a, b):
+        for g, (n, mean, square) in b.items():
+            if g in a:
+                m, own, sum_of = a[g]
+                away = mean - own
+                a[g] = m + n, own + away * (n / (m + n)), sum_of + square + away**2 * (m * n / (m + n))
+            else:
+                a[g] = n, mean, square
+        return a
+
+    def fold(held):
+        state = {}
+        for groups, x in held:
+            for g in np.unique(groups):
+                own = x[groups == g]
+                mean = own.mean(axis=0)
+                state = merge(state, {int(g): (len(own), mean, ((own - mean) ** 2).sum(axis=0))})
+        return state
+
+    found = blocks.reduce(fold, merge)
+    return {g: GroupFacts(n, mean, float(np.mean(square)) / n) for g, (n, mean, square) in sorted(found.items())}
+
+
+def value_hash(x: np.ndarray) -> np.ndarray:
+    """64 bits of each row of a matrix; equal rows have equal hashes, in whatever order and block they come."""
+    odd = np.random.default_rng(9).integers(1, 1 << 63, x.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    h = (np.ascontiguousarray(x + 0.0).view(np.uint64) * odd).sum(axis=1, dtype=np.uint64)
+    h ^= h >> np.uint64(32)
+    return h * _MIX
+
+
+def _least(hashes: np.ndarray, rows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` rows of least hash, each value once."""
+    if len(hashes) > 4 * count:
+        near = np.partition(hashes, 4 * count)[4 * count]
+        if len(np.unique(hashes[hashes <= near])) >= count:
+            rows, hashes = rows[hashes <= near], hashes[hashes <= near]
+    hashes, at = np.unique(hashes, return_index=True)
+    return hashes[:count], rows[at[:count]]
 
 
-def _starts(fact: GroupFacts, distinct: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """``k`` sampled rows, of different value as long as there are enough of them."""
-    source = distinct if len(distinct) >= k else fact.pool
-    return source[rng.choice(len(source), k, replace=len(source) < k)].copy()
+def draw_starts(blocks: Blocks, most: int, restarts: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """``most`` rows of different value, or all there are, by group and restart, drawn from all rows.
+
+    A hash of the value decides, so the draw does not depend on how rows are laid out, nor on how often a value comes.
+    """
+    salts = np.random.default_rng(seed).integers(1, 1 << 63, restarts, dtype=np.uint64)
+
+    def merge(a, b):
+        for key, (hashes, rows) in b.items():
+            if key in a:
+                a[key] = _least(np.concatenate([a[key][0], hashes]), np.concatenate([a[key][1], rows]), most)
+            else:
+                a[key] = hashes, rows
+        return a
+
+    def fold_for(numbers):
+        def fold(held):
+            state = {}
+            for groups, x in held:
+                h = value_hash(x)
+                for g in np.unique(groups):
+                    own, rows = h[groups == g], x[groups == g]
+                    for r in numbers:
+                        u = (own ^ salts[r]) * _MIX
+                        state = merge(state, {(int(g), int(r)): _least(u ^ (u >> np.uint64(32)), rows, most)})
+            return state
+
+        return fold
+
+    size = most * blocks.width * 8
+    drawn = {}
+    for numbers in batches_of(list(range(restarts)), lambda r: size, partials.STATE_BYTES):
+        drawn |= blocks.reduce(fold_for(numbers), merge, size * len(numbers))
+    return {key: rows for key, (_, rows) in drawn.items()}
 
 
 def _scorers(fits: list[Fit]) -> list[np.ndarray]:
@@ -148,167 +184,165 @@ def _tally(x: np.ndarray, scorers: list[np.ndarray], state: np.ndarray) -> None:
             lo += k
 
 
-def _one_pass(rows: DataFrame, tasks: int, fits: list[Fit], width: int) -> np.ndarray:
+def _by_group(fits: list[Fit]) -> list[tuple[int, list[int]]]:
+    return [(g, [n for n, fit in enumerate(fits) if fit.group == g]) for g in sorted({fit.group for fit in fits})]
+
+
+def _one_pass(blocks: Blocks, fits: list[Fit]) -> np.ndarray:
     """The tallies of all centres of all fits, which come in order of their groups."""
     models, total = {}, 0
-    for g in sorted({fit.group for fit in fits}):
-        own = [fit for fit in fits if fit.group == g]
+    for g, numbers in _by_group(fits):
+        own = [fits[n] for n in numbers]
         count = sum(fit.k for fit in own)
         models[g] = (total, total + count, _scorers(own))
         total += count
-    shared = rows.sparkSession.sparkContext.broadcast(models)
+    shared = blocks.rdd.context.broadcast(models)
 
-    def fold(batches, state):
-        for batch in batches:
-            groups, x = batch.column(0).to_numpy(), matrix(batch.column(1), width)
+    def fold(held, state):
+        for groups, x in held:
             for g in np.unique(groups):
-                if g in shared.value:
-                    lo, hi, scorers = shared.value[g]
+                if int(g) in shared.value:
+                    lo, hi, scorers = shared.value[int(g)]
                     _tally(x[groups == g], scorers, state[lo:hi])
 
     try:
-        return sum_over_tasks(rows, fold, total, width + 2, tasks)
+        return blocks.total(fold, total, blocks.width + 2)
     finally:
         shared.destroy()
 
 
-def _refill(fit: Fit, empty: np.ndarray, pool: np.ndarray) -> None:
-    """Move centres that lost all their rows to the sampled rows farthest from any centre."""
-    for slot in empty:
-        live = np.delete(fit.centers, slot, axis=0)
-        away = ((pool[:, None, :] - live[None, :, :]) ** 2).sum(axis=2).min(axis=1) if len(live) else np.ones(len(pool))
-        if len(pool) and away.max() > 0:
-            fit.centers[slot] = pool[away.argmax()]
+def _farthest(blocks: Blocks, fits: list[Fit], counts: list[int]) -> list[np.ndarray]:
+    """For every fit the ``counts`` rows of different value that lie farthest from any live centre, farthest first."""
+    shared = blocks.rdd.context.broadcast([(fit.group, fit.centers, count) for fit, count in zip(fits, counts)])
+
+    def best(away, hashes, rows, count):
+        order = np.lexsort((hashes, -away))
+        _, first = np.unique(hashes[order], return_index=True)
+        order = order[np.sort(first)][:count]
+        return away[order], hashes[order], rows[order]
+
+    def fold(held):
+        state = [None] * len(shared.value)
+        for groups, x in held:
+            for n, (g, centers, count) in enumerate(shared.value):
+                rows = x[groups == g]
+                if not len(rows):
+                    continue
+                live = centers[~np.isnan(centers[:, 0])]
+                gap = (rows**2).sum(axis=1) + 2 * (0.5 * (live**2).sum(axis=1) - rows @ live.T).min(axis=1)
+                # Rounding noise around 0 does not make a row far.
+                gap[gap <= 1e-12 * np.maximum((rows**2).sum(axis=1), 1e-300)] = 0.0
+                near = np.flatnonzero(gap > 0)
+                found = best(gap[near], value_hash(rows[near]), rows[near], count)
+                state[n] = found if state[n] is None else best(*map(np.concatenate, zip(state[n], found)), count)
+        return state
+
+    def merge(a, b):
+        out = []
+        for one, two, (_, _, count) in zip(a, b, shared.value):
+            out.append(one if two is None else two if one is None else best(*map(np.concatenate, zip(one, two)), count))
+        return out
+
+    try:
+        found = blocks.reduce(fold, merge, sum(counts) * blocks.width * 8)
+        return [rows[2] if rows is not None else np.zeros((0, blocks.width)) for rows in found]
+    finally:
+        shared.destroy()
+
 
+def _refill(blocks: Blocks, fits: list[Fit], lost: list[np.ndarray]) -> None:
+    """Move centres that lost all their rows to the rows farthest from any centre; without any such row they stay."""
+    held = [fit.centers.copy() for fit in fits]
+    for fit, slots in zip(fits, lost):
+        fit.centers[slots] = np.nan
+    for fit, before, slots, rows in zip(fits, held, lost, _farthest(blocks, fits, [len(slots) for slots in lost])):
+        fit.centers[slots] = before[slots]
+        fit.centers[slots[: len(rows)]] = rows
 
-def _advance(fit: Fit, tally: np.ndarray, pool: np.ndarray, max_iter: int) -> bool:
-    """Move the centres of a fit to their means; True once the fit is measured and done."""
+
+def _advance(fit: Fit, tally: np.ndarray, max_iter: int) -> np.ndarray | None:
+    """Move the centres of a fit to their means and return those without rows; None once the fit is measured and done."""
     if fit.converged or fit.iterations >= max_iter:
         # The pass after the last move only measures the final centres.
         fit.sizes, fit.sse, fit.converged = tally[:, 0].copy(), float(tally[:, 1].sum()), True
-        return True
+        return None
     held = tally[:, 0] > 0
-    before = fit.centers
-    fit.centers = before.copy()
+    fit.centers = fit.centers.copy()
     fit.centers[held] = tally[held, 2:] / tally[held, :1]
-    if not held.all():
-        _refill(fit, np.flatnonzero(~held), pool)
     fit.iterations += 1
-    fit.converged = float(((fit.centers - before) ** 2).sum()) <= fit.tolerance
-    return False
+    return np.flatnonzero(~held)
 
 
-def run_lloyd(
-    rows: DataFrame, tasks: int, fits: list[Fit], pools: dict[int, np.ndarray], max_iter: int
-) -> list[Fit]:
+def run_lloyd(blocks: Blocks, fits: list[Fit], max_iter: int, refill: bool = True) -> list[Fit]:
     """Iterate all fits together, one pass over the rows at a time, until each has converged."""
-    width = fits[0].centers.shape[1]
     ordered = sorted(fits, key=lambda fit: fit.group)
     going = ordered
     while going:
-        total = _one_pass(rows, tasks, going, width)
-        ends = np.cumsum([fit.k for fit in going])
-        parts = np.split(total, ends[:-1])
-        going = [fit for fit, part in zip(going, parts) if not _advance(fit, part, pools[fit.group], max_iter)]
+        still = []
+        for some in batches_of(going, lambda fit: fit.k * (blocks.width + 2) * 8, partials.STATE_BYTES):
+            ends = np.cumsum([fit.k for fit in some])
+            parts = np.split(_one_pass(blocks, some), ends[:-1])
+            before = [fit.centers for fit in some]
+            lost = [_advance(fit, part, max_iter) for fit, part in zip(some, parts)]
+            if refill and (bare := [n for n, slots in enumerate(lost) if slots is not None and len(slots)]):
+                _refill(blocks, [some[n] for n in bare], [lost[n] for n in bare])
+            for fit, centers, slots in zip(some, before, lost):
+                if slots is not None:
+                    fit.converged = float(((fit.centers - centers) ** 2).sum()) <= fit.tolerance
+                    still.append(fit)
+        going = still
     return ordered
 
 
-def run_lloyd_small(rows: DataFrame, fits: list[Fit], pools: dict[int, np.ndarray], max_iter: int) -> list[Fit]:
-    """The same for a table known to be small: the rows go to every task, and the fits are shared out."""
-    spark = rows.sparkSession
-    width = fits[0].centers.shape[1]
-    table = rows.toArrow().combine_chunks()
-    groups, x = table.column("g").to_numpy(), matrix(table.column("v").combine_chunks(), width)
-    parts = {int(g): x[groups == g] for g in np.unique(groups)}
-    # Large and small k mixed, so that tasks take about equally long.
-    mixed = [fits[i] for i in np.random.default_rng(0).permutation(len(fits))]
-    # Plain values only: broadcast data is read back without this package.
-    jobs = [(fit.group, fit.k, fit.restart, fit.centers, fit.tolerance) for fit in mixed]
-    shared = spark.sparkContext.broadcast((parts, jobs, pools))
-
-    def task(batches):
-        parts, jobs, pools = shared.value
-        for batch in batches:
-            done = [Fit(*jobs[i]) for i in batch.column(0).to_pylist()]
-            for fit in done:
-                finished = False
-                while not finished:
-                    state = np.zeros((fit.k, width + 2))
-                    _tally(parts[fit.group], _scorers([fit]), state)
-                    finished = _advance(fit, state, pools[fit.group], max_iter)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([fit.centers.ravel().tolist() for fit in done]),
-                    pa.array([fit.sizes.tolist() for fit in done]),
-                    pa.array([fit.sse for fit in done]),
-                    pa.array([fit.iterations for fit in done], type=pa.int32()),
-                ],
-                names=["id", "centers", "sizes", "sse", "iterations"],
-            )
-
-    count = min(len(mixed), 4 * spark.sparkContext.defaultParallelism)
-    schema = "id long, centers array<double>, sizes array<double>, sse double, iterations int"
-    try:
-        for row in spark.range(0, len(mixed), 1, count).mapInArrow(task, schema).collect():
-            fit = mixed[row.id]
-            fit.centers = np.array(row.centers).reshape(fit.k, width)
-            fit.sizes, fit.sse, fit.iterations, fit.converged = np.array(row.sizes), row.sse, row.iterations, True
-    finally:
-        shared.destroy()
-    return sorted(fits, key=lambda fit: fit.group)
+def fit_blocks(
+    blocks: Blocks,
+    grid: list[int] | dict[int, list[int]],
+    restarts: int = 10,
+    max_iter: int = 300,
+    tol: float = 1e-4,
+    seed: int = 42,
+) -> list[Fit]:
+    """As :func:`fit_many`, over a working copy."""
+    facts = group_facts(blocks)
+    sizes = {g: [k for k in (grid.get(g, []) if isinstance(grid, dict) else grid) if k <= fact.rows] for g, fact in facts.items()}
+    most = max((k for ks in sizes.values() for k in ks), default=0)
+    starts = draw_starts(blocks, most, restarts, seed) if most > 1 else {}
+    fits = []
+    for g, fact in facts.items():
+        for k in sizes[g]:
+            # With k = 1 every start leads to the mean.
+            for restart in range(restarts if k > 1 else 1):
+                rows = fact.mean[None, :] if k == 1 else starts[g, restart]
+                fits.append(Fit(g, k, restart, np.resize(rows[:k], (k, blocks.width)), tol * fact.variance))
+    return run_lloyd(blocks, fits, max_iter) if fits else []
 
 
 def fit_many(
     points: DataFrame,
     grid: list[int] | dict[int, list[int]],
     vector: str = "reduced",
-    key: str = "id",
     group: str | None = None,
     restarts: int = 10,
     max_iter: int = 300,
     tol: float = 1e-4,
     seed: int = 42,
+    width: int | None = None,
 ) -> list[Fit]:
     """Fit K-Means for every k of ``grid`` and every restart, in every group.
 
     ``grid`` is one list of k for all groups, or one list per group. A k above the row count of
-    its group has no fit. ``points`` is read once, into a copy that the executors keep.
+    its group has no fit. Vectors that have not ``width`` finite elements (default: the most common number) are left out.
+    ``points`` is read once, into a copy that the executors keep.
     """
-    most = max(max(ks) for ks in (grid.values() if isinstance(grid, dict) else [grid]))
-    with working_copy(grouped(points, vector, key, group), "key") as (copy, tasks):
-        facts = group_facts(copy, max(POOL_ROWS, most), seed)
-        fits = []
-        for g, fact in sorted(facts.items()):
-            distinct = np.unique(fact.pool, axis=0)
-            for k in grid.get(g, []) if isinstance(grid, dict) else grid:
-                # With k = 1 every start leads to the mean.
-                for restart in range(restarts if k > 1 else 1) if k <= fact.rows else ():
-                    rng = np.random.default_rng([seed, g & 0x7FFFFFFF, k, restart])
-                    start = fact.mean[None, :].copy() if k == 1 else _starts(fact, distinct, k, rng)
-                    fits.append(Fit(g, k, restart, start, tol * fact.variance))
-        if not fits:
-            return []
-        pools = {g: fact.pool for g, fact in facts.items()}
-        rows = copy.select("g", "v")
-        size = 8 * sum(fact.rows * len(fact.mean) for fact in facts.values())
-        if few_rows_for(rows, size, len(fits), SMALL_BYTES):
-            return run_lloyd_small(rows, fits, pools, max_iter)
-        return run_lloyd(rows, tasks, fits, pools, max_iter)
-
-
-def fit_from(
-    points: DataFrame,
-    start: np.ndarray,
-    vector: str = "reduced",
-    key: str = "id",
-    max_iter: int = 300,
-    tol: float = 0.0,
-) -> Fit:
+    with working_copy(grouped(points, vector, group), width) as blocks:
+        return fit_blocks(blocks, grid, restarts, max_iter, tol, seed)
+
+
+def fit_from(points: DataFrame, start: np.ndarray, vector: str = "reduced", max_iter: int = 300, tol: float = 0.0) -> Fit:
     """Lloyd iterations from given centres; a centre that loses its rows stays where it is."""
     fit = Fit(0, len(start), 0, np.array(start, dtype=np.float64), tol)
-    with working_copy(grouped(points, vector, key, None), "key") as (copy, tasks):
-        return run_lloyd(copy.select("g", "v"), tasks, [fit], {0: np.zeros((0, start.shape[1]))}, max_iter)[0]
+    with working_copy(grouped(points, vector, None), start.shape[1]) as blocks:
+        return run_lloyd(blocks, [fit], max_iter, refill=False)[0]
 
 
 def best_fits(fits: list[Fit]) -> dict[tuple[int, int], Fit]:

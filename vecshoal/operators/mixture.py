@@ -1,8 +1,7 @@
 """Gaussian mixtures with full covariance, fitted by EM in log space.
 
 Densities of wide vectors underflow, so responsibilities are formed from log densities. All
-model sizes are fitted together: one pass over the table is one round of every open model. Of a
-table measured to be small each task gets a copy instead, and fits one of the models.
+model sizes are fitted together: one pass over the table is one round of every open model.
 """
 
 from dataclasses import dataclass
@@ -12,14 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import label_vectors, matrix
-from vecshoal.operators import kmeans
-from vecshoal.operators.partials import few_rows_for, sum_over_tasks, working_copy
+from vecshoal.functions.blocks import label_vectors
+from vecshoal.operators import kmeans, partials
+from vecshoal.operators.partials import Blocks, batches_of, working_copy
 from vecshoal.session import small_table, write_small
 
-# Tables up to this size are sent to the tasks whole, and the models rather than the rows are split.
-SMALL_BYTES = 16 << 20
-
 
 @dataclass
 class Mixture:
@@ -141,20 +137,20 @@ def _add_block(x: np.ndarray, given: np.ndarray, rule, size: int, state: np.ndar
     state[size * side, 0] += likely.sum()
 
 
-def _one_round(rows: DataFrame, tasks: int, runs: list["_Run"], origin: np.ndarray) -> list[np.ndarray]:
-    """The sums of every open model, in one pass over the rows."""
-    width = len(origin)
-    ends = np.cumsum([run.slots(width) for run in runs])
-    shared = rows.sparkSession.sparkContext.broadcast([(run.rule, run.size) for run in runs])
+def _one_round(blocks: Blocks, runs: list["_Run"], origin: np.ndarray) -> list[np.ndarray]:
+    """The sums of the models, in one pass over the rows."""
+    ends = np.cumsum([run.slots(blocks.width) for run in runs])
+    shared = blocks.rdd.context.broadcast([(run.rule, run.size) for run in runs])
 
-    def fold(batches, state):
-        for batch in batches:
-            x, given = matrix(batch.column(1), width) - origin, batch.column(0).to_numpy()
-            for (rule, size), part in zip(shared.value, np.split(state, ends[:-1])):
-                _add_block(x, given, rule, size, part)
+    def fold(held, state):
+        for given, x in held:
+            for at in range(0, len(x), 4096):
+                part = x[at : at + 4096] - origin
+                for (rule, size), sums in zip(shared.value, np.split(state, ends[:-1])):
+                    _add_block(part, given[at : at + 4096], rule, size, sums)
 
     try:
-        return np.split(sum_over_tasks(rows, fold, int(ends[-1]), width + 1, tasks), ends[:-1])
+        return np.split(blocks.total(fold, int(ends[-1]), blocks.width + 1), ends[:-1])
     finally:
         shared.destroy()
 
@@ -192,58 +188,6 @@ class _Run:
         return False
 
 
-def _run_small(rows: DataFrame, runs: list[_Run], origin: np.ndarray) -> list[_Run]:
-    """Fit a table known to be small: the rows go to every task, and the models are shared out."""
-    spark = rows.sparkSession
-    width = len(origin)
-    table = rows.toArrow()
-    given = table.column("g").to_numpy()
-    x = matrix(table.column("v").combine_chunks(), width) - origin
-    # Plain values only: broadcast data is read back without this package.
-    jobs = [(run.size, run.rule, run.rows, run.reg, run.tol, run.max_iter) for run in runs]
-    shared = spark.sparkContext.broadcast((x, given, jobs))
-
-    def task(batches):
-        x, given, jobs = shared.value
-        for batch in batches:
-            done = [_Run(*jobs[number]) for number in batch.column(0).to_pylist()]
-            for run in done:
-                finished = False
-                while not finished:
-                    state = np.zeros((run.slots(width), width + 1))
-                    for at in range(0, len(x), 4096):
-                        _add_block(x[at : at + 4096], given[at : at + 4096], run.rule, run.size, state)
-                    finished = run.absorb(state)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([run.model.weights.tolist() for run in done]),
-                    pa.array([run.model.means.ravel().tolist() for run in done]),
-                    pa.array([run.model.covariances.ravel().tolist() for run in done]),
-                    pa.array([run.model.log_likelihood for run in done]),
-                    pa.array([run.model.rounds for run in done], type=pa.int32()),
-                ],
-                names=["id", "weights", "means", "covariances", "log_likelihood", "rounds"],
-            )
-
-    schema = "id long, weights array<double>, means array<double>, covariances array<double>, log_likelihood double, rounds int"
-    try:
-        for row in spark.range(0, len(runs), 1, len(runs)).mapInArrow(task, schema).collect():
-            run = runs[row.id]
-            run.model = Mixture(
-                np.array(row.weights),
-                np.array(row.means).reshape(run.size, width),
-                np.array(row.covariances).reshape(run.size, width, width),
-                row.log_likelihood,
-                run.rows,
-                row.rounds,
-                True,
-            )
-    finally:
-        shared.destroy()
-    return runs
-
-
 def _maximise(block: np.ndarray, n: int, reg: float) -> Mixture:
     """Parameters from the sums of one round."""
     held = block[:, 0, 0] + 10 * np.finfo(float).eps
@@ -257,39 +201,39 @@ def fit_mixtures(
     points: DataFrame,
     sizes: list[int],
     vector: str = "reduced",
-    key: str = "id",
     start: str | None = None,
     tol: float = 1e-3,
     reg: float = 1e-6,
     max_iter: int = 100,
     restarts: int = 1,
-    start_iter: int = 30,
     seed: int = 0,
+    width: int | None = None,
 ) -> list[Mixture]:
     """Fit one mixture per size, all in the same passes.
 
-    Each starts from K-Means clusters, moved at most ``start_iter`` times, or from the component number in the column ``start``.
-    A model stops when its mean log likelihood changes by less than ``tol``. ``points`` is read
-    into a copy that the executors keep.
+    Each starts from K-Means clusters, or from the component number in the column ``start``.
+    A model stops when its mean log likelihood changes by less than ``tol``. Vectors that have not ``width`` finite elements
+    (default: the most common number) are left out. ``points`` is read into a copy that the executors keep.
     """
-    if start is None:
-        fits = kmeans.fit_many(points, sizes, vector, key, restarts=restarts, max_iter=start_iter, seed=seed)
-        best = kmeans.best_fits(fits)
-        if (0, max(sizes)) not in best:
-            raise ValueError(f"fewer rows than {max(sizes)} components")
-    with working_copy(kmeans.grouped(points, vector, key, start), "key") as (copy, tasks):
-        facts = kmeans.group_facts(copy.withColumn("g", F.lit(0)), 0, seed, with_pool=False)[0]
-        n, origin = facts.rows, facts.mean
+    with working_copy(kmeans.grouped(points, vector, start), width) as blocks:
+        facts = kmeans.group_facts(blocks)
+        n = sum(fact.rows for fact in facts.values())
+        if start is None:
+            best = kmeans.best_fits(kmeans.fit_blocks(blocks, sizes, restarts=restarts, seed=seed))
+            if (0, max(sizes)) not in best:
+                raise ValueError(f"fewer rows than {max(sizes)} components")
+        if not n:
+            raise ValueError("no vector to fit on")
+        origin = sum(fact.rows / n * fact.mean for fact in facts.values())
         rules = [("given", None) if start else ("hard", best[0, size].centers - origin) for size in sizes]
         runs = [_Run(size, rule, n, reg, tol, max_iter) for size, rule in zip(sizes, rules)]
-        rows = copy.select("g", "v")
-        if few_rows_for(rows, 8 * n * len(origin), len(runs), SMALL_BYTES):
-            runs = _run_small(rows, runs, origin)
-        else:
-            going = runs
-            while going:
-                sums = _one_round(rows, tasks, going, origin)
-                going = [run for run, state in zip(going, sums) if not run.absorb(state)]
+        going = runs
+        while going:
+            still = []
+            for some in batches_of(going, lambda run: run.slots(blocks.width) * (blocks.width + 1) * 8, partials.STATE_BYTES):
+                sums = _one_round(blocks, some, origin)
+                still += [run for run, state in zip(some, sums) if not run.absorb(state)]
+            going = still
     models = [run.model for run in runs]
     for model in models:
         model.means = model.means + origin

@@ -1,23 +1,25 @@
-"""Sums of matrix-valued statistics over a distributed table.
+"""Sums of statistics over a distributed table.
 
-Every task folds its batches into a small matrix and emits it as rows ``(slot, stats)``; the
-rows of a slot are added up after one shuffle. The state depends on the model, not on the
-data, and its size is checked.
+Every task folds its batches into a state whose size depends on the model, not on the data; states are
+added up in a tree. Fits that pass over a table many times keep it on the executors as blocks of
+numbers, so that a pass costs no reading, planning or conversion.
 """
 
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from typing import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import list_column, matrix
+from vecshoal.functions.blocks import fitting, list_column, matrix
 
-STATE_BYTES = 512 << 20
-# Partial sums up to this size in all are added up by the driver, without a shuffle.
+# States of all tasks up to this size are added up by the driver; larger ones first by tasks.
 DIRECT_BYTES = 64 << 20
+# Fits whose states are larger than this in all are taken in several passes.
+STATE_BYTES = 64 << 20
 _ROWS = "slot int, stats array<double>"
 
 
@@ -33,74 +35,112 @@ def fewer_tasks(df: DataFrame) -> DataFrame:
     return df.coalesce(task_limit(df))
 
 
-def spread(df: DataFrame, key: str, rows_per_task: int = 256) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None, rows_per_task: int = 256) -> DataFrame:
     """Share a table of fewer splits than cores among more of them, before heavy work on its rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df.rdd.getNumPartitions()
     if splits >= cores:
         return df
     wanted = min(cores, -(-df.count() // rows_per_task))
-    return df.repartition(wanted, key) if wanted > splits else df
+    return df.repartition(wanted, *([key] if key else [])) if wanted > splits else df
 
 
-def few_rows_for(df: DataFrame, size: int, fits: int, bound: int) -> bool:
-    """Whether to hand all ``size`` bytes of vectors to every task and share out the fits.
+def common_width(rows: DataFrame, vector: str) -> tuple[int, int]:
+    """The most common number of elements among all vectors (0 without any), and the count of all rows."""
+    widths = rows.groupBy(F.coalesce(F.array_size(vector), F.lit(-1)).alias("width")).count().collect()
+    known = [(row["count"], -row.width) for row in widths if row.width > 0]
+    return (-max(known)[1] if known else 0), sum(row["count"] for row in widths)
 
-    Fewer fits than cores leave cores idle, so the table must be the smaller.
-    """
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, 32)
-    return size * max(1, cores // fits) <= bound
+
+class Blocks:
+    """A table of groups and vectors, kept on the executors as blocks ``(groups, matrix)``."""
+
+    def __init__(self, rdd: RDD, width: int):
+        self.rdd, self.width, self.tasks = rdd, width, rdd.getNumPartitions()
+
+    def reduce(self, fold: Callable, merge: Callable, size: int = 0):
+        """``fold(blocks)`` of every task, put together by ``merge``; ``size`` is about that of one state in bytes."""
+        depth = 1 if self.tasks * size <= DIRECT_BYTES else 2
+        return self.rdd.mapPartitions(lambda blocks: [fold(blocks)]).treeReduce(merge, depth)
+
+    def total(self, fold: Callable, slots: int, width: int) -> np.ndarray:
+        """The sum of the ``slots x width`` states that ``fold(blocks, state)`` fills."""
+
+        def one(blocks):
+            state = np.zeros((slots, width))
+            fold(blocks, state)
+            return state
+
+        return self.reduce(one, np.add, slots * width * 8)
 
 
 @contextmanager
-def working_copy(points: DataFrame, key: str) -> Iterator[tuple[DataFrame, int]]:
-    """``points`` kept on the executors for many passes, and the number of tasks of a pass.
+def working_copy(rows: DataFrame, width: int | None = None) -> Iterator[Blocks]:
+    """``rows`` of ``(g, v)`` as blocks for many passes; vectors that have not ``width`` finite elements are left out.
 
-    A lost executor costs a re-read of the splits it held.
+    Without ``width`` it is the most common one of all. A lost executor costs a re-read of the splits it held.
     """
-    points = spread(points, key).persist(StorageLevel.MEMORY_AND_DISK)
+    if width is None:
+        width = common_width(rows, "v")[0]
+
+    def pack(batches):
+        for batch in batches:
+            ok, x = fitting(batch.column(1), width)
+            groups = batch.column(0).to_numpy(zero_copy_only=False)[ok].astype(np.int32)
+            if len(groups):
+                columns = [pa.array([groups.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["g", "x"])
+
+    def unpack(row):
+        return np.frombuffer(row.g, dtype=np.int32), np.frombuffer(row.x).reshape(-1, width)
+
+    packed = fewer_tasks(spread(rows)).mapInArrow(pack, "g binary, x binary")
+    kept = packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield points, min(points.rdd.getNumPartitions(), task_limit(points))
+        yield Blocks(kept, width)
     finally:
-        points.unpersist()
+        kept.unpersist()
 
 
-def _slot_rows(state: np.ndarray) -> pa.RecordBatch:
-    used = np.flatnonzero(state.any(axis=1))
-    columns = [pa.array(used, type=pa.int32()), list_column(state[used])]
-    return pa.RecordBatch.from_arrays(columns, names=["slot", "stats"])
+def _slot_rows(used: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(used, type=pa.int32()), list_column(state)], names=["slot", "stats"])
 
 
 def sum_over_tasks(
-    df: DataFrame,
-    fold: Callable[[Iterable[pa.RecordBatch], np.ndarray], None],
-    slots: int,
-    width: int,
-    tasks: int | None = None,
+    df: DataFrame, fold: Callable[[Iterable[pa.RecordBatch], np.ndarray], None], slots: int, width: int
 ) -> np.ndarray:
-    """Run ``fold(batches, state)`` in every task and return the sum of the ``slots x width`` states.
-
-    ``tasks`` is the number of partitions of ``df``, where the caller knows it.
-    """
-    size = slots * width * 8
-    if size > STATE_BYTES:
-        raise ValueError(f"{slots} x {width} statistics exceed {STATE_BYTES} bytes; fit fewer or smaller models at once")
+    """Run ``fold(batches, state)`` once over a table and return the sum of the ``slots x width`` states."""
 
     def partial(batches):
         state = np.zeros((slots, width))
         fold(batches, state)
-        yield _slot_rows(state)
+        used = np.flatnonzero(state.any(axis=1))
+        yield _slot_rows(used, state[used])
 
     def add(batches):
-        state = np.zeros((slots, width))
+        # A task holds the sums of its own slots only.
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            np.add.at(state, batch.column(0).to_numpy(), matrix(batch.column(1), width))
-        yield _slot_rows(state)
+            for slot, stats in zip(batch.column(0).to_pylist(), matrix(batch.column(1), width)):
+                sums[slot] = sums[slot] + stats if slot in sums else stats
+        if sums:
+            yield _slot_rows(np.array(list(sums)), np.array(list(sums.values())))
 
-    partials = fewer_tasks(df).mapInArrow(partial, _ROWS)
-    if tasks is None or tasks * size > DIRECT_BYTES:
-        partials = partials.repartition("slot").mapInArrow(add, _ROWS)
+    partials = fewer_tasks(df).mapInArrow(partial, _ROWS).repartition("slot").mapInArrow(add, _ROWS)
     total = np.zeros((slots, width))
     for batch in partials.toArrow().to_batches():
         np.add.at(total, batch.column(0).to_numpy(), matrix(batch.column(1), width))
     return total
+
+
+def batches_of(fits: list, size: Callable[[object], int], bound: int) -> list[list]:
+    """``fits`` in consecutive batches whose sizes add up to ``bound`` at most, or of one fit."""
+    out: list[list] = []
+    held = 0
+    for fit in fits:
+        if not out or held + size(fit) > bound:
+            out.append([])
+            held = 0
+        out[-1].append(fit)
+        held += size(fit)
+    return out

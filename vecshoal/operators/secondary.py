@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import matrix
+from vecshoal.functions.blocks import fitting
 from vecshoal.operators import kmeans
 from vecshoal.operators.elbow import elbows
 
@@ -24,7 +24,7 @@ class SecondaryKeys:
     centers: dict[int, np.ndarray]
 
     def label(self, points: DataFrame, group: str, vector: str = "reduced") -> DataFrame:
-        """Add ``secondary_cluster_id``; NULL in a group without centres."""
+        """Add ``secondary_cluster_id``; NULL in a group without centres, and for a vector that does not fit."""
         centers = self.centers
 
         @F.arrow_udf("int")
@@ -32,9 +32,10 @@ class SecondaryKeys:
             out = np.full(len(groups), -1, dtype=np.int32)
             number = groups.fill_null(-1).to_numpy(zero_copy_only=False)
             for g, own in centers.items():
-                at = np.flatnonzero((number == g) & column.is_valid().to_numpy(zero_copy_only=False))
+                at = np.flatnonzero(number == g)
                 if len(at):
-                    out[at] = kmeans.closest(matrix(column.take(pa.array(at)), own.shape[1]), own)
+                    ok, rows = fitting(column.take(pa.array(at)), own.shape[1])
+                    out[at[ok]] = kmeans.closest(rows, own)
             return pa.array(out, mask=out < 0)
 
         return points.withColumn("secondary_cluster_id", inside(F.col(group).cast("int"), F.col(vector)))
@@ -45,7 +46,6 @@ def fit_secondary(
     group: str,
     sizes: list[int] = GROUP_SIZES,
     vector: str = "reduced",
-    key: str = "id",
     restarts: int = 10,
     max_iter: int = 300,
     seed: int = 42,
@@ -57,7 +57,7 @@ def fit_secondary(
     none at all. No group is moved or gathered: its rows are folded wherever they lie.
     """
     spark = points.sparkSession
-    fits = kmeans.fit_many(points, sizes, vector, key, group, restarts=restarts, max_iter=max_iter, seed=seed)
+    fits = kmeans.fit_many(points, sizes, vector, group, restarts=restarts, max_iter=max_iter, seed=seed)
     best = kmeans.best_fits(fits)
     sweep = kmeans.sweep_table(spark, best, group)
     elbow = elbows(sweep, curve=group)

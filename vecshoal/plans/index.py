@@ -90,7 +90,7 @@ def fit_index(
     points, path = materialise(items.select("id", features.project("encd").alias("reduced")), "reduced")
     try:
         grid = [k] if k is not None else sizes
-        best = kmeans.best_fits(kmeans.fit_many(points, grid, restarts=restarts, max_iter=max_iter, seed=seed))
+        best = kmeans.best_fits(kmeans.fit_many(points, grid, restarts=restarts, max_iter=max_iter, seed=seed, width=features.kept))
         if k is None:
             row = elbows(kmeans.sweep_table(items.sparkSession, best)).first()
             k = row.elbow if row is not None else None
