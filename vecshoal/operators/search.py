@@ -9,19 +9,21 @@ tasks, and no row is made for a pair that cannot be in the answer.
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecshoal.functions import vectors
 from vecshoal.functions.blocks import fitting, matrix
-from vecshoal.operators.partials import fewer_tasks
-from vecshoal.session import materialise, scratch_path
+from vecshoal.operators.partials import common_width, fewer_tasks
 
-# Queries sent to all tasks at a time, and answers a task may hold; a larger query table is
-# answered in several slices.
+# Queries sent to all tasks, and answers a task may hold; a larger query table is dealt out with the items, in blocks of
+# so many rows of either.
 QUERY_BYTES = 64 << 20
 TASK_ANSWERS = 1_000_000
+BLOCK_ITEMS = 50_000
+BLOCK_QUERIES = 10_000
 # Similarities equal to this many digits are ties, decided by id: block products differ in the last bits.
 DIGITS = 12
 _CELLS = 1 << 22
@@ -102,64 +104,141 @@ class _Best:
         self.floor[query[full]] = self.kept.column("similarity").to_numpy()[full]
 
 
-def _score(
-    items: DataFrame, queries: pa.Table, query_field: T.StructField, k: int, vector: str, width: int, keep
-) -> DataFrame:
-    """Answer one slice of queries, given as a local table."""
-    spark = items.sparkSession
+class _Scan:
+    """Answers of one task: items are scored against the queries of their clusters, batch by batch."""
+
+    def __init__(self, by_cluster: dict, count: int, k: int, width: int):
+        self.by_cluster, self.count, self.k, self.width = by_cluster, count, k, width
+        self.best: _Best | None = None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Take in items ``(cluster_id, vector, id, payload...)``."""
+        ok, points = fitting(batch.column(1), self.width)
+        if not ok.all():
+            batch = batch.filter(pa.array(ok))
+        payload = pa.table(batch.columns[2:], names=batch.schema.names[2:])
+        if self.best is None:
+            fields = [pa.field("query", pa.int32()), pa.field("similarity", pa.float64()), *payload.schema]
+            self.best = _Best(self.count, self.k, pa.schema(fields))
+        best, k = self.best, self.k
+        # In id order, so that among equal similarities the lowest ids are met first.
+        order = pc.sort_indices(batch.column(2)).to_numpy()
+        clusters = batch.column(0).to_numpy()[order]
+        points = _unit(points)[order]
+        for c in np.unique(clusters):
+            at, probes = self.by_cluster.get(int(c), ((), ()))
+            mine = np.flatnonzero(clusters == c)
+            block = points[mine]
+            step = max(1, _CELLS // len(mine))
+            for lo in range(0, len(at), step):
+                sims = probes[lo : lo + step] @ block.T
+                floor = best.floor[at[lo : lo + step]]
+                if len(mine) > k and np.isneginf(floor).any():
+                    floor = np.maximum(floor, np.partition(sims, len(mine) - k, axis=1)[:, len(mine) - k])
+                # Only what may still count is rounded, with room for what rounding may lift.
+                q, item = np.nonzero(sims >= (floor - 2 * 10.0**-DIGITS)[:, None])
+                found = np.round(sims[q, item], DIGITS)
+                if len(q) > 2 * k * len(sims):
+                    q, item, found = _cut_ties(q, item, found, k)
+                best.add(at[lo + q], found, payload.take(pa.array(order[mine[item]])))
+
+    def answers(self, query_ids: pa.Array) -> pa.Table | None:
+        if self.best is None:
+            return None
+        self.best.prune()
+        if not self.best.kept.num_rows:
+            return None
+        ids = query_ids.take(self.best.kept.column("query"))
+        return self.best.kept.drop_columns(["query"]).add_column(0, "query_id", ids).combine_chunks()
+
+
+def _by_cluster(queries: pa.Table, width: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and unit vectors of the queries of each cluster."""
     cluster = queries.column("cluster_id").to_numpy()
-    units = _unit(matrix(queries.column("vector").combine_chunks(), width))
-    groups = {int(c): np.flatnonzero(cluster == c) for c in np.unique(cluster)}
-    shared = spark.sparkContext.broadcast(({c: (at, units[at]) for c, at in groups.items()}, queries.column("query_id")))
+    units = _unit(matrix(queries.column("vector").combine_chunks(), width)) if queries.num_rows else np.zeros((0, width))
+    return {int(c): (at, units[at]) for c in np.unique(cluster) for at in [np.flatnonzero(cluster == c)]}
+
+
+def _score_in_place(rows: DataFrame, queries: pa.Table, schema: T.StructType, k: int, width: int) -> DataFrame:
+    """Candidates of the queries, sent to all tasks; items are scored where they are read."""
+    groups = _by_cluster(queries, width)
+    shared = rows.sparkSession.sparkContext.broadcast((groups, queries.column("query_id")))
     count = queries.num_rows
-    rows = items.where(F.col("cluster_id").isin(list(groups)) & (F.array_size(vector) == width))
-    rows = rows.select("cluster_id", vector, "id", *keep)
-    extra = [rows.schema[name] for name in ("id", *keep)]
-    schema = T.StructType([query_field, T.StructField("similarity", T.DoubleType()), *extra])
 
     def task(batches):
         by_cluster, query_ids = shared.value
-        best = None
+        scan = _Scan(by_cluster, count, k, width)
         for batch in batches:
-            ok, points = fitting(batch.column(1), width)
-            if not ok.all():
-                batch = batch.filter(pa.array(ok))
-            payload = pa.table(batch.columns[2:], names=batch.schema.names[2:])
-            if best is None:
-                fields = [pa.field("query", pa.int32()), pa.field("similarity", pa.float64()), *payload.schema]
-                best = _Best(count, k, pa.schema(fields))
-            # In id order, so that among equal similarities the lowest ids are met first.
-            order = pc.sort_indices(batch.column(2)).to_numpy()
-            clusters = batch.column(0).to_numpy()[order]
-            points = _unit(points)[order]
-            for c in np.unique(clusters):
-                at, probes = by_cluster[int(c)]
-                mine = np.flatnonzero(clusters == c)
-                block = points[mine]
-                step = max(1, _CELLS // len(mine))
-                for lo in range(0, len(at), step):
-                    sims = probes[lo : lo + step] @ block.T
-                    floor = best.floor[at[lo : lo + step]]
-                    if len(mine) > k and np.isneginf(floor).any():
-                        floor = np.maximum(floor, np.partition(sims, len(mine) - k, axis=1)[:, len(mine) - k])
-                    # Only what may still count is rounded, with room for what rounding may lift.
-                    q, item = np.nonzero(sims >= (floor - 2 * 10.0**-DIGITS)[:, None])
-                    found = np.round(sims[q, item], DIGITS)
-                    if len(q) > 2 * k * len(sims):
-                        q, item, found = _cut_ties(q, item, found, k)
-                    best.add(at[lo + q], found, payload.take(pa.array(order[mine[item]])))
-        if best is None:
-            return
-        best.prune()
-        if best.kept.num_rows:
-            ids = query_ids.take(best.kept.column("query"))
-            out = best.kept.drop_columns(["query"]).add_column(0, "query_id", ids)
-            yield from out.combine_chunks().to_batches(max_chunksize=10_000)
+            scan.add(batch)
+        found = scan.answers(query_ids)
+        if found is not None:
+            yield from found.to_batches(max_chunksize=10_000)
 
-    kept = fewer_tasks(rows).mapInArrow(task, schema)
-    place = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    ranked = kept.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "id", *keep, "similarity")
+    return fewer_tasks(rows.where(F.col("cluster_id").isin(list(groups)))).mapInArrow(task, schema)
+
+
+def _score_dealt(
+    rows: DataFrame, queries: DataFrame, schema: T.StructType, k: int, width: int, block_items: int, block_queries: int
+) -> DataFrame:
+    """The same for queries too many to send about: blocks of a cluster's items meet blocks of its queries.
+
+    A cluster is cut into as many parts as its items and its queries need, so a task holds one block of either
+    however large a cluster is. All items are read once.
+    """
+    parts = queries.groupBy("cluster_id").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("query_parts"))
+    sizes = rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / block_items).cast("int").alias("item_parts"))
+    parts = parts.join(sizes, "cluster_id")
+
+    def part(count: str, key: str):
+        return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    items = rows.join(parts, "cluster_id").withColumn("_i", part("item_parts", "id")).withColumn("_q", every("query_parts"))
+    probes = queries.join(parts, "cluster_id").withColumn("_q", part("query_parts", "query_id")).withColumn("_i", every("item_parts"))
+    names, keys = rows.columns, ["cluster_id", "_i", "_q"]
+    # Named anew, as both sides come from the same counts.
+    items, probes = (side.select(*[F.col(c).alias(c) for c in wanted]) for side, wanted in ((items, names + keys[1:]), (probes, [*queries.columns, *keys[1:]])))
+
+    def task(own: pa.Table, asked: pa.Table) -> pa.Table:
+        scan = _Scan(_by_cluster(asked, width), asked.num_rows, k, width)
+        for batch in own.select(names).combine_chunks().to_batches(max_chunksize=10_000):
+            scan.add(batch)
+        found = scan.answers(asked.column("query_id").combine_chunks())
+        return empty if found is None else found
+
+    empty = to_arrow_schema(schema).empty_table()
+    return items.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(task, schema)
+
+
+def query_defect(width: int, vector: str = "encd") -> Column:
+    """Why a vector query has no answer, or NULL when it has one; repeated ids are told by :func:`split_vector_queries`."""
+    v = F.col(vector)
+    broken = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return (
+        F.when(F.col("query_id").isNull(), "missing id")
+        .when(v.isNull(), "missing query")
+        .when(F.array_size(v) != width, "wrong width")
+        .when(broken, "not a number")
+    )
+
+
+def split_vector_queries(queries: DataFrame, width: int, vector: str = "encd") -> tuple[DataFrame, DataFrame]:
+    """Queries that can be answered, one row each, and the others with a ``reason``.
+
+    An id that comes with one vector several times is one query; one that comes with different vectors is refused, as
+    its answers could not be told apart.
+    """
+    marked = queries.withColumn("reason", query_defect(width, vector))
+    sound = marked.where("reason IS NULL").drop("reason")
+    content = F.xxhash64(F.col(vector), *([F.col("cluster_id")] if "cluster_id" in queries.columns else []))
+    ids = sound.groupBy("query_id").agg(F.min(content).alias("a"), F.max(content).alias("b"))
+    twice = ids.where("a <> b").select("query_id")
+    good = sound.join(twice, "query_id", "left_anti").dropDuplicates(["query_id"])
+    repeated = sound.join(twice, "query_id", "left_semi").withColumn("reason", F.lit("repeated id"))
+    refused = marked.where("reason IS NOT NULL").unionByName(repeated)
+    return good.select(*queries.columns), refused.select(*queries.columns, "reason")
 
 
 def top_k(
@@ -170,38 +249,34 @@ def top_k(
     keep=ITEM_COLUMNS,
     width: int | None = None,
     query_bytes: int = QUERY_BYTES,
+    block_items: int = BLOCK_ITEMS,
+    block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """The k most similar items of its cluster for every query; fewer where the cluster has fewer.
 
     ``items`` holds ``id``, ``cluster_id`` and ``vector``; ``queries`` holds ``query_id`` (string
-    or whole number, one row each), ``cluster_id`` and ``vector``. Rank 1 is the most similar.
+    or whole number), ``cluster_id`` and ``vector``. Rank 1 is the most similar.
 
-    Vectors of another ``width`` (default: that of the first query) have no answer. Queries up to
-    ``query_bytes`` are sent to the tasks at once. A larger table is stored and
-    answered in slices of that size, one scan of the probed clusters each, and the answers are
-    stored as they come.
+    Vectors have ``width`` elements (default: the most common number among the items). What :func:`split_vector_queries`
+    refuses has no answer, and a query of a cluster without items has none either. Queries up to
+    ``query_bytes`` are sent to the tasks; more are dealt out with the items, in one scan and one shuffle.
     """
-    wanted = queries.where(F.col("cluster_id").isNotNull() & F.col(vector).isNotNull())
-    wanted = wanted.select("query_id", "cluster_id", F.col(vector).alias("vector"))
-    field = wanted.schema["query_id"]
     if width is None:
-        first = wanted.select(F.array_size("vector").alias("n")).first()
-        width = first.n if first else 1
-    wanted = wanted.where(F.array_size("vector") == width).dropDuplicates(["query_id"])
+        width = max(1, common_width(items, vector)[0])
+    wanted, _ = split_vector_queries(queries.select("query_id", "cluster_id", F.col(vector).alias("vector")), width, "vector")
+    wanted = wanted.where(F.col("cluster_id").isNotNull())
+    rows = items.where(F.array_size(vector) == width).select("cluster_id", vector, "id", *keep)
+    extra = [rows.schema[name] for name in ("id", *keep)]
+    schema = T.StructType([wanted.schema["query_id"], T.StructField("similarity", T.DoubleType()), *extra])
     most = max(1, min(query_bytes // (8 * width + 64), TASK_ANSWERS // k))
     head = wanted.limit(most + 1).toArrow()
     if head.num_rows <= most:
-        return _score(items, head, field, k, vector, width, keep)
-    stored, _ = materialise(wanted, "queries")
-    slices = 2 * (stored.count() // most + 1)
-    answers = scratch_path(items.sparkSession, "answers")
-    number = F.pmod(F.xxhash64("query_id"), F.lit(slices))
-    for part in range(slices):
-        batch = stored.where(number == part).toArrow()
-        if batch.num_rows:
-            answer = _score(items, batch, field, k, vector, width, keep)
-            answer.write.mode("append").parquet(answers)
-    return items.sparkSession.read.schema(answer.schema).parquet(answers)
+        found = _score_in_place(rows, head, schema, k, width)
+    else:
+        found = _score_dealt(rows, wanted, schema, k, width, block_items, block_queries)
+    place = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
+    ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "id", *keep, "similarity")
 
 
 def result_lists(results: DataFrame) -> DataFrame:

@@ -113,12 +113,25 @@ class SearchIndex:
         self.table = ItemTable(spark, f"{path}/items", INDEXED)
 
     @staticmethod
-    def build(items: DataFrame, path: str, model: IndexModel) -> "SearchIndex":
+    def build(items: DataFrame, path: str, model: IndexModel, order: list[str] | None = None) -> "SearchIndex":
+        """Store all items with their cluster. Rows without an id are set aside; ``order`` tells which row of a repeated id is
+        the latest, and without it a repeated id is refused: all its rows are set aside.
+        """
         index = SearchIndex(items.sparkSession, path, model)
         model.save(items.sparkSession, path)
-        index.table.replace(model.label(items, arranged=True), arranged=True)
+        index.table.replace(model.label(index._one_per_id(items, order), arranged=True), arranged=True)
         return index
 
+    def _one_per_id(self, items: DataFrame, order: list[str] | None) -> DataFrame:
+        """Items that can be stored; the others are set aside, those without an id before any order is looked at."""
+        self.table.set_aside(items.where(F.col("id").isNull()))
+        named = items.where(F.col("id").isNotNull())
+        if order is not None:
+            return last_wins(named, order)
+        repeated = named.groupBy("id").count().where("count > 1").select("id")
+        self.table.set_aside(named.join(repeated, "id", "left_semi"))
+        return named.join(repeated, "id", "left_anti")
+
     @staticmethod
     def open(spark: SparkSession, path: str) -> "SearchIndex":
         return SearchIndex(spark, path, IndexModel.load(spark, path))
@@ -126,14 +139,17 @@ class SearchIndex:
     def upsert(self, items: DataFrame, order: list[str] | None) -> int:
         """Label new items with the fitted model and replace those of the same id."""
         columns = ["id", "dataset", "url", "encd", "img_name"]
-        if order is not None:
-            items = last_wins(items, order)
-        return self.table.upsert(self.model.label(items.select(*columns)), None)
+        return self.table.upsert(self.model.label(self._one_per_id(items, order).select(*columns)), None)
 
     def rejected(self) -> DataFrame:
-        """Items no search can find, with the reason: those without a fitting vector or an id."""
+        """Items no search can find, with the reason: those without a fitting vector or an id, or of a repeated id."""
         lost = self.table.read().where(F.col("cluster_id").isNull()).unionByName(self.table.rejected())
-        return lost.withColumn("reason", defect(self.model.features.width)).drop("reduced")
+        reason = F.coalesce(defect(self.model.features.width), F.lit("repeated id"))
+        return lost.withColumn("reason", reason).drop("reduced")
+
+    def refused(self, queries: DataFrame) -> DataFrame:
+        """The vector queries that :meth:`search` does not answer, with the reason."""
+        return search.split_vector_queries(queries, self.model.features.width)[1]
 
     def search(self, queries: DataFrame, k: int = 20, space: str = "reduced", keep=search.ITEM_COLUMNS) -> DataFrame:
         """The k most similar items of the cluster of each query ``(query_id, encd)``.
@@ -142,7 +158,8 @@ class SearchIndex:
         """
         features = self.model.features
         vector, width = {"reduced": ("reduced", features.kept), "raw": ("encd", features.width)}[space]
-        return search.top_k(self.table.read(), self.model.place(queries), k, vector, keep, width)
+        good, _ = search.split_vector_queries(queries, features.width)
+        return search.top_k(self.table.read(), self.model.place(good), k, vector, keep, width)
 
     def search_one(self, query, k: int = 20) -> DataFrame:
         """The same for one vector given as a Python sequence."""

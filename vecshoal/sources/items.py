@@ -25,7 +25,7 @@ def read_csv_items(spark: SparkSession, path: str, vector: str = "encd", form: s
     rows as the file does: by the start of their split, and inside it by the running row number.
     """
     parse = {"json": vectors.parse_json, "bracketed": vectors.parse_bracketed}[form]
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = csv_rows(spark, path)
     line = F.struct(
         "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")
     )
@@ -33,6 +33,24 @@ def read_csv_items(spark: SparkSession, path: str, vector: str = "encd", form: s
     return lines.withColumn(vector, parse(F.col(vector)))
 
 
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All CSV files under ``path``, columns matched by the names in each file's header, not by place.
+
+    Files are read together by the header they have. A column that a file lacks is NULL for its rows.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    # One row per layout: as many as there are different headers.
+    layouts = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    if len(layouts) <= 1:
+        return spark.read.option("header", True).option("escape", '"').csv(path)
+    parts = [spark.read.option("header", True).option("escape", '"').csv(sorted(layout.files)) for layout in sorted(layouts)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def with_keys(rows: DataFrame, dataset: str = "images") -> DataFrame:
     """Add the constant ``dataset`` and the ``id`` made from it and ``img_name``."""
     return rows.withColumn("dataset", F.lit(dataset)).withColumn(

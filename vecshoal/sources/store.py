@@ -79,9 +79,7 @@ class ItemTable:
         that no id comes twice. Rows without an id are set aside, and the rest goes on.
         """
         key = self.key
-        nameless = incoming.where(F.col(key).isNull())
-        if not nameless.isEmpty():
-            nameless.select(*self.schema.names).write.mode("append").parquet(f"{self.path}/rejected")
+        self.set_aside(incoming.where(F.col(key).isNull()))
         incoming = incoming.where(F.col(key).isNotNull())
         latest = incoming if order is None else last_wins(incoming, order, key)
         # Read twice below, and to be the same rows both times.
@@ -101,8 +99,14 @@ class ItemTable:
         remove_path(self.spark, path)
         return version
 
+    def set_aside(self, rows: DataFrame) -> None:
+        """Keep rows that cannot be stored, apart from the versions; columns that they lack are NULL."""
+        if not rows.isEmpty():
+            kept = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+            rows.select(*kept).write.mode("append").parquet(f"{self.path}/rejected")
+
     def rejected(self) -> DataFrame:
-        """Rows that came without an id."""
+        """Rows that were set aside."""
         fs, folder = file_system(self.spark, f"{self.path}/rejected")
         if not fs.exists(folder):
             return self.spark.createDataFrame([], self.schema)
