@@ -169,4 +169,63 @@ MIX_SQL = f"""WITH t AS (SELECT doc_id, CASE WHEN regexp_matches(source, '^src[0
   SELECT doc_id, l1 AS domain, l2 AS lang, l3 AS source, tokens::BIGINT AS tokens, (passes + (upto <= rest)::INT)::BIGINT AS epochs
   FROM r WHERE passes + (upto <= rest)::INT > 0"""
 
-SQL: dict[str, str] = {"op3_line_dedup": LINE_SQL, "op4_mix_hierarchy": MIX_SQL}
+#: All pairs of n-gram sets that share a gram, and classes by following links.
+JACCARD_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS words FROM documents),
+g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS grams FROM w),
+s AS (SELECT grams, min(doc_id) AS sid, len(grams) AS n FROM g GROUP BY grams),
+t AS (SELECT sid, n, unnest(grams) AS gram FROM s),
+p AS (SELECT a.sid AS a, b.sid AS b FROM t a JOIN t b USING (gram) WHERE a.sid <> b.sid GROUP BY a.sid, b.sid
+    HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+r AS (SELECT sid AS a, sid AS b FROM s UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a AS sid, min(b) AS class_id FROM r GROUP BY a),
+l AS (SELECT a AS sid, count(*) AS n_links FROM p GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM g JOIN s USING (grams) JOIN c USING (sid) LEFT JOIN l USING (sid)"""
+
+#: Least rows of a group for its own fences, reach in quartile distances; see ``rules.apply_rules``.
+RULES_SQL = f"""WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {words_sql("coalesce(text, '')")} AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+v AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3),
+x AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS n FROM v),
+y AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM x WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines FROM w LEFT JOIN y USING (doc_id)),
+q AS (SELECT *, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0 END AS m1, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS m2,
+    CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END AS m3, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END AS m4 FROM m),
+o AS (SELECT lang, source, grouping(lang, source) AS level, count(*) AS n, quantile_disc(m1, [0.25, 0.75]) AS q1, quantile_disc(m2, [0.25, 0.75]) AS q2,
+    quantile_disc(m3, [0.25, 0.75]) AS q3, quantile_disc(m4, [0.25, 0.75]) AS q4 FROM q GROUP BY GROUPING SETS ((lang, source), (lang), ())),
+f AS (SELECT a.lang, a.source, unnest(CASE WHEN a.n >= 100 THEN [{{'q1': a.q1, 'q2': a.q2, 'q3': a.q3, 'q4': a.q4}}]
+    WHEN b.n >= 100 THEN [{{'q1': b.q1, 'q2': b.q2, 'q3': b.q3, 'q4': b.q4}}] ELSE [{{'q1': c.q1, 'q2': c.q2, 'q3': c.q3, 'q4': c.q4}}] END) AS s
+    FROM (SELECT * FROM o WHERE level = 0) a JOIN (SELECT * FROM o WHERE level = 1) b ON a.lang IS NOT DISTINCT FROM b.lang, (SELECT * FROM o WHERE level = 3) c),
+j AS (SELECT q.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    m1 > s.q1[2] + greatest(6.0 * (s.q1[2] - s.q1[1]), 0.10) OR m2 > s.q2[2] + greatest(6.0 * (s.q2[2] - s.q2[1]), 0.40)
+    OR m3 > s.q3[2] + greatest(6.0 * (s.q3[2] - s.q3[1]), 0.40) OR m4 > s.q4[2] + greatest(6.0 * (s.q4[2] - s.q4[1]), 2.0)
+    OR m4 < s.q4[1] - greatest(6.0 * (s.q4[2] - s.q4[1]), 2.0) AS beyond
+    FROM q JOIN f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DISTINCT FROM f.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT beyond AS kept FROM j"""
+
+#: Every 50-byte string of every document, as hexadecimal digits.
+PASSAGES_SQL = """WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS string FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM h WHERE len(x) >= 100)),
+e AS (SELECT string, min(doc_id) AS first FROM s GROUP BY string HAVING count(DISTINCT doc_id) > 1),
+r AS (SELECT doc_id, i FROM s JOIN e USING (string) WHERE first < doc_id),
+o AS (SELECT doc_id, i, i - lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM r),
+n AS (SELECT doc_id, i, sum((gap > 50)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o),
+z AS (SELECT doc_id, run, min(i) AS start, max(i) + 50 AS stop FROM n GROUP BY doc_id, run),
+k AS (SELECT doc_id, lag(stop, 1, 0) OVER (PARTITION BY doc_id ORDER BY start) AS start, start AS stop FROM z
+    UNION ALL SELECT doc_id, max(stop), NULL FROM z GROUP BY doc_id),
+b AS (SELECT doc_id, string_agg(CASE WHEN k.stop IS NULL THEN substr(x, 2 * k.start + 1) ELSE substr(x, 2 * k.start + 1, 2 * (k.stop - k.start)) END, '' ORDER BY k.start) AS kept
+    FROM k JOIN h USING (doc_id) GROUP BY doc_id),
+c AS (SELECT doc_id, count(*) AS n_spans, sum(stop - start) AS n_removed FROM z GROUP BY doc_id)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM h LEFT JOIN b USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+SQL: dict[str, str] = {
+    "op3_line_dedup": LINE_SQL,
+    "op4_mix_hierarchy": MIX_SQL,
+    "op6_ngram_jaccard_join": JACCARD_SQL,
+    "op8_adaptive_rules": RULES_SQL,
+    "op10_repeated_passages": PASSAGES_SQL,
+}
