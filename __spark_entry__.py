@@ -25,7 +25,7 @@ from vecshoal.operators import aggregates, kmeans, lookup, mixture, search, seco
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import fit_features
 from vecshoal.operators.joins import attach
-from vecshoal.plans.index import IndexModel, SearchIndex, fit_index
+from vecshoal.plans.index import SIZES, IndexModel, SearchIndex, fit_index
 from vecshoal.plans.text import search_text, with_vectors
 from vecshoal.session import materialise, scratch_path
 from vecshoal.sources import items as source
@@ -45,7 +45,6 @@ except ModuleNotFoundError as missing:
 URL = "https://images.example/"
 WIDTH = 64
 TEXT_WIDTH = 64
-SWEEP = list(range(1, 50, 3))
 FLAGS = ["A", "N", "R"]
 LANGS = ["en", "de", "es", "fr"]
 
@@ -298,12 +297,11 @@ def topk_raw_batch(spark, sf):
     return rounded(search.top_k(items, as_queries(items), 20), "similarity")
 
 
-def topk_raw_sliced(spark, sf):
-    """The same with queries beyond the bound for one slice."""
+def topk_raw_dealt(spark, sf):
+    """The same with queries too many to be sent to all tasks, in blocks smaller than a cluster."""
     items = labelled(spark, sf)
-    most = 8 * (8 * WIDTH + 64)
-    size = max(1, items.count() // 40) * most
-    return rounded(search.top_k(items, as_queries(items), 20, query_bytes=size), "similarity")
+    found = search.top_k(items, as_queries(items), 20, query_bytes=1, block_items=30, block_queries=20)
+    return rounded(found, "similarity")
 
 
 def topk_urls(spark, sf):
@@ -343,6 +341,13 @@ def pca_component_count(spark, sf):
     return curve.select(F.col("component").alias("components"), "cumulative")
 
 
+def pca_two_columns(spark, sf):
+    """Ratios and running totals of two columns, whose spectrum has a closed form, and how many components hold 90 % of the variance."""
+    points = table(spark, sf, "lineitem").select(F.array("l_quantity", "l_extendedprice").alias("v"))
+    model = fit_features(points, "v", share=0.9)
+    return rounded(model.variance_curve(spark).withColumn("kept", F.lit(model.kept)), "ratio", "cumulative")
+
+
 def pca_spectrum_moments(spark, sf):
     """Sums of powers of the spectrum, which have closed forms in the correlations."""
     curve = fit_features(plain(spark, sf)).variance_curve(spark)
@@ -384,7 +389,7 @@ def lloyd_from_label_means(spark, sf):
 
 
 def best_sweep(spark, sf):
-    return kmeans.best_fits(kmeans.fit_many(reduced_items(spark, sf), SWEEP))
+    return kmeans.best_fits(kmeans.fit_many(reduced_items(spark, sf), SIZES))
 
 
 def sse_sweep(spark, sf):
@@ -398,7 +403,7 @@ def elbow(spark, sf):
 def sweep_recomputed(spark, sf):
     """The reported sums of squares against labels and distances computed item by item."""
     points = reduced_items(spark, sf)
-    best = kmeans.best_fits(kmeans.fit_many(points, SWEEP))
+    best = kmeans.best_fits(kmeans.fit_many(points, SIZES))
     parts = []
     for (_, k), fit in sorted(best.items()):
         labelled_points = points.withColumn("cluster_id", kmeans.nearest("reduced", fit.centers))
@@ -432,25 +437,41 @@ def elbow_price_bins(spark, sf):
 
 
 def gmm_labels(spark, sf):
-    points = reduced_items(spark, sf, 8)
+    points = reduced_items(spark, sf)
     model = mixture.fit_mixtures(points, [4])[0]
     return points.select("id", model.label("reduced").alias("gmm_cluster_id"))
 
 
+def event_values(spark, sf) -> DataFrame:
+    """Event values as vectors, with the component that each starts in: split at 50."""
+    start = (F.col("value") > 50).cast("int").alias("side")
+    return table(spark, sf, "events").select("event_id", F.array("value").alias("v"), start)
+
+
 def gmm_label_rows(spark, sf):
-    rows = lookup.by_cluster(gmm_labels(spark, sf), 0, "gmm_cluster_id")
-    return rows
+    """Events of component 0, after three rounds of EM from a given split."""
+    points = event_values(spark, sf)
+    model = mixture.fit_mixtures(points, [2], "v", start="side", tol=0.0, max_iter=3)[0]
+    labelled_points = points.select("event_id", model.label("v").alias("gmm_cluster_id"))
+    return lookup.by_cluster(labelled_points, 0, "gmm_cluster_id")
 
 
 def gmm_bic_aic(spark, sf):
-    return mixture.criteria_table(spark, mixture.fit_mixtures(reduced_items(spark, sf, 8), list(range(1, 11))))
+    return mixture.criteria_table(spark, mixture.fit_mixtures(reduced_items(spark, sf), list(range(1, 11))))
+
+
+def gmm_criteria_given(spark, sf):
+    """Criteria of one and two components from given starts; the least of each tells the size to take."""
+    points = event_values(spark, sf)
+    one = mixture.fit_mixtures(points.withColumn("side", F.lit(0)), [1], "v", start="side", tol=0.0, max_iter=3)
+    two = mixture.fit_mixtures(points, [2], "v", start="side", tol=0.0, max_iter=3)
+    made = mixture.criteria_table(spark, one + two)
+    return rounded(made, "log_likelihood", "bic", "aic", digits=4)
 
 
 def gmm_event_values(spark, sf):
     """Three rounds of EM with two components on one column, from a split at 50."""
-    start = (F.col("value") > 50).cast("int").alias("side")
-    points = table(spark, sf, "events").select("event_id", F.array("value").alias("v"), start)
-    model = mixture.fit_mixtures(points, [2], "v", start="side", tol=0.0, max_iter=3)[0]
+    model = mixture.fit_mixtures(event_values(spark, sf), [2], "v", start="side", tol=0.0, max_iter=3)[0]
     rows = [
         (i, float(model.weights[i]), float(model.means[i, 0]), float(model.covariances[i, 0, 0]), model.log_likelihood,
          float(model.bic), float(model.aic))
@@ -478,8 +499,35 @@ def gmm_line_items(spark, sf):
     return rounded(made, *names)
 
 
+def secondary_given(spark, sf):
+    """Secondary clusters for given groups and centres: labels modulo 3, and the means of the labels in each."""
+    items = labelled(spark, sf)
+    means = label_means(items)
+    keys = secondary.SecondaryKeys(None, None, {g: means[g::3] for g in range(3)})
+    grouped = items.withColumn("gmm_cluster_id", F.col("cluster_id") % 3)
+    return keys.label(grouped, "gmm_cluster_id", "encd").select("id", "gmm_cluster_id", "secondary_cluster_id")
+
+
+def sweep_given_starts(spark, sf):
+    """Two moves of every size inside every group, from given centres: sums of squares by priority of orders."""
+    orders = table(spark, sf, "orders")
+    code = F.substring("o_orderpriority", 1, 1).cast("int").alias("curve")
+    points = orders.select(code, F.array(F.col("o_totalprice") / 1000).alias("v"))
+    starts = {(g, k): np.array([[400.0 * (i + 0.5) / k] for i in range(k)]) for g in range(1, 6) for k in range(1, 14, 3)}
+    fits = kmeans.fit_given(points, starts, "v", "curve", max_iter=2)
+    return rounded(kmeans.sweep_table(spark, kmeans.best_fits(fits)), "sse", digits=4)
+
+
+def kmeans_fills_clusters(spark, sf):
+    """Rows of few different values: as many clusters are filled as there are values for them, in every restart."""
+    points = table(spark, sf, "lineitem").select(F.array("l_quantity", F.col("l_linenumber").cast("double")).alias("v"))
+    fits = kmeans.fit_many(points, [20, 200], "v", restarts=3)
+    rows = [(fit.k, fit.restart, int((fit.sizes > 0).sum()), int(fit.sizes.sum())) for fit in fits]
+    return spark.createDataFrame(rows, "k int, restart int, filled long, rows long")
+
+
 def secondary_key(spark, sf):
-    points = reduced_items(spark, sf, 8)
+    points = reduced_items(spark, sf)
     model = mixture.fit_mixtures(points, [4])[0]
     grouped, _ = materialise(points.withColumn("gmm_cluster_id", model.label("reduced")), "grouped")
     keys = secondary.fit_secondary(grouped, "gmm_cluster_id", without_elbow=7)
@@ -505,16 +553,16 @@ def sub_sweep(spark, sf):
 # The whole index
 
 
-def built_index(spark, sf, k: int | None = 10) -> SearchIndex:
+def built_index(spark, sf) -> SearchIndex:
     items = plain(spark, sf)
-    model = fit_index(items, k=k, sizes=SWEEP, without_elbow=10)
+    model = fit_index(items, without_elbow=10)
     path = scratch_path(spark, "index")
     SearchIndex.build(items, path, model)
     return SearchIndex.open(spark, path)
 
 
 def fit_index_items(spark, sf):
-    return built_index(spark, sf, None).table.read().select("id", "cluster_id", "url")
+    return built_index(spark, sf).table.read().select("id", "cluster_id", "url")
 
 
 def search_reduced(spark, sf):
@@ -560,6 +608,33 @@ def search_given_index(spark, sf):
     return rounded(given_index(spark, sf).search(as_queries(plain(spark, sf)), 20), "similarity")
 
 
+def index_centroids(spark, sf):
+    """The stored centroid of every item: that of its cluster, told by its length."""
+    stored = given_index(spark, sf).table.read()
+    return stored.select("id", "cluster_id", F.round(vectors.norm(F.col("cluster_centroid")), 6).alias("centroid_length"))
+
+
+def queries_refused(spark, sf):
+    """Vector queries of which some are short, missing, without an id or of an id with two vectors: how many are refused, and why."""
+    asked = as_queries(plain(spark, sf)).withColumn("n", F.substring("query_id", -3, 3).cast("int"))
+    vector = F.when(F.col("n") % 10 == 1, F.slice("encd", 1, 3)).when(F.col("n") % 10 != 2, F.col("encd"))
+    name = F.when(F.col("n") % 10 == 3, None).when(F.col("n") % 10 == 4, "twice").otherwise(F.col("query_id"))
+    asked = asked.select(name.alias("query_id"), vector.alias("encd"))
+    index = given_index(spark, sf)
+    answered = index.search(asked, 1).agg(F.lit("answered").alias("reason"), F.countDistinct("query_id").alias("queries"))
+    return index.refused(asked).groupBy("reason").agg(F.count("*").alias("queries")).unionByName(answered)
+
+
+def build_sets_aside(spark, sf):
+    """Rows without an id, and rows of one id without an order, are set aside when an index is built."""
+    items = plain(spark, sf).withColumn("n", F.substring("id", -3, 3).cast("int"))
+    name = F.when(F.col("n") % 10 == 3, None).when(F.col("n") % 10 == 4, "twice").otherwise(F.col("id"))
+    given = given_index(spark, sf).model
+    index = SearchIndex.build(items.withColumn("id", name).drop("n"), scratch_path(spark, "index"), given)
+    kept = index.table.read().agg(F.lit("stored").alias("reason"), F.count("*").alias("rows"))
+    return index.rejected().groupBy("reason").agg(F.count("*").alias("rows")).unionByName(kept)
+
+
 def search_given_index_one(spark, sf):
     """The same for one vector."""
     probe = lookup.by_id(plain(spark, sf), "images_000000000019").first()
@@ -610,6 +685,21 @@ def search_text_index(spark, sf):
     return answers.select("query_id", "urls")
 
 
+def search_text_given(spark, sf):
+    """The whole text path on an index that does not depend on a random fit: check, encode, place, search, give addresses."""
+    items, _ = materialise(document_items(spark, sf), "texts")
+    features = fit_features(items, share=None, components=TEXT_WIDTH)
+    reduced = items.select("cluster_id", features.project("encd").alias("reduced"))
+    means = aggregates.cluster_centroids(reduced, "reduced").orderBy("cluster_id").collect()
+    model = IndexModel(features, np.array([r.centroid for r in means]), {})
+    index = SearchIndex.build(items.drop("cluster_id"), scratch_path(spark, "index"), model)
+    texts = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    texts = texts.withColumn("text", F.when(F.col("query_id") % 4 != 3, F.col("text")).otherwise(" "))
+    answers, refused = search_text(index, texts, encoder, 10)
+    told = refused.groupBy("reason").agg(F.count("*").alias("n")).select((-F.col("n")).alias("query_id"), F.col("reason").alias("urls"))
+    return answers.select("query_id", "urls").unionByName(told)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Fit an index on the items, then find the 20 items most similar to one of them."""
     sf = "/root/testdata/sf0.001"
@@ -625,13 +715,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         cluster_sizes, dim_stats, cluster_centroids, attach_centroid, cluster_sse, centroid_sse, assign_fixed_centroids,
         upsert_items, upsert_last_wins, ingest_items, ingest_rejects, append_items, truncate_count, csv_round_trip,
         partitioned_read,
-        topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_sliced, topk_urls, query_rejects, stream_search,
-        pca_variance_curve, pca_component_count, pca_spectrum_moments, pca_distances, search_standardised,
+        topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_dealt, topk_urls, query_rejects, stream_search,
+        pca_variance_curve, pca_component_count, pca_two_columns, pca_spectrum_moments, pca_distances, search_standardised,
         lloyd_from_label_means, sse_sweep, elbow, sweep_recomputed, sweep_of_one, elbow_price_bins,
-        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_event_values, gmm_line_items, secondary_key, secondary_complete, sub_sweep,
+        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sweep_given_starts, kmeans_fills_clusters,
         fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
-        search_given_index, search_given_index_one,
-        encode_documents, search_text_by_language, search_text_index,
+        search_given_index, search_given_index_one, index_centroids, queries_refused, build_sets_aside,
+        encode_documents, search_text_by_language, search_text_index, search_text_given,
     ]
     found = {query.__name__: query for query in made}
     if corpus is not None:
@@ -672,9 +762,9 @@ def pairs_sql(items: str, queries: str, k: int, vector: str = "encd") -> str:
 BATCH = f"WITH {ITEMS}, q AS (SELECT id AS query_id, cluster_id, encd FROM items) {pairs_sql('items', 'q', 20)}"
 
 
-def em_sql() -> str:
+def em_steps(side: str = "(value > 50)::INT") -> list[str]:
     """Hard split, three rounds of EM, and the likelihood of the result."""
-    steps = ["p AS (SELECT event_id, value AS x, (value > 50)::INT AS side FROM events)", "n AS (SELECT count(*) AS n FROM p)"]
+    steps = [f"p AS (SELECT event_id, value AS x, {side} AS side FROM events)", "n AS (SELECT count(*) AS n FROM p)"]
     steps.append(
         """m0 AS (SELECT side AS c, count(*) / any_value(n) AS w, avg(x) AS mu, var_pop(x) + 1e-6 AS v
         FROM p, n GROUP BY side)"""
@@ -692,12 +782,36 @@ def em_sql() -> str:
                 f"""m{i + 1} AS (SELECT c, any_value(nk) / any_value(n) AS w, any_value(mu) AS mu,
                 sum(r * (x - mu) * (x - mu)) / any_value(nk) + 1e-6 AS v FROM r{i} JOIN u{i} USING (c), n GROUP BY c)"""
             )
-    return f"""WITH {', '.join(steps)}, total AS (SELECT sum(ll) AS ll FROM l3)
+    return steps
+
+
+def em_sql() -> str:
+    return f"""WITH {', '.join(em_steps())}, total AS (SELECT sum(ll) AS ll FROM l3)
     SELECT c AS component, round(w, 5) AS weight, round(mu, 5) AS mean, round(v, 5) AS variance,
       round(ll, 5) AS log_likelihood, round(5 * ln(n) - 2 * ll, 5) AS bic, round(10 - 2 * ll, 5) AS aic
     FROM m3, total, n"""
 
 
+def criteria_sql(components: int, side: str) -> str:
+    """Likelihood and criteria of one column with so many components: weights, means and variances count."""
+    free = 3 * components - 1
+    return f"""(WITH {', '.join(em_steps(side))} SELECT {components} AS n_components, round(sum(ll), 4) AS log_likelihood,
+      round({free} * ln(any_value(n)) - 2 * sum(ll), 4) AS bic, round({2 * free} - 2 * sum(ll), 4) AS aic FROM l3, n)"""
+
+
+def sweep_sql(moves: int = 2) -> str:
+    """Lloyd's moves for every curve and size from evenly spaced centres, and the sums of squares."""
+    steps = ["""p AS (SELECT row_number() OVER () AS row, left(o_orderpriority, 1)::INT AS curve, o_totalprice / 1000 AS x FROM orders)""",
+        """c0 AS (SELECT curve, k, i, 400.0::DOUBLE * (i + 0.5) / k AS c FROM (SELECT DISTINCT curve FROM p),
+          (SELECT k, unnest(range(k)) AS i FROM (SELECT unnest(range(1, 14, 3)) AS k)))"""]
+    for n in range(moves + 1):
+        steps.append(f"""a{n} AS (SELECT row, curve, k, any_value(x) AS x, arg_min(i, ((x - c) ** 2, i)) AS i, min((x - c) ** 2) AS square
+          FROM p JOIN c{n} USING (curve) GROUP BY row, curve, k)""")
+        steps.append(f"""c{n + 1} AS (SELECT curve, k, i, coalesce(m, c) AS c FROM c{n}
+          LEFT JOIN (SELECT curve, k, i, avg(x) AS m FROM a{n} GROUP BY curve, k, i) USING (curve, k, i))""")
+    return f"WITH {', '.join(steps)} SELECT curve, k::INT AS k, round(sum(square), 4) AS sse FROM a{moves} GROUP BY curve, k"
+
+
 def plane_em_sql(rounds: int = 2) -> str:
     """The same for two columns and three components, the 2 x 2 covariance inverted by hand."""
     steps = [f"""p AS (SELECT row_number() OVER () AS row, l_quantity AS x, l_extendedprice / 1000 AS y,
@@ -817,7 +931,7 @@ def oracle_sql() -> dict[str, str]:
         "topk_raw_all_clusters": single % pairs_sql("(SELECT * REPLACE (0 AS cluster_id) FROM items)",
                                                     "(SELECT * REPLACE (0 AS cluster_id) FROM q)", 20),
         "topk_raw_batch": BATCH,
-        "topk_raw_sliced": BATCH,
+        "topk_raw_dealt": BATCH,
         "stream_search": BATCH,
         "topk_urls": f"""WITH {ITEMS}, q AS (SELECT id AS query_id, cluster_id, encd FROM items),
             r AS ({pairs_sql('items', 'q', 10)})
@@ -850,7 +964,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT cluster_id, count(*) AS size, center_sum, (SELECT round(sum(square), 6) FROM a3) AS total_sse
             FROM a3 JOIN c USING (cluster_id) GROUP BY cluster_id, center_sum""",
         "sweep_recomputed": """SELECT k::INT AS k, rows, k AS clusters, true AS agree
-            FROM (SELECT count(*) AS rows FROM embeddings), (SELECT unnest(range(1, 50, 3)) AS k)""",
+            FROM (SELECT count(*) AS rows FROM embeddings), (SELECT unnest(range(1, 103, 3)) AS k)""",
         "secondary_complete": "SELECT count(*) AS rows, count(*) AS keyed FROM embeddings",
         "sweep_of_one": f"""WITH {ITEMS}, {CELLS}, {MEANS}
             SELECT cluster_id, 1 AS k, round(sum((x - m) * (x - m)), 6) AS sse
@@ -864,6 +978,36 @@ def oracle_sql() -> dict[str, str]:
             curves AS (SELECT curve, k AS x, sum(sse) AS y FROM e GROUP BY curve, k),
             {elbow_sql('curves')}""",
         "gmm_event_values": em_sql(),
+        "gmm_label_rows": f"""WITH {', '.join(em_steps())}, b AS (SELECT event_id, arg_max(c, lp) AS gmm_cluster_id FROM j3 GROUP BY event_id)
+            SELECT event_id, gmm_cluster_id::INT AS gmm_cluster_id FROM b WHERE gmm_cluster_id = 0""",
+        "gmm_criteria_given": f"SELECT * FROM {criteria_sql(1, '0')} UNION ALL SELECT * FROM {criteria_sql(2, '(value > 50)::INT')}",
+        "sweep_given_starts": sweep_sql(),
+        "kmeans_fills_clusters": """WITH v AS (SELECT count(DISTINCT (l_quantity, l_linenumber)) AS values, count(*) AS rows FROM lineitem)
+            SELECT k, restart, least(k, values)::BIGINT AS filled, rows FROM v, (SELECT unnest([20, 200])::INT AS k), (SELECT unnest(range(3))::INT AS restart)""",
+        "secondary_given": f"""WITH {ITEMS}, {CELLS}, {MEANS},
+            d AS (SELECT id, c.cluster_id % 3 AS g, m.cluster_id AS label, sum((c.x - m.m) ** 2) AS square
+              FROM cells c JOIN means m ON c.dim = m.dim AND c.cluster_id % 3 = m.cluster_id % 3 GROUP BY ALL)
+            SELECT id, g::INT AS gmm_cluster_id, (arg_min(label, square) // 3)::INT AS secondary_cluster_id FROM d GROUP BY id, g""",
+        "pca_two_columns": """WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem),
+            c AS (SELECT 1 AS component, (1 + r) / 2 AS ratio, (1 + r) / 2 AS cumulative, r FROM r
+              UNION ALL SELECT 2, (1 - r) / 2, 1.0, r FROM r)
+            SELECT component, round(ratio, 6) AS ratio, round(cumulative, 6) AS cumulative, CASE WHEN (1 + r) / 2 > 0.9 THEN 1 ELSE 2 END AS kept FROM c""",
+        "index_centroids": f"""WITH {GIVEN}, n AS (SELECT cluster_id, round(sqrt(sum(m * m)), 6) AS centroid_length FROM zm GROUP BY cluster_id)
+            SELECT id, cluster_id, centroid_length FROM i JOIN n USING (cluster_id)""",
+        "queries_refused": """WITH q AS (SELECT vec_id % 10 AS d FROM embeddings)
+            SELECT CASE d WHEN 1 THEN 'wrong width' WHEN 2 THEN 'missing query' WHEN 3 THEN 'missing id' WHEN 4 THEN 'repeated id'
+              ELSE 'answered' END AS reason, count(*) AS queries FROM q GROUP BY reason""",
+        "build_sets_aside": """WITH q AS (SELECT vec_id % 10 AS d FROM embeddings)
+            SELECT CASE d WHEN 3 THEN 'missing id' WHEN 4 THEN 'repeated id' ELSE 'stored' END AS reason, count(*) AS rows FROM q GROUP BY reason""",
+        "search_text_given": f"""WITH {GIVEN.replace(ITEMS, TEXTS).split('q AS (')[0]}
+            b AS (SELECT key AS id, encd FROM {encoded_sql("(SELECT * FROM benchmark WHERE item_id % 4 <> 3)", 'item_id')}),
+            bc AS (SELECT id, dim, (x - m) / sd AS x FROM (SELECT id, unnest(encd) AS x, (generate_subscripts(encd, 1) - 1)::INT AS dim FROM b) JOIN s USING (dim)),
+            q AS (SELECT n.id AS query_id, n.cluster_id, v.std FROM {nearest_sql('bc', 'zm')} n
+              JOIN (SELECT id, list(x ORDER BY dim) AS std FROM bc GROUP BY id) v USING (id)),
+            u AS (SELECT 'texts_' || lpad(doc_id::VARCHAR, 12, '0') AS id, '{URL}' || lpad(doc_id::VARCHAR, 12, '0') || '.jpg' AS address FROM documents),
+            r AS ({pairs_sql('i', 'q', 10, 'std')})
+            SELECT query_id::BIGINT AS query_id, string_agg(address, chr(10) ORDER BY rank) AS urls FROM r JOIN u USING (id) GROUP BY query_id
+            UNION ALL SELECT -count(*), 'blank query' FROM benchmark WHERE item_id % 4 = 3 HAVING count(*) > 0""",
         "gmm_line_items": plane_em_sql(),
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",

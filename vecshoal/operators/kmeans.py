@@ -345,6 +345,23 @@ def fit_from(points: DataFrame, start: np.ndarray, vector: str = "reduced", max_
         return run_lloyd(blocks, [fit], max_iter, refill=False)[0]
 
 
+def fit_given(
+    points: DataFrame,
+    starts: dict[tuple[int, int], np.ndarray],
+    vector: str = "reduced",
+    group: str | None = None,
+    max_iter: int = 300,
+    tol: float = 0.0,
+) -> list[Fit]:
+    """One fit for every group and k of ``starts``, from the centres given there, all in the same passes.
+
+    A centre that loses its rows stays where it is.
+    """
+    fits = [Fit(g, k, 0, np.array(start, dtype=np.float64), tol) for (g, k), start in sorted(starts.items())]
+    with working_copy(grouped(points, vector, group), fits[0].centers.shape[1]) as blocks:
+        return run_lloyd(blocks, fits, max_iter, refill=False)
+
+
 def best_fits(fits: list[Fit]) -> dict[tuple[int, int], Fit]:
     """The restart with the least sum of squares for every group and k."""
     best: dict[tuple[int, int], Fit] = {}
