@@ -685,21 +685,45 @@ def search_text_index(spark, sf):
     return answers.select("query_id", "urls")
 
 
-def search_text_given(spark, sf):
-    """The whole text path on an index that does not depend on a random fit: check, encode, place, search, give addresses."""
+def given_text_index(spark, sf) -> SearchIndex:
+    """Documents in an index that does not depend on a random fit: all components, the means of the languages as centres."""
     items, _ = materialise(document_items(spark, sf), "texts")
     features = fit_features(items, share=None, components=TEXT_WIDTH)
     reduced = items.select("cluster_id", features.project("encd").alias("reduced"))
     means = aggregates.cluster_centroids(reduced, "reduced").orderBy("cluster_id").collect()
     model = IndexModel(features, np.array([r.centroid for r in means]), {})
-    index = SearchIndex.build(items.drop("cluster_id"), scratch_path(spark, "index"), model)
+    return SearchIndex.build(items.drop("cluster_id"), scratch_path(spark, "index"), model)
+
+
+def text_queries(spark, sf) -> DataFrame:
+    """Benchmark texts, every fourth of them blank."""
     texts = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    texts = texts.withColumn("text", F.when(F.col("query_id") % 4 != 3, F.col("text")).otherwise(" "))
-    answers, refused = search_text(index, texts, encoder, 10)
+    return texts.withColumn("text", F.when(F.col("query_id") % 4 != 3, F.col("text")).otherwise(" "))
+
+
+def with_refused(answers: DataFrame, refused: DataFrame) -> DataFrame:
+    """Answers, and a row with a negative count for each reason of refusal."""
     told = refused.groupBy("reason").agg(F.count("*").alias("n")).select((-F.col("n")).alias("query_id"), F.col("reason").alias("urls"))
     return answers.select("query_id", "urls").unionByName(told)
 
 
+def search_text_given(spark, sf):
+    """The whole text path: check, encode, place, search, give addresses."""
+    return with_refused(*search_text(given_text_index(spark, sf), text_queries(spark, sf), encoder, 10))
+
+
+def stream_text(spark, sf):
+    """The same for a stream of texts, answers and refused queries each in a folder of their own."""
+    index = given_text_index(spark, sf)
+    asked = text_queries(spark, sf)
+    _, arriving = materialise(asked.repartition(3), "arriving")
+    out, others, state = (scratch_path(spark, label) for label in ("answers", "refused", "stream"))
+    stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+    answer = lambda batch: search_text(index, batch, encoder, 10)
+    answer_stream(stream, answer, out, state, once=True, refused=others).awaitTermination()
+    return with_refused(spark.read.parquet(out), spark.read.parquet(others))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Fit an index on the items, then find the 20 items most similar to one of them."""
     sf = "/root/testdata/sf0.001"
@@ -721,7 +745,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sweep_given_starts, kmeans_fills_clusters,
         fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
         search_given_index, search_given_index_one, index_centroids, queries_refused, build_sets_aside,
-        encode_documents, search_text_by_language, search_text_index, search_text_given,
+        encode_documents, search_text_by_language, search_text_index, search_text_given, stream_text,
     ]
     found = {query.__name__: query for query in made}
     if corpus is not None:
@@ -1024,6 +1048,7 @@ def oracle_sql() -> dict[str, str]:
             q AS (SELECT b.id AS query_id, cluster_id, encd FROM b JOIN {nearest_sql('bc', 'means')} n USING (id)),
             r AS ({pairs_sql('items', 'q', 10)}) SELECT query_id, rank, id, similarity FROM r""",
     }
+    found["stream_text"] = found["search_text_given"]
     if corpus is not None:
         found |= corpus.SQL
         if corpus_pipeline.ORACLE_SQL is not None:
