@@ -1,5 +1,3 @@
-import glob
-
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -72,23 +70,50 @@ def test_rows_without_id_are_set_aside(stored, items, order):
 
 
 def test_an_unfinished_version_is_not_read(stored, items):
-    rows = stored.read()
-    rows.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(stored.folder(2))
+    with open(f"{stored.path}/versions/2", "w") as cut_off:
+        cut_off.write(stored.files(1)[0])
     assert stored.versions() == [1]
     assert len(content(stored)) == 4
-    assert stored.upsert(items([("e", [0, 0], 5)]), None) == 2
+    assert stored.upsert(items([("e", [0, 0], 5)]), None) == 3
+    assert stored.versions() == [1, 3]
     assert len(content(stored)) == 5
 
 
+def test_an_upsert_keeps_the_files_it_does_not_touch(stored, items):
+    before = stored.files()
+    stored.upsert(items([("a", [9, 9], 0)]), None)
+    after = stored.files()
+    assert len(set(before) - set(after)) == 1 and len(set(after) - set(before)) == 1
+    stored.upsert(items([("new", [9, 9], 0)]), None)
+    assert set(after) < set(stored.files())
+    assert sorted(content(stored)) == ["a", "b", "d", "new", "o'c"]
+    assert len(stored._read(before).collect()) == 4
+
+
+def test_of_two_writers_one_fails(stored, items, monkeypatch):
+    last = stored._last()
+    stored.append(items([("e", [0, 0], 5)]))
+    monkeypatch.setattr(stored, "_last", lambda: last)
+    for change in (lambda: stored.append(items([("f", [0, 0], 5)])), lambda: stored.upsert(items([("f", [0, 0], 5)]), None), stored.truncate):
+        with pytest.raises(store.LostRace):
+            change()
+    assert sorted(content(stored)) == ["a", "b", "d", "e", "o'c"]
+
+
+def test_an_append_is_a_version_of_its_own(stored, items):
+    assert stored.append(items([("e", [0, 0], 5)])) == 2
+    assert len(stored._read(stored.files(1)).collect()) == 4
+
+
 def test_files_are_sorted_by_id(spark, items, scratch):
     rows = items([(f"i{i * 7919 % 1000:04d}", [i, 0], i % 3) for i in range(1000)])
     table = ItemTable(spark, scratch("items"), rows.schema)
     table.replace(rows)
     table.upsert(items([(f"i{i:04d}", [0, 0], 1) for i in range(500, 1100)]), None)
     for version in (1, 2):
-        files = glob.glob(table.folder(version) + "/cluster_id=*/*.parquet")
-        assert files
-        for file in files:
+        assert table.files(version)
+        for file in table.files(version):
+            file = f"{table.path}/data/{file}"
             ids = pq.read_table(file, columns=["id"], partitioning=None).column("id").to_pylist()
             assert ids == sorted(ids)
     assert table.read().count() == 1100
@@ -110,6 +135,7 @@ def test_old_versions_can_go(stored, items):
     assert stored.drop_old(keep=2) == [1, 2]
     assert stored.versions() == [3, 4]
     assert stored.read().count() == 7
+    assert stored._read(stored.files(3)).count() == 6
 
 
 def test_a_table_without_versions_is_empty(spark, scratch):

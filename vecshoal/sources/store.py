@@ -1,10 +1,14 @@
 """Writing items: append, upsert, truncate, CSV export and CSV ingest.
 
-A stored table is a folder of versions. A change writes a new version beside the one being
-read and becomes current when its success marker appears, so readers never see half a change
-and a failed job leaves the last good version in place.
+A stored table is a set of data files and a list of files for each version. A change writes new files beside
+those being read, then the list of the next version, which carries over the files that did not change. Readers never
+see half a change, and a failed job leaves the last good version in place. Of two writers that
+start from the same version one fails.
 """
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +21,12 @@ from vecshoal.sources.items import read_csv_items, split_valid, stored_layout, w
 
 # Up to this many incoming ids are sent to every task that filters the stored rows.
 REPLACED_IDS = 500_000
+# Up to this many ids are looked up by the files' Bloom filters.
+LISTED_IDS = 1_000
+
+
+class LostRace(RuntimeError):
+    """Another writer changed the table meanwhile."""
 
 
 class ItemTable:
@@ -40,62 +50,86 @@ class ItemTable:
         self.partition = partition
         self.key = key
 
-    def versions(self) -> list[int]:
-        fs, root = file_system(self.spark, self.path)
-        if not fs.exists(root):
-            return []
+    def _numbers(self) -> list[int]:
+        """Numbers of all lists, finished or not."""
+        fs, root = file_system(self.spark, f"{self.path}/versions")
+        return sorted(int(entry.getPath().getName()) for entry in fs.listStatus(root)) if fs.exists(root) else []
+
+    def files(self, version: int | None = None) -> list[str] | None:
+        """Data files of a version (default: the current one), below the folder ``data``; None if it was never finished."""
+        if version is None:
+            versions = self.versions(1)
+            return self.files(versions[0]) if versions else []
+        fs, path = file_system(self.spark, f"{self.path}/versions/{version}")
+        stream = fs.open(path)
+        try:
+            lines = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+        finally:
+            stream.close()
+        return lines[:-1] if lines[-1] == "end" else None
+
+    def versions(self, last: int | None = None) -> list[int]:
+        """Numbers of the finished versions, or of the ``last`` of them."""
         found = []
-        for entry in fs.listStatus(root):
-            name = entry.getPath().getName()
-            marker = self.spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-            if name.startswith("version-") and fs.exists(marker):
-                found.append(int(name.removeprefix("version-")))
-        return sorted(found)
-
-    def folder(self, version: int) -> str:
-        return f"{self.path}/version-{version:08d}"
+        for number in reversed(self._numbers()):
+            if len(found) == last:
+                break
+            if self.files(number) is not None:
+                found.append(number)
+        return found[::-1]
 
     def read(self) -> DataFrame:
-        versions = self.versions()
-        if not versions:
+        return self._read(self.files())
+
+    def _read(self, files: list[str]) -> DataFrame:
+        if not files:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.folder(versions[-1])).select(*self.schema.names)
+        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data")
+        return reader.parquet(*[f"{self.path}/data/{file}" for file in files])
 
     def replace(self, rows: DataFrame, arranged: bool = False) -> int:
         """Store ``rows`` as the next version; ``arranged`` rows are written as they come."""
+        last = self._last()
         rows = rows.select(*self.schema.names)
-        return self._store(rows if arranged else self._arranged(rows))
+        return self._commit(last, self._write(rows if arranged else self._arranged(rows)))
 
     def append(self, rows: DataFrame) -> int:
-        """Add rows to the current version, without looking at their ids."""
-        version = (self.versions() or [1])[-1]
-        self._write(self._arranged(rows.select(*self.schema.names)), self.folder(version), "append")
-        return version
+        """Add rows, without looking at their ids."""
+        last, files = self._last(), self.files()
+        return self._commit(last, files + self._write(self._arranged(rows.select(*self.schema.names))))
 
     def upsert(self, incoming: DataFrame, order: list[str] | None) -> int:
         """Insert rows, replacing stored rows of the same id; the last row of a batch wins.
 
         ``order`` names the columns that tell which of two incoming rows is later; None states
-        that no id comes twice. Rows without an id are set aside, and the rest goes on.
+        that no id comes twice. Rows without an id are set aside, and the rest goes on. Only files that hold a
+        replaced id are written again; to find them the ids alone are read.
         """
         key = self.key
+        last, files = self._last(), self.files()
         self.set_aside(incoming.where(F.col(key).isNull()))
         incoming = incoming.where(F.col(key).isNotNull())
         latest = incoming if order is None else last_wins(incoming, order, key)
-        # Read twice below, and to be the same rows both times.
+        # Read several times below, and to be the same rows each time.
         latest, path = materialise(latest.select(*self.schema.names), "incoming")
-        stored = self.read()
         ids = local_copy(latest.select(key), REPLACED_IDS)
-        if ids is None:
-            # Of a large batch of mostly new rows few ids are stored already; finding them moves ids only.
-            ids = local_copy(stored.select(key).join(latest.select(key), key, "left_semi"), REPLACED_IDS)
-        if ids is not None:
-            # The stored rows are filtered where they lie and keep their files' arrangement.
-            kept = stored.join(F.broadcast(ids), key, "left_anti").select(*self.schema.names)
-            version = self._store(kept.unionByName(self._arranged(latest)))
+        stored = self._read(files)
+        if files:
+            found = stored.select(key, F.col("_metadata.file_path").alias("file"))
+            if ids is not None and (few := ids.limit(LISTED_IDS + 1).toArrow()).num_rows <= LISTED_IDS:
+                found = found.where(F.col(key).isin(few.column(0).to_pylist()))
+            elif ids is not None:
+                found = found.join(F.broadcast(ids), key, "left_semi")
+            else:
+                found = found.join(latest.select(key), key, "left_semi")
+            touched = {row.file.rpartition("/data/")[2] for row in found.select("file").distinct().collect()}
         else:
-            kept = stored.join(latest.select(key), key, "left_anti").select(*self.schema.names)
-            version = self._store(self._arranged(kept.unionByName(latest)))
+            touched = set()
+        replaced = [file for file in files if file in touched]
+        rest = self._read(replaced)
+        rest = rest.join(F.broadcast(ids) if ids is not None else latest.select(key), key, "left_anti")
+        rows = rest.select(*self.schema.names).unionByName(latest) if replaced else latest
+        version = self._commit(last, [file for file in files if file not in touched] + self._write(self._arranged(rows)))
         remove_path(self.spark, path)
         return version
 
@@ -114,34 +148,62 @@ class ItemTable:
 
     def truncate(self) -> int:
         """Remove all rows and say how many there were."""
+        last = self._last()
         removed = self.read().count()
-        self.replace(self.spark.createDataFrame([], self.schema))
+        self._commit(last, [])
         return removed
 
     def drop_old(self, keep: int = 2) -> list[int]:
-        """Delete all but the last ``keep`` versions and say which; readers of those must be done."""
-        old = self.versions()[:-keep]
+        """Delete all but the last ``keep`` versions, with the files only they hold, and say which; readers of those must be done."""
+        versions = self.versions()
+        old, kept = versions[:-keep], versions[-keep:]
+        needed = {file for version in kept for file in self.files(version)}
+        unused = {file for version in old for file in self.files(version)} - needed
         for version in old:
-            remove_path(self.spark, self.folder(version))
+            remove_path(self.spark, f"{self.path}/versions/{version}")
+        for file in sorted(unused):
+            remove_path(self.spark, f"{self.path}/data/{file}")
         return old
 
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Rows of a cluster gathered into few files, a large cluster split over many tasks."""
         return rows.hint("rebalance", self.partition) if self.partition else rows
 
-    def _store(self, rows: DataFrame) -> int:
-        version = (self.versions() or [0])[-1] + 1
-        self._write(rows, self.folder(version), "overwrite")
-        return version
-
-    def _write(self, rows: DataFrame, folder: str, mode: str) -> None:
+    def _last(self) -> int:
+        return (self._numbers() or [0])[-1]
+
+    def _commit(self, last: int, files: list[str]) -> int:
+        """Make ``files`` the version after ``last``; fails if another writer has made it."""
+        fs, path = file_system(self.spark, f"{self.path}/versions/{last + 1}")
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in str(error.java_exception):
+                raise LostRace(f"version {last + 1} of {self.path} was written meanwhile") from None
+            raise
+        try:
+            self.spark._jvm.org.apache.commons.io.IOUtils.write("\n".join([*files, "end"]), stream, "UTF-8")
+        finally:
+            stream.close()
+        return last + 1
+
+    def _write(self, rows: DataFrame) -> list[str]:
+        """Write a batch of rows to files of their own and list these."""
+        batch = f"batch={uuid.uuid4().hex}"
         # Writing by cluster sorts by it anyway.
         rows = rows.sortWithinPartitions(*([self.partition] if self.partition else []), self.key)
-        writer = rows.write.mode(mode).option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+        writer = rows.write.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
         writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         if self.partition:
             writer = writer.partitionBy(self.partition)
-        writer.parquet(folder)
+        writer.parquet(f"{self.path}/data/{batch}")
+        fs, folder = file_system(self.spark, f"{self.path}/data/{batch}")
+        found, listed = fs.listFiles(folder, True), []
+        while found.hasNext():
+            path = found.next().getPath().toString()
+            if path.endswith(".parquet"):
+                listed.append(path.rpartition("/data/")[2])
+        return sorted(listed)
 
 
 def last_wins(rows: DataFrame, order: list[str], key: str = "id") -> DataFrame:
