@@ -31,11 +31,11 @@ def pour(budget, children):
     return given
 
 
-def brute(rows, weights, share, epochs, seed):
+def brute(rows, weights, share, epochs, seed, domain=lambda source: source[:1]):
     """Times each document is taken: ``{doc_id: n}``."""
     leaves = defaultdict(list)
     for doc_id, text, lang, source, _ in rows:
-        leaves[((source or "")[:1], lang or "", source or "")].append((doc_id, len((text or "").split())))
+        leaves[(domain(source or ""), lang or "", source or "")].append((doc_id, len((text or "").split())))
     total = sum(t for docs in leaves.values() for _, t in docs)
     room = lambda path: epochs * sum(t for p, docs in leaves.items() if p[: len(path)] == path for _, t in docs)
     below = {(): min(total * share, total * epochs)}
