@@ -94,6 +94,19 @@ def test_dimension_stats_are_population(points, matrix):
     np.testing.assert_allclose([r["std"] for r in stats], matrix.std(axis=0), rtol=1e-9)
 
 
+def test_misfit_vectors_leave_aggregates_alone(spark, items, matrix):
+    rows = [(f"i{n}", v, n % 3) for n, v in enumerate(matrix)]
+    odd = [("short", [1.0], 0), ("none", None, 1), ("nan", [float("nan")] * 6, 2), ("inf", [float("inf")] * 6, 0)]
+    for of in (aggregates.cluster_centroids, aggregates.own_mean_sse, aggregates.dimension_stats):
+        found, want = (sorted(map(tuple, of(items(some)).collect())) for some in (rows + odd, rows))
+        assert len(found) == len(want)
+        for a, b in zip(found, want):
+            np.testing.assert_allclose(np.hstack(a), np.hstack(b))
+    centroids = aggregates.cluster_centroids(items(rows))
+    sizes = {r.cluster_id: r["size"] for r in aggregates.centroid_sse(items(rows + odd[:2]), centroids).collect()}
+    assert sizes == {r.cluster_id: r["size"] for r in centroids.collect()}
+
+
 def test_cluster_of_one_row(items):
     rows = items([("a", [1, 2], 0), ("b", [3, 4], 1), ("c", [5, 8], 1), ("n", [0, 0], None), ("v", None, 1)])
     sse = {r.cluster_id: (r.size, r.sse) for r in aggregates.own_mean_sse(rows).collect()}

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from vecshoal.functions.blocks import list_column
 
 
+TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
+
+
 class HashingEncoder:
     """Deterministic stand-in for a text model: signed token counts, hashed, unit length."""
 
@@ -29,11 +32,12 @@ class HashingEncoder:
         return found
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.width))
-        for row, text in zip(out, texts):
-            for token in re.findall(r"[^ \t\n\r\f\v]+", text.lower()):
-                position, sign = self.slot(token)
-                row[position] += sign
+        tokens = [TOKEN.findall(text.lower()) for text in texts]
+        places = {token: self.slot(token) for token in set().union(*tokens)}
+        found = np.array([places[token] for row in tokens for token in row], dtype=np.int64).reshape(-1, 2)
+        row = np.repeat(np.arange(len(texts)), [len(row) for row in tokens])
+        cells = np.bincount(row * self.width + found[:, 0], weights=found[:, 1], minlength=len(texts) * self.width)
+        out = cells.reshape(len(texts), self.width)
         lengths = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(lengths == 0, 1.0, lengths)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.functions import vectors
 from vecshoal.operators.joins import attach
+from vecshoal.operators.partials import common_width
 
 
 def cluster_sizes(items: DataFrame, cluster: str = "cluster_id") -> DataFrame:
@@ -19,6 +20,14 @@ def cluster_sizes(items: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     return counted.orderBy(F.desc("size"), cluster)
 
 
+def sound(items: DataFrame, vector: str, width: int | None = None) -> DataFrame:
+    """Rows whose vector has ``width`` finite elements (default: the most common number)."""
+    if width is None:
+        width = common_width(items, vector)[0]
+    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return items.where((F.array_size(vector) == width) & ~broken)
+
+
 def _moments(vector: str) -> Column:
     return Summarizer.metrics("count", "mean", "variance").summary(array_to_vector(F.col(vector))).alias("m")
 
@@ -29,9 +38,9 @@ def _population_variance() -> Column:
     return F.transform(vector_to_array("m.variance"), lambda v: v * (n - 1) / n)
 
 
-def dimension_stats(items: DataFrame, vector: str = "encd") -> DataFrame:
-    """Mean and population standard deviation of every dimension, one row each."""
-    stats = items.where(F.col(vector).isNotNull()).agg(_moments(vector))
+def dimension_stats(items: DataFrame, vector: str = "encd", width: int | None = None) -> DataFrame:
+    """Mean and population standard deviation of every dimension, one row each; vectors that do not fit are left out."""
+    stats = sound(items, vector, width).agg(_moments(vector))
     pairs = F.arrays_zip(
         vector_to_array("m.mean").alias("mean"), F.transform(_population_variance(), F.sqrt).alias("std")
     )
@@ -40,9 +49,11 @@ def dimension_stats(items: DataFrame, vector: str = "encd") -> DataFrame:
     )
 
 
-def cluster_centroids(items: DataFrame, vector: str = "encd", cluster: str = "cluster_id") -> DataFrame:
-    """The mean vector and the size of every cluster."""
-    rows = items.where(F.col(cluster).isNotNull() & F.col(vector).isNotNull())
+def cluster_centroids(
+    items: DataFrame, vector: str = "encd", cluster: str = "cluster_id", width: int | None = None
+) -> DataFrame:
+    """The mean vector and the size of every cluster; vectors that do not fit are left out."""
+    rows = sound(items, vector, width).where(F.col(cluster).isNotNull())
     return (
         rows.groupBy(cluster)
         .agg(_moments(vector))
@@ -50,9 +61,11 @@ def cluster_centroids(items: DataFrame, vector: str = "encd", cluster: str = "cl
     )
 
 
-def own_mean_sse(items: DataFrame, vector: str = "encd", cluster: str = "cluster_id") -> DataFrame:
-    """Sum of squared distances to the cluster's own mean, in one pass and without a join."""
-    rows = items.where(F.col(cluster).isNotNull() & F.col(vector).isNotNull())
+def own_mean_sse(
+    items: DataFrame, vector: str = "encd", cluster: str = "cluster_id", width: int | None = None
+) -> DataFrame:
+    """Sum of squared distances to the cluster's own mean, without a join; vectors that do not fit are left out."""
+    rows = sound(items, vector, width).where(F.col(cluster).isNotNull())
     spread = vectors.element_sum(_population_variance()) * F.col("m.count")
     return rows.groupBy(cluster).agg(_moments(vector)).select(
         cluster, F.col("m.count").alias("size"), spread.alias("sse")
@@ -66,7 +79,8 @@ def attach_centroid(items: DataFrame, centroids: DataFrame, cluster: str = "clus
 
 
 def centroid_sse(items: DataFrame, centroids: DataFrame, vector: str = "encd", cluster: str = "cluster_id") -> DataFrame:
-    """Sum of squared distances to given centroids, per cluster."""
+    """Sum of squared distances to given centroids, per cluster; vectors of another width than their centroid are left out."""
     paired = attach_centroid(items.select("id", cluster, vector), centroids, cluster)
+    paired = paired.where(F.array_size(vector) == F.array_size("cluster_centroid"))
     away = vectors.squared_distance(F.col(vector), F.col("cluster_centroid"))
     return paired.groupBy(cluster).agg(F.count("*").alias("size"), F.sum(away).alias("sse"))
