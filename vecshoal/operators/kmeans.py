@@ -196,24 +196,20 @@ def _one_pass(blocks: Blocks, fits: list[Fit]) -> np.ndarray:
         count = sum(fit.k for fit in own)
         models[g] = (total, total + count, _scorers(own))
         total += count
-    shared = blocks.rdd.context.broadcast(models)
 
     def fold(held, state):
         for groups, x in held:
             for g in np.unique(groups):
-                if int(g) in shared.value:
-                    lo, hi, scorers = shared.value[int(g)]
+                if int(g) in models:
+                    lo, hi, scorers = models[int(g)]
                     _tally(x[groups == g], scorers, state[lo:hi])
 
-    try:
-        return blocks.total(fold, total, blocks.width + 2)
-    finally:
-        shared.destroy()
+    return blocks.total(fold, total, blocks.width + 2)
 
 
 def _farthest(blocks: Blocks, fits: list[Fit], counts: list[int]) -> list[np.ndarray]:
     """For every fit the ``counts`` rows of different value that lie farthest from any live centre, farthest first."""
-    shared = blocks.rdd.context.broadcast([(fit.group, fit.centers, count) for fit, count in zip(fits, counts)])
+    wanted = [(fit.group, fit.centers, count) for fit, count in zip(fits, counts)]
 
     def best(away, hashes, rows, count):
         order = np.lexsort((hashes, -away))
@@ -222,9 +218,9 @@ def _farthest(blocks: Blocks, fits: list[Fit], counts: list[int]) -> list[np.nda
         return away[order], hashes[order], rows[order]
 
     def fold(held):
-        state = [None] * len(shared.value)
+        state = [None] * len(wanted)
         for groups, x in held:
-            for n, (g, centers, count) in enumerate(shared.value):
+            for n, (g, centers, count) in enumerate(wanted):
                 rows = x[groups == g]
                 if not len(rows):
                     continue
@@ -239,15 +235,12 @@ def _farthest(blocks: Blocks, fits: list[Fit], counts: list[int]) -> list[np.nda
 
     def merge(a, b):
         out = []
-        for one, two, (_, _, count) in zip(a, b, shared.value):
+        for one, two, (_, _, count) in zip(a, b, wanted):
             out.append(one if two is None else two if one is None else best(*map(np.concatenate, zip(one, two)), count))
         return out
 
-    try:
-        found = blocks.reduce(fold, merge, sum(counts) * blocks.width * 8)
-        return [rows[2] if rows is not None else np.zeros((0, blocks.width)) for rows in found]
-    finally:
-        shared.destroy()
+    found = blocks.reduce(fold, merge, sum(counts) * blocks.width * 8)
+    return [rows[2] if rows is not None else np.zeros((0, blocks.width)) for rows in found]
 
 
 def _refill(blocks: Blocks, fits: list[Fit], lost: list[np.ndarray]) -> None:

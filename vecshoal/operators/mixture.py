@@ -140,19 +140,16 @@ def _add_block(x: np.ndarray, given: np.ndarray, rule, size: int, state: np.ndar
 def _one_round(blocks: Blocks, runs: list["_Run"], origin: np.ndarray) -> list[np.ndarray]:
     """The sums of the models, in one pass over the rows."""
     ends = np.cumsum([run.slots(blocks.width) for run in runs])
-    shared = blocks.rdd.context.broadcast([(run.rule, run.size) for run in runs])
+    rules = [(run.rule, run.size) for run in runs]
 
     def fold(held, state):
         for given, x in held:
             for at in range(0, len(x), 4096):
                 part = x[at : at + 4096] - origin
-                for (rule, size), sums in zip(shared.value, np.split(state, ends[:-1])):
+                for (rule, size), sums in zip(rules, np.split(state, ends[:-1])):
                     _add_block(part, given[at : at + 4096], rule, size, sums)
 
-    try:
-        return np.split(blocks.total(fold, int(ends[-1]), blocks.width + 1), ends[:-1])
-    finally:
-        shared.destroy()
+    return np.split(blocks.total(fold, int(ends[-1]), blocks.width + 1), ends[:-1])
 
 
 @dataclass

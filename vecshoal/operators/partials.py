@@ -53,7 +53,10 @@ def common_width(rows: DataFrame, vector: str) -> tuple[int, int]:
 
 
 class Blocks:
-    """A table of groups and vectors, kept on the executors as blocks ``(groups, matrix)``."""
+    """A table of groups and vectors, kept on the executors as blocks ``(groups, matrix)``.
+
+    What a fold captures goes out with its tasks; Spark broadcasts it by itself if it is large.
+    """
 
     def __init__(self, rdd: RDD, width: int):
         self.rdd, self.width, self.tasks = rdd, width, rdd.getNumPartitions()
@@ -94,7 +97,7 @@ def working_copy(rows: DataFrame, width: int | None = None) -> Iterator[Blocks]:
     def unpack(row):
         return np.frombuffer(row.g, dtype=np.int32), np.frombuffer(row.x).reshape(-1, width)
 
-    packed = fewer_tasks(spread(rows)).mapInArrow(pack, "g binary, x binary")
+    packed = fewer_tasks(spread(rows, rows_per_task=1000)).mapInArrow(pack, "g binary, x binary")
     kept = packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield Blocks(kept, width)
