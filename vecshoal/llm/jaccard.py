@@ -4,14 +4,18 @@ Texts with equal n-gram sets form one node; what follows works on nodes. Each se
 tokens that two sets share with a chance equal to their similarity.
 
 1. Chosen paths. Each of ``runs`` runs splits all sets on one sampled token. A bucket of at most ``brute`` sets is compared by the
-   embedded tokens; a larger one is split again on tokens sampled for it, about two, and so on. A bucket that keeps most of
+   embedded tokens; a larger one is split again on a token sampled for it, and so on. A bucket that keeps most of
    its sets under a split holds sets that are alike, so all are taken as candidates of one another. At the least similarity a run
-   keeps a pair with a chance of 0.8, so twelve runs miss one in 0.2**12.
+   keeps a pair at each split with a chance of 0.8, so twelve runs miss it with a chance of 0.2**12 if its buckets are small, and of
+   0.002 after four splits.
 2. Candidates form components, which hold every true link and perhaps more. A component's sets meet in one
    task, or, if they are too many, block by block, and there all true similarities are computed: links are exact, counted per node, and no pair
    leaves the task.
 3. Links that hold form the classes.
 
+Joins of large tables are by sorted shuffle whatever the other side's size, so that a plan is the same at every size; Spark splits large
+partitions.
+
 Cases: a NULL or empty text has no words, and all such rows are one class; a text under ``n`` words has one gram, all its
 words; equal rows are of one class; a NULL id is a member like any other but never names a class that has others;
 an empty table gives an empty result. Only id and text are read, so other columns never clash.
@@ -171,8 +175,9 @@ def candidates(
     spread = (threshold * (1 - threshold) / coordinates) ** 0.5
     least_share = threshold - 3.5 * spread
     bucket = lambda *of: F.xxhash64(*of).alias("bucket")
-    first = F.explode(F.array(*[bucket(F.lit(run), token(F.lit(run))) for run in range(runs)])).alias("bucket")
-    members = nodes.select("sid", first, F.lit(None).cast("long").alias("above"))
+    # A run's first token is that of the coordinate of its own number.
+    each = F.array(*[F.struct(F.lit(run).alias("place"), bucket(F.lit(run), token(F.lit(run)))) for run in range(runs)])
+    members = nodes.select("sid", F.explode(each).alias("at")).select("sid", "at.*", F.lit(None).cast("long").alias("above"))
     found: list[DataFrame] = []
     paths: list[str] = []
     for level in range(depth):
@@ -180,23 +185,22 @@ def candidates(
         similar = F.coalesce(F.col("size") >= alike * F.col("above"), F.lit(False)) | F.lit(level == depth - 1)
         state = F.when(F.col("size") <= brute, "brute").when(similar, "alike").otherwise("split").alias("state")
         sizes = sizes.where("size > 1").select("bucket", "size", "head", state)
-        held, path = kept_at(members.drop("above").join(sizes, "bucket"), "buckets")
+        held = members.drop("above").join(sizes.hint("merge"), "bucket")
+        if level == 0:
+            held = held.join(nodes.hint("merge"), "sid")
+        held, path = kept_at(held, "buckets")
         paths.append(path)
         found.append(held.where("state = 'alike' and sid <> head").select(F.col("sid").alias("a"), F.col("head").alias("b")))
-        small = held.where("state = 'brute'").join(nodes, "sid")
-        links, path = kept_at(links_in_buckets(small, least_share, coordinates), "links")
+        links, path = kept_at(links_in_buckets(held.where("state = 'brute'"), least_share, coordinates), "links")
         paths.append(path)
         found.append(links)
         large = held.where("state = 'split'")
         if large.isEmpty():
             break
-        # Each coordinate is taken with a chance of 2 / coordinates, by a hash of bucket and coordinate.
-        chosen = F.filter(
-            F.sequence(F.lit(0), F.lit(coordinates - 1)),
-            lambda place: F.pmod(F.xxhash64(F.col("bucket"), place, F.lit(5)), F.lit(coordinates)) < 2,
-        )
-        deeper = large.join(nodes, "sid").select("sid", "tokens", "bucket", F.col("size").alias("above"), F.explode(chosen).alias("place"))
-        members = deeper.select("sid", bucket("bucket", "place", token(F.col("place"))), "above")
+        # Any coordinate but that of the split before.
+        step = F.pmod(F.xxhash64("bucket", F.lit(5)), F.lit(coordinates - 1)).cast("int")
+        large = large.withColumn("place", (F.col("place") + 1 + step) % coordinates)
+        members = large.select("sid", "tokens", "place", bucket("bucket", "place", token(F.col("place"))), F.col("size").alias("above"))
     everything = found[0]
     for more in found[1:]:
         everything = everything.unionByName(more)
@@ -305,7 +309,7 @@ def near_duplicates(
 
     texts = rows.withColumn("text_key", text_key(F.col("_text")))
     same = [texts["doc_id"].eqNullSafe(wanted["doc_id"]), texts["text_key"] == wanted["text_key"]]
-    sets = texts.join(wanted, same).select("sid", "component", "blocks", "_text")
+    sets = texts.join(wanted.hint("merge"), same).select("sid", "component", "blocks", "_text")
     sets = sets.mapInArrow(grams_of, "sid long, component long, blocks int, set binary").dropDuplicates(["sid"])
     own = F.pmod(F.xxhash64("sid", F.lit(3)), F.col("blocks")).cast("int")
     sets = sets.withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -325,7 +329,7 @@ def near_duplicates(
     told = stored(told, "classes")
     for path in (checked_path, classes_path, nodes_path):
         remove_path(spark, path)
-    return keys.join(told, "sid").select("doc_id", "text_key", "class_key", "class_id", "n_links")
+    return keys.join(told.hint("merge"), "sid").select("doc_id", "text_key", "class_key", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -336,5 +340,5 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     heads = heads.select(F.col("head.doc_id").alias("_id"), F.col("head.text_key").alias("_key"))
     # The input's columns travel as one struct, whatever their names.
     keyed = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), text_key(whole(text)).alias("own"))
-    kept = keyed.join(heads, keyed["id"].eqNullSafe(heads["_id"]) & (keyed["own"] == heads["_key"]), "left_semi")
+    kept = keyed.join(heads.hint("merge"), keyed["id"].eqNullSafe(heads["_id"]) & (keyed["own"] == heads["_key"]), "left_semi")
     return kept.dropDuplicates(["id", "own"]).select("doc.*")
