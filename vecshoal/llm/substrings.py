@@ -5,7 +5,7 @@ corpus are too many to move, so only those that can repeat are sorted:
 
 1. Anchors: of every 50-byte string the 20-byte string in it with the least hash is taken, so that equal strings have equal anchors, at
    equal places. Anchors are counted by hash; those of one document only go.
-2. Around each anchor left, a document's 80 bytes are all the 50-byte strings that hold it. These contexts are dealt by
+2. The bytes around each anchor left, of all the 50-byte strings that it was taken from, are its context. Contexts are dealt by
    anchor and their suffixes sorted deep-shallow: multikey quicksort, eight bytes at a time, to depth 24; what is then still in groups has a
    long common prefix and is ordered as a blind trie orders it, going straight to the first word in which a group differs.
    Suffixes equal over 50 bytes end side by side, and the least id among them tells for which documents they repeat.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecshoal.llm.common import kept_at, stored, text_key, whole
@@ -39,6 +39,7 @@ BEFORE = LEAST - ANCHOR
 CONTEXT = BEFORE + LEAST
 SHALLOW_WORDS = 3
 PART = 1 << 20
+PLACE_BITS = np.uint64((1 << 21) - 1)
 ODD_NUMBER = 0x9E3779B97F4A7C15
 
 
@@ -52,10 +53,12 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of a text. Equal hashes in one string are all taken."""
-    if len(text) < LEAST:
-        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
-    places, hashes = [], []
+    """Anchors of a text: ``place << 10 | o_low << 5 | o_high``, and their hashes.
+
+    The strings that an anchor stands for, those in which it is the first of least hash, start ``o_low`` to ``o_high`` bytes before it;
+    every string has one anchor.
+    """
+    found, hashes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for begin in range(0, len(text) - LEAST + 1, PART):
         b = np.frombuffer(text, dtype=np.uint8, offset=begin, count=min(PART + LEAST - 1, len(text) - begin))
         h, by_size = b.astype(np.uint64) + np.uint64(1), {}
@@ -66,16 +69,13 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
-        least = sliding(h, PLACES, np.minimum)
-        edge = np.zeros(PLACES - 1, dtype=np.uint64)
-        held = sliding(np.concatenate([edge, least, edge]), PLACES, np.maximum)
-        at = np.flatnonzero(held == h)
-        places.append((at + begin).astype(np.int32))
+        # The place in the low bits: of equal hashes the first is the least.
+        ranked = (h & ~PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
+        least = (sliding(ranked, PLACES, np.minimum) & PLACE_BITS).astype(np.int64)
+        at, first, count = np.unique(least, return_index=True, return_counts=True)
+        found.append((at + begin) << 10 | (at - first - count + 1) << 5 | at - first)
         hashes.append(h[at].view(np.int64))
-    if len(places) == 1:
-        return places[0], hashes[0]
-    where, first = np.unique(np.concatenate(places), return_index=True)
-    return where, np.concatenate(hashes)[first]
+    return np.concatenate(found), np.concatenate(hashes)
 
 
 def refine(order: np.ndarray, runs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +119,7 @@ def equal_prefixes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def covered(contexts: np.ndarray, lows: np.ndarray, highs: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows whose context repeats an earlier document, with the first and last byte (exclusive) relative to the anchor.
 
-    ``lows`` and ``highs`` are the bytes a document really has before and from the anchor on.
+    ``lows`` and ``highs`` say how far before the anchor its strings start.
     """
     packed = np.concatenate([contexts, lows[:, None].astype(np.uint8), highs[:, None].astype(np.uint8)], axis=1)
     flat = np.ascontiguousarray(packed).view(np.dtype((np.void, packed.shape[1]))).ravel()
@@ -134,7 +134,7 @@ def covered(contexts: np.ndarray, lows: np.ndarray, highs: np.ndarray, docs: np.
         at_byte |= u[:, byte : byte + span].astype(np.uint64) << np.uint64(56 - 8 * byte)
     # Place o: the string starts o bytes before the anchor.
     o = np.arange(PLACES)
-    real = (o <= lows[kept][:, None]) & (LEAST - o <= highs[kept][:, None])
+    real = (o >= lows[kept][:, None]) & (o <= highs[kept][:, None])
     row, place = np.nonzero(real)
     offsets = np.append(np.arange(0, LEAST - 7, 8), LEAST - 8)
     words = at_byte[row[:, None], (BEFORE - place)[:, None] + offsets]
@@ -162,47 +162,52 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, hash, pos`` of the anchors of all documents."""
+    """``doc_id, hash, at`` of the anchors of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
                 found = [anchors(text.as_buffer().to_pybytes()) for text in part.column(1)]
-                sizes = np.array([len(p) for p, _ in found])
-                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
-                columns = [ids, np.concatenate([h for _, h in found]), np.concatenate([p for p, _ in found])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "hash", "pos"])
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(at) for at, _ in found])
+                columns = [ids, np.concatenate([h for _, h in found]), np.concatenate([at for at, _ in found])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "hash", "at"])
 
-    return docs.select("doc_id", F.col("_text").cast("binary")).mapInArrow(run, "doc_id long, hash long, pos int")
+    return docs.select("doc_id", F.col("_text").cast("binary")).mapInArrow(run, "doc_id long, hash long, at long")
 
 
 def context_rows(docs: DataFrame, hints: DataFrame) -> DataFrame:
-    """Contexts of the anchors in ``hints`` (``doc_id, at`` as an array of places and hashes)."""
+    """Contexts of the anchors in ``hints``, which has an array of places and hashes for each ``doc_id``.
+
+    Of a context only the bytes of the strings that the anchor stands for are there, the others are 0.
+    """
+    reach = np.arange(CONTEXT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "often", "doc_id", "text_key", "pos", "low", "high", "context"]
+        names = ["hash", "doc_id", "text_key", "pos", "low", "high", "context"]
         for batch in batches:
-            for doc, key, text, at in zip(*(batch.column(n) for n in range(4))):
-                data, places = text.as_py(), at.values
-                pos, hashes, often = (places.field(n).to_numpy(zero_copy_only=False) for n in range(3))
-                inside = pos + ANCHOR <= len(data)
-                pos, hashes, often = pos[inside], hashes[inside], often[inside]
+            for doc, key, text, listed in zip(*(batch.column(n) for n in range(4))):
+                data, places = text.as_py(), listed.values
+                at, hashes = (places.field(n).to_numpy(zero_copy_only=False) for n in range(2))
+                pos, low, high = at >> 10, at >> 5 & 31, at & 31
+                # Rows of one id may have other texts, whose anchors mean nothing here.
+                inside = np.flatnonzero(pos - low + LEAST <= len(data))
                 padded = np.zeros(len(data) + CONTEXT, dtype=np.uint8)
                 padded[BEFORE : BEFORE + len(data)] = np.frombuffer(data, dtype=np.uint8)
-                for begin in range(0, len(pos), 20_000):
-                    p = pos[begin : begin + 20_000]
-                    windows = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[p]
-                    offsets = np.arange(0, CONTEXT * (len(p) + 1), CONTEXT, dtype=np.int32)
-                    binary = pa.Array.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(offsets), pa.py_buffer(windows.tobytes())])
+                for begin in range(0, len(inside), 20_000):
+                    some = inside[begin : begin + 20_000]
+                    windows = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[pos[some]]
+                    used = (reach >= BEFORE - high[some][:, None]) & (reach < CONTEXT - low[some][:, None])
+                    offsets = np.arange(0, CONTEXT * (len(some) + 1), CONTEXT, dtype=np.int32)
+                    buffers = [None, pa.py_buffer(offsets), pa.py_buffer((windows * used).tobytes())]
                     columns = [
-                        pa.array(hashes[begin : begin + 20_000]), pa.array(often[begin : begin + 20_000]),
-                        pa.array(np.full(len(p), doc.as_py())), pa.array(np.full(len(p), key.as_py())), pa.array(p),
-                        pa.array(np.minimum(p, BEFORE).astype(np.int32)), pa.array(np.minimum(len(data) - p, LEAST).astype(np.int32)), binary,
+                        pa.array(hashes[some]), pa.array(np.full(len(some), doc.as_py())), pa.array(np.full(len(some), key.as_py())),
+                        *(pa.array(x[some].astype(np.int32)) for x in (pos, low, high)),
+                        pa.Array.from_buffers(pa.binary(), len(some), buffers),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "hash long, often boolean, doc_id long, text_key long, pos int, low int, high int, context binary"
+    schema = "hash long, doc_id long, text_key long, pos int, low int, high int, context binary"
     rows = docs.select("doc_id", text_key(F.col("_text")).alias("text_key"), F.col("_text").cast("binary").alias("_bytes"))
     return rows.join(hints, "doc_id").select("doc_id", "text_key", "_bytes", "at").mapInArrow(run, schema)
 
@@ -244,9 +249,7 @@ def repeats_by_sorting(contexts: DataFrame) -> DataFrame:
 
 def repeats_by_content(contexts: DataFrame) -> DataFrame:
     """The same for anchors too frequent for one task: their strings are grouped by content."""
-    places = F.sequence(F.greatest(F.lit(0), F.lit(LEAST) - F.col("high")), F.col("low"))
-    fits = contexts.where(F.col("low") + F.col("high") >= LEAST)
-    strings = fits.select("doc_id", "text_key", "pos", "context", F.explode(places).alias("o"))
+    strings = contexts.select("doc_id", "text_key", "pos", "context", F.explode(F.sequence("low", "high")).alias("o"))
     strings = strings.withColumn("string", F.expr(f"substring(context, {BEFORE + 1} - o, {LEAST})")).drop("context")
     earliest = strings.groupBy("string").agg(F.min("doc_id").alias("earliest"))
     later = strings.join(earliest, "string").where(F.col("earliest") < F.col("doc_id"))
@@ -254,6 +257,11 @@ def repeats_by_content(contexts: DataFrame) -> DataFrame:
     return later.select("doc_id", "text_key", start.alias("start"), (start + LEAST).alias("end"))
 
 
+def hints_of(often: bool) -> Column:
+    """The anchors of a document that are, or are not, too frequent for one task."""
+    return F.collect_list(F.when(F.col("often") == often, F.struct("at", "hash"))).alias("often" if often else "seldom")
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_contexts: int = 100_000) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans`` and ``kept``, the bytes left of each document."""
     spark = docs.sparkSession
@@ -262,15 +270,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = anchor_rows(named)
     counted = found.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
     shared, shared_path = kept_at(counted.where("a < b").select("hash", (F.col("n") > most_contexts).alias("often")), "anchors")
-    at = F.collect_list(F.struct("pos", "hash", "often")).alias("at")
-    hints, hints_path = kept_at(found.join(shared, "hash").groupBy("doc_id").agg(at), "hints")
+    hints, hints_path = kept_at(found.join(shared, "hash").groupBy("doc_id").agg(*[hints_of(often) for often in (False, True)]), "hints")
+    some_often = not shared.where("often").isEmpty()
     remove_path(spark, shared_path)
-    contexts, contexts_path = kept_at(context_rows(named, hints), "contexts")
-    remove_path(spark, hints_path)
-    spans = repeats_by_sorting(contexts.where("not often")).unionByName(repeats_by_content(contexts.where("often")))
+    # Stored, so that the documents' shuffle is freed before the contexts' own.
+    contexts, contexts_path = kept_at(context_rows(named, hints.select("doc_id", F.col("seldom").alias("at"))), "contexts")
+    spans = repeats_by_sorting(contexts)
+    if some_often:
+        often = hints.where(F.size("often") > 0).select("doc_id", F.col("often").alias("at"))
+        spans = spans.unionByName(repeats_by_content(context_rows(named, often)))
     spans = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = stored(spans, "spans")
     remove_path(spark, contexts_path)
+    remove_path(spark, hints_path)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
