@@ -63,3 +63,23 @@ def test_edges(spark):
     docs = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 as text", "2 as blocks", "3 as _host", "4 as template")
     got = sorted((str(r.page_id), r.text) for r in html_text.extract(docs).collect())
     assert got == [("1", ""), ("2", ""), ("3", "a"), ("3", "a"), ("5", "<" * 2000), ("6", "deep"), ("None", "plain")]
+
+
+def test_recurring_containers_inside_articles_go(spark):
+    """A notice inside marked articles is told by its count; passages and the article's own containers stay."""
+    notice = "<div><p>Read us every day</p><ul><li>by post</li></ul></div>"
+    body = "<div><h2>Story</h2><p>Licensed under X.</p>{0}<p>own {1}</p></div><ul><li>salt</li><li>item {1}</li></ul>"
+    got = texts(spark, [page("<div>Site</div>", body.format(notice, n)) for n in range(8)])
+    assert got[5] == "Story\nLicensed under X.\nown 5\nsalt\nitem 5"
+
+
+def test_pages_with_articles_are_counted(spark):
+    """What surrounds articles is template on the host's pages without one; an article without text is no frame."""
+    pages = [page("<div>Welcome to the site</div>", f"<p>t{n}</p>") for n in range(8)]
+    got = texts(spark, [*pages, page("<div>Welcome to the site</div><p>front</p>"), page("<div>Welcome to the site</div><p>bare</p>", "<form>f</form>")])
+    assert (got[2], got[8], got[9]) == ("t2", "front", "bare")
+
+
+def test_subtrees_of_article_pages_are_hashed():
+    blocks, subtrees = html_text.page_blocks(page("<nav><ul><li>a</li></ul></nav><footer>f</footer>", "<p>t</p>"))
+    assert [block["text"] for block in blocks] == ["t"] and len(subtrees) == 5

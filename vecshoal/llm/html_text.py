@@ -1,11 +1,13 @@
 """Main text of web pages by removing what a site repeats on its pages.
 
 Each page is read once into blocks of text. Every element that holds text is a subtree with a hash of its tags and
-words; Spark counts the subtrees by host, and those found on at least ``share`` of a host's pages (``least_pages`` at
-least) are template and go with all they hold. At most (elements per page / ``share``) subtrees of a host can pass, so
-they travel as one short list per host. What sites do not repeat word for word - menus that change from page to page, adverts,
-forms, reader comments - is told by element, role and class names. If a page marks its article (``article``, ``main``), only
-that is text, and its passages are never template: pages of a site may quote one another.
+words, on every page and whether or not it is told by a name; Spark counts the subtrees by host, and those found on at least
+``share`` of a host's pages (``least_pages`` at least) are template and go with all they hold. At most (elements per page /
+``share``) subtrees of a host can pass, so they travel as one short list per host. What sites do not repeat word for word - menus that
+change from page to page, adverts, forms, reader comments - is told by element, role and class names. If a page marks its article
+(``article``, ``main``) and the article holds text, only that is text. Elements inside it are template like any others, but
+its passages - paragraphs, headings, quotations, single items of lists and tables - do not go by their own count: pages of a
+site may quote one another. They go with a recurring element around them.
 
 Cases: a NULL html is empty and gives an empty text; a NULL url belongs to a host of its own; repeated rows each count as a page
 and are given out alike; malformed and cut-off markup is read as far as it goes; an empty table gives an empty result. Only id, url and
@@ -52,10 +54,17 @@ BESIDE_NAMES = set(
     "subscribe toolbar widget".split()
 )
 MAIN = {"article", "main"}
+#: Elements of an article that are not template by their own count.
+PASSAGE = set("blockquote dd dt h1 h2 h3 h4 h5 h6 li p pre td th tr".split())
+#: Elements that are the page or its article, never a part that a site repeats.
+WHOLE = MAIN | {"body", "html"}
 SPACE = re.compile(r"\s+")
 
 PARSED = T.StructType(
-    [T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.LongType()))])))]
+    [
+        T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.LongType()))]))),
+        T.StructField("subtrees", T.ArrayType(T.LongType())),
+    ]
 )
 
 
@@ -71,10 +80,11 @@ def beside(tag: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
-def page_blocks(page: str) -> list[dict]:
-    """Blocks of text in page order, each with the hashes of the subtrees it lies in, innermost first.
+def page_blocks(page: str) -> tuple[list[dict], list[int]]:
+    """Blocks of text in page order, each with the hashes of the subtrees it may go with, innermost first; and the hashes
+    of all subtrees of the page.
 
-    If the page marks an article, only blocks of it come, without hashes.
+    If the page marks an article that holds text, only blocks of it come.
     """
     tags, parents, digests, named, mains = ["#"], [-1], [xxhash.xxh64("#")], [False], [False]
     blocks: list[tuple[int, str]] = []
@@ -137,19 +147,23 @@ def page_blocks(page: str) -> list[dict]:
     flush()
     while at > 0:
         close()
-    has_main = any(m and not n for m, n in zip(mains, named))
-    out = []
+    has_main = any(mains[node] and not named[node] for node, _ in blocks)
+    out, counted = [], {0}
     for node, text in blocks:
+        up = node
+        while up not in counted:
+            counted.add(up)
+            up = parents[up]
         if named[node] or has_main and not mains[node]:
             continue
         path = []
         up = node
-        while up > 0 and not has_main:
-            if tags[up] not in ("body", "html"):
+        while up > 0 and mains[up] >= has_main:
+            if tags[up] not in WHOLE and not (has_main and tags[up] in PASSAGE):
                 path.append(digests[up].intdigest() - (1 << 63))
             up = parents[up]
         out.append({"text": text, "path": path})
-    return out
+    return out, sorted({digests[node].intdigest() - (1 << 63) for node in counted if node and tags[node] not in WHOLE})
 
 
 def extract(
@@ -169,22 +183,26 @@ def extract(
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                blocks = pa.array([page_blocks(page) for page in part.column(2).to_pylist()], type=nested)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), blocks], names=["page_id", "url", "blocks"])
+                pages_read = [page_blocks(page) for page in part.column(2).to_pylist()]
+                columns = [
+                    part.column(0), part.column(1),
+                    pa.array([blocks for blocks, _ in pages_read], type=nested),
+                    pa.array([subtrees for _, subtrees in pages_read], type=pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "blocks", "subtrees"])
 
     read = pages.select(F.col(page_id), F.col(url).cast("string"), whole(html)).mapInArrow(parse, schema)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     read = stored(read.withColumn("_host", host), "pages")
 
     sizes = read.groupBy("_host").agg(F.count("*").alias("pages"))
-    hashes = F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda block: block["path"])))).alias("subtree")
-    counts = read.select("_host", hashes).groupBy("_host", "subtree").agg(F.count("*").alias("n"))
+    counts = read.select("_host", F.explode("subtrees").alias("subtree")).groupBy("_host", "subtree").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= least_pages).join(sizes, "_host").where(F.col("n") >= F.col("pages") * share)
     templates = often.groupBy("_host").agg(F.collect_list("subtree").alias("template"))
     templates = sizes.join(templates, "_host", "left").select(
         "_host", F.coalesce("template", F.array().cast("array<bigint>")).alias("template")
     )
-    pages_with = attach(read.withColumn("_spread", F.xxhash64("url", "page_id")), templates, "_host", "_spread", salts=32)
+    pages_with = attach(read.drop("subtrees").withColumn("_spread", F.xxhash64("url", "page_id")), templates, "_host", "_spread", salts=32)
     own = F.filter("blocks", lambda block: ~F.arrays_overlap(block["path"], F.col("template")))
     text = F.array_join(F.transform(own, lambda block: block["text"]), "\n")
     return pages_with.select("page_id", "url", text.alias("text"))
