@@ -81,5 +81,36 @@ def test_pages_with_articles_are_counted(spark):
 
 
 def test_subtrees_of_article_pages_are_hashed():
-    blocks, subtrees = html_text.page_blocks(page("<nav><ul><li>a</li></ul></nav><footer>f</footer>", "<p>t</p>"))
-    assert [block["text"] for block in blocks] == ["t"] and len(subtrees) == 5
+    blocks, units = html_text.page_blocks(page("<nav><ul><li>a</li></ul></nav><footer>f</footer>", "<p>t</p>"))
+    assert [block["text"] for block in blocks] == ["t"] and [len(unit["subtrees"]) for unit in units] == [4, 1]
+
+
+def test_copies_are_not_template(spark):
+    """Repeated pages count as one, and an article of several pages as one; a host of copies keeps its text."""
+    story = page("<div><p>One story</p><p>told twice</p></div>")
+    pages = [("http://h.example/", page(f"<div><p>t{n}</p></div>")) for n in range(7)] + [("http://h.example/copy", story)] * 3
+    pages += [("http://copies.example/", story)] * 5
+    post = "<article><div><p>A post</p></div></article>"
+    pages += [("http://blog.example/", f"<body>{post}<article><div><p>other {n}</p></div></article></body>") for n in range(5)]
+    comments = "".join(f"<article><p>c{n}</p><div>Reply</div></article>" for n in range(5))
+    pages.append(("http://one.example/", f"<body>{comments}</body>"))
+    got = texts(spark, pages)
+    assert {got[n] for n in range(7, 15)} == {"One story\ntold twice"}
+    assert got[16] == "A post\nother 1"
+    assert got[20].count("Reply") == 5
+
+
+def test_many_pages_of_a_large_host(spark):
+    """A notice on a small share of a large host's pages is template, whether marks are sent or dealt."""
+    pages = [page(f"<p>own {n}</p>" + (f"<div>Notice {n % 10}</div>" if n < 120 else "")) for n in range(400)]
+    got = texts(spark, pages, many_pages=12)
+    assert got == {n: f"own {n}" for n in range(400)}
+    assert texts(spark, pages[:60], many_pages=12)[3] == "own 3\nNotice 3"
+
+
+def test_marks_dealt_by_row(spark, monkeypatch):
+    pages = [page(f"<div>Head</div><p>own {n}</p>") for n in range(20)] + [page("", f"<p>a{n}</p>") for n in range(5)]
+    want = texts(spark, pages)
+    monkeypatch.setattr(html_text, "local_copy", lambda marks: None)
+    monkeypatch.setattr("vecshoal.operators.joins.local_copy", lambda *of: None)
+    assert texts(spark, pages) == want and want[3] == "own 3" and want[22] == "a2"

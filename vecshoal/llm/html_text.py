@@ -1,15 +1,16 @@
 """Main text of web pages by removing what a site repeats on its pages.
 
 Each page is read once into blocks of text. Every element that holds text is a subtree with a hash of its tags and
-words, on every page and whether or not it is told by a name; Spark counts the subtrees by host, and those found on at least
-``share`` of a host's pages (``least_pages`` at least) are template and go with all they hold. At most (elements per page /
-``share``) subtrees of a host can pass, so they travel as one short list per host. What sites do not repeat word for word - menus that
+words, on every page and whether or not it is told by a name. Spark counts the subtrees by host, and those found on at least
+``share`` of a host's pages (``least_pages`` at least), or on ``many_pages`` however large the host is, are template and go with all
+they hold. Copies are no evidence: pages of a host with equal blocks count as one, and so do equal articles, which a site may show on
+their own page and in its lists. Subtrees of pages meet the templates by host and hash, and a page gets those it holds. What sites do not repeat word for word - menus that
 change from page to page, adverts, forms, reader comments - is told by element, role and class names. If a page marks its article
 (``article``, ``main``) and the article holds text, only that is text. Elements inside it are template like any others, but
 its passages - paragraphs, headings, quotations, single items of lists and tables - do not go by their own count: pages of a
 site may quote one another. They go with a recurring element around them.
 
-Cases: a NULL html is empty and gives an empty text; a NULL url belongs to a host of its own; repeated rows each count as a page
+Cases: a NULL html is empty and gives an empty text; a NULL url belongs to a host of its own; repeated rows count as one page
 and are given out alike; malformed and cut-off markup is read as far as it goes; an empty table gives an empty result. Only id, url and
 html are read, so other columns never clash.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshoal.llm.common import stored, whole
-from vecshoal.operators.joins import attach
+from vecshoal.operators.joins import attach, local_copy
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)"""
@@ -63,7 +64,7 @@ SPACE = re.compile(r"\s+")
 PARSED = T.StructType(
     [
         T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.LongType()))]))),
-        T.StructField("subtrees", T.ArrayType(T.LongType())),
+        T.StructField("units", T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.StructField("subtrees", T.ArrayType(T.LongType()))]))),
     ]
 )
 
@@ -80,9 +81,9 @@ def beside(tag: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
-def page_blocks(page: str) -> tuple[list[dict], list[int]]:
-    """Blocks of text in page order, each with the hashes of the subtrees it may go with, innermost first; and the hashes
-    of all subtrees of the page.
+def page_blocks(page: str) -> tuple[list[dict], list[dict]]:
+    """Blocks of text in page order, each with the hashes of the subtrees it may go with, innermost first; and the page
+    followed by its articles, each with a hash of its blocks and the hashes of the subtrees in it but in no article further in.
 
     If the page marks an article that holds text, only blocks of it come.
     """
@@ -148,11 +149,19 @@ def page_blocks(page: str) -> tuple[list[dict], list[int]]:
     while at > 0:
         close()
     has_main = any(mains[node] and not named[node] for node, _ in blocks)
+    # The article or page around each element.
+    around = [0] * len(tags)
+    for node in range(1, len(tags)):
+        around[node] = node if tags[node] in MAIN else around[parents[node]]
+    held = {0: xxhash.xxh64(seed=1)}
+    subtrees: dict[int, set[int]] = {0: set()}
     out, counted = [], {0}
     for node, text in blocks:
         up = node
         while up not in counted:
             counted.add(up)
+            if tags[up] not in WHOLE:
+                subtrees.setdefault(around[up], set()).add(digests[up].intdigest() - (1 << 63))
             up = parents[up]
         if named[node] or has_main and not mains[node]:
             continue
@@ -163,7 +172,13 @@ def page_blocks(page: str) -> tuple[list[dict], list[int]]:
                 path.append(digests[up].intdigest() - (1 << 63))
             up = parents[up]
         out.append({"text": text, "path": path})
-    return out, sorted({digests[node].intdigest() - (1 << 63) for node in counted if node and tags[node] not in WHOLE})
+        line, unit = text + "\n", around[node]
+        held[0].update(line)
+        while unit:
+            held.setdefault(unit, xxhash.xxh64()).update(line)
+            unit = around[parents[unit]]
+    none = xxhash.xxh64()
+    return out, [{"hash": held.get(unit, none).intdigest() - (1 << 63), "subtrees": sorted(own)} for unit, own in sorted(subtrees.items())]
 
 
 def extract(
@@ -173,11 +188,13 @@ def extract(
     html: str = "html",
     share: float = 0.2,
     least_pages: int = 3,
+    many_pages: int = 100,
 ) -> DataFrame:
     """``page_id, url, text``: the main text, one line per block."""
     id_type = pages.schema[page_id].dataType
     schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), *PARSED.fields])
     nested = pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))]))
+    counted = pa.list_(pa.struct([("hash", pa.int64()), ("subtrees", pa.list_(pa.int64()))]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,22 +204,38 @@ def extract(
                 columns = [
                     part.column(0), part.column(1),
                     pa.array([blocks for blocks, _ in pages_read], type=nested),
-                    pa.array([subtrees for _, subtrees in pages_read], type=pa.list_(pa.int64())),
+                    pa.array([units for _, units in pages_read], type=counted),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "blocks", "subtrees"])
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "blocks", "units"])
 
     read = pages.select(F.col(page_id), F.col(url).cast("string"), whole(html)).mapInArrow(parse, schema)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
-    read = stored(read.withColumn("_host", host), "pages")
-
-    sizes = read.groupBy("_host").agg(F.count("*").alias("pages"))
-    counts = read.select("_host", F.explode("subtrees").alias("subtree")).groupBy("_host", "subtree").agg(F.count("*").alias("n"))
-    often = counts.where(F.col("n") >= least_pages).join(sizes, "_host").where(F.col("n") >= F.col("pages") * share)
-    templates = often.groupBy("_host").agg(F.collect_list("subtree").alias("template"))
-    templates = sizes.join(templates, "_host", "left").select(
-        "_host", F.coalesce("template", F.array().cast("array<bigint>")).alias("template")
-    )
-    pages_with = attach(read.drop("subtrees").withColumn("_spread", F.xxhash64("url", "page_id")), templates, "_host", "_spread", salts=32)
-    own = F.filter("blocks", lambda block: ~F.arrays_overlap(block["path"], F.col("template")))
+    read = stored(read.withColumn("_host", host).withColumn("row", F.monotonically_increasing_id()), "pages")
+
+    # Copies of a page or an article are one. Of what surrounds equal texts, one copy's is counted.
+    every = F.array_sort(F.array_distinct(F.flatten(F.col("units")["subtrees"])))
+    alone = F.transform("units", lambda unit: F.struct(F.lit(0).alias("page"), unit["hash"].alias("hash"), unit["subtrees"].alias("subtrees")))
+    page = F.struct(F.lit(1).alias("page"), F.col("units")[0]["hash"].alias("hash"), every.alias("subtrees"))
+    once = read.select("_host", F.inline(F.concat(F.array(page), alone))).groupBy("_host", "page", "hash").agg(F.min("subtrees").alias("subtrees"))
+    counts = once.select("_host", "page", F.explode("subtrees").alias("subtree")).groupBy("_host", "subtree")
+    counts = counts.agg(F.least(F.sum("page"), F.sum(1 - F.col("page"))).alias("n")).where(F.col("n") >= least_pages)
+    sizes = read.groupBy("_host").agg(F.count_distinct(F.col("units")[0]["hash"]).alias("pages"))
+    often = counts.join(sizes, "_host").where((F.col("n") >= F.col("pages") * share) | (F.col("n") >= many_pages))
+    often = stored(often.select(F.struct("_host", "subtree").alias("key")), "templates")
+
+    paths = F.array_distinct(F.flatten(F.col("blocks")["path"]))
+    held = read.select("row", "_host", F.explode(paths).alias("subtree")).select("row", F.struct("_host", "subtree").alias("key"))
+    marks = attach(held, often, "key", "row", salts=32).groupBy("row").agg(F.collect_list("key.subtree").alias("template"))
+    marks = stored(marks, "marks")
+    few = local_copy(marks)
+    if few is not None:
+        pages_with = read.join(F.broadcast(few), "row", "left")
+    else:
+        # Pages without a subtree that could be template stay where they are.
+        bare = F.size(paths) == 0
+        pages_with = read.where(~bare).join(marks, "row", "left")
+        pages_with = pages_with.unionByName(read.where(bare).withColumn("template", F.lit(None).cast("array<bigint>")))
+    template = F.coalesce("template", F.array().cast("array<bigint>"))
+    own = F.filter("blocks", lambda block: ~F.arrays_overlap(block["path"], template))
     text = F.array_join(F.transform(own, lambda block: block["text"]), "\n")
     return pages_with.select("page_id", "url", text.alias("text"))
