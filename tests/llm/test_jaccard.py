@@ -81,6 +81,35 @@ def test_one_of_each_keeps_columns(documents, prose):
     assert sum(r.doc_id is None for r in got) == 1
 
 
+def test_pairs_in_a_large_group_of_a_common_pool(documents):
+    """Pairs at 0.80 to 0.85 among sets whose words all come from one pool, where runs go deep before buckets are small."""
+    rng = random.Random(2)
+    pool = [f"w{n}" for n in range(200)]
+    rows, pairs = [], []
+    for n in range(900):
+        words = rng.sample(pool, 140)
+        rows.append((n, " ".join(words)))
+        if n < 300:
+            new = rng.sample(sorted(set(pool) - set(words)), rng.randint(12, 15))
+            rows.append((10_000 + n, " ".join([*new, *words[len(new) :]])))
+            pairs.append((n, 10_000 + n))
+    got = {r.doc_id: r.class_id for r in jaccard.near_duplicates(documents(rows), n=1, coordinates=256, brute=5, depth=10, alike=0.95).collect()}
+    assert [pair for pair in pairs if got[pair[1]] != pair[0]] == []
+    assert all(got[n] == n for n in range(900))
+
+
+def test_chance_missed():
+    """Against drawn numbers of equal tokens; and the runs that a depth needs."""
+    import numpy as np
+
+    least, allowed = jaccard.least_equal(0.8, 64, 0.999)
+    equal = np.random.default_rng(1).binomial(64, 0.8, 400_000)
+    drawn = ((equal >= least) * (1 - (equal / 64) ** 2) ** 3 * (1 - (equal / 64) ** 6) ** 9).mean()
+    told = jaccard.chance_missed(np.array([[0, 3, 0, 0, 0, 9]]), 0.8, 64, least)[0]
+    assert abs(drawn - told) < 0.002
+    assert (equal < least).mean() + allowed <= 0.00125 and allowed < 0.001
+
+
 def test_empty(documents):
     assert jaccard.near_duplicates(documents([])).count() == 0
     assert jaccard.one_of_each(documents([])).count() == 0

@@ -3,11 +3,12 @@
 Texts with equal n-gram sets form one node; what follows works on nodes. Each set is embedded as ``coordinates`` MinHash values,
 tokens that two sets share with a chance equal to their similarity.
 
-1. Chosen paths. Each of ``runs`` runs splits all sets on one sampled token. A bucket of at most ``brute`` sets is compared by the
+1. Chosen paths. Each of ``runs`` runs, or more, splits all sets on one sampled token. A bucket of at most ``brute`` sets is compared by the
    embedded tokens; a larger one is split again on a token sampled for it, and so on. A bucket that keeps most of
-   its sets under a split holds sets that are alike, so all are taken as candidates of one another. At the least similarity a run
-   keeps a pair at each split with a chance of 0.8, so twelve runs miss it with a chance of 0.2**12 if its buckets are small, and of
-   0.002 after four splits.
+   its sets under a split holds sets that are alike, so all are taken as candidates of one another. A run that ends after L tokens
+   meets a pair at the least similarity with a chance of 0.8**L, more or less as its embedded tokens happen to agree. Each set
+   counts the depths at which its runs ended; sets whose depths leave a chance above 1 - ``recall`` to miss such a pair go through
+   more runs among themselves, until none is left. A pair with one end that has met ``recall`` was in its buckets.
 2. Candidates form components, which hold every true link and perhaps more. A component's sets meet in one
    task, or, if they are too many, block by block, and there all true similarities are computed: links are exact, counted per node, and no pair
    leaves the task.
@@ -23,6 +24,7 @@ an empty table gives an empty result. Only id and text are read, so other column
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,18 +170,97 @@ def links_in_buckets(buckets: DataFrame, least_share: float, coordinates: int) -
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def chance_missed(depths: np.ndarray, threshold: float, coordinates: int, least: int) -> np.ndarray:
+    """The chance that runs miss a pair of similarity ``threshold`` of which ``least`` or more tokens are equal.
+
+    A row of ``depths`` has the numbers of runs that ended after 1, 2, ... tokens. The number of equal tokens is binomial.
+    """
+    equal = np.arange(least, coordinates + 1)
+    weights = np.array([math.comb(coordinates, n) * threshold**n * (1 - threshold) ** (coordinates - n) for n in equal.tolist()])
+    apart = 1 - (equal[:, None] / coordinates) ** np.arange(1, depths.shape[1] + 1)
+    return np.power(apart, depths[:, None, :]).prod(axis=2) @ weights
+
+
+def least_equal(threshold: float, coordinates: int, recall: float) -> tuple[int, float]:
+    """The number of equal tokens from which a pair is likely, and the chance to miss that is left to the runs.
+
+    3.5 deviations below the mean, or less, so that fewer pairs fall below than a quarter of those that may be missed.
+    """
+    below, share = 0, 0.0
+    most = math.ceil(coordinates * (threshold - 3.5 * (threshold * (1 - threshold) / coordinates) ** 0.5))
+    while below < most:
+        more = share + math.comb(coordinates, below) * threshold**below * (1 - threshold) ** (coordinates - below)
+        if more > (1 - recall) / 4:
+            break
+        below, share = below + 1, more
+    return below, 1 - recall - share
+
+
+def still_open(depths: DataFrame, threshold: float, coordinates: int, least: int, allowed: float) -> DataFrame:
+    """The rows of ``sid, depths`` whose runs may miss more than allowed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                missed = chance_missed(np.array(part.column(1).to_pylist()), threshold, coordinates, least)
+                yield part.filter(pa.array(missed > allowed))
+
+    return depths.select("sid", "depths").mapInArrow(run, "sid long, depths array<bigint>")
+
+
 def candidates(
-    nodes: DataFrame, threshold: float, coordinates: int, runs: int, brute: int, depth: int, alike: float
+    nodes: DataFrame, threshold: float, coordinates: int, runs: int, brute: int, depth: int, alike: float, recall: float
 ) -> tuple[DataFrame, list[str]]:
-    """Likely links ``a, b`` between nodes: all within a similarity of ``threshold`` are connected by them, but for a tiny chance."""
-    spread = (threshold * (1 - threshold) / coordinates) ** 0.5
-    least_share = threshold - 3.5 * spread
-    bucket = lambda *of: F.xxhash64(*of).alias("bucket")
-    # A run's first token is that of the coordinate of its own number.
-    each = F.array(*[F.struct(F.lit(run).alias("place"), bucket(F.lit(run), token(F.lit(run)))) for run in range(runs)])
-    members = nodes.select("sid", F.explode(each).alias("at")).select("sid", "at.*", F.lit(None).cast("long").alias("above"))
+    """Likely links ``a, b`` between nodes: a pair at the similarity ``threshold`` is connected by them with a chance of ``recall``."""
+    if not 0 < recall < 1:
+        raise ValueError("recall lies between 0 and 1")
+    least, allowed = least_equal(threshold, coordinates, recall)
+    while chance_missed(np.array([[runs]]), threshold, coordinates, least)[0] > allowed:
+        runs += 1
     found: list[DataFrame] = []
     paths: list[str] = []
+    among, before, done, more = nodes, None, 0, runs
+    while True:
+        splits = run_paths(among, nodes, range(done, done + more), least / coordinates, coordinates, brute, depth, alike, found, paths)
+        if before is None and not splits:
+            break
+        now = before
+        if splits:
+            # A run that was split at a level ended beyond it.
+            rows = splits[0]
+            for level in splits[1:]:
+                rows = rows.unionByName(level)
+            passed = [F.count_if(F.col("level") == level).alias(f"split_{level}") for level in range(depth)]
+            now = rows.groupBy("sid").agg(*passed)
+            now = now if before is None else before.join(now.hint("merge"), "sid", "left")
+        at = [F.lit(more), *[F.coalesce(F.col(f"split_{level}"), F.lit(0)) if splits else F.lit(0) for level in range(depth)]]
+        earlier = F.array(*[F.lit(0)] * depth) if before is None else F.col("depths")
+        ended = F.array(*[(earlier[level] + at[level] - at[level + 1]).cast("long") for level in range(depth)])
+        deep, path = kept_at(still_open(now.withColumn("depths", ended), threshold, coordinates, least, allowed), "deep")
+        paths.append(path)
+        if deep.isEmpty():
+            break
+        before = deep
+        among = nodes.join(deep.select("sid").hint("merge"), "sid")
+        done, more = done + more, done + more
+    everything = found[0]
+    for links in found[1:]:
+        everything = everything.unionByName(links)
+    return everything, paths
+
+
+def run_paths(
+    among: DataFrame, nodes: DataFrame, runs: range, least_share: float, coordinates: int, brute: int, depth: int, alike: float,
+    found: list[DataFrame], paths: list[str],
+) -> list[DataFrame]:
+    """Some runs over some nodes. Adds links to ``found`` and folders to ``paths``; gives ``sid, level`` of each split."""
+    bucket = lambda *of: F.xxhash64(*of).alias("bucket")
+    # A run's first token is that of the coordinate of its own number.
+    places = [(run, F.lit(run % coordinates)) for run in runs]
+    each = F.array(*[F.struct(place.alias("place"), bucket(F.lit(run), token(place))) for run, place in places])
+    members = among.select("sid", F.explode(each).alias("at")).select("sid", "at.*", F.lit(None).cast("long").alias("above"))
+    splits: list[DataFrame] = []
     for level in range(depth):
         sizes = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("sid").alias("head"), F.max("above").alias("above"))
         similar = F.coalesce(F.col("size") >= alike * F.col("above"), F.lit(False)) | F.lit(level == depth - 1)
@@ -197,14 +278,12 @@ def candidates(
         large = held.where("state = 'split'")
         if large.isEmpty():
             break
+        splits.append(large.select("sid", F.lit(level).alias("level")))
         # Any coordinate but that of the split before.
         step = F.pmod(F.xxhash64("bucket", F.lit(5)), F.lit(coordinates - 1)).cast("int")
         large = large.withColumn("place", (F.col("place") + 1 + step) % coordinates)
         members = large.select("sid", "tokens", "place", bucket("bucket", "place", token(F.col("place"))), F.col("size").alias("above"))
-    everything = found[0]
-    for more in found[1:]:
-        everything = everything.unionByName(more)
-    return everything, paths
+    return splits
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -272,6 +351,7 @@ def near_duplicates(
     alike: float = 0.6,
     block_rows: int = 1_500,
     block_grams: int = 3_000_000,
+    recall: float = 0.999,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_key, class_key, class_id, n_links``.
 
@@ -285,7 +365,7 @@ def near_duplicates(
     nodes, nodes_path = kept_at(
         keys.where("grams > 0").groupBy("sid").agg(F.first("grams").alias("grams"), F.first("tokens").alias("tokens")), "nodes"
     )
-    likely, paths = candidates(nodes.select("sid", "tokens"), threshold, coordinates, runs, brute, depth, alike)
+    likely, paths = candidates(nodes.select("sid", "tokens"), threshold, coordinates, runs, brute, depth, alike, recall)
     joined, joined_path = components(likely, "candidates")
     for path in paths:
         remove_path(spark, path)
