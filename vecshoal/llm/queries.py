@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshoal.llm import classifier, fingerprints, html_text, jaccard, lines, mixing, packing, pii, rules, substrings
+from vecshoal.llm import (
+    classifier, fingerprints, html_text, jaccard, lines, mixing, packing, pii, ranked, residual_packing, rules, spelling, substrings,
+)
+from vecshoal.llm.common import whole
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -97,6 +100,29 @@ def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    lowered = F.translate(whole("text"), CAPITALS, SMALL)
+    runs = table(spark, sf, "documents").select("doc_id", F.explode(F.regexp_extract_all(lowered, F.lit("([a-z\u00C0-\u00FF]+)"))).alias("run"))
+    drawn = runs.withColumn("h", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run"))))
+    run, at = F.col("run"), (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+    return spelling.group_variants(drawn.select(F.when(F.col("h") % 199 == 0, cut).otherwise(run).alias("word")))
+
+
+def op12_residual_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = residual_packing.pack_whole(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -110,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_adaptive_rules,
         op9_html_main_text,
         op10_repeated_passages,
+        op11_spelling_variants,
+        op12_residual_packing,
+        op13_ranked_search,
     )
 }
 
@@ -222,10 +251,41 @@ c AS (SELECT doc_id, count(*) AS n_spans, sum(stop - start) AS n_removed FROM z
 SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
   sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM h LEFT JOIN b USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
+#: CRC-32 by its table, which eight steps make of each byte; near words share what is left when one character is dropped from them.
+SPELLING_SQL = f"""WITH RECURSIVE crc AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+    FROM (SELECT unnest(range(256)) AS b)),
+r AS (SELECT doc_id, run, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '[a-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+x AS (SELECT *, hex(encode(doc_id::VARCHAR || ':' || run)) AS code FROM r),
+y AS (SELECT run, times, list_prepend(4294967295, list_transform(range(1, len(code), 2),
+    lambda i: ((strpos('0123456789ABCDEF', code[i]) - 1) * 16 + strpos('0123456789ABCDEF', code[i + 1]) - 1)::BIGINT)) AS bytes FROM x),
+h AS (SELECT run, times, xor(list_reduce(bytes, lambda c, b: xor(t[1 + xor(c & 255, b)], c >> 8)), 4294967295) AS h FROM y, crc),
+e AS (SELECT times, CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM h),
+w AS (SELECT word, sum(times)::BIGINT AS n FROM e WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+d AS (SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE word[:i - 1] || word[i + 1:] END AS rest FROM (SELECT *, unnest(range(0, length(word) + 1)) AS i FROM w)),
+p AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.rest = b.rest AND a.word <> b.word AND (a.i = b.i OR (a.i = 0) <> (b.i = 0))),
+q AS (SELECT word, count(*) AS n_near, max(near_n) AS most FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN most END AS form_n,
+    (SELECT min(near) FROM p WHERE p.word = w.word AND p.near_n = most AND most >= 5 * w.n) AS form FROM w LEFT JOIN q USING (word)),
+o AS (SELECT word, form AS root, 1 AS steps FROM f WHERE form IS NOT NULL UNION ALL SELECT o.word, f.form, steps + 1 FROM o JOIN f ON f.word = o.root WHERE f.form IS NOT NULL)
+SELECT word, form, coalesce(z.root, word) AS root, n, n_near, form_n FROM f LEFT JOIN (SELECT word, arg_max(root, steps) AS root FROM o GROUP BY word) z USING (word)"""
+
+RANKED_SQL = f"""WITH t AS (SELECT *, unnest(terms) AS term FROM (SELECT doc_id, len(terms) AS n, terms FROM (SELECT doc_id,
+    regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents) WHERE len(terms) > 0)),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM (SELECT doc_id, any_value(n) AS n FROM t GROUP BY doc_id)),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+c AS (SELECT doc_id, any_value(n)::BIGINT AS n, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM i) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM c, s GROUP BY term, docs),
+v AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+    FROM i JOIN c USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM v WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
+
 SQL: dict[str, str] = {
     "op3_line_dedup": LINE_SQL,
     "op4_mix_hierarchy": MIX_SQL,
     "op6_ngram_jaccard_join": JACCARD_SQL,
     "op8_adaptive_rules": RULES_SQL,
     "op10_repeated_passages": PASSAGES_SQL,
+    "op11_spelling_variants": SPELLING_SQL,
+    "op13_ranked_search": RANKED_SQL,
 }
