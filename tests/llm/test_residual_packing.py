@@ -31,16 +31,16 @@ def test_ids_are_those_of_the_tokenizer(tokenizer, tokens, text):
     assert np.frombuffer(tokens.encode(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("text", ["", " ", "a  b   c \n d\n\n e", "<|endoftext|> x <|endoftext|>", "it's we'll 12 34%", " leading", "trailing "])
+@pytest.mark.parametrize("text", ["", " ", "a  b   c \n d\n\n e", "<|endoftext|> x <|endoftext|>", "it's we'll 12 34%", " leading", "trailing ", " " * 2_000_000 + "x", "x" * 50_000, "\n" * 50_000])
 def test_ids_of_odd_texts(tokenizer, tokens, text):
-    assert tokens.encode_part is not None
+    assert tokens.merges is not None
     assert np.frombuffer(tokens.encode(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_other_tokenizers_are_used_as_they_are():
     path = public_tokenizers.path("word_bpe_49k.json")
     other = residual_packing.ByteTokens(path)
-    assert other.encode_part is None
+    assert other.merges is None
     assert np.frombuffer(other.encode("two  words"), dtype="<u4").tolist() == Tokenizer.from_file(path).encode("two  words", add_special_tokens=False).ids
 
 

@@ -19,7 +19,6 @@ names, are not carried along.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,51 +34,40 @@ from vecshoal.session import remove_path
 
 #: The byte-level tokenizer's own pattern for the parts of a text.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A blank before a character that is not white space always begins a part.
-BEGINS = re.compile(r" (?=\S)")
-OTHER_BLANK = re.compile(r" (?!\S)")
 
 
 class ByteTokens:
     """Token ids of texts, as little-endian 32-bit bytes, by a byte-level byte-pair tokenizer file.
 
-    Texts are divided at blanks that begin a part, and the stretches between them encoded once and remembered, up to ``remember`` of them. Merges run
-    on the same vocabulary in ``tiktoken``; a text with a special token, and any other kind of tokenizer, goes to ``tokenizers``.
+    Merges run on the same vocabulary in ``tiktoken``; a text with a special token or with very long runs of white
+    space, and any other kind of tokenizer, goes to ``tokenizers``.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.encoder = Tokenizer.from_file(path)
+    def __init__(self, path: str):
         with open(path) as file:
             kind = json.load(file)
+        self.path, self.encoder = path, None
         self.special = [token["content"] for token in kind["added_tokens"]]
-        self.encode_part = byte_merges(kind)
-        self.remember = remember
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.merges = byte_merges(kind)
 
     def plain(self, text: str) -> bytes:
+        if self.encoder is None:
+            from tokenizers import Tokenizer
+
+            self.encoder = Tokenizer.from_file(self.path)
         return np.array(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.encode_part is None or any(token in text for token in self.special):
+        if self.merges is None or any(token in text for token in self.special):
+            return self.plain(text)
+        try:
+            return self.merges.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        except ValueError:  # its patterns give up on very long runs of white space
             return self.plain(text)
-        words = BEGINS.split(text) if OTHER_BLANK.search(text) else text.split(" ")
-        if len(self.first) + len(self.later) > self.remember:
-            self.first, self.later = {}, {}
-        later = self.later
-        head = self.first.get(words[0])
-        if head is None:
-            head = self.first[words[0]] = np.array(self.encode_part(words[0]), dtype="<u4").tobytes()
-        rest = words[1:]
-        for word in set(rest).difference(later):
-            later[word] = np.array(self.encode_part(" " + word), dtype="<u4").tobytes()
-        return head + b"".join(map(later.__getitem__, rest))
 
 
 def byte_merges(kind: dict):
-    """``encode_ordinary`` on the vocabulary of a plain byte-level tokenizer file whose ids are in merge order, else None."""
+    """The encoding of a plain byte-level tokenizer file whose ids are in merge order, else None."""
     model, before = kind["model"], kind["pre_tokenizer"] or {}
     plain = before.get("type") == "ByteLevel" and not before["add_prefix_space"] and before.get("use_regex", True)
     if not plain or kind["normalizer"] or model["type"] != "BPE" or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
@@ -93,7 +81,7 @@ def byte_merges(kind: dict):
     hidden = [byte for byte in range(256) if byte not in set(printable)]
     byte_of = {chr(byte): byte for byte in printable} | {chr(256 + n): byte for n, byte in enumerate(hidden)}
     ranks = {bytes(map(byte_of.get, token)): number for token, number in model["vocab"].items() if all(sign in byte_of for sign in token)}
-    return tiktoken.Encoding("bytes", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("bytes", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
 
 
 def best_fit(sizes: list[int], window: int) -> list[list[int]]:
