@@ -30,7 +30,7 @@ class LostRace(RuntimeError):
 
 
 class ItemTable:
-    """A versioned Parquet table, split by ``partition`` so that one cluster can be read alone.
+    """A versioned Parquet table, split by ``partition``, one column or several, so that one cluster can be read alone.
 
     Files are sorted by ``key`` and carry a Bloom filter on it, so that looking up a few ids skips
     nearly all of the vectors.
@@ -41,13 +41,13 @@ class ItemTable:
         spark: SparkSession,
         path: str,
         schema: T.StructType,
-        partition: str | None = "cluster_id",
+        partition: str | tuple[str, ...] | None = "cluster_id",
         key: str = "id",
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
-        self.partition = partition
+        self.partition = [partition] if isinstance(partition, str) else list(partition or ())
         self.key = key
 
     def _numbers(self) -> list[int]:
@@ -79,9 +79,10 @@ class ItemTable:
         return found[::-1]
 
     def read(self) -> DataFrame:
-        return self._read(self.files())
+        return self._read(self.files()).select(*self.schema.names)
 
     def _read(self, files: list[str]) -> DataFrame:
+        """The rows of some files, with the folder names of batches and the metadata of files still to be had."""
         if not files:
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data")
@@ -167,7 +168,7 @@ class ItemTable:
 
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Rows of a cluster gathered into few files, a large cluster split over many tasks."""
-        return rows.hint("rebalance", self.partition) if self.partition else rows
+        return rows.hint("rebalance", *self.partition) if self.partition else rows
 
     def _last(self) -> int:
         return (self._numbers() or [0])[-1]
@@ -191,11 +192,11 @@ class ItemTable:
         """Write a batch of rows to files of their own and list these."""
         batch = f"batch={uuid.uuid4().hex}"
         # Writing by cluster sorts by it anyway.
-        rows = rows.sortWithinPartitions(*([self.partition] if self.partition else []), self.key)
+        rows = rows.sortWithinPartitions(*self.partition, self.key)
         writer = rows.write.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
         writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         if self.partition:
-            writer = writer.partitionBy(self.partition)
+            writer = writer.partitionBy(*self.partition)
         writer.parquet(f"{self.path}/data/{batch}")
         fs, folder = file_system(self.spark, f"{self.path}/data/{batch}")
         found, listed = fs.listFiles(folder, True), []
