@@ -26,6 +26,7 @@ from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import fit_features
 from vecshoal.operators.joins import attach
 from vecshoal.plans.index import SIZES, IndexModel, SearchIndex, fit_index
+from vecshoal.plans.keyed import KeyedIndex, KeyedModel, fit_keys
 from vecshoal.plans.text import search_text, with_vectors
 from vecshoal.session import materialise, scratch_path
 from vecshoal.sources import items as source
@@ -181,9 +182,10 @@ def assign_fixed_centroids(spark, sf):
     return items.select("id", kmeans.nearest("encd", label_means(items)).alias("cluster_id"))
 
 
-def label_means(items: DataFrame) -> np.ndarray:
+def label_means(items: DataFrame, vector: str = "encd", label: str = "cluster_id") -> np.ndarray:
     """One mean vector per label, in label order."""
-    return np.array([r.centroid for r in aggregates.cluster_centroids(items).orderBy("cluster_id").collect()])
+    rows = items.select(F.col(label).alias("cluster_id"), vector)
+    return np.array([r.centroid for r in aggregates.cluster_centroids(rows, vector).orderBy("cluster_id").collect()])
 
 
 # Storing
@@ -641,6 +643,46 @@ def search_given_index_one(spark, sf):
     return rounded(given_index(spark, sf).search_one(probe.encd, 20), "similarity")
 
 
+def given_keyed_index(spark, sf) -> KeyedIndex:
+    """A two-level index that does not depend on a random fit: round components about the means of the labels modulo 3, and the
+    means of the labels of each as the centres inside."""
+    items = labelled(spark, sf)
+    features = fit_features(items, share=None, components=WIDTH)
+    reduced = items.select("cluster_id", (F.col("cluster_id") % 3).alias("g"), features.project("encd").alias("reduced"))
+    means = label_means(reduced, "reduced")
+    given = mixture.Mixture(np.full(3, 1 / 3), label_means(reduced, "reduced", "g"), np.array([np.eye(WIDTH)] * 3))
+    model = KeyedModel(IndexModel(features, means, {}), given, {g: means[g::3] for g in range(3)})
+    path = scratch_path(spark, "keyed")
+    KeyedIndex.build(plain(spark, sf), path, model)
+    return KeyedIndex.open(spark, path)
+
+
+def keyed_lists(spark, sf):
+    """The lists of the two-level index: rows and lowest id of each pair of keys."""
+    stored = given_keyed_index(spark, sf).table.read()
+    return stored.groupBy("gmm_cluster_id", "secondary_cluster_id").agg(F.count("*").alias("rows"), F.min("id").alias("first"))
+
+
+def search_keyed_given(spark, sf):
+    """All items as queries, each of its nearest list alone."""
+    return rounded(given_keyed_index(spark, sf).search(as_queries(plain(spark, sf)), 20), "similarity")
+
+
+def search_keyed_two_lists(spark, sf):
+    """The same over the two nearest lists of the group, ranked together."""
+    return rounded(given_keyed_index(spark, sf).search(as_queries(plain(spark, sf)), 20, lists=2), "similarity")
+
+
+def search_keyed_fitted(spark, sf):
+    """The two-level index fitted, stored and loaded: every item asked finds itself first, whatever the fit."""
+    items = plain(spark, sf)
+    path = scratch_path(spark, "keyed")
+    KeyedIndex.build(items, path, fit_keys(items, fit_index(items, k=4, restarts=2), sizes=[1, 4, 7, 10], without_elbow=4, restarts=2))
+    found = KeyedIndex.open(spark, path).search(as_queries(items), 5).where("rank = 1")
+    hit = (F.col("id") == F.col("query_id")) & (F.round("similarity", 9) == 1)
+    return found.agg(F.count("*").alias("queries"), F.count_if(hit).alias("hits"))
+
+
 # Text
 
 
@@ -745,6 +787,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sweep_given_starts, kmeans_fills_clusters,
         fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
         search_given_index, search_given_index_one, index_centroids, queries_refused, build_sets_aside,
+        keyed_lists, search_keyed_given, search_keyed_two_lists, search_keyed_fitted,
         encode_documents, search_text_by_language, search_text_index, search_text_given, stream_text,
     ]
     found = {query.__name__: query for query in made}
@@ -884,6 +927,22 @@ GIVEN = f"""{ITEMS}, {CELLS},
   q AS (SELECT id AS query_id, cluster_id, std FROM i)"""
 
 
+def keyed_sql(lists: int) -> str:
+    """Items ``i`` by list, and queries ``q`` of their ``lists`` nearest lists; a list is ten times the group and the number inside."""
+    return f"""{ITEMS}, {CELLS},
+  s AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS sd FROM cells GROUP BY dim),
+  zc AS (SELECT id, cluster_id, dim, (x - m) / sd AS x FROM cells JOIN s USING (dim)),
+  zm AS (SELECT cluster_id, dim, avg(x) AS m FROM zc GROUP BY cluster_id, dim),
+  gm AS (SELECT cluster_id % 3 AS cluster_id, dim, avg(x) AS m FROM zc GROUP BY cluster_id % 3, dim),
+  g AS {nearest_sql('zc', 'gm')},
+  d AS (SELECT p.id, g.cluster_id AS gmm, m.cluster_id // 3 AS inside, sum((p.x - m.m) ** 2) AS square
+    FROM zc p JOIN g USING (id) JOIN zm m ON m.dim = p.dim AND m.cluster_id % 3 = g.cluster_id GROUP BY ALL),
+  l AS (SELECT id, gmm, inside, 10 * gmm + inside AS cluster_id, row_number() OVER (PARTITION BY id ORDER BY square, inside) AS near FROM d),
+  i AS (SELECT items.* EXCLUDE (cluster_id), gmm, inside, l.cluster_id, z.std FROM items JOIN l USING (id)
+    JOIN (SELECT id, list(x ORDER BY dim) AS std FROM zc GROUP BY id) z USING (id) WHERE near = 1),
+  q AS (SELECT id AS query_id, l.cluster_id, std FROM i JOIN l USING (id) WHERE l.near <= {lists})"""
+
+
 def elbow_sql(curves: str) -> str:
     """The windows of the elbow in SQL; ``curves`` holds ``(curve, x, y)``."""
     return f"""u AS (
@@ -1035,6 +1094,11 @@ def oracle_sql() -> dict[str, str]:
         "gmm_line_items": plane_em_sql(),
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",
+        "keyed_lists": f"""WITH {keyed_sql(1)} SELECT gmm::INT AS gmm_cluster_id, inside::INT AS secondary_cluster_id, count(*) AS rows, min(id) AS first
+            FROM i GROUP BY gmm, inside""",
+        "search_keyed_given": f"WITH {keyed_sql(1)} {pairs_sql('i', 'q', 20, 'std')}",
+        "search_keyed_two_lists": f"WITH {keyed_sql(2)} {pairs_sql('i', 'q', 20, 'std')}",
+        "search_keyed_fitted": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "search_given_index": f"WITH {GIVEN} {pairs_sql('i', 'q', 20, 'std')}",
         "search_given_index_one": f"""WITH {GIVEN}, r AS ({pairs_sql('i', 'q', 20, 'std')})
             SELECT rank, id, img_name, url, similarity FROM r WHERE query_id = 'images_000000000019'""",

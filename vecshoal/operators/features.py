@@ -33,6 +33,10 @@ class FeatureModel:
     def width(self) -> int:
         return len(self.mean)
 
+    def space(self, name: str) -> tuple[str, int]:
+        """Column and width of the vectors of a space: ``reduced`` (standardised and projected) or ``raw``."""
+        return {"reduced": ("reduced", self.kept), "raw": ("encd", self.width)}[name]
+
     def projection(self) -> tuple[np.ndarray, np.ndarray]:
         """``weights`` and ``offset`` such that ``x @ weights - offset`` is standardised and reduced."""
         scale = np.where(self.deviation > 0, self.deviation, 1.0)
@@ -75,11 +79,11 @@ class FeatureModel:
         """Two small tables: the scaler by dimension, and one row per component."""
         scaler = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(self.mean, self.deviation))]
         parts = [
-            (i, float(r), i < self.kept, self.rows, vector.tolist())
+            (i, float(r), i < self.kept, self.rows, self.left_out, vector.tolist())
             for i, (r, vector) in enumerate(zip(self.ratio, self.loadings))
         ]
         write_small(spark, scaler, "dim int, mean double, deviation double", f"{path}/scaler")
-        schema = "component int, ratio double, kept boolean, rows long, loading array<double>"
+        schema = "component int, ratio double, kept boolean, rows long, left_out long, loading array<double>"
         write_small(spark, parts, schema, f"{path}/components")
 
     @staticmethod
@@ -93,6 +97,7 @@ class FeatureModel:
             np.array([r.ratio for r in parts]),
             sum(r.kept for r in parts),
             parts[0]["rows"],
+            parts[0].left_out,
         )
 
 

@@ -56,6 +56,14 @@ def closest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
 
 
+def closest_few(rows: np.ndarray, centers: np.ndarray, count: int) -> np.ndarray:
+    """Numbers of the ``count`` nearest centres of every row, nearest first; all centres where there are fewer."""
+    half, count = 0.5 * (centers**2).sum(axis=1), min(count, len(centers))
+    step = max(1, _CELLS // len(centers))
+    parts = [np.argsort(half - rows[i : i + step] @ centers.T, axis=1, kind="stable")[:, :count] for i in range(0, len(rows), step)]
+    return np.concatenate(parts) if parts else np.zeros((0, count), dtype=np.int64)
+
+
 def nearest(vector: Column | str, centers: np.ndarray) -> Column:
     """Number of the nearest centre; NULL for a vector that does not fit."""
     width = centers.shape[1]

@@ -63,7 +63,7 @@ class Mixture:
 
         @F.arrow_udf("int")
         def component(column: pa.Array) -> pa.Array:
-            return label_vectors(column, width, lambda rows: _joint(rows, terms).argmax(axis=1))
+            return label_vectors(column, width, lambda rows: likeliest(rows, terms))
 
         return component(vector)
 
@@ -89,6 +89,11 @@ class Mixture:
         )
 
 
+def likeliest(x: np.ndarray, terms) -> np.ndarray:
+    """The most likely component of every row of a matrix."""
+    return _joint(x, terms).argmax(axis=1)
+
+
 def _joint(x: np.ndarray, terms) -> np.ndarray:
     """Log of weight times density, one column per component."""
     whiten, centre, constant = terms

@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from vecshoal.functions import vectors
 from vecshoal.functions.blocks import fitting, matrix
 from vecshoal.operators.partials import common_width, fewer_tasks
+from vecshoal.session import materialise
 
 # Queries sent to all tasks, and answers a task may hold; a larger query table is dealt out with the items, in blocks of
 # so many rows of either.
@@ -251,6 +252,7 @@ def top_k(
     query_bytes: int = QUERY_BYTES,
     block_items: int = BLOCK_ITEMS,
     block_queries: int = BLOCK_QUERIES,
+    checked: bool = False,
 ) -> DataFrame:
     """The k most similar items of its cluster for every query; fewer where the cluster has fewer.
 
@@ -258,12 +260,14 @@ def top_k(
     or whole number), ``cluster_id`` and ``vector``. Rank 1 is the most similar.
 
     Vectors have ``width`` elements (default: the most common number among the items). What :func:`split_vector_queries`
-    refuses has no answer, and a query of a cluster without items has none either. Queries up to
+    refuses has no answer (``checked`` queries have been through it), and a query of a cluster without items has none either. Queries up to
     ``query_bytes`` are sent to the tasks; more are dealt out with the items, in one scan and one shuffle.
     """
     if width is None:
         width = max(1, common_width(items, vector)[0])
-    wanted, _ = split_vector_queries(queries.select("query_id", "cluster_id", F.col(vector).alias("vector")), width, "vector")
+    wanted = queries.select("query_id", "cluster_id", F.col(vector).alias("vector"))
+    if not checked:
+        wanted, _ = split_vector_queries(wanted, width, "vector")
     wanted = wanted.where(F.col("cluster_id").isNotNull())
     rows = items.where(F.array_size(vector) == width).select("cluster_id", vector, "id", *keep)
     extra = [rows.schema[name] for name in ("id", *keep)]
@@ -273,6 +277,8 @@ def top_k(
     if head.num_rows <= most:
         found = _score_in_place(rows, head, schema, k, width)
     else:
+        # Counted and dealt: worked out once.
+        wanted, _ = materialise(wanted, "queries")
         found = _score_dealt(rows, wanted, schema, k, width, block_items, block_queries)
     place = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
     ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)

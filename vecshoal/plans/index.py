@@ -13,7 +13,7 @@ from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import FeatureModel, fit_features
 from vecshoal.session import materialise, remove_path, small_table, write_small
 from vecshoal.sources.items import defect
-from vecshoal.sources.schema import INDEXED
+from vecshoal.sources.schema import CLUSTERED, INDEXED
 from vecshoal.sources.store import ItemTable, last_wins
 
 # The model sizes swept over the whole table: 1, 4, ..., 100.
@@ -106,18 +106,22 @@ def fit_index(
 class SearchIndex:
     """A model and the items it labelled, stored under one folder and split by cluster."""
 
+    model_type = IndexModel
+    schema = INDEXED
+    partition: tuple[str, ...] = ("cluster_id",)
+
     def __init__(self, spark: SparkSession, path: str, model: IndexModel):
         self.spark = spark
         self.path = path
         self.model = model
-        self.table = ItemTable(spark, f"{path}/items", INDEXED)
+        self.table = ItemTable(spark, f"{path}/items", self.schema, self.partition)
 
-    @staticmethod
-    def build(items: DataFrame, path: str, model: IndexModel, order: list[str] | None = None) -> "SearchIndex":
+    @classmethod
+    def build(cls, items: DataFrame, path: str, model: IndexModel, order: list[str] | None = None) -> "SearchIndex":
         """Store all items with their cluster. Rows without an id are set aside; ``order`` tells which row of a repeated id is
         the latest, and without it a repeated id is refused: all its rows are set aside.
         """
-        index = SearchIndex(items.sparkSession, path, model)
+        index = cls(items.sparkSession, path, model)
         model.save(items.sparkSession, path)
         index.table.replace(model.label(index._one_per_id(items, order), arranged=True), arranged=True)
         return index
@@ -132,9 +136,9 @@ class SearchIndex:
         self.table.set_aside(named.join(repeated, "id", "left_semi"))
         return named.join(repeated, "id", "left_anti")
 
-    @staticmethod
-    def open(spark: SparkSession, path: str) -> "SearchIndex":
-        return SearchIndex(spark, path, IndexModel.load(spark, path))
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "SearchIndex":
+        return cls(spark, path, cls.model_type.load(spark, path))
 
     def upsert(self, items: DataFrame, order: list[str] | None) -> int:
         """Label new items with the fitted model and replace those of the same id."""
@@ -145,7 +149,7 @@ class SearchIndex:
         """Items no search can find, with the reason: those without a fitting vector or an id, or of a repeated id."""
         lost = self.table.read().where(F.col("cluster_id").isNull()).unionByName(self.table.rejected())
         reason = F.coalesce(defect(self.model.features.width), F.lit("repeated id"))
-        return lost.withColumn("reason", reason).drop("reduced")
+        return lost.select(*CLUSTERED.names, reason.alias("reason"))
 
     def refused(self, queries: DataFrame) -> DataFrame:
         """The vector queries that :meth:`search` does not answer, with the reason."""
@@ -156,12 +160,13 @@ class SearchIndex:
 
         ``space`` is ``reduced`` (standardised and projected) or ``raw``.
         """
-        features = self.model.features
-        vector, width = {"reduced": ("reduced", features.kept), "raw": ("encd", features.width)}[space]
-        good, _ = search.split_vector_queries(queries, features.width)
-        return search.top_k(self.table.read(), self.model.place(good), k, vector, keep, width)
+        vector, width = self.model.features.space(space)
+        good, _ = search.split_vector_queries(queries, self.model.features.width)
+        return search.top_k(self.table.read(), self.model.place(good), k, vector, keep, width, checked=True)
 
     def search_one(self, query, k: int = 20) -> DataFrame:
         """The same for one vector given as a Python sequence."""
-        one = small_table(self.spark, [(0, [float(v) for v in query])], "query_id long, encd array<double>")
-        return self.search(one, k).drop("query_id")
+        return self.search(self._one_query(query), k).drop("query_id")
+
+    def _one_query(self, query) -> DataFrame:
+        return small_table(self.spark, [(0, [float(v) for v in query])], "query_id long, encd array<double>")

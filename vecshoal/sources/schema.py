@@ -29,6 +29,11 @@ CLUSTERED = T.StructType(
 # Clustered items plus the projected vector that search scores.
 INDEXED = T.StructType(CLUSTERED.fields + [T.StructField("reduced", _vector)])
 
+# The same with both keys of a two-level index: the mixture's group, and the cluster inside it.
+KEYED = T.StructType(
+    INDEXED.fields + [T.StructField("gmm_cluster_id", T.IntegerType()), T.StructField("secondary_cluster_id", T.IntegerType())]
+)
+
 # Column names of older collections and their names in the stored layout.
 OLDER_NAMES = {
     "bert_ecd": "encd",
