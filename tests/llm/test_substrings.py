@@ -54,6 +54,32 @@ def test_against_all_strings(documents, prose, most):
         assert got[doc_id] == (left, spans, size, size - len(left))
 
 
+def test_small_buckets_merges_and_parts(documents, prose, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(substrings, "HELD_ANCHORS", 40)
+    monkeypatch.setattr(substrings, "PART_ANCHORS", 30)
+    rows = list(enumerate(["x" * 2000, *shared_passages(prose, 3, 30), "ab" * 700, "x" * 1000]))
+    got = {r.doc_id: (bytes(r.kept), r.n_spans) for r in substrings.remove_repeats(documents(rows)).collect()}
+    assert got == dict(enumerate(brute(rows)))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(min_size=60, max_size=200), st.integers(0, 8), st.integers(0, 8))
+def test_digests_tell_stretches(data, a, c):
+    digests = substrings.Digests()
+    b = np.frombuffer(b"zz" + data + b"q" * a + data + b"w" * c, dtype=np.uint8)
+    n = len(data)
+    starts, ends = np.array([2, 2 + n + a, 3, 2]), np.array([2 + n, 2 + 2 * n + a, 2 + n, 1 + n])
+    one, two, three, four = digests.of(b, starts, ends, np.zeros(4, dtype=np.int64))
+    assert one == two and len({int(one), int(three), int(four), int(digests.of(b, starts[:1], ends[:1], np.ones(1, dtype=np.int64))[0])}) == 3 + (data[1:] != data[:-1])
+
+
+def test_columns_are_packed_whole():
+    columns = [np.array([-1, 5]), np.array([0, (1 << 32) - 1]), np.array([1 << 32, 3]), np.array([2**63 - 1, -(2**63)])]
+    assert all((a == b).all() for a, b in zip(columns, substrings.unpacked(substrings.packed(*columns))))
+    assert [len(x) for x in substrings.unpacked(substrings.packed(*[c[:0] for c in columns]))] == [0] * 4
+
+
 def test_repeated_and_missing_ids(documents, prose):
     text = prose(1, seed=6)[0]
     rows = [(5, text), (5, text), (5, text + " tail"), (None, text), (7, text), (1, None)]
