@@ -25,6 +25,7 @@ from vecshoal.operators import aggregates, kmeans, lookup, mixture, search, seco
 from vecshoal.operators.elbow import elbows
 from vecshoal.operators.features import fit_features
 from vecshoal.operators.joins import attach
+from vecshoal.plans.coded import CodedIndex
 from vecshoal.plans.index import SIZES, IndexModel, SearchIndex, fit_index
 from vecshoal.plans.keyed import KeyedIndex, KeyedModel, fit_keys
 from vecshoal.plans.text import search_text, with_vectors
@@ -552,6 +553,43 @@ def sub_sweep(spark, sf):
     return keys.sweep.join(keys.elbow, "cluster_id")
 
 
+def evenly(groups, sizes=range(1, 14, 3)) -> dict[tuple[int, int], np.ndarray]:
+    """Centres spread evenly from 0 to 400, for every group and size."""
+    return {(g, k): np.array([[400.0 * (i + 0.5) / k] for i in range(k)]) for g in groups for k in sizes}
+
+
+def order_prices(spark, sf) -> DataFrame:
+    code = F.substring("o_orderpriority", 1, 1).cast("int").alias("curve")
+    return table(spark, sf, "orders").select("o_orderkey", code, F.array(F.col("o_totalprice") / 1000).alias("v"))
+
+
+def sub_sweep_given(spark, sf):
+    """The sweep inside cluster 0 of a K-Means fit, and its elbow: all from given centres, two moves each."""
+    points = order_prices(spark, sf)
+    first = kmeans.fit_given(points, {(0, 2): np.array([[100.0], [300.0]])}, "v", max_iter=2)[0]
+    inside = points.withColumn("cluster_id", kmeans.nearest("v", first.centers)).where("cluster_id = 0")
+    keys = secondary.fit_secondary(inside, "cluster_id", vector="v", max_iter=2, starts=evenly([0]))
+    out = keys.sweep.join(keys.elbow, "cluster_id").select("k", "sse", F.col("elbow").cast("int").alias("elbow"))
+    return rounded(out, "sse", digits=4)
+
+
+def secondary_fitted_given(spark, sf):
+    """Sweep, elbow, fit and labels in every group at once, from given centres: rows and mean by group and label."""
+    points = order_prices(spark, sf)
+    keys = secondary.fit_secondary(points, "curve", vector="v", max_iter=2, without_elbow=7, starts=evenly(range(1, 6)))
+    labelled_points = keys.label(points, "curve", "v")
+    mean = F.round(F.avg(F.get("v", F.lit(0))), 4).alias("mean")
+    return labelled_points.groupBy("curve", "secondary_cluster_id").agg(F.count("*").alias("rows"), mean)
+
+
+def fit_index_given(spark, sf):
+    """Scaler, components, sweep from given centres (the means of the first labels), elbow and labels: the cluster of every item."""
+    items = labelled(spark, sf)
+    means = label_means(items)
+    model = fit_index(items, components=WIDTH, starts={k: means[:k] for k in range(1, 11)}, max_iter=2, without_elbow=4)
+    return model.place(items.drop("cluster_id")).select("id", "cluster_id")
+
+
 # The whole index
 
 
@@ -593,7 +631,7 @@ def index_upsert(spark, sf):
     return index.table.read().select("id", "dataset", "url", F.array_size("encd").alias("width"))
 
 
-def given_index(spark, sf) -> SearchIndex:
+def given_index(spark, sf, kind=SearchIndex) -> SearchIndex:
     """A stored index whose answers do not depend on a random fit: all components, label means as centres."""
     items = labelled(spark, sf)
     features = fit_features(items, share=None, components=WIDTH)
@@ -601,8 +639,24 @@ def given_index(spark, sf) -> SearchIndex:
     means = aggregates.cluster_centroids(reduced, "reduced").orderBy("cluster_id").collect()
     model = IndexModel(features, np.array([r.centroid for r in means]), {})
     path = scratch_path(spark, "index")
-    SearchIndex.build(items, path, model)
-    return SearchIndex.open(spark, path)
+    kind.build(items, path, model)
+    return kind.open(spark, path)
+
+
+def search_coded_given(spark, sf):
+    """The answers of the index by way of short codes: those of all items as queries, whose candidates alone are scored by vectors."""
+    return rounded(given_index(spark, sf, CodedIndex).search(as_queries(plain(spark, sf)), 20), "similarity")
+
+
+def coded_bounds(spark, sf):
+    """Similarity of every item that may be the nearest other one of a query in its cluster: how many of its bounds hold, by cluster."""
+    index = given_index(spark, sf, CodedIndex)
+    found = index.candidates(as_queries(plain(spark, sf)), 1_000_000)
+    own = index.table.read().select("id", "cluster_id", "reduced")
+    pairs = found.join(own, "id").join(own.select(F.col("id").alias("query_id"), F.col("reduced").alias("asked")), "query_id")
+    exact = vectors.cosine(F.col("reduced"), F.col("asked"))
+    held = exact.between(F.col("lower"), F.col("upper")) & (F.col("upper") - F.col("lower") < 0.1)
+    return pairs.groupBy("cluster_id").agg(F.count("*").alias("pairs"), F.count_if(held).alias("held"))
 
 
 def search_given_index(spark, sf):
@@ -784,10 +838,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_dealt, topk_urls, query_rejects, stream_search,
         pca_variance_curve, pca_component_count, pca_two_columns, pca_spectrum_moments, pca_distances, search_standardised,
         lloyd_from_label_means, sse_sweep, elbow, sweep_recomputed, sweep_of_one, elbow_price_bins,
-        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sweep_given_starts, kmeans_fills_clusters,
-        fit_index_items, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
+        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sub_sweep_given, secondary_fitted_given, sweep_given_starts, kmeans_fills_clusters,
+        fit_index_items, fit_index_given, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
         search_given_index, search_given_index_one, index_centroids, queries_refused, build_sets_aside,
-        keyed_lists, search_keyed_given, search_keyed_two_lists, search_keyed_fitted,
+        search_coded_given, coded_bounds, keyed_lists, search_keyed_given, search_keyed_two_lists, search_keyed_fitted,
         encode_documents, search_text_by_language, search_text_index, search_text_given, stream_text,
     ]
     found = {query.__name__: query for query in made}
@@ -879,6 +933,58 @@ def sweep_sql(moves: int = 2) -> str:
     return f"WITH {', '.join(steps)} SELECT curve, k::INT AS k, round(sum(square), 4) AS sse FROM a{moves} GROUP BY curve, k"
 
 
+def moves_sql(name: str, points: str, starts: str, moves: int = 2) -> list[str]:
+    """Lloyd's moves over ``points`` of ``(row, curve, x)`` from ``starts`` of ``(curve, k, i, c)``: steps that end in the labels
+    ``<name>_a<moves>`` and the centres ``<name>_c<moves>``."""
+    steps = [f"{name}_c0 AS (SELECT * FROM {starts})"]
+    for n in range(moves + 1):
+        steps.append(f"""{name}_a{n} AS (SELECT row, curve, k, any_value(x) AS x, arg_min(i, ((x - c) ** 2, i)) AS i, min((x - c) ** 2) AS square
+          FROM {points} JOIN {name}_c{n} USING (curve) GROUP BY row, curve, k)""")
+        steps.append(f"""{name}_c{n + 1} AS (SELECT curve, k, i, coalesce(m, c) AS c FROM {name}_c{n}
+          LEFT JOIN (SELECT curve, k, i, avg(x) AS m FROM {name}_a{n} GROUP BY curve, k, i) USING (curve, k, i))""")
+    return steps
+
+
+PRICES = "SELECT o_orderkey AS row, left(o_orderpriority, 1)::INT AS curve, o_totalprice / 1000 AS x FROM orders"
+
+
+def evenly_sql(points: str) -> str:
+    return f"""(SELECT curve, k, i, 400.0::DOUBLE * (i + 0.5) / k AS c FROM (SELECT DISTINCT curve FROM {points}),
+      (SELECT k, unnest(range(k)) AS i FROM (SELECT unnest(range(1, 14, 3)) AS k)))"""
+
+
+def sub_sweep_sql() -> str:
+    steps = [f"p AS (SELECT row, 0 AS curve, x FROM ({PRICES}))"]
+    steps += moves_sql("f", "p", "(SELECT 0 AS curve, 2 AS k, unnest([0, 1]) AS i, unnest([100.0, 300.0]::DOUBLE[]) AS c)")
+    steps += ["o AS (SELECT row, curve, x FROM f_a2 WHERE i = 0)", *moves_sql("g", "o", evenly_sql("o"))]
+    steps.append("y AS (SELECT curve, k AS x, sum(square) AS y FROM g_a2 GROUP BY curve, k)")
+    return f"WITH {', '.join(steps)}, e AS (WITH {elbow_sql('y')}) SELECT x::INT AS k, round(y, 4) AS sse, elbow::INT AS elbow FROM y JOIN e USING (curve)"
+
+
+def secondary_fitted_sql() -> str:
+    steps = [f"p AS ({PRICES})", *moves_sql("g", "p", evenly_sql("p"))]
+    steps.append("y AS (SELECT curve, k AS x, sum(square) AS y FROM g_a2 GROUP BY curve, k)")
+    return f"""WITH {', '.join(steps)}, e AS (WITH {elbow_sql('y')})
+      SELECT curve, i::INT AS secondary_cluster_id, count(*) AS rows, round(avg(x), 4) AS mean FROM g_a2 JOIN e USING (curve)
+      WHERE k = coalesce(elbow, 7) GROUP BY curve, i"""
+
+
+def fit_index_sql(moves: int = 2) -> str:
+    """Lloyd's moves of every size over the standardised items, the elbow of the sums of squares, and the labels of its fit."""
+    steps = [ITEMS, CELLS, "s AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS sd FROM cells GROUP BY dim)",
+        "zc AS (SELECT id, cluster_id, dim, (x - m) / sd AS x FROM cells JOIN s USING (dim))",
+        """c0 AS (SELECT k, cluster_id AS i, dim, m FROM (SELECT cluster_id, dim, avg(x) AS m FROM zc GROUP BY cluster_id, dim),
+          (SELECT unnest(range(1, 11)) AS k) WHERE cluster_id < k)"""]
+    for n in range(moves + 1):
+        steps.append(f"""a{n} AS (SELECT id, k, arg_min(i, (square, i)) AS i, min(square) AS square FROM
+          (SELECT id, k, i, sum((x - m) ** 2) AS square FROM zc JOIN c{n} USING (dim) GROUP BY id, k, i) GROUP BY id, k)""")
+        steps.append(f"""c{n + 1} AS (SELECT k, i, dim, coalesce(b.m, c.m) AS m FROM c{n} c
+          LEFT JOIN (SELECT k, i, dim, avg(x) AS m FROM a{n} JOIN zc USING (id) GROUP BY k, i, dim) b USING (k, i, dim))""")
+    steps.append(f"y AS (SELECT 0 AS curve, k AS x, sum(square) AS y FROM a{moves} GROUP BY k)")
+    return f"""WITH {', '.join(steps)}, e AS (WITH {elbow_sql('y')})
+      SELECT id, i::INT AS cluster_id FROM a{moves}, e WHERE k = coalesce(elbow, 4)"""
+
+
 def plane_em_sql(rounds: int = 2) -> str:
     """The same for two columns and three components, the 2 x 2 covariance inverted by hand."""
     steps = [f"""p AS (SELECT row_number() OVER () AS row, l_quantity AS x, l_extendedprice / 1000 AS y,
@@ -1094,6 +1200,11 @@ def oracle_sql() -> dict[str, str]:
         "gmm_line_items": plane_em_sql(),
         "index_finds_itself": "SELECT count(*) AS queries, count(*) AS hits FROM embeddings",
         "index_keeps_clusters": "SELECT count(*) AS same FROM embeddings",
+        "search_coded_given": f"WITH {GIVEN} {pairs_sql('i', 'q', 20, 'std')}",
+        "coded_bounds": f"WITH {GIVEN} SELECT cluster_id, (count(*) * count(*))::BIGINT AS pairs, (count(*) * count(*))::BIGINT AS held FROM i GROUP BY cluster_id",
+        "sub_sweep_given": sub_sweep_sql(),
+        "secondary_fitted_given": secondary_fitted_sql(),
+        "fit_index_given": fit_index_sql(),
         "keyed_lists": f"""WITH {keyed_sql(1)} SELECT gmm::INT AS gmm_cluster_id, inside::INT AS secondary_cluster_id, count(*) AS rows, min(id) AS first
             FROM i GROUP BY gmm, inside""",
         "search_keyed_given": f"WITH {keyed_sql(1)} {pairs_sql('i', 'q', 20, 'std')}",

@@ -50,14 +50,19 @@ def fit_secondary(
     max_iter: int = 300,
     seed: int = 42,
     without_elbow: int | None = None,
+    starts: dict[tuple[int, int], np.ndarray] | None = None,
 ) -> SecondaryKeys:
     """Sweep, elbow and fit inside every group at once.
 
+    ``starts`` gives the first centres of each group and size, instead of ``sizes`` and ``restarts``.
     A group whose curve has no elbow gets ``without_elbow`` clusters (the next size swept), or
     none at all. No group is moved or gathered: its rows are folded wherever they lie.
     """
     spark = points.sparkSession
-    fits = kmeans.fit_many(points, sizes, vector, group, restarts=restarts, max_iter=max_iter, seed=seed)
+    if starts is not None:
+        fits = kmeans.fit_given(points, starts, vector, group, max_iter=max_iter)
+    else:
+        fits = kmeans.fit_many(points, sizes, vector, group, restarts=restarts, max_iter=max_iter, seed=seed)
     best = kmeans.best_fits(fits)
     sweep = kmeans.sweep_table(spark, best, group)
     elbow = elbows(sweep, curve=group)

@@ -81,16 +81,24 @@ def fit_index(
     restarts: int = 10,
     max_iter: int = 300,
     seed: int = 42,
+    components: int | None = None,
+    starts: dict[int, np.ndarray] | None = None,
 ) -> IndexModel:
-    """Standardise, reduce to ``share`` of the variance, sweep, take the elbow, and fit.
+    """Standardise, reduce to ``share`` of the variance (or to ``components``), sweep, take the elbow, and fit.
 
-    ``k`` skips the sweep. A curve without an elbow takes ``without_elbow``, or is an error.
+    ``starts`` gives for each size vectors to start its centres from, instead of ``sizes`` and ``restarts``. ``k`` skips the sweep. A curve without an elbow takes ``without_elbow``, or is an error.
     """
-    features = fit_features(items, "encd", width, share)
+    features = fit_features(items, "encd", width, None if components is not None else share, components)
     points, path = materialise(items.select("id", features.project("encd").alias("reduced")), "reduced")
     try:
         grid = [k] if k is not None else sizes
-        best = kmeans.best_fits(kmeans.fit_many(points, grid, restarts=restarts, max_iter=max_iter, seed=seed, width=features.kept))
+        if starts is not None:
+            weights, offset = features.projection()
+            given = {(0, size): np.asarray(rows) @ weights - offset for size, rows in starts.items() if k in (None, size)}
+            fits = kmeans.fit_given(points, given, max_iter=max_iter)
+        else:
+            fits = kmeans.fit_many(points, grid, restarts=restarts, max_iter=max_iter, seed=seed, width=features.kept)
+        best = kmeans.best_fits(fits)
         if k is None:
             row = elbows(kmeans.sweep_table(items.sparkSession, best)).first()
             k = row.elbow if row is not None else None
@@ -123,9 +131,13 @@ class SearchIndex:
         """
         index = cls(items.sparkSession, path, model)
         model.save(items.sparkSession, path)
-        index.table.replace(model.label(index._one_per_id(items, order), arranged=True), arranged=True)
+        index.table.replace(index._labelled(index._one_per_id(items, order), arranged=True), arranged=True)
         return index
 
+    def _labelled(self, items: DataFrame, arranged: bool = False) -> DataFrame:
+        """Items in the stored layout."""
+        return self.model.label(items, arranged)
+
     def _one_per_id(self, items: DataFrame, order: list[str] | None) -> DataFrame:
         """Items that can be stored; the others are set aside, those without an id before any order is looked at."""
         self.table.set_aside(items.where(F.col("id").isNull()))
@@ -143,7 +155,7 @@ class SearchIndex:
     def upsert(self, items: DataFrame, order: list[str] | None) -> int:
         """Label new items with the fitted model and replace those of the same id."""
         columns = ["id", "dataset", "url", "encd", "img_name"]
-        return self.table.upsert(self.model.label(self._one_per_id(items, order).select(*columns)), None)
+        return self.table.upsert(self._labelled(self._one_per_id(items, order).select(*columns)), None)
 
     def rejected(self) -> DataFrame:
         """Items no search can find, with the reason: those without a fitting vector or an id, or of a repeated id."""

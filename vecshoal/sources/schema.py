@@ -34,6 +34,12 @@ KEYED = T.StructType(
     INDEXED.fields + [T.StructField("gmm_cluster_id", T.IntegerType()), T.StructField("secondary_cluster_id", T.IntegerType())]
 )
 
+# Indexed items with a short code of the reduced vector: whole numbers, their scale, and a bound of the error they make.
+CODED = T.StructType(
+    INDEXED.fields
+    + [T.StructField("code", T.BinaryType()), T.StructField("scale", T.DoubleType()), T.StructField("slack", T.DoubleType())]
+)
+
 # Column names of older collections and their names in the stored layout.
 OLDER_NAMES = {
     "bert_ecd": "encd",
