@@ -4,6 +4,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 
 from vecshoal.operators import kmeans, partials
+from vecshoal.operators.partials import working_copy
 from vecshoal.operators.secondary import fit_secondary
 
 
@@ -182,3 +183,28 @@ def test_secondary_without_elbow(points):
     assert len(keys.centers[0]) == 2
     none = fit_secondary(table, "g", sizes=[1, 2, 3], restarts=1)
     assert none.label(table, "g").where("secondary_cluster_id IS NOT NULL").count() == 0
+
+
+def starts_of(table, sizes, seed=0):
+    with working_copy(kmeans.grouped(table, "reduced", None), 2) as blocks:
+        return kmeans.spread_starts(blocks, sizes, seed)
+
+
+def test_spread_starts_reach_far_rows_and_ignore_the_layout(points):
+    rng = np.random.default_rng(12)
+    far = np.array([[50.0, 0.0], [0.0, 80.0], [-60.0, -60.0]])
+    matrix = np.vstack([rng.normal(size=(600, 2)), np.repeat(far, 3, axis=0) + rng.normal(scale=0.1, size=(9, 2))])
+    one, other = (starts_of(points(matrix, partitions=n), [1, 4, 9]) for n in (1, 5))
+    for k in (1, 4, 9):
+        assert one[k].shape == (k, 2)
+        np.testing.assert_allclose(one[k], other[k])
+    # Every far group has a start of its own, which drawing rows alike would hardly give it.
+    assert (np.linalg.norm(far[:, None] - one[4][None], axis=2).min(axis=1) < 1).all()
+    assert np.linalg.norm(one[1][0] - matrix.mean(axis=0)) < 2
+
+
+def test_spread_starts_of_few_values(points):
+    starts = starts_of(points(np.array([[1.0, 2.0]] * 30 + [[3.0, 4.0]] * 10)), [1, 2, 5])
+    np.testing.assert_allclose(starts[1], [[1.5, 2.5]])
+    assert sorted(map(tuple, starts[2])) == [(1.0, 2.0), (3.0, 4.0)]
+    assert starts[5].shape == (5, 2) and {tuple(row) for row in starts[5]} == {(1.0, 2.0), (3.0, 4.0)}

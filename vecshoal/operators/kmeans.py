@@ -161,6 +161,78 @@ def draw_starts(blocks: Blocks, most: int, restarts: int, seed: int) -> dict[tup
     return {key: rows for key, (_, rows) in drawn.items()}
 
 
+def _gaps(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distance of every row to its nearest centre; what is only rounding noise counts as 0."""
+    square = (rows**2).sum(axis=1)
+    gap = square + 2 * (0.5 * (centers**2).sum(axis=1) - rows @ centers.T).min(axis=1)
+    gap[gap <= 1e-12 * np.maximum(square, 1e-300)] = 0.0
+    return gap
+
+
+def spread_starts(blocks: Blocks, sizes: list[int], seed: int = 0, rounds: int = 4, factor: int = 2) -> dict[int, np.ndarray]:
+    """Starts for each size, spread over all rows: rounds of drawing by squared distance, and a weighted reduction of what was drawn.
+
+    A round is one pass. It draws ``factor`` times the largest size of rows of different value, each with a chance in proportion to its squared distance to
+    what was drawn before: a row waits for a time of that rate, told by a hash of its value, and the first ones are taken, whatever the
+    layout. Another pass counts the rows nearest to each. From these few weighted rows the starts of all sizes are drawn by squared
+    distance, and moved to the means of what is nearest.
+    """
+    most = max(sizes)
+    salts = np.random.default_rng(seed).integers(1, 1 << 63, rounds + 1, dtype=np.uint64)
+
+    def drawn(salt: np.uint64, count: int, known: np.ndarray | None) -> np.ndarray:
+        def first(waits, hashes, rows):
+            order = np.lexsort((hashes, waits))
+            _, at = np.unique(hashes[order], return_index=True)
+            order = order[np.sort(at)][:count]
+            return waits[order], hashes[order], rows[order]
+
+        def fold(held):
+            state = None
+            for _, x in held:
+                h = (value_hash(x) ^ salt) * _MIX
+                rate = np.ones(len(x)) if known is None else _gaps(x, known)
+                live = np.flatnonzero(rate > 0)
+                waits = -np.log(((h[live] >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate[live]
+                found = first(waits, h[live], x[live])
+                state = found if state is None else first(*map(np.concatenate, zip(state, found)))
+            return state
+
+        def merge(a, b):
+            return a if b is None else b if a is None else first(*map(np.concatenate, zip(a, b)))
+
+        found = blocks.reduce(fold, merge, count * blocks.width * 8)
+        return found[2] if found is not None else np.zeros((0, blocks.width))
+
+    chosen = drawn(salts[0], 1, None)
+    for salt in salts[1:]:
+        chosen = np.concatenate([chosen, drawn(salt, factor * most, chosen)])
+
+    def count(held, state):
+        for _, x in held:
+            state[:, 0] += np.bincount(closest(x, chosen), minlength=len(chosen))
+
+    weights = blocks.total(count, len(chosen), 1)[:, 0]
+    rng = np.random.default_rng(seed)
+    order = [int(rng.choice(len(chosen), p=weights / weights.sum()))]
+    while len(order) < min(most, len(chosen)):
+        away = _gaps(chosen, chosen[order]) * weights
+        if not away.any():
+            break
+        order.append(int(rng.choice(len(chosen), p=away / away.sum())))
+    starts = {}
+    for k in sizes:
+        centers = chosen[order[:k]].copy()
+        for _ in range(20):
+            near = closest(chosen, centers)
+            held = np.bincount(near, weights=weights, minlength=len(centers))
+            sums = np.zeros_like(centers)
+            np.add.at(sums, near, chosen * weights[:, None])
+            centers[held > 0] = sums[held > 0] / held[held > 0, None]
+        starts[k] = np.resize(centers, (k, blocks.width))
+    return starts
+
+
 def _scorers(fits: list[Fit]) -> list[np.ndarray]:
     """Per fit the matrix that takes rows ``(x, 1)`` to half the squared distance, short of ``x x / 2``."""
     return [np.vstack([-fit.centers.T, 0.5 * (fit.centers**2).sum(axis=1)]) for fit in fits]
@@ -233,9 +305,7 @@ def _farthest(blocks: Blocks, fits: list[Fit], counts: list[int]) -> list[np.nda
                 if not len(rows):
                     continue
                 live = centers[~np.isnan(centers[:, 0])]
-                gap = (rows**2).sum(axis=1) + 2 * (0.5 * (live**2).sum(axis=1) - rows @ live.T).min(axis=1)
-                # Rounding noise around 0 does not make a row far.
-                gap[gap <= 1e-12 * np.maximum((rows**2).sum(axis=1), 1e-300)] = 0.0
+                gap = _gaps(rows, live)
                 near = np.flatnonzero(gap > 0)
                 found = best(gap[near], value_hash(rows[near]), rows[near], count)
                 state[n] = found if state[n] is None else best(*map(np.concatenate, zip(state[n], found)), count)

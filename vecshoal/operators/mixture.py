@@ -17,6 +17,9 @@ from vecshoal.operators.partials import Blocks, batches_of, working_copy
 from vecshoal.session import small_table, write_small
 
 
+START_MOVES = 5
+
+
 @dataclass
 class Mixture:
     """Weights, means and covariances of one model; ``log_likelihood`` is the total over the rows."""
@@ -213,7 +216,7 @@ def fit_mixtures(
 ) -> list[Mixture]:
     """Fit one mixture per size, all in the same passes.
 
-    Each starts from K-Means clusters, or from the component number in the column ``start``.
+    Each starts from a few moves of K-Means with spread starts, or from the component number in the column ``start``.
     A model stops when its mean log likelihood changes by less than ``tol``. Vectors that have not ``width`` finite elements
     (default: the most common number) are left out. ``points`` is read into a copy that the executors keep.
     """
@@ -221,9 +224,11 @@ def fit_mixtures(
         facts = kmeans.group_facts(blocks)
         n = sum(fact.rows for fact in facts.values())
         if start is None:
-            best = kmeans.best_fits(kmeans.fit_blocks(blocks, sizes, restarts=restarts, seed=seed))
-            if (0, max(sizes)) not in best:
+            if n < max(sizes):
                 raise ValueError(f"fewer rows than {max(sizes)} components")
+            # Clusters to start from need no more than a few moves: the rounds of EM move them on.
+            spread = [(r, k, rows) for r in range(restarts) for k, rows in kmeans.spread_starts(blocks, sizes, seed + r).items()]
+            best = kmeans.best_fits(kmeans.run_lloyd(blocks, [kmeans.Fit(0, k, r, rows) for r, k, rows in spread], START_MOVES))
         if not n:
             raise ValueError("no vector to fit on")
         origin = sum(fact.rows / n * fact.mean for fact in facts.values())
