@@ -4,7 +4,7 @@ Everything is DataFrame functions. For each kind a text is split at its matches
 extracted; the lengths of gaps and matches give the places, in code points. No rows move.
 
 Kinds ``email ip card phone`` are kept whenever their check holds. The further kinds start from a lower score, which a
-passed checksum or a word nearby that speaks of them lifts over the threshold: ``iban`` (mod 97), ``ssn`` (ranges, context)
+passed checksum or a word nearby that speaks of them lifts over the threshold: ``iban`` (length by country, mod 97), ``ssn`` (ranges, context)
 and ``local_phone`` (no country code, context). Matches of one kind do not overlap; kinds may.
 
 Cases: a NULL or empty text has no spans; repeated rows give the same spans each; an empty table gives an empty
@@ -24,6 +24,21 @@ from vecshoal.llm.common import whole
 SPANS = "array<struct<kind:string,start:int,end:int,value:string,score:double>>"
 
 
+#: The length of account numbers by country, as their registry gives it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """Two letters of a country and as many signs, in groups or not, as its numbers have: what follows a number is no part of it."""
+    each = "|".join(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{size - 4}}}" for size, codes in IBAN_LENGTHS.items())
+    return rf"(?<![A-Za-z0-9])(?:{each})(?![A-Za-z0-9])"
+
+
 def digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -91,7 +106,7 @@ def kinds(text: Column) -> list[Kind]:
         Kind("card", r"[0-9](?:[\x20-]?[0-9])++", has_digit, card_number, "card|visa|credit|payment", 0.9),
         Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", text.contains("+"),
              lambda match: F.length(digits(match)).between(8, 15), "phone|tel|call|mobile|fax", 0.6),
-        Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", has_digit,
+        Kind("iban", iban_pattern(), has_digit,
              lambda match: mod_97(F.replace(match, F.lit(" "), F.lit(""))), "iban|account|bank", 0.8, base=False),
         Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
              has_digit & text.contains("-"), lambda match: F.lit(True), "ssn|social security", 0.3, base=False),

@@ -212,7 +212,7 @@ l AS (SELECT a AS sid, count(*) AS n_links FROM p GROUP BY a)
 SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links
 FROM g JOIN s USING (grams) JOIN c USING (sid) LEFT JOIN l USING (sid)"""
 
-#: Least rows of a group for its own fences, reach in quartile distances; see ``rules.apply_rules``.
+#: 100 values for fences of a group's own, 6 quartile distances, 3 roots of a count; see ``rules.apply_rules``.
 RULES_SQL = f"""WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {words_sql("coalesce(text, '')")} AS words,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
 v AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3),
@@ -223,16 +223,17 @@ m AS (SELECT doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_t
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines FROM w LEFT JOIN y USING (doc_id)),
 q AS (SELECT *, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0 END AS m1, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS m2,
     CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END AS m3, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END AS m4 FROM m),
-o AS (SELECT lang, source, grouping(lang, source) AS level, count(*) AS n, quantile_disc(m1, [0.25, 0.75]) AS q1, quantile_disc(m2, [0.25, 0.75]) AS q2,
-    quantile_disc(m3, [0.25, 0.75]) AS q3, quantile_disc(m4, [0.25, 0.75]) AS q4 FROM q GROUP BY GROUPING SETS ((lang, source), (lang), ())),
-f AS (SELECT a.lang, a.source, unnest(CASE WHEN a.n >= 100 THEN [{{'q1': a.q1, 'q2': a.q2, 'q3': a.q3, 'q4': a.q4}}]
-    WHEN b.n >= 100 THEN [{{'q1': b.q1, 'q2': b.q2, 'q3': b.q3, 'q4': b.q4}}] ELSE [{{'q1': c.q1, 'q2': c.q2, 'q3': c.q3, 'q4': c.q4}}] END) AS s
+o AS (SELECT lang, source, grouping(lang, source) AS level, count(*) AS n1, quantile_disc(m1, [0.25, 0.75]) AS q1,
+    count(*) FILTER (WHERE m2 > 0) AS n2, quantile_disc(m2, [0.25, 0.75]) FILTER (WHERE m2 > 0) AS q2,
+    count(*) FILTER (WHERE m3 > 0) AS n3, quantile_disc(m3, [0.25, 0.75]) FILTER (WHERE m3 > 0) AS q3,
+    count(*) AS n4, quantile_disc(m4, [0.25, 0.75]) AS q4 FROM q GROUP BY GROUPING SETS ((lang, source), (lang), ())),
+f AS (SELECT a.lang, a.source, {", ".join(f"CASE WHEN a.n{i} >= 100 THEN a.q{i} WHEN b.n{i} >= 100 THEN b.q{i} ELSE c.q{i} END AS q{i}" for i in (1, 2, 3, 4))}
     FROM (SELECT * FROM o WHERE level = 0) a JOIN (SELECT * FROM o WHERE level = 1) b ON a.lang IS NOT DISTINCT FROM b.lang, (SELECT * FROM o WHERE level = 3) c),
+h AS (SELECT lang, source, {", ".join(f"q{i}[2] + 6.0::DOUBLE * (q{i}[2] - q{i}[1]) AS h{i}" for i in (1, 2, 3, 4))}, q4[1] - 6.0::DOUBLE * (q4[2] - q4[1]) AS l4 FROM f),
 j AS (SELECT q.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-    m1 > s.q1[2] + greatest(6.0 * (s.q1[2] - s.q1[1]), 0.10) OR m2 > s.q2[2] + greatest(6.0 * (s.q2[2] - s.q2[1]), 0.40)
-    OR m3 > s.q3[2] + greatest(6.0 * (s.q3[2] - s.q3[1]), 0.40) OR m4 > s.q4[2] + greatest(6.0 * (s.q4[2] - s.q4[1]), 2.0)
-    OR m4 < s.q4[1] - greatest(6.0 * (s.q4[2] - s.q4[1]), 2.0) AS beyond
-    FROM q JOIN f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DISTINCT FROM f.source)
+    coalesce(n_symbols - 3.0::DOUBLE * sqrt(n_symbols) > h1 * n_words, false) OR coalesce(n_dup_lines - 3.0::DOUBLE * sqrt(n_dup_lines) > h2 * n_lines, false)
+    OR coalesce(n_repeat_words - 3.0::DOUBLE * sqrt(n_repeat_words) > h3 * n_words, false) OR m4 > h4 OR m4 < l4 AS beyond
+    FROM q JOIN h ON q.lang IS NOT DISTINCT FROM h.lang AND q.source IS NOT DISTINCT FROM h.source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT beyond AS kept FROM j"""
 
 #: Every 50-byte string of every document, as hexadecimal digits.

@@ -1,9 +1,13 @@
 """Quality rules whose thresholds come from the data: fences around the quartiles of each language and source.
 
 Everything is DataFrame functions, and texts never move: counts are taken where a text is read, stored, and
-summed into mergeable quantile sketches (``percentile_approx``) by language and source, by language, and over all rows. A
-group takes its own sketch if it has ``least_rows`` rows, else that of its language, else that of all. A document whose measures lie
-beyond a fence, ``reach`` quartile distances (at least ``spread``) outside the quartiles, is not kept.
+summed into mergeable quantile sketches (``percentile_approx``) by language and source, by language, and over all rows. Symbols and word lengths are
+sketched over all documents; repeated lines and words, which most documents have none of, over the documents that have any. For each measure a
+group takes its own sketch if it holds ``least_rows`` values, else that of its language, else that of all. A fence lies ``reach`` quartile
+distances outside the quartiles. No cutoff is fixed: where the documents of a group hold no symbols its fence is 0.
+
+A document goes if a measure lies beyond its fence by more than chance would have it: of ``n`` symbols, repeated lines or repeated words,
+``noise`` times the root of ``n`` are not counted.
 
 Cases: a NULL or empty text has no words and fails the base rule; NULL languages and sources are groups of their own; repeated
 rows are judged alike; an empty table gives an empty result. Input columns other than id, text,
@@ -20,12 +24,12 @@ from vecshoal.operators.joins import attach
 
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
-#: Measure: least distance of a fence from its quartile, and the sides that are fenced.
+#: Measure: the documents that are sketched, the sides that are fenced, and the count that it is a share of words or lines by.
 FENCED = {
-    "symbol_share": (0.10, "upper"),
-    "dup_line_share": (0.40, "upper"),
-    "repeat_share": (0.40, "upper"),
-    "mean_word": (2.0, "both"),
+    "symbol_share": ("all", "upper", ("n_symbols", "n_words")),
+    "dup_line_share": ("positive", "upper", ("n_dup_lines", "n_lines")),
+    "repeat_share": ("positive", "upper", ("n_repeat_words", "n_words")),
+    "mean_word": ("all", "both", None),
 }
 
 
@@ -87,36 +91,38 @@ def measures(docs: DataFrame, doc_id: str, text: str, lang: str, source: str) ->
     counted = rows.select(
         "doc_id", "lang", "source", text_key(body).alias("_spread"),
         n_words.alias("n_words"), word_chars.alias("word_chars"), n_symbols.alias("n_symbols"),
-        n_dup_lines.alias("n_dup_lines"), "n_repeat_words", n_lines.alias("_lines"),
+        n_dup_lines.alias("n_dup_lines"), "n_repeat_words", n_lines.cast("bigint").alias("n_lines"),
     )
     return counted.withColumns(
         {
             "symbol_share": per(F.col("n_symbols"), F.col("n_words")),
-            "dup_line_share": per(F.col("n_dup_lines"), F.col("_lines")),
+            "dup_line_share": per(F.col("n_dup_lines"), F.col("n_lines")),
             "repeat_share": per(F.col("n_repeat_words"), F.col("n_words")),
             "mean_word": per(F.col("word_chars"), F.col("n_words")),
         }
-    ).drop("_lines")
+    )
 
 
 def thresholds(measured: DataFrame, least_rows: int, reach: float, accuracy: int) -> DataFrame:
     """Fences by language and source: ``lang, source, <measure>_low, <measure>_high``."""
-    sketched = [F.percentile_approx(m, [0.25, 0.75], accuracy).alias(m) for m in FENCED]
-    levels = measured.groupingSets([["lang", "source"], ["lang"], []], "lang", "source").agg(
-        F.grouping_id("lang", "source").alias("level"), F.count("*").alias("rows"), *sketched
-    )
+    sketched = []
+    for m, (whose, _, _) in FENCED.items():
+        value = F.col(m) if whose == "all" else F.when(F.col(m) > 0, F.col(m))
+        sketched += [F.percentile_approx(value, [0.25, 0.75], accuracy).alias(m), F.count(value).alias(m + "_n")]
+    levels = measured.groupingSets([["lang", "source"], ["lang"], []], "lang", "source").agg(F.grouping_id("lang", "source").alias("level"), *sketched)
 
     def level(number: int, suffix: str, *keys: str) -> DataFrame:
-        renamed = [F.col(m).alias(m + suffix) for m in FENCED]
-        return levels.where(F.col("level") == number).select(*keys, F.col("rows").alias("rows" + suffix), *renamed)
+        renamed = [F.col(name).alias(name + suffix) for m in FENCED for name in (m, m + "_n")]
+        return levels.where(F.col("level") == number).select(*keys, *renamed)
 
     own, by_lang, overall = level(0, "", "lang", "source"), level(1, "_lang", F.col("lang").alias("of")), level(3, "_all")
     by_lang, one = by_lang.withColumn("one", F.lit(1)), overall.withColumn("one", F.lit(1))
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of"))).join(F.broadcast(one), "one")
     fences = []
-    for m, (spread, sides) in FENCED.items():
-        q = F.when(F.col("rows") >= least_rows, F.col(m)).when(F.col("rows_lang") >= least_rows, F.col(m + "_lang")).otherwise(F.col(m + "_all"))
-        beyond = F.greatest(F.lit(reach) * (q[1] - q[0]), F.lit(spread))
+    for m, (_, sides, _) in FENCED.items():
+        own_enough, lang_enough = F.col(f"{m}_n") >= least_rows, F.col(f"{m}_n_lang") >= least_rows
+        q = F.when(own_enough, F.col(m)).when(lang_enough, F.col(f"{m}_lang")).otherwise(F.col(f"{m}_all"))
+        beyond = F.lit(reach) * (q[1] - q[0])
         fences.append((q[1] + beyond).alias(m + "_high"))
         if sides == "both":
             fences.append((q[0] - beyond).alias(m + "_low"))
@@ -131,6 +137,7 @@ def apply_rules(
     source: str = "source",
     least_rows: int = 100,
     reach: float = 6.0,
+    noise: float = 3.0,
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Counts, measures and verdict of each document.
@@ -142,10 +149,16 @@ def apply_rules(
     fences = thresholds(measured, least_rows, reach, accuracy).withColumn("_key", key).drop("lang", "source")
     judged = attach(measured.withColumn("_key", key), fences, "_key", "_spread")
     beyond = F.lit(False)
-    for m, (_, sides) in FENCED.items():
-        beyond |= F.col(m) > F.col(m + "_high")
+    for m, (_, sides, share) in FENCED.items():
+        if share:
+            n, of = F.col(share[0]), F.col(share[1])
+            above = n - noise * F.sqrt(n) > F.col(m + "_high") * of
+        else:
+            above = F.col(m) > F.col(m + "_high")
+        # No fence without any value of the measure.
+        beyond |= F.coalesce(above, F.lit(False))
         if sides == "both":
-            beyond |= F.col(m) < F.col(m + "_low")
+            beyond |= F.coalesce(F.col(m) < F.col(m + "_low"), F.lit(False))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
