@@ -1,3 +1,7 @@
+import random
+from collections import defaultdict
+from xml.etree import ElementTree
+
 from vecshoal.llm import html_text
 
 PAGES = "page_id long, url string, html string"
@@ -114,3 +118,55 @@ def test_marks_dealt_by_row(spark, monkeypatch):
     monkeypatch.setattr(html_text, "local_copy", lambda marks: None)
     monkeypatch.setattr("vecshoal.operators.joins.local_copy", lambda *of: None)
     assert texts(spark, pages) == want and want[3] == "own 3" and want[22] == "a2"
+
+
+def test_names_are_whole_and_spare_the_article(spark):
+    page = """<html><body><div class="site-header">menu text</div><article><h1>T</h1><section id="related-work"><p>one</p></section>
+      <p class="header">two</p><div class="notice-of-award"><p>three</p></div><div class="ad">buy</div><div class="comment-list"><p>first!</p></div>
+      <form>name</form><p class="load-balancing">End</p></article><div class="cookie-banner">ok</div></body></html>"""
+    assert text_of(spark, page) == "T\none\ntwo\nthree\nEnd"
+    bare = """<body><div class="site-header">menu</div><div class="notice-of-award"><p>kept</p></div><div class="notice">gone</div><p id="download">kept too</p></body>"""
+    assert text_of(spark, bare) == "kept\nkept too"
+
+
+def text_of(spark, page):
+    return html_text.extract(spark.createDataFrame([(1, "http://one/a", page)], "page_id long, url string, html string")).first().text
+
+
+def test_whole_extraction_by_brute_force(spark):
+    """Random well-formed pages without an article: a tree walk over all pages of a host at once gives the same texts."""
+    rng = random.Random(11)
+    parts = [f"<div><p>part {n}</p><ul><li>a{n}</li><li>b{n}</li></ul></div>" for n in range(6)]
+
+    def page(n):
+        inside = [rng.choice(parts) if rng.random() < 0.5 else f"<div><p>own {n} {rng.randrange(9)}</p></div>" for _ in range(rng.randint(1, 6))]
+        inside += ["<nav><p>menu</p></nav>"] * rng.randint(0, 1) + ['<div class="sidebar"><p>side</p></div>'] * rng.randint(0, 1)
+        rng.shuffle(inside)
+        return f"<html><body><section>{''.join(inside)}</section></body></html>"
+
+    rows = [(n, f"http://h{n % 3}.org/{n}", page(n)) for n in range(60)]
+    rows += [(100 + n, rows[n][1], rows[n][2]) for n in range(0, 60, 4)]
+
+    def blocks(node, skip=lambda node: False):
+        if skip(node):
+            return []
+        own = [" ".join(node.text.split())] if node.text and node.text.strip() else []
+        return own + [text for child in node for text in blocks(child, skip)]
+
+    def key(node):
+        return node.tag, (node.text or "").strip(), tuple(map(key, node))
+
+    trees = {n: ElementTree.fromstring(html) for n, _, html in rows}
+    beside = lambda node: node.tag == "nav" or node.get("class") == "sidebar"
+    seen, pages = defaultdict(set), defaultdict(set)
+    for n, url, _ in rows:
+        same = tuple(blocks(trees[n], beside))
+        pages[url[:9]].add(same)
+        for node in trees[n].iter():
+            if node.tag not in ("html", "body") and blocks(node):
+                seen[url[:9], key(node)].add(same)
+    template = {k for k, some in seen.items() if len(some) >= 3 and len(some) >= 0.2 * len(pages[k[0]])}
+    want = {n: "\n".join(blocks(trees[n], lambda node: beside(node) or (url[:9], key(node)) in template)) for n, url, _ in rows}
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in html_text.extract(docs).collect()} == want
+    assert any(want.values()) and any("part" not in text for text in want.values())

@@ -5,7 +5,8 @@ words, on every page and whether or not it is told by a name. Spark counts the s
 ``share`` of a host's pages (``least_pages`` at least), or on ``many_pages`` however large the host is, are template and go with all
 they hold. Copies are no evidence: pages of a host with equal blocks count as one, and so do equal articles, which a site may show on
 their own page and in its lists. Subtrees of pages meet the templates by host and hash, and a page gets those it holds. What sites do not repeat word for word - menus that
-change from page to page, adverts, forms, reader comments - is told by element, role and class names. If a page marks its article
+change from page to page, adverts, forms, reader comments - is told by element, and by whole
+role and class names. If a page marks its article
 (``article``, ``main``) and the article holds text, only that is text. Elements inside it are template like any others, but
 its passages - paragraphs, headings, quotations, single items of lists and tables - do not go by their own count: pages of a
 site may quote one another. They go with a recurring element around them.
@@ -47,13 +48,21 @@ PARAGRAPH = {"p"}
 #: A start tag closes nothing beyond these.
 HOLDS = set("ul ol dl table div section article body".split())
 BESIDE = set("aside button dialog footer form head header menu nav select svg".split())
-#: Parts of class names, ids and roles of what is not article text.
-BESIDE_NAMES = set(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo "
-    "complementary cookie cookies disqus footer form header login masthead menu modal nav navbar navigation newsletter notice notices "
-    "notification pagination popup promo promoted related replies search share sharing sidebar signup social sponsor sponsored "
+#: Class names, ids and roles of adverts and reader comments, wherever they stand.
+ADDED_NAMES = set(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promoted replies reply respond sponsor sponsored".split()
+)
+#: The same of what else is not article text, outside an article that the page marks.
+BESIDE_NAMES = ADDED_NAMES | set(
+    "banner breadcrumb breadcrumbs consent contentinfo complementary cookie cookies footer form header login masthead menu modal nav navbar "
+    "navigation newsletter notice notices notification pagination popup related search share sharing sidebar signup social "
     "subscribe toolbar widget".split()
 )
+#: Words that say where or how large a part is, and nothing of what it holds.
+NEUTRAL = set(
+    "area bar block bottom box column container content group head inner item items left links list main outer page panel right row section site "
+    "slot thread top unit wrap wrapper".split()
+)
 MAIN = {"article", "main"}
 #: Elements of an article that are not template by their own count.
 PASSAGE = set("blockquote dd dt h1 h2 h3 h4 h5 h6 li p pre td th tr".split())
@@ -70,14 +79,21 @@ PARSED = T.StructType(
 
 
 def beside(tag: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is told by its name to stand beside the article."""
+    """Whether an element is told by its tag or name to stand beside the article.
+
+    A name is a whole class, id or role; of a compound one every part must be such a name or a neutral word. Inside an article that
+    the page marks only adverts and comments are told by name.
+    """
     if tag in BESIDE and not (tag == "header" and in_main):
         return True
     if tag in ("body", "html") or not attributes:
         return False
+    names = ADDED_NAMES if in_main else BESIDE_NAMES
     for found in NAMES.findall(attributes):
-        if not BESIDE_NAMES.isdisjoint(re.split(r"[^a-z]+", "".join(found).lower())):
-            return True
+        for name in "".join(found).lower().split():
+            parts = set(filter(None, re.split(r"[^a-z]+", name)))
+            if not names.isdisjoint(parts) and parts <= names | NEUTRAL:
+                return True
     return False
 
 
