@@ -11,8 +11,3 @@ def item_id(dataset: Column, img_name: Column) -> Column:
 
 def image_url(img_name: Column, prefix: str, suffix: str = ".jpg") -> Column:
     return F.concat(F.lit(prefix), img_name, F.lit(suffix))
-
-
-def uniform_hash(key: Column, seed: int) -> Column:
-    """A number in [0, 1) that depends only on the key and the seed, not on row placement."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
