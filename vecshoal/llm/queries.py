@@ -153,11 +153,14 @@ LINE_SQL = f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10
 l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS no FROM d),
 w AS (SELECT doc_id, no, line, {words_sql('line')} AS words FROM l),
 f AS (SELECT words, min({{'d': doc_id, 'n': no}}) AS spot FROM w WHERE len(words) > 0 GROUP BY words),
-v AS (SELECT words, spot, i, list_concat(words[:i - 1], words[i + 1:]) AS rest
-      FROM (SELECT words, spot, unnest(range(1, len(words) + 1)) AS i FROM f WHERE len(words) >= 8)
-      UNION ALL SELECT words, spot, 0, words FROM f WHERE len(words) >= 8),
-e AS (SELECT rest, i, min(spot) AS spot FROM v GROUP BY rest, i),
-gone AS (SELECT DISTINCT v.words FROM v JOIN e ON v.rest = e.rest AND (v.i = e.i OR (v.i = 0) <> (e.i = 0)) WHERE e.spot < v.spot),
+t AS (SELECT words, spot, array_to_string(words, ' ') AS tidy, len(words) < 8 AS chars FROM f),
+u AS (SELECT words, spot, chars, CASE WHEN chars THEN list_transform(range(1, length(tidy) + 1), lambda i: substring(tidy, i, 1)) ELSE words END AS units
+      FROM t WHERE NOT chars OR length(tidy) BETWEEN 20 AND 255),
+v AS (SELECT words, spot, chars, i, list_concat(units[:i - 1], units[i + 1:]) AS rest
+      FROM (SELECT words, spot, chars, units, unnest(range(1, len(units) + 1)) AS i FROM u)
+      UNION ALL SELECT words, spot, chars, 0, units FROM u),
+e AS (SELECT chars, rest, i, min(spot) AS spot FROM v GROUP BY chars, rest, i),
+gone AS (SELECT DISTINCT v.words FROM v JOIN e ON v.rest = e.rest AND v.chars = e.chars AND (v.i = e.i OR (v.i = 0) <> (e.i = 0)) WHERE e.spot < v.spot),
 k AS (SELECT w.*, len(words) = 0 AS blank,
         len(words) = 0 OR (f.spot = {{'d': doc_id, 'n': no}} AND words NOT IN (SELECT words FROM gone)) AS stays
       FROM w LEFT JOIN f USING (words))
