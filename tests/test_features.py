@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vecshoal.operators import aggregates
+from vecshoal.operators import aggregates, features, partials
 from vecshoal.operators.features import FeatureModel, component_count, fit_features
 
 
@@ -127,3 +127,50 @@ def test_attach_by_broadcast_and_by_salt(spark, items, limit):
     found = joined.collect()
     assert len(found) == 60
     assert all(r.cluster_centroid == expected[r.cluster_id] for r in found)
+
+
+def test_statistics_without_a_width_read_the_table_once(spark, items, matrix, tmp_path):
+    rows = [(f"i{n}", row, n % 3) for n, row in enumerate(matrix.tolist())]
+    odd = [("s1", [1.0], 0), ("s2", [None], 0), ("s3", [2.0], 1), ("s4", None, 2), ("s5", [float("nan")] * matrix.shape[1], 1)]
+    spark.createDataFrame(rows + odd, "id string, encd array<double>, cluster_id int").write.parquet(f"{tmp_path}/items")
+    table = spark.read.parquet(f"{tmp_path}/items")
+    width = matrix.shape[1]
+    for of in (aggregates.cluster_centroids, aggregates.own_mean_sse, aggregates.dimension_stats):
+        found = of(table)
+        got = sorted(map(tuple, found.collect()))
+        assert got == sorted(map(tuple, of(table, width=width).collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Scan parquet") == 1 and "Reused" in plan
+
+
+def test_the_least_of_equally_common_widths_counts(spark):
+    rows = [([1.0, 2.0], 0), ([3.0], 0), ([5.0], 1), ([3.0, 4.0], None), ([], 0), (None, 0)]
+    table = spark.createDataFrame(rows, "encd array<double>, cluster_id int")
+    assert sorted(map(tuple, aggregates.cluster_centroids(table).collect())) == [(0, [3.0], 1), (1, [5.0], 1)]
+    # Broken vectors count for their width, and a group of nothing else has no mean.
+    table = table.union(spark.createDataFrame([([float("inf"), 1.0], 7)], table.schema))
+    assert sorted(map(tuple, aggregates.cluster_centroids(table).collect())) == [(0, [1.0, 2.0], 1)]
+    assert aggregates.dimension_stats(table.where("encd is null")).count() == 0
+
+
+def test_one_scan_fits_features_of_the_first_width(points, matrix, spark, monkeypatch):
+    calls = []
+    summed = features.sum_over_tasks
+    monkeypatch.setattr(features, "sum_over_tasks", lambda *args: calls.append(1) or summed(*args))
+    fit_features(points(matrix), "reduced")
+    assert len(calls) == 1
+    short = spark.createDataFrame([("a", [1.0])], "id string, reduced array<double>")
+    assert fit_features(short.coalesce(1).unionByName(points(matrix)), "reduced").width == 6
+    assert len(calls) == 3
+
+
+def test_a_working_copy_counts_its_widths(spark):
+    rows = [(0, [1.0, 2.0]), (0, [3.0]), (1, [float("nan")]), (1, [5.0]), (1, None), (2, [3.0, 4.0])]
+    table = spark.createDataFrame(rows, "g int, v array<double>")
+    with partials.working_copy(table) as blocks:
+        held = sorted((int(g), *map(float, row)) for groups, x in blocks.rdd.collect() for g, row in zip(groups, x))
+        assert (blocks.width, held) == (1, [(0, 3.0), (1, 5.0)])
+    with partials.working_copy(table, 2) as blocks:
+        assert blocks.width == 2 and sum(len(g) for g, _ in blocks.rdd.collect()) == 2
+    with partials.working_copy(table.where("v is null")) as blocks:
+        assert blocks.width == 0 and not blocks.rdd.collect()

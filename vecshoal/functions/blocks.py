@@ -1,5 +1,7 @@
 """Arrow list columns as NumPy matrices and back, for task code that works on whole batches."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +38,12 @@ def fitting(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return ok, rows
 
 
+def count_widths(column: pa.Array, widths: Counter) -> None:
+    """Add to ``widths`` how many rows of a list column have how many elements; NULLs count as -1."""
+    for found in pc.value_counts(pc.fill_null(pc.list_value_length(column), -1)).to_pylist():
+        widths[found["values"]] += found["counts"]
+
+
 def map_vectors(column: pa.Array, width: int, apply) -> pa.Array:
     """Apply a matrix-to-matrix function to the fitting rows; other rows give NULL."""
     ok, rows = fitting(column, width)

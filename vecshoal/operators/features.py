@@ -5,6 +5,7 @@ Tasks add these sums up a block at a time, so the table is read once; the decomp
 one ``width x width`` matrix is left to the driver.
 """
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import fitting, map_vectors
-from vecshoal.operators.partials import common_width, sum_over_tasks
+from vecshoal.functions.blocks import count_widths, fitting, map_vectors
+from vecshoal.operators.partials import most_common, sum_over_tasks
 from vecshoal.session import small_table, write_small
 
 
@@ -106,6 +107,20 @@ def component_count(ratio: np.ndarray, share: float) -> int:
     return min(int((np.cumsum(ratio) <= share).sum()) + 1, len(ratio))
 
 
+def _sums(rows: DataFrame, origin: np.ndarray) -> tuple[np.ndarray, Counter]:
+    """The sum of ``z z^T`` over the vectors as wide as ``origin``, ``z`` being 1 and their difference from it, and the count of every width."""
+    width = len(origin)
+
+    def fold(batches, state, widths):
+        for batch in batches:
+            count_widths(batch.column(0), widths)
+            x = fitting(batch.column(0), width)[1] - origin
+            z = np.hstack([np.ones((len(x), 1)), x])
+            state += z.T @ z
+
+    return sum_over_tasks(rows, fold, width + 1, width + 1)
+
+
 def fit_features(
     items: DataFrame,
     vector: str = "encd",
@@ -115,25 +130,25 @@ def fit_features(
 ) -> FeatureModel:
     """Fit scaler and components on the rows whose vector has ``width`` finite elements.
 
-    Without ``width`` it is the most common one of all vectors. The model's ``left_out`` counts the other rows.
+    Without ``width`` it is the most common one of all vectors. The model's ``left_out`` counts the other rows. One scan sums up
+    the vectors as wide as the first sound one and counts all widths; only if another width is more common a second scan follows.
     """
-    common, everyone = common_width(items, vector)
-    width = common if width is None else width
-    rows = items.select(vector).where(F.col(vector).isNotNull())
+    rows = items.select(vector)
     sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    first = rows.where((F.array_size(vector) == width) & sound).first()
-    if first is None:
-        raise ValueError("no vector to fit on")
-    # Any row near the data will do: sums of differences from it lose no digits.
-    origin = np.array(first[0], dtype=np.float64)
-
-    def fold(batches, state):
-        for batch in batches:
-            x = fitting(batch.column(0), width)[1] - origin
-            z = np.hstack([np.ones((len(x), 1)), x])
-            state += z.T @ z
-
-    total = sum_over_tasks(rows, fold, width + 1, width + 1)
+    wanted = width
+    while True:
+        sized = F.array_size(vector) > 0 if wanted is None else F.array_size(vector) == wanted
+        first = rows.where(sized & sound).first()
+        if first is None:
+            raise ValueError("no vector to fit on")
+        # Any row near the data will do: sums of differences from it lose no digits.
+        origin = np.array(first[0], dtype=np.float64)
+        total, widths = _sums(rows, origin)
+        common = most_common(widths)
+        if width is not None or common == len(origin):
+            break
+        wanted = common
+    width, everyone = len(origin), sum(widths.values())
     n = int(round(total[0, 0]))
     shifted = total[0, 1:] / n
     covariance = total[1:, 1:] / n - np.outer(shifted, shifted)

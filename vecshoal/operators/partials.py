@@ -5,8 +5,10 @@ added up in a tree. Fits that pass over a table many times keep it on the execut
 numbers, so that a pass costs no reading, planning or conversion.
 """
 
-from collections.abc import Callable, Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from contextlib import contextmanager
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshoal.functions.blocks import fitting, list_column, matrix
+from vecshoal.functions.blocks import count_widths, fitting, list_column, matrix
 
 # States of all tasks up to this size are added up by the driver; larger ones first by tasks.
 DIRECT_BYTES = 64 << 20
@@ -47,9 +49,14 @@ def spread(df: DataFrame, key: str | None = None, rows_per_task: int = 256) -> D
 
 def common_width(rows: DataFrame, vector: str) -> tuple[int, int]:
     """The most common number of elements among all vectors (0 without any), and the count of all rows."""
-    widths = rows.groupBy(F.coalesce(F.array_size(vector), F.lit(-1)).alias("width")).count().collect()
-    known = [(row["count"], -row.width) for row in widths if row.width > 0]
-    return (-max(known)[1] if known else 0), sum(row["count"] for row in widths)
+    counted = rows.groupBy(F.coalesce(F.array_size(vector), F.lit(-1)).alias("width")).count().collect()
+    widths = {row.width: row["count"] for row in counted}
+    return most_common(widths), sum(widths.values())
+
+
+def most_common(widths: Mapping[int, int]) -> int:
+    """The width of the largest count, the least of equally common ones; 0 without any."""
+    return max((width for width in widths if width > 0), key=lambda width: (widths[width], -width), default=0)
 
 
 class Blocks:
@@ -81,26 +88,40 @@ class Blocks:
 def working_copy(rows: DataFrame, width: int | None = None) -> Iterator[Blocks]:
     """``rows`` of ``(g, v)`` as blocks for many passes; vectors that have not ``width`` finite elements are left out.
 
-    Without ``width`` it is the most common one of all. A lost executor costs a re-read of the splits it held.
+    Without ``width`` it is the most common one of all: vectors are put by by width, and the copy is counted. A lost executor
+    costs a re-read of the splits it held.
     """
-    if width is None:
-        width = common_width(rows, "v")[0]
 
     def pack(batches):
         for batch in batches:
-            ok, x = fitting(batch.column(1), width)
-            groups = batch.column(0).to_numpy(zero_copy_only=False)[ok].astype(np.int32)
-            if len(groups):
-                columns = [pa.array([groups.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["g", "x"])
+            widths = Counter({width: 0})
+            if width is None:
+                widths = Counter()
+                count_widths(batch.column(1), widths)
+            for wide, count in widths.items():
+                if wide < 1:
+                    continue
+                ok, x = fitting(batch.column(1), wide)
+                groups = batch.column(0).to_numpy(zero_copy_only=False)[ok].astype(np.int32)
+                columns = [pa.array([wide]), pa.array([count]), pa.array([groups.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["wide", "count_", "g", "x"])
 
     def unpack(row):
-        return np.frombuffer(row.g, dtype=np.int32), np.frombuffer(row.x).reshape(-1, width)
+        return row.wide, row.count_, np.frombuffer(row.g, dtype=np.int32), np.frombuffer(row.x).reshape(-1, row.wide)
+
+    def counts(blocks):
+        found = Counter()
+        for wide, count, _, _ in blocks:
+            found[wide] += count
+        return found
 
-    packed = fewer_tasks(spread(rows, rows_per_task=1000)).mapInArrow(pack, "g binary, x binary")
+    packed = fewer_tasks(spread(rows, rows_per_task=1000)).mapInArrow(pack, "wide long, count_ long, g binary, x binary")
     kept = packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield Blocks(kept, width)
+        if width is None:
+            width = most_common(Blocks(kept, 0).reduce(counts, add)) if kept.getNumPartitions() else 0
+        chosen = width
+        yield Blocks(kept.filter(lambda block: block[0] == chosen and len(block[2])).map(lambda block: block[2:]), width)
     finally:
         kept.unpersist()
 
@@ -110,17 +131,20 @@ def _slot_rows(used: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
 
 
 def sum_over_tasks(
-    df: DataFrame, fold: Callable[[Iterable[pa.RecordBatch], np.ndarray], None], slots: int, width: int
-) -> np.ndarray:
-    """Run ``fold(batches, state)`` once over a table and return the sum of the ``slots x width`` states."""
+    df: DataFrame, fold: Callable[[Iterable[pa.RecordBatch], np.ndarray, Counter], None], slots: int, width: int
+) -> tuple[np.ndarray, Counter]:
+    """Run ``fold(batches, state, counts)`` once over a table; the sums of the ``slots x width`` states and of the counts of whole numbers from -1."""
 
     def partial(batches):
-        state = np.zeros((slots, width))
-        fold(batches, state)
+        state, counts = np.zeros((slots, width)), Counter()
+        fold(batches, state, counts)
         used = np.flatnonzero(state.any(axis=1))
         yield _slot_rows(used, state[used])
+        # Counts travel as rows of slots below 0, one at a time, as there may be many.
+        for number, count in counts.items():
+            yield _slot_rows(np.array([-2 - number]), np.array([[float(count), *[0.0] * (width - 1)]]))
 
-    def add(batches):
+    def add_up(batches):
         # A task holds the sums of its own slots only.
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -129,11 +153,13 @@ def sum_over_tasks(
         if sums:
             yield _slot_rows(np.array(list(sums)), np.array(list(sums.values())))
 
-    partials = fewer_tasks(df).mapInArrow(partial, _ROWS).repartition("slot").mapInArrow(add, _ROWS)
-    total = np.zeros((slots, width))
+    partials = fewer_tasks(df).mapInArrow(partial, _ROWS).repartition("slot").mapInArrow(add_up, _ROWS)
+    total, counts = np.zeros((slots, width)), Counter()
     for batch in partials.toArrow().to_batches():
-        np.add.at(total, batch.column(0).to_numpy(), matrix(batch.column(1), width))
-    return total
+        places, stats = batch.column(0).to_numpy(), matrix(batch.column(1), width)
+        np.add.at(total, places[places >= 0], stats[places >= 0])
+        counts.update({int(-2 - place): int(row[0]) for place, row in zip(places, stats) if place < 0})
+    return total, counts
 
 
 def batches_of(fits: list, size: Callable[[object], int], bound: int) -> list[list]:
