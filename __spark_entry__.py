@@ -511,16 +511,21 @@ def secondary_given(spark, sf):
     return keys.label(grouped, "gmm_cluster_id", "encd").select("id", "gmm_cluster_id", "secondary_cluster_id")
 
 
-def sweep_given_starts(spark, sf):
+def sweep_given_starts(spark, sf, moves=2):
     """Two moves of every size inside every group, from given centres: sums of squares by priority of orders."""
     orders = table(spark, sf, "orders")
     code = F.substring("o_orderpriority", 1, 1).cast("int").alias("curve")
     points = orders.select(code, F.array(F.col("o_totalprice") / 1000).alias("v"))
     starts = {(g, k): np.array([[400.0 * (i + 0.5) / k] for i in range(k)]) for g in range(1, 6) for k in range(1, 14, 3)}
-    fits = kmeans.fit_given(points, starts, "v", "curve", max_iter=2)
+    fits = kmeans.fit_given(points, starts, "v", "curve", max_iter=moves)
     return rounded(kmeans.sweep_table(spark, kmeans.best_fits(fits)), "sse", digits=4)
 
 
+def sweep_by_marks(spark, sf):
+    """Eight moves: from the third on, most rows keep their centre by the triangle inequality."""
+    return sweep_given_starts(spark, sf, moves=8)
+
+
 def kmeans_fills_clusters(spark, sf):
     """Rows of few different values: as many clusters are filled as there are values for them, in every restart."""
     points = table(spark, sf, "lineitem").select(F.array("l_quantity", F.col("l_linenumber").cast("double")).alias("v"))
@@ -838,7 +843,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_dealt, topk_urls, query_rejects, stream_search,
         pca_variance_curve, pca_component_count, pca_two_columns, pca_spectrum_moments, pca_distances, search_standardised,
         lloyd_from_label_means, sse_sweep, elbow, sweep_recomputed, sweep_of_one, elbow_price_bins,
-        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sub_sweep_given, secondary_fitted_given, sweep_given_starts, kmeans_fills_clusters,
+        gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sub_sweep_given, secondary_fitted_given, sweep_given_starts, sweep_by_marks, kmeans_fills_clusters,
         fit_index_items, fit_index_given, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
         search_given_index, search_given_index_one, index_centroids, queries_refused, build_sets_aside,
         search_coded_given, coded_bounds, keyed_lists, search_keyed_given, search_keyed_two_lists, search_keyed_fitted,
@@ -1171,6 +1176,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, gmm_cluster_id::INT AS gmm_cluster_id FROM b WHERE gmm_cluster_id = 0""",
         "gmm_criteria_given": f"SELECT * FROM {criteria_sql(1, '0')} UNION ALL SELECT * FROM {criteria_sql(2, '(value > 50)::INT')}",
         "sweep_given_starts": sweep_sql(),
+        "sweep_by_marks": sweep_sql(8),
         "kmeans_fills_clusters": """WITH v AS (SELECT count(DISTINCT (l_quantity, l_linenumber)) AS values, count(*) AS rows FROM lineitem)
             SELECT k, restart, least(k, values)::BIGINT AS filled, rows FROM v, (SELECT unnest([20, 200])::INT AS k), (SELECT unnest(range(3))::INT AS restart)""",
         "secondary_given": f"""WITH {ITEMS}, {CELLS}, {MEANS},

@@ -208,3 +208,39 @@ def test_spread_starts_of_few_values(points):
     np.testing.assert_allclose(starts[1], [[1.5, 2.5]])
     assert sorted(map(tuple, starts[2])) == [(1.0, 2.0), (3.0, 4.0)]
     assert starts[5].shape == (5, 2) and {tuple(row) for row in starts[5]} == {(1.0, 2.0), (3.0, 4.0)}
+
+
+@pytest.mark.parametrize("sizes", [[1, 2, 6, 20], [300]], ids=["few", "more than 8 bits"])
+def test_marks_spare_distances_and_change_nothing(points, split, sizes):
+    x = np.vstack([blobs(rows=700, centres=6, spread=1.2), np.ones((9, 4))])
+    group = np.arange(len(x)) % 2
+    starts = {(g, k): x[group == g][:k].copy() for g in (0, 1) for k in sizes}
+
+    def fits(unmarked):
+        made = [kmeans.Fit(g, k, 0, start.copy(), 1e-9) for (g, k), start in sorted(starts.items())]
+        with working_copy(kmeans.grouped(points(x, g=group.tolist()), "reduced", "g"), 4) as blocks:
+            return kmeans.run_lloyd(blocks, made, 60, unmarked=unmarked)
+
+    plain, marked = fits(float("inf")), fits(2)
+    for a, b in zip(plain, marked):
+        np.testing.assert_allclose(a.centers, b.centers, rtol=1e-9, atol=1e-12)
+        assert a.iterations == b.iterations and b.sse == pytest.approx(a.sse)
+        np.testing.assert_array_equal(a.sizes, b.sizes)
+        assert a.distances == a.k * a.sizes.sum() * (a.iterations + 1)
+    if sizes != [300]:
+        assert sum(b.distances for b in marked) < 0.7 * sum(a.distances for a in plain)
+
+
+def test_marks_with_equal_rows_and_lost_centres(points):
+    """Centres at one place never have a gap, and a refilled centre moves far: both are settled by distances."""
+    x = np.vstack([np.zeros((30, 2)), np.ones((30, 2)), [[9.0, 9.0]], [[1e9, 1e9]]])
+
+    def fits(unmarked):
+        made = [kmeans.Fit(0, 5, 0, np.array([[0.0, 0.0], [0.0, 0.0], [1.0, 1.0], [1.0, 1.0], [5.0, 5.0]]))]
+        with working_copy(kmeans.grouped(points(x), "reduced", None), 2) as blocks:
+            return kmeans.run_lloyd(blocks, made, 20, unmarked=unmarked)[0]
+
+    plain, marked = fits(float("inf")), fits(0)
+    np.testing.assert_allclose(marked.centers, plain.centers)
+    np.testing.assert_array_equal(marked.sizes, plain.sizes)
+    assert marked.sse == pytest.approx(plain.sse)

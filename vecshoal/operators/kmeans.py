@@ -4,13 +4,15 @@ A sweep needs hundreds of fits (every k, every restart, and for secondary keys e
 Run one after another each of them would read the table once per iteration. Here one pass
 serves a whole iteration of all fits that have not converged yet, so a sweep passes over the table
 as often as its slowest fit does. Starts are drawn from all rows, and a centre that loses its rows
-moves to the farthest of all rows.
+moves to the farthest of all rows. After its first passes a fit keeps marks beside the rows, by which the
+triangle inequality tells the rows whose centre cannot have changed; only the others are compared with the centres.
 """
 
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from vecshoal.session import small_table
 _CELLS = 1 << 21
 _BLOCK = 4096
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+# Passes before the first marks: at first most rows change their centre.
+UNMARKED = 2
 
 
 @dataclass
@@ -37,6 +41,8 @@ class Fit:
     sizes: np.ndarray = field(default_factory=lambda: np.zeros(0))
     iterations: int = 0
     converged: bool = False
+    # Distances computed between rows and centres.
+    distances: int = 0
 
 
 @dataclass
@@ -254,16 +260,23 @@ def _tally(x: np.ndarray, scorers: list[np.ndarray], state: np.ndarray) -> None:
             away = longer @ scorer
             chosen = away.argmin(axis=1)
             missed = np.clip(2 * away[line, chosen] + square, 0.0, None)
-            counts = np.bincount(chosen, minlength=k)
-            held = np.flatnonzero(counts)
-            # Sorting small integers takes linear time.
-            order = np.argsort(chosen.astype(np.uint16 if k <= 1 << 16 else np.int64), kind="stable")
-            state[lo : lo + k, 0] += counts
             state[lo : lo + k, 1] += np.bincount(chosen, weights=missed, minlength=k)
-            state[lo + held, 2:] += np.add.reduceat(block[order], np.cumsum(counts[held]) - counts[held], axis=0)
+            _add_sums(state[lo : lo + k], chosen, block)
             lo += k
 
 
+def _add_sums(state: np.ndarray, chosen: np.ndarray, rows: np.ndarray, sign: int = 1) -> None:
+    """Add to ``state`` the row count and the vector sum of every chosen centre."""
+    k = len(state)
+    counts = np.bincount(chosen, minlength=k)
+    held = np.flatnonzero(counts)
+    if len(held):
+        # Sorting small integers takes linear time.
+        order = np.argsort(chosen.astype(np.uint16 if k <= 1 << 16 else np.int64), kind="stable")
+        state[:, 0] += sign * counts
+        state[held, 2:] += sign * np.add.reduceat(rows[order], np.cumsum(counts[held]) - counts[held], axis=0)
+
+
 def _by_group(fits: list[Fit]) -> list[tuple[int, list[int]]]:
     return [(g, [n for n, fit in enumerate(fits) if fit.group == g]) for g in sorted({fit.group for fit in fits})]
 
@@ -284,7 +297,145 @@ def _one_pass(blocks: Blocks, fits: list[Fit]) -> np.ndarray:
                     lo, hi, scorers = models[int(g)]
                     _tally(x[groups == g], scorers, state[lo:hi])
 
-    return blocks.total(fold, total, blocks.width + 2)
+    tallies = blocks.total(fold, total, blocks.width + 2)
+    ends = np.cumsum([0, *(fit.k for fit in fits)])
+    for fit, lo, hi in zip(fits, ends, ends[1:]):
+        fit.distances += int(tallies[lo:hi, 0].sum()) * fit.k
+    return tallies
+
+
+def _two_nearest(x: np.ndarray, centers: np.ndarray, scorer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of every row, and a lower bound of how much farther the second nearest is."""
+    k = len(centers)
+    labels = np.zeros(len(x), dtype=np.uint8 if k <= 1 << 8 else np.uint16 if k <= 1 << 16 else np.int32)
+    gaps = np.full(len(x), np.inf, dtype=np.float32)
+    if k == 1:
+        return labels, gaps
+    largest = (centers**2).sum(axis=1).max()
+    for at in range(0, len(x), _BLOCK):
+        block = x[at : at + _BLOCK]
+        square = (block**2).sum(axis=1)
+        away = np.hstack([block, np.ones((len(block), 1))]) @ scorer
+        line = np.arange(len(block))
+        chosen = away.argmin(axis=1)
+        first = 2 * away[line, chosen] + square
+        away[line, chosen] = np.inf
+        second = 2 * away.min(axis=1) + square
+        # Squares come from differences of larger numbers, whose rounding may not make a bound too good.
+        noise = 1e-15 * (centers.shape[1] + 8) * (square + largest)
+        gap = np.sqrt(np.clip(second - noise, 0.0, None)) - np.sqrt(np.clip(first + noise, 0.0, None))
+        labels[at : at + _BLOCK] = chosen
+        gaps[at : at + _BLOCK] = np.nextafter(gap.astype(np.float32), np.float32(-np.inf))
+    return labels, gaps
+
+
+class Marks:
+    """What spares distances: for every row and open fit the nearest centre at one time, and how much farther the second one was.
+
+    Centres have since moved by known distances. A row's centre is the same as long as its gap is larger than the move of its own centre
+    and the largest move of another together. Marks stay as they are, beside the rows on the executors (five bytes a row and fit
+    of at most 256 centres), so that a lost executor makes its own again from the rows and the centres of that time. Tallies are those of
+    that time, and passes add the rows that changed. Once the passes have computed as many distances as new marks need, new ones are made.
+    """
+
+    def __init__(self, blocks: Blocks, fits: list[Fit]):
+        self.place = {id(fit): n for n, fit in enumerate(fits)}
+        self.centers = [fit.centers.copy() for fit in fits]
+        groups, centers, scorers = [fit.group for fit in fits], self.centers, _scorers(fits)
+
+        def attach(block):
+            own, x = block
+            found = {}
+            for g in np.unique(own):
+                rows = x[own == g]
+                found |= {n: _two_nearest(rows, centers[n], scorers[n]) for n, group in enumerate(groups) if group == g}
+            return own, x, found
+
+        self.blocks = Blocks(blocks.rdd.map(attach).persist(StorageLevel.MEMORY_AND_DISK), blocks.width)
+        self.tallies: list[np.ndarray] = []
+        for some in batches_of(fits, lambda fit: fit.k * (blocks.width + 2) * 8, partials.STATE_BYTES):
+            self.tallies += self._sums(some)
+        for fit, tally in zip(fits, self.tallies):
+            fit.distances += self.price(fit, tally)
+        self.spent = 0
+
+    @staticmethod
+    def price(fit: Fit, tally: np.ndarray) -> int:
+        return int(tally[:, 0].sum()) * fit.k
+
+    def worn(self, fits: list[Fit]) -> bool:
+        """Whether the passes since have computed as many distances as marks for ``fits`` would."""
+        return self.spent >= sum(self.price(fit, self.tallies[self.place[id(fit)]]) for fit in fits)
+
+    def _sums(self, fits: list[Fit]) -> list[np.ndarray]:
+        places = [self.place[id(fit)] for fit in fits]
+        ends = np.cumsum([0, *(fit.k for fit in fits)])
+        groups = [fit.group for fit in fits]
+
+        def fold(held, state):
+            for own, x, marks in held:
+                for g in np.unique(own):
+                    rows = x[own == g]
+                    for n, place in enumerate(places):
+                        if groups[n] == g:
+                            _add_sums(state[ends[n] : ends[n + 1]], marks[place][0], rows)
+
+        return np.split(self.blocks.total(fold, ends[-1], self.blocks.width + 2), ends[1:-1])
+
+    def one_pass(self, fits: list[Fit], measured: list[bool]) -> list[np.ndarray]:
+        """The tallies of all centres of each fit, those of ``measured`` fits with squared distances, the others with vector sums."""
+        models, ends = {}, np.cumsum([0, *(fit.k for fit in fits)])
+        for n, (fit, last) in enumerate(zip(fits, measured)):
+            place = self.place[id(fit)]
+            moves = np.sqrt(((fit.centers - self.centers[place]) ** 2).sum(axis=1))
+            order = np.argsort(moves)[::-1]
+            others = np.full(fit.k, moves[order[0]])
+            others[order[0]] = moves[order[1]] if fit.k > 1 else 0.0
+            # Sums of differences are rounded too.
+            reach = (moves + others) * (1 + 1e-12)
+            models.setdefault(fit.group, []).append((n, place, last, fit.centers, _scorers([fit])[0], reach))
+
+        def fold(held, state):
+            for own, x, marks in held:
+                for g in np.unique(own):
+                    if int(g) not in models:
+                        continue
+                    rows = x[own == g]
+                    for n, place, last, centers, scorer, reach in models[int(g)]:
+                        labels, gaps = marks[place]
+                        open_rows = np.flatnonzero(gaps <= reach[labels])
+                        spent, tally = state[ends[-1] + n], state[ends[n] : ends[n + 1]]
+                        now = labels.astype(np.int64) if last else None
+                        for at in range(0, len(open_rows), _BLOCK):
+                            some = open_rows[at : at + _BLOCK]
+                            spent[0] += len(some) * len(centers)
+                            chosen = (rows[some] @ scorer[:-1] + scorer[-1]).argmin(axis=1)
+                            if last:
+                                now[some] = chosen
+                                continue
+                            changed = np.flatnonzero(chosen != labels[some])
+                            moved = rows[some[changed]]
+                            _add_sums(tally, chosen[changed], moved)
+                            _add_sums(tally, labels[some[changed]], moved, -1)
+                        if last:
+                            spent[0] += len(rows)
+                            for at in range(0, len(rows), _BLOCK):
+                                near = now[at : at + _BLOCK]
+                                away = ((rows[at : at + _BLOCK] - centers[near]) ** 2).sum(axis=1)
+                                tally[:, 0] += np.bincount(near, minlength=len(centers))
+                                tally[:, 1] += np.bincount(near, weights=away, minlength=len(centers))
+
+        state = self.blocks.total(fold, ends[-1] + len(fits), self.blocks.width + 2)
+        tallies = np.split(state[: ends[-1]], ends[1:-1])
+        for n, (fit, last) in enumerate(zip(fits, measured)):
+            fit.distances += int(state[ends[-1] + n, 0])
+            self.spent += int(state[ends[-1] + n, 0])
+            if not last:
+                tallies[n] = tallies[n] + self.tallies[self.place[id(fit)]]
+        return tallies
+
+    def close(self) -> None:
+        self.blocks.rdd.unpersist()
 
 
 def _farthest(blocks: Blocks, fits: list[Fit], counts: list[int]) -> list[np.ndarray]:
@@ -331,10 +482,14 @@ def _refill(blocks: Blocks, fits: list[Fit], lost: list[np.ndarray]) -> None:
         fit.centers[slots[: len(rows)]] = rows
 
 
+def _settled(fit: Fit, max_iter: int) -> bool:
+    """Whether a fit has made its last move; the pass after that only measures the final centres."""
+    return fit.converged or fit.iterations >= max_iter
+
+
 def _advance(fit: Fit, tally: np.ndarray, max_iter: int) -> np.ndarray | None:
     """Move the centres of a fit to their means and return those without rows; None once the fit is measured and done."""
-    if fit.converged or fit.iterations >= max_iter:
-        # The pass after the last move only measures the final centres.
+    if _settled(fit, max_iter):
         fit.sizes, fit.sse, fit.converged = tally[:, 0].copy(), float(tally[:, 1].sum()), True
         return None
     held = tally[:, 0] > 0
@@ -344,27 +499,45 @@ def _advance(fit: Fit, tally: np.ndarray, max_iter: int) -> np.ndarray | None:
     return np.flatnonzero(~held)
 
 
-def run_lloyd(blocks: Blocks, fits: list[Fit], max_iter: int, refill: bool = True) -> list[Fit]:
-    """Iterate all fits together, one pass over the rows at a time, until each has converged."""
+def run_lloyd(blocks: Blocks, fits: list[Fit], max_iter: int, refill: bool = True, unmarked: float = UNMARKED) -> list[Fit]:
+    """Iterate all fits together, one pass over the rows at a time, until each has converged.
+
+    After ``unmarked`` passes :class:`Marks` spare the rows whose centre cannot have changed; centres are the same with and without them.
+    """
     ordered = sorted(fits, key=lambda fit: fit.group)
-    going = ordered
-    while going:
-        still = []
-        for some in batches_of(going, lambda fit: fit.k * (blocks.width + 2) * 8, partials.STATE_BYTES):
-            ends = np.cumsum([fit.k for fit in some])
-            parts = np.split(_one_pass(blocks, some), ends[:-1])
-            before = [fit.centers for fit in some]
-            lost = [_advance(fit, part, max_iter) for fit, part in zip(some, parts)]
-            if refill and (bare := [n for n, slots in enumerate(lost) if slots is not None and len(slots)]):
-                _refill(blocks, [some[n] for n in bare], [lost[n] for n in bare])
-            for fit, centers, slots in zip(some, before, lost):
-                if slots is not None:
-                    fit.converged = float(((fit.centers - centers) ** 2).sum()) <= fit.tolerance
-                    still.append(fit)
-        going = still
+    going, marks, passes = ordered, None, 0
+    try:
+        while going:
+            if passes >= unmarked and (marks is None or marks.worn(going)) and not all(_settled(fit, max_iter) for fit in going):
+                if marks is not None:
+                    marks.close()
+                marks = Marks(blocks, going)
+            going, passes = _move(blocks, going, max_iter, refill, marks), passes + 1
+    finally:
+        if marks is not None:
+            marks.close()
     return ordered
 
 
+def _move(blocks: Blocks, fits: list[Fit], max_iter: int, refill: bool, marks: Marks | None) -> list[Fit]:
+    """One pass and one move of all ``fits``; those that are not done."""
+    still = []
+    for some in batches_of(fits, lambda fit: fit.k * (blocks.width + 2) * 8, partials.STATE_BYTES):
+        if marks is None:
+            parts = np.split(_one_pass(blocks, some), np.cumsum([fit.k for fit in some])[:-1])
+        else:
+            parts = marks.one_pass(some, [_settled(fit, max_iter) for fit in some])
+        before = [fit.centers for fit in some]
+        lost = [_advance(fit, part, max_iter) for fit, part in zip(some, parts)]
+        if refill and (bare := [n for n, slots in enumerate(lost) if slots is not None and len(slots)]):
+            _refill(blocks, [some[n] for n in bare], [lost[n] for n in bare])
+        for fit, centers, slots in zip(some, before, lost):
+            if slots is not None:
+                fit.converged = float(((fit.centers - centers) ** 2).sum()) <= fit.tolerance
+                still.append(fit)
+    return still
+
+
 def fit_blocks(
     blocks: Blocks,
     grid: list[int] | dict[int, list[int]],
