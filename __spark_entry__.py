@@ -358,6 +358,21 @@ def pca_spectrum_moments(spark, sf):
     return curve.agg(F.max("component").cast("long").alias("components"), *powers)
 
 
+def pca_spectrum_by_factors(spark, sf):
+    """The same sums, with components from triangular factors."""
+    curve = fit_features(plain(spark, sf), factors=True).variance_curve(spark)
+    powers = [F.round(F.sum(F.pow("ratio", F.lit(p))), 9).alias(f"power_{p}") for p in (1, 2, 3)]
+    return curve.agg(F.max("component").cast("long").alias("components"), *powers)
+
+
+def pca_near_singular(spark, sf):
+    """Prices beside prices plus a millionth of the quantity: the order of magnitude of the second component, below what products can show."""
+    price = F.col("l_extendedprice").cast("double")
+    rows = table(spark, sf, "lineitem").select(F.array(price, price + F.col("l_quantity").cast("double") * 1e-6).alias("encd"))
+    curve = fit_features(rows, factors=True).variance_curve(spark).where("component = 2")
+    return curve.select("component", F.round(F.log10("ratio"), 3).alias("magnitude"))
+
+
 def pca_distances(spark, sf):
     """Distance of each item from the mean of all items, in the space of all components."""
     model = fit_features(plain(spark, sf), share=None, components=WIDTH)
@@ -841,7 +856,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         upsert_items, upsert_last_wins, ingest_items, ingest_rejects, append_items, truncate_count, csv_round_trip,
         partitioned_read,
         topk_raw_single, topk_raw_all_clusters, topk_raw_batch, topk_raw_dealt, topk_urls, query_rejects, stream_search,
-        pca_variance_curve, pca_component_count, pca_two_columns, pca_spectrum_moments, pca_distances, search_standardised,
+        pca_variance_curve, pca_component_count, pca_two_columns, pca_spectrum_moments, pca_spectrum_by_factors, pca_near_singular, pca_distances, search_standardised,
         lloyd_from_label_means, sse_sweep, elbow, sweep_recomputed, sweep_of_one, elbow_price_bins,
         gmm_labels, gmm_label_rows, gmm_bic_aic, gmm_criteria_given, gmm_event_values, gmm_line_items, secondary_key, secondary_given, secondary_complete, sub_sweep, sub_sweep_given, secondary_fitted_given, sweep_given_starts, sweep_by_marks, kmeans_fills_clusters,
         fit_index_items, fit_index_given, search_reduced, index_finds_itself, index_keeps_clusters, index_upsert,
@@ -885,6 +900,13 @@ def pairs_sql(items: str, queries: str, k: int, vector: str = "encd") -> str:
       FROM {queries} q JOIN {items} i USING (cluster_id) QUALIFY rank <= {k}"""
 
 
+MOMENTS = f"""WITH {ITEMS}, {CELLS},
+    c AS (SELECT a.dim AS i, b.dim AS j, corr(a.x, b.x) AS r FROM cells a JOIN cells b USING (id) GROUP BY a.dim, b.dim),
+    sq AS (SELECT a.i, b.j, sum(a.r * b.r) AS r2 FROM c a JOIN c b ON a.j = b.i GROUP BY a.i, b.j),
+    d AS (SELECT count(DISTINCT i)::DOUBLE AS d FROM c)
+    SELECT any_value(d)::BIGINT AS components, 1.0::DOUBLE AS power_1,
+      round(sum(r * r) / any_value(d) ** 2, 9) AS power_2, round(sum(r * r2) / any_value(d) ** 3, 9) AS power_3
+    FROM c JOIN sq ON c.i = sq.j AND c.j = sq.i, d"""
 BATCH = f"WITH {ITEMS}, q AS (SELECT id AS query_id, cluster_id, encd FROM items) {pairs_sql('items', 'q', 20)}"
 
 
@@ -1133,13 +1155,10 @@ def oracle_sql() -> dict[str, str]:
               string_agg(url, chr(10) ORDER BY rank) AS urls FROM r GROUP BY query_id""",
         "query_rejects": """SELECT doc_id, CASE lang WHEN 'fr' THEN 'missing query' WHEN 'de' THEN 'empty query'
             ELSE 'blank query' END AS reason FROM documents WHERE lang IN ('fr', 'de', 'es')""",
-        "pca_spectrum_moments": f"""WITH {ITEMS}, {CELLS},
-            c AS (SELECT a.dim AS i, b.dim AS j, corr(a.x, b.x) AS r FROM cells a JOIN cells b USING (id) GROUP BY a.dim, b.dim),
-            sq AS (SELECT a.i, b.j, sum(a.r * b.r) AS r2 FROM c a JOIN c b ON a.j = b.i GROUP BY a.i, b.j),
-            d AS (SELECT count(DISTINCT i)::DOUBLE AS d FROM c)
-            SELECT any_value(d)::BIGINT AS components, 1.0::DOUBLE AS power_1,
-              round(sum(r * r) / any_value(d) ** 2, 9) AS power_2, round(sum(r * r2) / any_value(d) ** 3, 9) AS power_3
-            FROM c JOIN sq ON c.i = sq.j AND c.j = sq.i, d""",
+        "pca_spectrum_moments": MOMENTS,
+        "pca_spectrum_by_factors": MOMENTS,
+        "pca_near_singular": """WITH p AS (SELECT l_extendedprice::DOUBLE / 1e4 AS a, l_quantity::DOUBLE AS d FROM lineitem)
+            SELECT 2::INT AS component, round(log10((var_pop(a) * var_pop(d) - covar_pop(a, d) ** 2) / var_pop(a) ** 2 * 1e-20 / 4), 3) AS magnitude FROM p""",
         "pca_distances": f"""WITH {ITEMS}, {CELLS},
             s AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS sd FROM cells GROUP BY dim)
             SELECT id, round(sqrt(sum(((x - m) / sd) ** 2)), 6) AS length FROM cells JOIN s USING (dim) GROUP BY id""",

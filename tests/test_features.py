@@ -174,3 +174,42 @@ def test_a_working_copy_counts_its_widths(spark):
         assert blocks.width == 2 and sum(len(g) for g, _ in blocks.rdd.collect()) == 2
     with partials.working_copy(table.where("v is null")) as blocks:
         assert blocks.width == 0 and not blocks.rdd.collect()
+
+
+def vectors_of(spark, x, partitions):
+    return spark.createDataFrame([([float(v) for v in row],) for row in x], "encd array<double>").repartition(partitions)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_factors_equal_sums(spark, partitions):
+    x = np.random.default_rng(4).normal(size=(400, 12)) @ np.random.default_rng(5).normal(size=(12, 12)) + 1e3
+    x[:, 3] = 7.0
+    rows = vectors_of(spark, x, partitions)
+    rows = rows.unionByName(spark.createDataFrame([(None,), ([1.0],), ([float("nan")] * 12,)], "encd array<double>"))
+    sums, factors = fit_features(rows), fit_features(rows, factors=True)
+    assert (factors.rows, factors.left_out, factors.kept) == (sums.rows, sums.left_out, sums.kept) == (400, 3, sums.kept)
+    np.testing.assert_allclose(factors.mean, sums.mean, rtol=1e-12)
+    np.testing.assert_allclose(factors.deviation, sums.deviation, rtol=1e-9)
+    np.testing.assert_allclose(factors.ratio, sums.ratio, rtol=1e-9, atol=1e-14)
+    np.testing.assert_allclose(factors.loadings[:11], sums.loadings[:11], rtol=1e-6, atol=1e-7)
+
+
+def test_factors_hold_a_near_singular_table(spark, monkeypatch):
+    monkeypatch.setattr("vecshoal.operators.features.DIRECT_BYTES", 0)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(3000, 3))
+    x = np.hstack([base, base[:, :2] + 1e-10 * rng.normal(size=(3000, 2))])
+    model = fit_features(vectors_of(spark, x, 5), factors=True)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    lengths = np.linalg.svd(z, compute_uv=False) ** 2
+    np.testing.assert_allclose(model.ratio, lengths / lengths.sum(), rtol=1e-4)
+    assert 0 < model.ratio[-1] < 1e-18
+
+
+def test_factors_of_fewer_rows_than_columns(spark):
+    x = np.random.default_rng(7).normal(size=(3, 6))
+    model = fit_features(vectors_of(spark, x, 2), factors=True, share=None, components=6)
+    assert model.loadings.shape == (6, 6)
+    np.testing.assert_allclose(model.ratio[2:], 0.0, atol=1e-28)
+    one = fit_features(vectors_of(spark, x[:1], 1), factors=True)
+    assert one.rows == 1 and (one.deviation == 0).all()

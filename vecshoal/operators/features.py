@@ -2,7 +2,8 @@
 
 Means, deviations and components all follow from the sums of ``z z^T`` with ``z = (1, x)``.
 Tasks add these sums up a block at a time, so the table is read once; the decomposition of
-one ``width x width`` matrix is left to the driver.
+one ``width x width`` matrix is left to the driver. Columns that nearly depend on one another lose half their digits
+in such products; triangular factors, merged two by two, keep them at two to four times the work.
 """
 
 from collections import Counter
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import count_widths, fitting, map_vectors
-from vecshoal.operators.partials import most_common, sum_over_tasks
+from vecshoal.operators.partials import DIRECT_BYTES, fewer_tasks, most_common, sum_over_tasks
 from vecshoal.session import small_table, write_small
 
 
@@ -121,17 +122,59 @@ def _sums(rows: DataFrame, origin: np.ndarray) -> tuple[np.ndarray, Counter]:
     return sum_over_tasks(rows, fold, width + 1, width + 1)
 
 
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    """The triangular factor of a matrix: as many columns, no more rows than columns, and the same inner products."""
+    return np.linalg.qr(rows, mode="r") if len(rows) else rows
+
+
+def _factor(rows: DataFrame, origin: np.ndarray) -> tuple[int, np.ndarray, Counter]:
+    """Row count and triangular factor of all ``z`` of :func:`_sums`, and the count of every width.
+
+    A task folds its rows into a triangle, some blocks at a time, and triangles meet in a tree; no table of products is made.
+    """
+    width = len(origin)
+    enough = 4 * (width + 1)
+
+    def partial(batches):
+        held, waiting, lines, found, widths = np.zeros((0, width + 1)), 0, [], 0, Counter()
+        for batch in batches:
+            count_widths(batch.column(0), widths)
+            x = fitting(batch.column(0), width)[1] - origin
+            found += len(x)
+            lines.append(np.hstack([np.ones((len(x), 1)), x]))
+            waiting += len(x)
+            if waiting >= enough:
+                held, waiting, lines = _triangle(np.vstack([held, *lines])), 0, []
+        held = _triangle(np.vstack([held, *lines]))
+        sizes = pa.array([[[wide, count] for wide, count in widths.items()]], pa.list_(pa.list_(pa.int64())))
+        yield pa.RecordBatch.from_arrays([pa.array([found]), sizes, pa.array([held.tobytes()], pa.binary())], names=["n", "widths", "held"])
+
+    def state(row):
+        return row.n, np.frombuffer(row.held).reshape(-1, width + 1), Counter(dict(map(tuple, row.widths)))
+
+    def merge(a, b):
+        return a[0] + b[0], _triangle(np.vstack([a[1], b[1]])), a[2] + b[2]
+
+    partials = fewer_tasks(rows).mapInArrow(partial, "n long, widths array<array<long>>, held binary").rdd.map(state)
+    # Few small triangles are merged by the driver; otherwise tasks merge them, a square root of their number each.
+    depth = 1 if partials.getNumPartitions() * (width + 1) ** 2 * 8 <= DIRECT_BYTES else 2
+    return partials.treeReduce(merge, depth)
+
+
 def fit_features(
     items: DataFrame,
     vector: str = "encd",
     width: int | None = None,
     share: float | None = 0.95,
     components: int | None = None,
+    factors: bool = False,
 ) -> FeatureModel:
     """Fit scaler and components on the rows whose vector has ``width`` finite elements.
 
     Without ``width`` it is the most common one of all vectors. The model's ``left_out`` counts the other rows. One scan sums up
     the vectors as wide as the first sound one and counts all widths; only if another width is more common a second scan follows.
+    ``factors`` works by triangular factors instead of sums of products: the least components are then known to all digits that the
+    vectors have, also where columns nearly depend on one another.
     """
     rows = items.select(vector)
     sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -143,13 +186,30 @@ def fit_features(
             raise ValueError("no vector to fit on")
         # Any row near the data will do: sums of differences from it lose no digits.
         origin = np.array(first[0], dtype=np.float64)
-        total, widths = _sums(rows, origin)
+        if factors:
+            n, triangle, widths = _factor(rows, origin)
+        else:
+            total, widths = _sums(rows, origin)
         common = most_common(widths)
         if width is not None or common == len(origin):
             break
         wanted = common
     width, everyone = len(origin), sum(widths.values())
-    n = int(round(total[0, 0]))
+    if factors:
+        shifted, deviation, values, loadings = _by_factor(n, triangle)
+    else:
+        n = int(round(total[0, 0]))
+        shifted, deviation, values, loadings = _by_sums(n, total)
+    # Directions have no natural sign; make the largest loading positive.
+    peak = np.abs(loadings).argmax(axis=1)
+    loadings = loadings * np.sign(loadings[np.arange(width), peak])[:, None]
+    ratio = values / max(values.sum(), 1e-300)
+    model = FeatureModel(origin + shifted, deviation, loadings, ratio, width, n, everyone - n)
+    return model.keep(share, components)
+
+
+def _by_sums(n: int, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, deviation, component variances and loadings from the sum of all ``z z^T``."""
     shifted = total[0, 1:] / n
     covariance = total[1:, 1:] / n - np.outer(shifted, shifted)
     variance = np.diagonal(covariance).copy()
@@ -158,10 +218,17 @@ def fit_features(
     deviation = np.sqrt(variance)
     scale = np.where(deviation > 0, deviation, np.inf)
     values, directions = np.linalg.eigh(covariance / np.outer(scale, scale))
-    values, loadings = np.clip(values[::-1], 0.0, None), directions[:, ::-1].T
-    # Directions have no natural sign; make the largest loading positive.
-    peak = np.abs(loadings).argmax(axis=1)
-    loadings = loadings * np.sign(loadings[np.arange(width), peak])[:, None]
-    ratio = values / max(values.sum(), 1e-300)
-    model = FeatureModel(origin + shifted, deviation, loadings, ratio, width, n, everyone - n)
-    return model.keep(share, components)
+    return shifted, deviation, np.clip(values[::-1], 0.0, None), directions[:, ::-1].T
+
+
+def _by_factor(n: int, triangle: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same from the triangular factor of all ``z``: its first row holds the sums, the others are the factor of the centred rows."""
+    shifted = triangle[0, 1:] / triangle[0, 0]
+    centred = triangle[1:, 1:] / np.sqrt(n)
+    deviation = np.sqrt((centred**2).sum(axis=0))
+    deviation[deviation <= 1e-13 * np.maximum(np.hypot(deviation, shifted), 1e-300)] = 0.0
+    scaled = centred / np.where(deviation > 0, deviation, np.inf)
+    # With fewer rows than columns the remaining directions have no variance.
+    scaled = np.vstack([scaled, np.zeros((max(0, scaled.shape[1] - len(scaled)), scaled.shape[1]))])
+    _, lengths, loadings = np.linalg.svd(scaled)
+    return shifted, deviation, lengths**2, loadings
