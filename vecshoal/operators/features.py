@@ -3,7 +3,7 @@
 Means, deviations and components all follow from the sums of ``z z^T`` with ``z = (1, x)``.
 Tasks add these sums up a block at a time, so the table is read once; the decomposition of
 one ``width x width`` matrix is left to the driver. Columns that nearly depend on one another lose half their digits
-in such products; triangular factors, merged two by two, keep them at two to four times the work.
+in such products; triangular factors, merged two by two, keep them, but take a task about ten times as long.
 """
 
 from collections import Counter
