@@ -1,5 +1,8 @@
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 
@@ -244,3 +247,23 @@ def test_marks_with_equal_rows_and_lost_centres(points):
     np.testing.assert_allclose(marked.centers, plain.centers)
     np.testing.assert_array_equal(marked.sizes, plain.sizes)
     assert marked.sse == pytest.approx(plain.sse)
+
+
+def test_the_driver_gets_no_tallies(points, monkeypatch):
+    """What the driver collects in all passes together is less than one state of one task, and no more with many parts than with few."""
+    x = blobs(rows=600, centres=9, spread=1.5)
+    collect, sent = RDD.collect, []
+
+    def counted(self):
+        found = collect(self)
+        sent.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    fits = [kmeans.Fit(0, 40, r, x[r : r + 40].copy()) for r in range(20)]
+    monkeypatch.setattr(partials, "FAN", 2)
+    with working_copy(kmeans.grouped(points(x, partitions=5), "reduced", None), 4) as blocks:
+        sent.clear()
+        done = kmeans.run_lloyd(blocks, fits, 12)
+    assert all(fit.sizes.sum() == 600 and fit.iterations > 3 for fit in done)
+    assert sum(sent) < 20 * 40 * 6 * 8
