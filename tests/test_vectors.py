@@ -101,3 +101,17 @@ def test_encoder(spark):
     assert np.linalg.norm(found[0]) == pytest.approx(1.0)
     assert found[1] == [0.0] * 8
     assert found[2] is None
+
+
+class FewTexts:
+    """An encoder that takes few texts at a time."""
+
+    def encode(self, texts):
+        assert 0 < len(texts) <= 256
+        return [[float(len(text)), 1.0] for text in texts]
+
+
+def test_an_encoder_gets_few_texts_at_a_time(spark):
+    rows = spark.createDataFrame([(n, None if n % 7 == 0 else "x" * (n % 50)) for n in range(1500)], "n int, text string").coalesce(1)
+    found = rows.withColumn("v", encode_text(F.col("text"), FewTexts)).collect()
+    assert all(r.v == (None if r.n % 7 == 0 else [float(r.n % 50), 1.0]) for r in found)

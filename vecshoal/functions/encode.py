@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from vecshoal.functions.blocks import list_column
 
 
+# Texts given to an encoder at a time.
+TEXTS = 256
 TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
 
 
@@ -57,6 +59,8 @@ def encode_text(text: Column, load: Callable[[], object]) -> Column:
             if not texts:
                 yield pa.nulls(len(batch), pa.list_(pa.float64()))
                 continue
-            yield list_column(np.asarray(encoder.encode(texts), dtype=np.float64), present)
+            # A few texts at a time, as their tokens take many times their room.
+            found = [np.asarray(encoder.encode(texts[at : at + TEXTS]), dtype=np.float64) for at in range(0, len(texts), TEXTS)]
+            yield list_column(np.concatenate(found), present)
 
     return run(text)
