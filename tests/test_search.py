@@ -134,3 +134,13 @@ def test_refused_queries(spark):
     good, refused = search.split_queries(rows)
     assert [r.query_id for r in good.collect()] == [4]
     assert {r.query_id: r.reason for r in refused.collect()} == {1: "missing query", 2: "empty query", 3: "blank query"}
+
+
+def test_copies_do_not_grow_with_small_blocks(spark, items):
+    """Blocks of ten rows of a cluster of a thousand are not a hundred copies of everything."""
+    rows = sample(rows=900)
+    queries = [(i, v, c) for i, (_, v, c) in enumerate(rows)]
+    table, asked = items(rows), query_table(spark, queries)
+    copies = search.parts_of(table, asked, 10, 10).agg(F.max("item_parts"), F.max("query_parts")).first()
+    assert max(copies) <= search.FEW_PARTS
+    same(answers(search.top_k(table, asked, 5, query_bytes=1, block_items=10, block_queries=10)), brute(rows, queries, 5))

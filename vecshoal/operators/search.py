@@ -12,19 +12,24 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecshoal.functions import vectors
 from vecshoal.functions.blocks import fitting, matrix
-from vecshoal.operators.partials import common_width, fewer_tasks
+from vecshoal.operators.partials import common_width, fewer_tasks, task_limit
 from vecshoal.session import materialise
 
 # Queries sent to all tasks, and answers a task may hold; a larger query table is dealt out with the items, in blocks of
 # so many rows of either.
 QUERY_BYTES = 64 << 20
-TASK_ANSWERS = 1_000_000
+TASK_ANSWERS = 100_000
 BLOCK_ITEMS = 50_000
 BLOCK_QUERIES = 10_000
+# A cluster is cut into smaller blocks than these only while there are few: a task holds so many items at most and so many queries at a time,
+# and scores so many pairs.
+FEW_PARTS = 2
+PART_ITEMS = 50_000
+PART_QUERIES = 1_000
+PART_PAIRS = 1 << 32
 # Similarities equal to this many digits are ties, decided by id: block products differ in the last bits.
 DIGITS = 12
 _CELLS = 1 << 22
@@ -105,27 +110,30 @@ class _Best:
         self.floor[query[full]] = self.kept.column("similarity").to_numpy()[full]
 
 
+def _prepared(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """Clusters, unit vectors and payload of items ``(cluster_id, vector, id, payload...)``, in id order, so that among equal similarities
+    the lowest ids are met first."""
+    ok, points = fitting(batch.column(1), width)
+    if not ok.all():
+        batch = batch.filter(pa.array(ok))
+    order = pc.sort_indices(batch.column(2)).to_numpy()
+    payload = pa.table(batch.columns[2:], names=batch.schema.names[2:])
+    return batch.column(0).to_numpy()[order], _unit(points)[order], payload.take(pa.array(order))
+
+
 class _Scan:
     """Answers of one task: items are scored against the queries of their clusters, batch by batch."""
 
-    def __init__(self, by_cluster: dict, count: int, k: int, width: int):
-        self.by_cluster, self.count, self.k, self.width = by_cluster, count, k, width
+    def __init__(self, by_cluster: dict, count: int, k: int):
+        self.by_cluster, self.count, self.k = by_cluster, count, k
         self.best: _Best | None = None
 
-    def add(self, batch: pa.RecordBatch) -> None:
-        """Take in items ``(cluster_id, vector, id, payload...)``."""
-        ok, points = fitting(batch.column(1), self.width)
-        if not ok.all():
-            batch = batch.filter(pa.array(ok))
-        payload = pa.table(batch.columns[2:], names=batch.schema.names[2:])
+    def add(self, clusters: np.ndarray, points: np.ndarray, payload: pa.Table) -> None:
+        """Take in :func:`_prepared` items."""
         if self.best is None:
             fields = [pa.field("query", pa.int32()), pa.field("similarity", pa.float64()), *payload.schema]
             self.best = _Best(self.count, self.k, pa.schema(fields))
         best, k = self.best, self.k
-        # In id order, so that among equal similarities the lowest ids are met first.
-        order = pc.sort_indices(batch.column(2)).to_numpy()
-        clusters = batch.column(0).to_numpy()[order]
-        points = _unit(points)[order]
         for c in np.unique(clusters):
             at, probes = self.by_cluster.get(int(c), ((), ()))
             mine = np.flatnonzero(clusters == c)
@@ -141,7 +149,7 @@ class _Scan:
                 found = np.round(sims[q, item], DIGITS)
                 if len(q) > 2 * k * len(sims):
                     q, item, found = _cut_ties(q, item, found, k)
-                best.add(at[lo + q], found, payload.take(pa.array(order[mine[item]])))
+                best.add(at[lo + q], found, payload.take(pa.array(mine[item])))
 
     def answers(self, query_ids: pa.Array) -> pa.Table | None:
         if self.best is None:
@@ -168,9 +176,9 @@ def _score_in_place(rows: DataFrame, queries: pa.Table, schema: T.StructType, k:
 
     def task(batches):
         by_cluster, query_ids = shared.value
-        scan = _Scan(by_cluster, count, k, width)
+        scan = _Scan(by_cluster, count, k)
         for batch in batches:
-            scan.add(batch)
+            scan.add(*_prepared(batch, width))
         found = scan.answers(query_ids)
         if found is not None:
             yield from found.to_batches(max_chunksize=10_000)
@@ -178,39 +186,87 @@ def _score_in_place(rows: DataFrame, queries: pa.Table, schema: T.StructType, k:
     return fewer_tasks(rows.where(F.col("cluster_id").isin(list(groups)))).mapInArrow(task, schema)
 
 
-def _score_dealt(
-    rows: DataFrame, queries: DataFrame, schema: T.StructType, k: int, width: int, block_items: int, block_queries: int
-) -> DataFrame:
-    """The same for queries too many to send about: blocks of a cluster's items meet blocks of its queries.
+def parts_of(rows: DataFrame, queries: DataFrame, block_items: int = BLOCK_ITEMS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+    """``cluster_id, items, item_parts, query_parts``: into how many parts the items and the queries of each cluster are cut.
+
+    Each item is copied for every part of the queries and the other way round, so blocks smaller than a task can take are honoured up to ``FEW_PARTS``.
+    """
+    parts = queries.groupBy("cluster_id").agg(F.count("*").alias("asked")).join(rows.groupBy("cluster_id").agg(F.count("*").alias("items")), "cluster_id")
+
+    def cut(rows: Column, block: int, needed: Column) -> Column:
+        return F.least(F.ceil(rows / block), F.greatest(F.lit(FEW_PARTS), F.ceil(needed))).cast("int")
+
+    parts = parts.withColumn("item_parts", cut(F.col("items"), block_items, F.col("items") / PART_ITEMS))
+    pairs = F.col("items") / F.col("item_parts") * F.col("asked")
+    return parts.withColumn("query_parts", cut(F.col("asked"), block_queries, pairs / PART_PAIRS)).drop("asked")
 
-    A cluster is cut into as many parts as its items and its queries need, so a task holds one block of either
-    however large a cluster is. All items are read once.
+
+def meet(rows: DataFrame, queries: DataFrame, parts: DataFrame, hold, work, schema: T.StructType | str, block: int = PART_QUERIES) -> DataFrame:
+    """``work(hold(items), some)`` for every part of a cluster's items and some of its queries at a time.
+
+    ``rows`` begin with ``cluster_id`` and have an ``id``; ``queries`` are ``(query_id, cluster_id, vector)``. In a task the items of a part come first and are
+    held, and queries stream past them.
     """
-    parts = queries.groupBy("cluster_id").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("query_parts"))
-    sizes = rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / block_items).cast("int").alias("item_parts"))
-    parts = parts.join(sizes, "cluster_id")
+    fields = [(f"c{n}", field.dataType) for n, field in enumerate(rows.schema)]
+    key = ("cluster_id", "_i", "_q", "_queries")
 
-    def part(count: str, key: str):
-        return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
+    def place(column: str, count: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.col(count)).cast("int")
 
-    def every(count: str):
+    def every(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    items = rows.join(parts, "cluster_id").withColumn("_i", part("item_parts", "id")).withColumn("_q", every("query_parts"))
-    probes = queries.join(parts, "cluster_id").withColumn("_q", part("query_parts", "query_id")).withColumn("_i", every("item_parts"))
-    names, keys = rows.columns, ["cluster_id", "_i", "_q"]
-    # Named anew, as both sides come from the same counts.
-    items, probes = (side.select(*[F.col(c).alias(c) for c in wanted]) for side, wanted in ((items, names + keys[1:]), (probes, [*queries.columns, *keys[1:]])))
+    asked = [queries.schema[name] for name in ("query_id", "vector")]
+    items = rows.join(parts, "cluster_id").withColumn("_i", place("id", "item_parts")).withColumn("_q", every("query_parts"))
+    items = items.select(*key[:3], F.lit(0).alias("_queries"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in asked], *[F.col(f.name).alias(name) for f, (name, _) in zip(rows.schema, fields)])
+    probes = queries.join(parts, "cluster_id").withColumn("_q", place("query_id", "query_parts")).withColumn("_i", every("item_parts"))
+    probes = probes.select(*key[:3], F.lit(1).alias("_queries"), *[f.name for f in asked], *[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+    groups = parts.agg(F.sum(F.col("item_parts") * F.col("query_parts"))).first()[0] or 1
+    tasks = min(groups, task_limit(rows))
+    names = rows.columns
 
-    def task(own: pa.Table, asked: pa.Table) -> pa.Table:
-        scan = _Scan(_by_cluster(asked, width), asked.num_rows, k, width)
-        for batch in own.select(names).combine_chunks().to_batches(max_chunksize=10_000):
-            scan.add(batch)
+    def task(batches):
+        group, waiting, held = None, [], None
+        for batch in batches:
+            marks = np.array([batch.column(n).to_numpy() for n in range(4)])
+            starts = np.flatnonzero(np.r_[batch.num_rows > 0, (marks[:, 1:] != marks[:, :-1]).any(axis=0)]) if batch.num_rows else []
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+                if tuple(marks[:3, lo]) != group:
+                    group, waiting, held = tuple(marks[:3, lo]), [], None
+                some = batch.slice(lo, hi - lo)
+                if not marks[3, lo]:
+                    waiting.append(pa.RecordBatch.from_arrays(some.columns[6:], names=names))
+                    continue
+                if waiting:
+                    held, waiting = hold(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]), []
+                if held is not None:
+                    for at in range(0, some.num_rows, block):
+                        few = some.slice(at, block)
+                        yield from work(held, pa.table([few.column(4), few.column(0), few.column(5)], names=["query_id", "cluster_id", "vector"]))
+
+    return items.unionByName(probes).repartition(tasks, *key[:3]).sortWithinPartitions(*key).mapInArrow(task, schema)
+
+
+def _score_dealt(
+    rows: DataFrame, queries: DataFrame, schema: T.StructType, k: int, width: int, block_items: int, block_queries: int
+) -> DataFrame:
+    """The same for queries too many to send about: parts of a cluster's items meet parts of its queries.
+
+    A task holds one part of the items and a few queries, however large a cluster is.
+    """
+    names = schema.names
+
+    def hold(batch: pa.RecordBatch) -> tuple:
+        return _prepared(batch, width)
+
+    def work(held: tuple, asked: pa.Table):
+        scan = _Scan(_by_cluster(asked, width), asked.num_rows, k)
+        scan.add(*held)
         found = scan.answers(asked.column("query_id").combine_chunks())
-        return empty if found is None else found
+        if found is not None:
+            yield from found.select(names).to_batches(max_chunksize=10_000)
 
-    empty = to_arrow_schema(schema).empty_table()
-    return items.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(task, schema)
+    return meet(rows, queries, parts_of(rows, queries, block_items, block_queries), hold, work, schema)
 
 
 def query_defect(width: int, vector: str = "encd") -> Column:
@@ -261,7 +317,8 @@ def top_k(
 
     Vectors have ``width`` elements (default: the most common number among the items). What :func:`split_vector_queries`
     refuses has no answer (``checked`` queries have been through it), and a query of a cluster without items has none either. Queries up to
-    ``query_bytes`` are sent to the tasks; more are dealt out with the items, in one scan and one shuffle.
+    ``query_bytes`` are sent to the tasks; more are dealt out with the items, in one shuffle. ``block_items`` and ``block_queries`` are
+    the blocks of a cluster then; see :func:`parts_of`.
     """
     if width is None:
         width = max(1, common_width(items, vector)[0])
