@@ -80,3 +80,20 @@ def test_upsert_renews_codes(spark, items, indexes, matrix):
     coded.upsert(items([("i0003", matrix[0], 0), ("new", matrix[7], 0)]).drop("cluster_id"), None)
     found = coded.search(asked(spark, matrix, [0, 7]), 6).collect()
     assert "i0003" in [r.id for r in found if r.query_id == 0] and "new" in [r.id for r in found if r.query_id == 7]
+
+
+def test_queries_dealt_to_parts_lose_no_candidate(spark, indexes, matrix, monkeypatch):
+    """Too many queries to send about: the pairs hold the answers, and with more answers asked for than items every pair is there."""
+    plain, coded = indexes
+    queries = asked(spark, matrix, range(40))
+    monkeypatch.setattr(search, "TASK_ANSWERS", 1)
+    monkeypatch.setattr(search, "PART_ITEMS", 300)
+    monkeypatch.setattr(search, "PART_QUERIES", 7)
+    best = {(r.query_id, r.id) for r in plain.search(queries, 3).collect()}
+    found = coded.candidates(queries, 3)
+    assert found.columns == ["query_id", "id", "lower", "upper"]
+    pairs = {(r.query_id, r.id) for r in found.collect()}
+    assert best <= pairs and len(pairs) < 0.3 * 40 * len(matrix)
+    every = coded.candidates(queries, 1_000_000, exact=True)
+    assert "Window" not in every._jdf.queryExecution().executedPlan().toString()
+    assert every.where("similarity between lower and upper").count() == 40 * (len(matrix) + 3)

@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vecshoal.functions.blocks import fitting
+from vecshoal.functions.blocks import fitting, matrix
 from vecshoal.operators import search
 from vecshoal.operators.joins import local_copy
 from vecshoal.operators.partials import fewer_tasks
@@ -116,7 +117,62 @@ def candidates(coded: DataFrame, queries: pa.Table, k: int, width: int) -> DataF
             yield from pa.table(columns, names=["query", "id", "lower", "upper"]).to_batches(max_chunksize=10_000)
 
     found = fewer_tasks(rows).mapInArrow(task, f"query int, id {kind}, lower double, upper double")
-    best_first = Window.partitionBy("query").orderBy(F.desc("lower"))
+    return _best_bounds(found, "query", k)
+
+
+def most_queries(k: int, width: int) -> int:
+    """How many queries are sent to all tasks."""
+    return max(1, min(search.QUERY_BYTES // (8 * width + 64), search.TASK_ANSWERS // k))
+
+
+def candidates_dealt(coded: DataFrame, queries: DataFrame, k: int, width: int, vector: str | None = None) -> DataFrame:
+    """As :func:`candidates` for queries too many to send about: ``query_id, cluster_id, id, lower, upper``, and the ``similarity`` of the item's ``vector``
+    if that is named.
+
+    Parts of a cluster's items meet its queries, and pairs stream out of the tasks. Only where a query meets several parts and may leave out items, its
+    pairs are compared once more.
+    """
+    rows = coded.where(F.col("code").isNotNull()).select("cluster_id", "id", *CODE_COLUMNS, *([vector] if vector else []))
+    parts, _ = materialise(search.parts_of(rows, queries), "parts")
+    numbers = ["lower", "upper", *(["similarity"] if vector else [])]
+    schema = T.StructType([queries.schema["query_id"], queries.schema["cluster_id"], rows.schema["id"], *(T.StructField(name, T.DoubleType()) for name in numbers)])
+    names = schema.names
+
+    def hold(batch):
+        codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int8).reshape(-1, width)
+        scale, slack = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+        own = search._unit(matrix(batch.column(5), width)) if vector else None
+        return codes.astype(np.float64) * scale[:, None], slack, batch.column(1), own
+
+    def work(held, asked):
+        block, slack, ids, own = held
+        asked = asked.combine_chunks()
+        probes = search._unit(matrix(asked.column("vector").combine_chunks(), width))
+        step = max(1, search._CELLS // 4 // len(block))
+        for lo in range(0, len(probes), step):
+            some = probes[lo : lo + step]
+            about = some @ block.T
+            floor = np.full((len(about), 1), -np.inf)
+            if len(block) > k:
+                floor = np.partition(about - slack, len(block) - k, axis=1)[:, len(block) - k, None]
+            query, item = np.nonzero(about + slack >= floor)
+            found = [about[query, item] - slack[item], about[query, item] + slack[item]]
+            if vector:
+                found.append((some @ own.T)[query, item])
+            for at in range(0, len(query), 10_000):
+                named, here = asked.select(["query_id", "cluster_id"]).take(pa.array(lo + query[at : at + 10_000])).combine_chunks(), slice(at, at + 10_000)
+                columns = [named.column("query_id"), named.column("cluster_id"), ids.take(pa.array(item[here])), *(pa.array(x[here]) for x in found)]
+                yield from pa.table(columns, names=names).to_batches()
+
+    found = search.meet(rows, queries, parts, hold, work, schema)
+    if parts.where((F.col("item_parts") > 1) & (F.col("items") > k)).isEmpty():
+        return found
+    return _best_bounds(found, "query_id", k)
+
+
+def _best_bounds(found: DataFrame, query: str, k: int) -> DataFrame:
+    """The pairs whose upper bound reaches the ``k``-th lower bound of their query."""
+    best_first = Window.partitionBy(query).orderBy(F.desc("lower"))
     everything = best_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     kth = F.nth_value("lower", k).over(everything)
     return found.withColumn("floor", kth).where(F.col("floor").isNull() | (F.col("upper") >= F.col("floor"))).drop("floor")
@@ -131,7 +187,7 @@ def top_k_coded(items: DataFrame, queries: DataFrame, k: int, vector: str, width
     if not checked:
         wanted, _ = search.split_vector_queries(wanted, width, "vector")
     wanted = wanted.where(F.col("cluster_id").isNotNull())
-    most = max(1, min(search.QUERY_BYTES // (8 * width + 64), search.TASK_ANSWERS // k))
+    most = most_queries(k, width)
     head = wanted.limit(most + 1).toArrow()
     named = wanted.withColumnRenamed("vector", vector)
     if head.num_rows > most:

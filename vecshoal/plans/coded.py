@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.operators import codes, search
 from vecshoal.plans.index import SearchIndex
+from vecshoal.session import materialise
 from vecshoal.sources.schema import CODED
 
 
@@ -25,10 +26,19 @@ class CodedIndex(SearchIndex):
             return super().search(queries, k, space, keep)
         return codes.top_k_coded(self.table.read(), self._asked(queries), k, "reduced", self.model.features.kept, keep, checked=True)
 
-    def candidates(self, queries: DataFrame, k: int = 20) -> DataFrame:
-        """``query_id, id, lower, upper``: the items whose vectors a search for few queries would read, and the bounds of their similarity."""
+    def candidates(self, queries: DataFrame, k: int = 20, exact: bool = False) -> DataFrame:
+        """``query_id, id, lower, upper``: the items whose vectors a search would read, and the bounds of their similarity.
+
+        With ``exact`` also the ``cluster_id`` and the ``similarity`` by the vectors, which are then read.
+        """
+        width = self.model.features.kept
         asked = self._asked(queries).select("query_id", "cluster_id", F.col("reduced").alias("vector"))
-        head = asked.toArrow()
-        found = codes.candidates(self.table.read(), head, k, self.model.features.kept)
+        most = codes.most_queries(k, width)
+        head = asked.limit(most + 1).toArrow()
+        if exact or head.num_rows > most:
+            asked, _ = materialise(asked, "queries")
+            found = codes.candidates_dealt(self.table.read(), asked, k, width, "reduced" if exact else None)
+            return found if exact else found.drop("cluster_id")
+        found = codes.candidates(self.table.read(), head, k, width)
         numbered = head.select(["query_id"]).append_column("query", [list(range(head.num_rows))])
         return found.join(F.broadcast(self.spark.createDataFrame(numbered)), "query").drop("query")
