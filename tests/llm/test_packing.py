@@ -1,8 +1,10 @@
+import os
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -99,3 +101,18 @@ def test_empty_table_repeated_rows_and_odd_columns(spark, documents):
     odd = documents(["a b c"]).selectExpr("*", "1 as start", "2 as length", "'x' as ids", "3 as sequence_id")
     assert packing.pack(odd, PATH).columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     assert packing.pack(odd, PATH).count() == 1
+
+
+def test_a_worker_keeps_its_encoder(spark):
+    """Tasks of one worker share the encoder and its words, though their functions come anew."""
+
+    def task(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "encoder": [id(packing.word_tokens(PATH))]})
+
+    seen = set()
+    for _ in range(3):
+        seen |= {tuple(r) for r in spark.range(4).coalesce(1).mapInArrow(task, "pid long, encoder long").collect()}
+    assert len(seen) == len({pid for pid, _ in seen})
+    assert packing.word_tokens(PATH) is packing.word_tokens(PATH)

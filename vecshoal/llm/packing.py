@@ -17,8 +17,11 @@ of their own; an empty table gives no pieces; other columns of the input, whatev
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,6 +91,18 @@ class WordTokens:
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+def word_tokens(path: str) -> WordTokens:
+    """The encoder of a tokenizer file, with the words it remembers, kept by the Python worker from task to task.
+
+    Task functions and the names beside them come anew with every task, so it is kept among the worker's modules.
+    """
+    kept = sys.modules.setdefault("_word_tokens", types.ModuleType("_word_tokens")).__dict__
+    known = (path, os.stat(path).st_mtime_ns)
+    if known not in kept:
+        kept[known] = WordTokens(path)
+    return kept[known]
+
+
 def blanks(text: str) -> str:
     return text.replace("\n", " ").replace("\r", " ").replace("\t", " ")
 
@@ -244,7 +259,7 @@ def pack(
             [("doc_id", id_type), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
              ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
         )
-        encoder, slack = WordTokens(tokenizer_path), window // 64
+        encoder, slack = word_tokens(tokenizer_path), window // 64
         sequence = TaskContext.get().partitionId() << 33
         held: list[tuple] = []
         held_tokens = 0
