@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -104,6 +105,23 @@ def test_suffixes_group_by_prefix(strings, common):
     assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
+def test_a_frequent_anchor_is_sorted_a_few_places_at_a_time(monkeypatch):
+    rng = np.random.default_rng(8)
+    contexts = rng.integers(97, 123, (30_000, substrings.CONTEXT), dtype=np.uint8)
+    contexts[20_000:] = contexts[:10_000]
+    contexts[20_000:, :20] = 0
+    docs = np.arange(len(contexts))
+    lows, highs = np.zeros(len(contexts), dtype=np.int32), np.full(len(contexts), substrings.PLACES - 1, dtype=np.int32)
+    tracemalloc.start()
+    rows, start, end = substrings.covered(contexts, lows, highs, docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.tolist() == list(range(20_000, 30_000)) and (end == substrings.LEAST).all() and (start == -10).all()
+    assert peak < 60 << 20
+    monkeypatch.setattr(substrings, "HELD_STRINGS", 1 << 40)
+    assert all((a == b).all() for a, b in zip((rows, start, end), substrings.covered(contexts, lows, highs, docs)))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.binary(max_size=40), st.binary(max_size=40), st.binary(min_size=50, max_size=70))
 def test_equal_strings_share_an_anchor(before, after, passage):

@@ -47,6 +47,8 @@ CONTEXT = BEFORE + LEAST
 BUCKET_BYTES = 4 << 20
 HELD_ANCHORS = 500_000
 PART_ANCHORS = 2_000_000
+#: Strings that a task sorts at a time, or as many as there are contexts.
+HELD_STRINGS = 100_000
 SHALLOW_WORDS = 3
 PART = 1 << 20
 PLACE_BITS = np.uint64((1 << 21) - 1)
@@ -169,24 +171,25 @@ def covered(contexts: np.ndarray, lows: np.ndarray, highs: np.ndarray, docs: np.
     same = same.ravel()
     first = np.full(len(kept), np.iinfo(np.int64).max)
     np.minimum.at(first, same, docs)
-    u = contexts[kept]
-    span = CONTEXT - 7
-    at_byte = np.zeros((len(u), span), dtype=np.uint64)
-    for byte in range(8):
-        at_byte |= u[:, byte : byte + span].astype(np.uint64) << np.uint64(56 - 8 * byte)
-    # Place o: the string starts o bytes before the anchor.
-    o = np.arange(PLACES)
-    real = (o >= lows[kept][:, None]) & (o <= highs[kept][:, None])
-    row, place = np.nonzero(real)
-    offsets = np.append(np.arange(0, LEAST - 7, 8), LEAST - 8)
-    words = at_byte[row[:, None], (BEFORE - place)[:, None] + offsets]
-    least = np.where(real, first[:, None], np.iinfo(np.int64).max)
-    members, number = equal_prefixes(words)
-    if len(members):
-        earliest = np.full(int(number.max()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(earliest, number, first[row[members]])
-        least[row[members], place[members]] = earliest[number]
-    repeats = least[same] < docs[:, None]
+    u, low, high = contexts[kept], lows[kept][:, None], highs[kept][:, None]
+    windows = np.lib.stride_tricks.sliding_window_view(u, LEAST, axis=1)
+    repeats = np.zeros((len(docs), PLACES), dtype=bool)
+    # Equal strings have their anchor at equal places, so a few places are sorted at a time.
+    step = max(1, HELD_STRINGS // max(1, len(u)))
+    for begin in range(0, PLACES, step):
+        # Place o: the string starts o bytes before the anchor.
+        o = np.arange(begin, min(begin + step, PLACES))
+        real = (o >= low) & (o <= high)
+        row, place = np.nonzero(real)
+        strings = windows[row, BEFORE - o[place]]
+        words = np.concatenate([strings[:, : LEAST // 8 * 8], strings[:, LEAST - 8 :]], axis=1).view(">u8").astype(np.uint64)
+        least = np.where(real, first[:, None], np.iinfo(np.int64).max)
+        members, number = equal_prefixes(words)
+        if len(members):
+            earliest = np.full(int(number.max()) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(earliest, number, first[row[members]])
+            least[row[members], place[members]] = earliest[number]
+        repeats[:, o] = least[same] < docs[:, None]
     rows = np.flatnonzero(repeats.any(axis=1))
     repeats = repeats[rows]
     nearest, farthest = repeats.argmax(axis=1), PLACES - 1 - repeats[:, ::-1].argmax(axis=1)
