@@ -267,3 +267,34 @@ def test_the_driver_gets_no_tallies(points, monkeypatch):
         done = kmeans.run_lloyd(blocks, fits, 12)
     assert all(fit.sizes.sum() == 600 and fit.iterations > 3 for fit in done)
     assert sum(sent) < 20 * 40 * 6 * 8
+
+
+def test_new_marks_are_a_move_of_their_own(points, monkeypatch):
+    """As many jobs pass over the rows as the slowest fit makes moves, and one that measures: making marks is no pass beside these."""
+    x, taken = blobs(rows=600, centres=9, spread=1.5), []
+    for name in ("mark", "one_pass"):
+        plain = getattr(kmeans._Run, name)
+        monkeypatch.setattr(kmeans._Run, name, lambda self, name=name, plain=plain: (taken.append(name), plain(self))[1])
+    with working_copy(kmeans.grouped(points(x), "reduced", None), 4) as blocks:
+        done = kmeans.run_lloyd(blocks, [kmeans.Fit(0, k, 0, x[:k].copy()) for k in (3, 12)], 9)
+    assert "mark" in taken and len(taken) == 1 + max(fit.iterations for fit in done)
+
+
+@pytest.mark.parametrize("scale", [1e-25, 1.0, 1e15, 1e25, 1e120])
+def test_single_precision_hides_no_nearest_centre(scale):
+    """Centres that single precision cannot tell apart, and numbers that it does not hold."""
+    rng = np.random.default_rng(4)
+    centers = np.repeat(rng.normal(size=(7, 5)), 2, axis=0)
+    centers[1::2] += 1e-9 * rng.normal(size=(7, 5))
+    rows = np.vstack([rng.normal(size=(500, 5)), centers]) * scale
+    centers *= scale
+    made = kmeans._Centers(centers)
+    away = ((rows[:, None] / scale - centers[None] / scale) ** 2).sum(axis=2)
+    with np.errstate(over="raise", invalid="raise", divide="raise"):
+        chosen = made.nearest(rows, *kmeans._single(rows))
+        ((labels, gaps),) = kmeans._two_nearest(rows, [made])
+    line = np.arange(len(rows))
+    np.testing.assert_allclose(away[line, chosen], away.min(axis=1), rtol=1e-12, atol=1e-13)
+    np.testing.assert_array_equal(labels, chosen)
+    two = np.sqrt(np.sort(away, axis=1)[:, :2]) * scale
+    assert (gaps <= two[:, 1] - two[:, 0]).all()

@@ -6,6 +6,7 @@ serves a whole iteration of all fits that have not converged yet, so a sweep pas
 as often as its slowest fit does. Starts are drawn from all rows, and a centre that loses its rows
 moves to the farthest of all rows. After its first passes a fit keeps marks beside the rows, by which the
 triangle inequality tells the rows whose centre cannot have changed; only the others are compared with the centres.
+Rows are compared in single precision, and again in double precision where rounding could hide the nearest centre.
 """
 
 from dataclasses import dataclass, field
@@ -23,7 +24,7 @@ from vecshoal.operators.partials import Blocks, batches_of, gathered, working_co
 from vecshoal.session import remove_path, scratch_path, small_table
 
 _CELLS = 1 << 21
-_BLOCK = 4096
+_BLOCK = 2048
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 # Passes before the first marks: at first most rows change their centre.
 UNMARKED = 2
@@ -250,34 +251,85 @@ def spread_starts(blocks: Blocks, sizes: list[int], seed: int = 0, rounds: int =
     return starts
 
 
-def _scorer(centers: np.ndarray) -> np.ndarray:
-    """The matrix that takes rows ``(x, 1)`` to half the squared distance, short of ``x x / 2``."""
-    return np.vstack([-centers.T, 0.5 * (centers**2).sum(axis=1)])
+def _single(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``(x, 1)`` in single precision, and the lengths of ``x``."""
+    with np.errstate(over="ignore"):
+        return np.hstack([x, np.ones((len(x), 1))]).astype(np.float32), np.sqrt((x**2).sum(axis=1))
 
 
-def _tally(x: np.ndarray, scorers: list[np.ndarray], state: np.ndarray) -> None:
-    """Add to ``state`` the row count, squared distance and vector sum of every centre of every fit.
+class _Centers:
+    """The centres of a fit, to be compared with rows.
 
-    Rows go through in blocks, and a block meets one fit at a time, so that its scores stay in cache.
+    Scores are half the squared distances, short of ``x x / 2``. They are taken in single precision; rows that have more than one score within
+    twice the bound of its rounding, or numbers that single precision does not hold, are compared in double precision.
     """
-    for at in range(0, len(x), _BLOCK):
-        block = x[at : at + _BLOCK]
-        longer = np.hstack([block, np.ones((len(block), 1))])
-        square = (block**2).sum(axis=1)
-        line = np.arange(len(block))
-        lo = 0
-        for scorer in scorers:
-            k = scorer.shape[1]
-            away = longer @ scorer
-            chosen = away.argmin(axis=1)
-            missed = np.clip(2 * away[line, chosen] + square, 0.0, None)
-            state[lo : lo + k, 1] += np.bincount(chosen, weights=missed, minlength=k)
-            _add_sums(state[lo : lo + k], chosen, block)
-            lo += k
+
+    def __init__(self, centers: np.ndarray):
+        self.centers = centers
+        self.scorer = np.vstack([-centers.T, 0.5 * (centers**2).sum(axis=1)])
+        with np.errstate(over="ignore"):
+            self.single = np.ascontiguousarray(self.scorer.T, dtype=np.float32)
+        self.longest = float(np.sqrt((centers**2).sum(axis=1).max()))
+        self.numbers = np.vstack([np.ones(len(centers)), np.arange(len(centers))]).astype(np.float32)
+
+    def scores(self, rows: np.ndarray, single: np.ndarray, lengths: np.ndarray, some: np.ndarray | slice) -> tuple[np.ndarray, ...]:
+        """Nearest centre of ``some`` rows, single scores of all centres (a row each), and twice their rounding."""
+        single, lengths = single[some], lengths[some]
+        with np.errstate(over="ignore", invalid="ignore"):
+            size = lengths * self.longest + 0.5 * self.longest**2
+            slack = np.where(size < 1e37, (single.shape[1] + 16) * 2.0**-23 * size + 1e-30, np.inf).astype(np.float32)
+            away = self.single @ single.T
+            count, chosen = self.numbers @ (away <= away.min(axis=0) + slack).astype(np.float32)
+        chosen = chosen.astype(np.int64)
+        unsure = np.flatnonzero(count != 1)
+        if len(unsure):
+            exact = rows[some][unsure] if isinstance(some, slice) else rows[some[unsure]]
+            chosen[unsure] = (exact @ self.scorer[:-1] + self.scorer[-1]).argmin(axis=1)
+        return chosen, away, slack
+
+    def nearest(self, rows: np.ndarray, single: np.ndarray, lengths: np.ndarray, some: np.ndarray | None = None) -> np.ndarray:
+        """Nearest centre of every row, or of ``some``, taken in blocks, so that scores stay in cache."""
+        chosen = np.zeros(len(rows if some is None else some), dtype=np.int64)
+        if len(self.centers) > 1:
+            for at in _blocks(chosen):
+                chosen[at] = self.scores(rows, single, lengths, at if some is None else some[at])[0]
+        return chosen
+
+
+def _blocks(x: np.ndarray) -> list[slice]:
+    return [slice(at, at + _BLOCK) for at in range(0, len(x), _BLOCK)]
+
+
+def _tally(x: np.ndarray, fits: list[tuple[_Centers, bool]], state: np.ndarray) -> None:
+    """Add to ``state`` the row count of every centre of every fit, and the squared distance for a fit that made its last move, or the vector sum."""
+    single, lengths = _single(x)
+    columns = np.ascontiguousarray(x.T)
+    lo = 0
+    for fit, last in fits:
+        hi = lo + len(fit.centers)
+        chosen = fit.nearest(x, single, lengths)
+        if last:
+            _add_missed(state[lo:hi], chosen, x, fit.centers)
+        else:
+            _add_columns(state[lo:hi], chosen, columns)
+        lo = hi
+
+
+def _add_missed(state: np.ndarray, chosen: np.ndarray, rows: np.ndarray, centers: np.ndarray) -> None:
+    """Add to ``state`` the row count and the squared distance of every chosen centre."""
+    away = ((rows - centers[chosen]) ** 2).sum(axis=1)
+    state[:, 0] += np.bincount(chosen, minlength=len(state))
+    state[:, 1] += np.bincount(chosen, weights=away, minlength=len(state))
+
+
+def _add_columns(state: np.ndarray, chosen: np.ndarray, columns: np.ndarray) -> None:
+    """Add to ``state`` the row count and the vector sum of every chosen centre, for many rows, given by their columns."""
+    state[:, 0] += np.bincount(chosen, minlength=len(state))
+    state[:, 2:] += np.array([np.bincount(chosen, weights=column, minlength=len(state)) for column in columns]).T
 
 
 def _add_sums(state: np.ndarray, chosen: np.ndarray, rows: np.ndarray, sign: int = 1) -> None:
-    """Add to ``state`` the row count and the vector sum of every chosen centre."""
+    """Add to ``state`` the row count and the vector sum of every chosen centre, for few rows."""
     k = len(state)
     counts = np.bincount(chosen, minlength=k)
     held = np.flatnonzero(counts)
@@ -288,29 +340,26 @@ def _add_sums(state: np.ndarray, chosen: np.ndarray, rows: np.ndarray, sign: int
         state[held, 2:] += sign * np.add.reduceat(rows[order], np.cumsum(counts[held]) - counts[held], axis=0)
 
 
-def _two_nearest(x: np.ndarray, centers: np.ndarray, scorer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest centre of every row, and a lower bound of how much farther the second nearest is."""
-    k = len(centers)
-    labels = np.zeros(len(x), dtype=np.uint8 if k <= 1 << 8 else np.uint16 if k <= 1 << 16 else np.int32)
-    gaps = np.full(len(x), np.inf, dtype=np.float32)
-    if k == 1:
-        return labels, gaps
-    largest = (centers**2).sum(axis=1).max()
-    for at in range(0, len(x), _BLOCK):
-        block = x[at : at + _BLOCK]
-        square = (block**2).sum(axis=1)
-        away = np.hstack([block, np.ones((len(block), 1))]) @ scorer
-        line = np.arange(len(block))
-        chosen = away.argmin(axis=1)
-        first = 2 * away[line, chosen] + square
-        away[line, chosen] = np.inf
-        second = 2 * away.min(axis=1) + square
-        # Squares come from differences of larger numbers, whose rounding may not make a bound too good.
-        noise = 1e-15 * (centers.shape[1] + 8) * (square + largest)
-        gap = np.sqrt(np.clip(second - noise, 0.0, None)) - np.sqrt(np.clip(first + noise, 0.0, None))
-        labels[at : at + _BLOCK] = chosen
-        gaps[at : at + _BLOCK] = np.nextafter(gap.astype(np.float32), np.float32(-np.inf))
-    return labels, gaps
+def _two_nearest(x: np.ndarray, fits: list[_Centers]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every fit the nearest centre of every row, and a lower bound of how much farther the second nearest is."""
+    sizes = [len(fit.centers) for fit in fits]
+    marks = [(np.zeros(len(x), dtype=np.uint8 if k <= 1 << 8 else np.uint16 if k <= 1 << 16 else np.int32), np.full(len(x), np.inf, dtype=np.float32)) for k in sizes]
+    single, lengths = _single(x)
+    for fit, (labels, gaps) in zip(fits, marks):
+        for at in _blocks(x) if len(fit.centers) > 1 else ():
+            chosen, away, slack = fit.scores(x, single, lengths, at)
+            line, square = np.arange(len(chosen)), lengths[at] ** 2
+            first = 2.0 * away[chosen, line] + square
+            away[chosen, line] = np.inf
+            second = 2.0 * away.min(axis=0) + square
+            # Squares come from differences of larger numbers, whose rounding may not make a bound too good.
+            noise = 2.0 * slack.astype(np.float64) + 1e-12 * square
+            with np.errstate(invalid="ignore"):
+                gap = np.sqrt(np.clip(second - noise, 0.0, None)) - np.sqrt(np.clip(first + noise, 0.0, None))
+            labels[at] = chosen
+            # What single precision does not hold has no gap.
+            gaps[at] = np.where(np.isfinite(noise), np.nextafter(gap.astype(np.float32), np.float32(-np.inf)), -np.inf)
+    return marks
 
 
 class _Run:
@@ -323,7 +372,7 @@ class _Run:
     Centres have since moved by known distances. A row's centre is the same as long as its gap is larger than the move of its own centre
     and the largest move of another together. Marks stay as they are, beside the rows on the executors (five bytes a row and fit
     of at most 256 centres), so that a lost executor makes its own again from the rows and the centres of that time. Tallies are those of
-    that time, and passes add the rows that changed. Once the passes have computed as many distances as new marks need, new ones are made.
+    that time, and passes add the rows that changed. Once the passes have computed as many distances as new marks need, new ones are made, which is a pass and a move as well.
     """
 
     def __init__(self, blocks: Blocks, fits: list[Fit], max_iter: int, refill: bool):
@@ -355,29 +404,32 @@ class _Run:
         return [(n, self.fits[n].group) for n in self.last], np.cumsum([0, *(self.fits[n].k for n in self.last)])
 
     def mark(self) -> None:
-        """New marks from the centres as they are."""
+        """New marks from the centres as they are, and a move of all open fits but those that made their last."""
         self._unmark()
         layout, ends = self._layout()
+        max_iter, refill = self.max_iter, self.refill
         self.folders["marked"] = self.folders["centers"]
         shape, told = (int(ends[-1]), self.blocks.width + 2), self.spark.sparkContext.accumulator([], _Told())
 
         def attach(model, held):
-            scorers = [_scorer(fit["centers"]) for fit in model]
+            by_group = {}
+            for fit, (_, group) in zip(model, layout):
+                by_group.setdefault(group, []).append((fit["n"], _Centers(fit["centers"])))
             for own, x in held:
                 found = {}
                 for g in np.unique(own):
-                    rows = x[own == g]
-                    found |= {fit["n"]: _two_nearest(rows, fit["centers"], scorer) for fit, scorer, (_, group) in zip(model, scorers, layout) if group == g}
+                    mine = by_group.get(int(g), [])
+                    found |= dict(zip([n for n, _ in mine], _two_nearest(x[own == g], [fit for _, fit in mine])))
                 yield own, x, found
 
         def sums(held):
             state = np.zeros(shape)
             for own, x, marks in held:
                 for g in np.unique(own):
-                    rows = x[own == g]
+                    columns = np.ascontiguousarray(x[own == g].T)
                     for (n, group), lo, hi in zip(layout, ends, ends[1:]):
                         if group == g:
-                            _add_sums(state[lo:hi], marks[n][0], rows)
+                            _add_columns(state[lo:hi], marks[n][0], columns)
             yield _used(state)
 
         def known(elements):
@@ -395,9 +447,23 @@ class _Run:
         self.price = {n: rows * self.fits[n].k for n, rows in told.value}
         for n, price in self.price.items():
             self.fits[n].distances += price
-        fresh = marked.map(lambda model: [fit | {"reach": np.zeros(len(fit["centers"]))} for fit in model])
-        self.model = self._store("centers", fresh)
         self.spent = 0
+        moves = self.spark.sparkContext.accumulator([], _Told())
+
+        def moved(elements):
+            _, model, known = _added(elements, (0, 0))
+            still, said = [], []
+            for fit in model:
+                fit, lost = fit | {"reach": np.zeros(len(fit["centers"]))}, 0
+                if not fit["last"]:
+                    fit, lost = _stepped(fit, known[fit["n"]][1], max_iter, refill, known)
+                still.append(fit)
+                said.append((fit["n"], 0, lost, fit["last"]))
+            moves.add(said)
+            return [still]
+
+        self.model = self._store("centers", self.spark.sparkContext.union([marked, *self.known]).coalesce(1).mapPartitions(moved))
+        self._heard(moves.value)
 
     def _unmark(self) -> None:
         if self.marks is not None:
@@ -434,20 +500,20 @@ class _Run:
                 if fit["last"]:
                     said.append((n, int(spent), 0, (centers, tally[:, 0].copy(), float(tally[:, 1].sum()), fit["iterations"])))
                     continue
-                tally = tally + known[n][1] if by_marks else tally
-                full = tally[:, 0] > 0
-                fit = fit | {"centers": centers.copy(), "iterations": fit["iterations"] + 1}
-                fit["centers"][full] = tally[full, 2:] / tally[full, :1]
-                lost = np.flatnonzero(~full) if refill else ()
-                still.append(fit | {"before": centers, "lost": lost} if len(lost) else _judged(fit, centers, max_iter, known))
-                said.append((n, int(spent), len(lost), still[-1]["last"]))
+                moved, lost = _stepped(fit, tally + known[n][1] if by_marks else tally, max_iter, refill, known)
+                still.append(moved)
+                said.append((n, int(spent), lost, moved["last"]))
             told.add(said)
             return [still]
 
         with gathered((self.marks or self.blocks).with_model(self.model, fold), moved, [self.model, *self.known]) as found:
             self.model = self._store("centers", found)
+        self._heard(told.value)
+
+    def _heard(self, said: list[tuple]) -> None:
+        """Take in what a move has told of each fit: its distances, how many centres lost their rows, and whether the next pass is its last, or its end."""
         bare = {}
-        for n, spent, lost, end in told.value:
+        for n, spent, lost, end in said:
             fit = self.fits[n]
             fit.distances += spent
             self.spent += spent
@@ -523,7 +589,8 @@ class _Run:
             while self.last:
                 if passes >= unmarked and (self.marks is None or self._worn()) and not all(self.last.values()):
                     self.mark()
-                self.one_pass()
+                else:
+                    self.one_pass()
                 passes += 1
         finally:
             self._unmark()
@@ -550,6 +617,15 @@ def _added(elements, shape: tuple[int, int]) -> tuple:
     return state, model, known
 
 
+def _stepped(fit: dict, tally: np.ndarray, max_iter: int, refill: bool, known: dict | None) -> tuple[dict, int]:
+    """A fit whose centres moved to the means of ``tally``, and how many lost all their rows; with any of these it waits for its refill."""
+    full, before = tally[:, 0] > 0, fit["centers"]
+    fit = fit | {"centers": before.copy(), "iterations": fit["iterations"] + 1}
+    fit["centers"][full] = tally[full, 2:] / tally[full, :1]
+    lost = np.flatnonzero(~full) if refill else ()
+    return (fit | {"before": before, "lost": lost} if len(lost) else _judged(fit, before, max_iter, known)), len(lost)
+
+
 def _judged(fit: dict, before: np.ndarray, max_iter: int, known: dict | None) -> dict:
     """A fit that moved from ``before``, with whether that was its last move, and how far marks reach that lie as far behind as ``known``."""
     still = float(((fit["centers"] - before) ** 2).sum()) <= fit["tolerance"]
@@ -568,13 +644,13 @@ def _by_distances(fits: list[dict], layout: list[tuple[int, int]], ends: np.ndar
     """Add to ``state`` the tallies of all centres of all fits, which come in order of their groups."""
     models = {}
     for fit, (_, g), lo, hi in zip(fits, layout, ends, ends[1:]):
-        first, _, scorers = models.get(g, (lo, hi, []))
-        models[g] = first, hi, [*scorers, _scorer(fit["centers"])]
+        first, _, some = models.get(g, (lo, hi, []))
+        models[g] = first, hi, [*some, (_Centers(fit["centers"]), fit["last"])]
     for groups, x in held:
         for g in np.unique(groups):
             if int(g) in models:
-                lo, hi, scorers = models[int(g)]
-                _tally(x[groups == g], scorers, state[lo:hi])
+                lo, hi, some = models[int(g)]
+                _tally(x[groups == g], some, state[lo:hi])
 
 
 def _by_marks(fits: list[dict], layout: list[tuple[int, int]], ends: np.ndarray, held, state: np.ndarray) -> None:
@@ -582,34 +658,30 @@ def _by_marks(fits: list[dict], layout: list[tuple[int, int]], ends: np.ndarray,
     marks; behind them the number of distances computed for each fit."""
     models = {}
     for n, (fit, (_, g)) in enumerate(zip(fits, layout)):
-        centers = fit["centers"]
-        models.setdefault(g, []).append((n, fit["n"], fit["last"], centers, _scorer(centers), fit["reach"]))
+        models.setdefault(g, []).append((n, fit["n"], fit["last"], _Centers(fit["centers"]), fit["reach"]))
     for own, x, marks in held:
         for g in np.unique(own):
             rows = x[own == g]
-            for n, place, last, centers, scorer, reach in models.get(int(g), ()):
+            single, lengths = _single(rows)
+            for n, place, last, fit, reach in models.get(int(g), ()):
                 labels, gaps = marks[place]
                 open_rows = np.flatnonzero(gaps <= reach[labels])
+                # Where nearly all rows are open, comparing all takes less time than picking them.
+                some = open_rows if len(open_rows) < 0.8 * len(rows) else None
+                chosen = fit.nearest(rows, single, lengths, some)
                 spent, tally = state[ends[-1] + n], state[ends[n] : ends[n + 1]]
-                now = labels.astype(np.int64) if last else None
-                for at in range(0, len(open_rows), _BLOCK):
-                    some = open_rows[at : at + _BLOCK]
-                    spent[0] += len(some) * len(centers)
-                    chosen = (rows[some] @ scorer[:-1] + scorer[-1]).argmin(axis=1)
-                    if last:
-                        now[some] = chosen
-                        continue
-                    changed = np.flatnonzero(chosen != labels[some])
-                    moved = rows[some[changed]]
-                    _add_sums(tally, chosen[changed], moved)
-                    _add_sums(tally, labels[some[changed]], moved, -1)
+                spent[0] += len(chosen) * len(fit.centers)
                 if last:
+                    now = labels.astype(np.int64)
+                    now[slice(None) if some is None else some] = chosen
                     spent[0] += len(rows)
-                    for at in range(0, len(rows), _BLOCK):
-                        near = now[at : at + _BLOCK]
-                        away = ((rows[at : at + _BLOCK] - centers[near]) ** 2).sum(axis=1)
-                        tally[:, 0] += np.bincount(near, minlength=len(centers))
-                        tally[:, 1] += np.bincount(near, weights=away, minlength=len(centers))
+                    _add_missed(tally, now, rows, fit.centers)
+                    continue
+                before = labels if some is None else labels[some]
+                changed = np.flatnonzero(chosen != before)
+                moved = rows[changed if some is None else some[changed]]
+                _add_sums(tally, chosen[changed], moved)
+                _add_sums(tally, before[changed], moved, -1)
 
 
 def run_lloyd(blocks: Blocks, fits: list[Fit], max_iter: int, refill: bool = True, unmarked: float = UNMARKED) -> list[Fit]:
