@@ -2,7 +2,7 @@ import pickle
 
 import numpy as np
 import pytest
-from pyspark import RDD
+from pyspark import RDD, accumulators
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 
@@ -269,6 +269,15 @@ def test_the_driver_gets_no_tallies(points, monkeypatch):
     assert sum(sent) < 20 * 40 * 6 * 8
 
 
+def test_the_driver_keeps_nothing_of_past_passes(points):
+    """PySpark never forgets an accumulator, so what fits told of each pass would stay with the driver to its end."""
+    before = set(accumulators._accumulatorRegistry)
+    fits = kmeans.fit_many(points(blobs(rows=400)), [3, 7], restarts=2, max_iter=12)
+    assert max(fit.iterations for fit in fits) > kmeans.UNMARKED + 1
+    new = [accumulators._accumulatorRegistry[n] for n in set(accumulators._accumulatorRegistry) - before]
+    assert len(new) <= 1 and not any(found.value for found in new)
+
+
 def test_new_marks_are_a_move_of_their_own(points, monkeypatch):
     """As many jobs pass over the rows as the slowest fit makes moves, and one that measures: making marks is no pass beside these."""
     x, taken = blobs(rows=600, centres=9, spread=1.5), []

@@ -379,6 +379,8 @@ class _Run:
         self.blocks, self.fits, self.max_iter, self.refill = blocks, fits, max_iter, refill
         self.spark = SparkSession.active()
         self.folders: dict[str, str] = {}
+        # One for all passes, emptied after each: PySpark keeps every accumulator it was asked for.
+        self.told = self.spark.sparkContext.accumulator([], _Told())
         # Numbers of the fits not done, and whether they have made their last move; the pass after that only measures.
         self.last = {n: fit.converged or fit.iterations >= max_iter for n, fit in enumerate(fits)}
         held = [{"n": n, "centers": fit.centers, "iterations": fit.iterations, "last": self.last[n], "tolerance": fit.tolerance} for n, fit in enumerate(fits)]
@@ -409,7 +411,7 @@ class _Run:
         layout, ends = self._layout()
         max_iter, refill = self.max_iter, self.refill
         self.folders["marked"] = self.folders["centers"]
-        shape, told = (int(ends[-1]), self.blocks.width + 2), self.spark.sparkContext.accumulator([], _Told())
+        shape, told = (int(ends[-1]), self.blocks.width + 2), self.told
 
         def attach(model, held):
             by_group = {}
@@ -444,11 +446,10 @@ class _Run:
         self.marks = Blocks(self.blocks.with_model(marked, attach).persist(StorageLevel.MEMORY_AND_DISK), self.blocks.width)
         with gathered(self.marks.kept.mapPartitions(sums), known, [marked]) as found:
             self.known = [self._store("known", found)]
-        self.price = {n: rows * self.fits[n].k for n, rows in told.value}
+        self.price = {n: rows * self.fits[n].k for n, rows in self._said()}
         for n, price in self.price.items():
             self.fits[n].distances += price
         self.spent = 0
-        moves = self.spark.sparkContext.accumulator([], _Told())
 
         def moved(elements):
             _, model, known = _added(elements, (0, 0))
@@ -459,11 +460,11 @@ class _Run:
                     fit, lost = _stepped(fit, known[fit["n"]][1], max_iter, refill, known)
                 still.append(fit)
                 said.append((fit["n"], 0, lost, fit["last"]))
-            moves.add(said)
+            told.add(said)
             return [still]
 
         self.model = self._store("centers", self.spark.sparkContext.union([marked, *self.known]).coalesce(1).mapPartitions(moved))
-        self._heard(moves.value)
+        self._heard(self._said())
 
     def _unmark(self) -> None:
         if self.marks is not None:
@@ -480,7 +481,7 @@ class _Run:
     def one_pass(self) -> None:
         """One pass and one move of all open fits."""
         layout, ends = self._layout()
-        shape, told = (int(ends[-1]) + len(layout), self.blocks.width + 2), self.spark.sparkContext.accumulator([], _Told())
+        shape, told = (int(ends[-1]) + len(layout), self.blocks.width + 2), self.told
         max_iter, refill, by_marks = self.max_iter, self.refill, self.marks is not None
 
         def fold(model, held):
@@ -508,7 +509,12 @@ class _Run:
 
         with gathered((self.marks or self.blocks).with_model(self.model, fold), moved, [self.model, *self.known]) as found:
             self.model = self._store("centers", found)
-        self._heard(told.value)
+        self._heard(self._said())
+
+    def _said(self) -> list[tuple]:
+        """What tasks have told since the last time."""
+        said, self.told.value = self.told.value, []
+        return said
 
     def _heard(self, said: list[tuple]) -> None:
         """Take in what a move has told of each fit: its distances, how many centres lost their rows, and whether the next pass is its last, or its end."""
@@ -530,8 +536,7 @@ class _Run:
 
     def _refilled(self, bare: dict[int, int]) -> None:
         """Move centres that lost all their rows to the rows farthest from any centre; without any such row they stay."""
-        group, max_iter = {n: self.fits[n].group for n in bare}, self.max_iter
-        told = self.spark.sparkContext.accumulator([], _Told())
+        group, max_iter, told = {n: self.fits[n].group for n in bare}, self.max_iter, self.told
 
         def best(away, hashes, rows, count):
             order = np.lexsort((hashes, -away))
@@ -581,7 +586,7 @@ class _Run:
 
         with gathered(self.blocks.with_model(self.model, farthest), filled, [self.model, *self.known]) as found:
             self.model = self._store("centers", found)
-        self.last |= dict(told.value)
+        self.last |= dict(self._said())
 
     def go(self, unmarked: float) -> None:
         passes = 0
