@@ -674,9 +674,8 @@ def coded_bounds(spark, sf):
     stored = index.table.read().select(F.col("id").alias("query_id"))
     asked = as_queries(plain(spark, sf)).join(stored, "query_id", "left_semi")
     # Pairs are scored and counted where they are made, as there are as many as the square of a cluster.
-    pairs = index.candidates(asked, 1_000_000, exact=True)
-    held = F.col("similarity").between(F.col("lower"), F.col("upper")) & (F.col("upper") - F.col("lower") < 0.1)
-    return pairs.groupBy("cluster_id").agg(F.count("*").alias("pairs"), F.count_if(held).alias("held"))
+    counts = index.candidates(asked, 1_000_000, exact=True, within=0.1)
+    return counts.groupBy("cluster_id").agg(F.sum("pairs").alias("pairs"), F.sum("held").alias("held"))
 
 
 def search_given_index(spark, sf):

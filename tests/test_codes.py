@@ -97,3 +97,21 @@ def test_queries_dealt_to_parts_lose_no_candidate(spark, indexes, matrix, monkey
     every = coded.candidates(queries, 1_000_000, exact=True)
     assert "Window" not in every._jdf.queryExecution().executedPlan().toString()
     assert every.where("similarity between lower and upper").count() == 40 * (len(matrix) + 3)
+
+
+def test_pairs_are_counted_where_they_are_made(spark, indexes, matrix, monkeypatch):
+    """No row per pair leaves the tasks, and counts are those of the pairs, whether a query meets all its items in one task or not."""
+    _, coded = indexes
+    queries = asked(spark, matrix, range(40))
+    monkeypatch.setattr(search, "PART_QUERIES", 7)
+    monkeypatch.setattr(codes, "_TILE", (3, 200))
+    for most, part in ((1_000_000, 300), (3, 50_000), (3, 300)):
+        monkeypatch.setattr(search, "PART_ITEMS", part)
+        pairs = coded.candidates(queries, most, exact=True)
+        for within in (0.1, float(pairs.selectExpr("percentile(upper - lower, 0.5)").first()[0])):
+            sound = pairs.where(F.col("similarity").between(F.col("lower"), F.col("upper")) & (F.col("upper") - F.col("lower") < within)).count()
+            counts = coded.candidates(queries, most, exact=True, within=within)
+            assert counts.columns == ["cluster_id", "pairs", "held"]
+            rows = counts.collect()
+            assert (sum(r.pairs for r in rows), sum(r.held for r in rows)) == (pairs.count(), sound)
+            assert most < 10 or len(rows) < 100

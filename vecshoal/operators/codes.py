@@ -23,6 +23,8 @@ LARGEST = 127
 MARGIN = 4 * 10.0**-search.DIGITS
 # Candidates whose ids are listed in the filter of the scan, so that files' Bloom filters skip row groups.
 LISTED_IDS = 1_000
+# Queries and items whose pairs are counted at a time, so that scores stay in cache.
+_TILE = (256, 512)
 
 
 def encode(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,12 +127,13 @@ def most_queries(k: int, width: int) -> int:
     return max(1, min(search.QUERY_BYTES // (8 * width + 64), search.TASK_ANSWERS // k))
 
 
-def candidates_dealt(coded: DataFrame, queries: DataFrame, k: int, width: int, vector: str | None = None) -> DataFrame:
+def candidates_dealt(coded: DataFrame, queries: DataFrame, k: int, width: int, vector: str | None = None, within: float | None = None) -> DataFrame:
     """As :func:`candidates` for queries too many to send about: ``query_id, cluster_id, id, lower, upper``, and the ``similarity`` of the item's ``vector``
     if that is named.
 
     Parts of a cluster's items meet its queries, and pairs stream out of the tasks. Only where a query meets several parts and may leave out items, its
-    pairs are compared once more.
+    pairs are compared once more. With ``within`` the pairs are counted instead, by the tasks that make them: rows of ``cluster_id, pairs, held`` to be added up, where
+    ``held`` pairs have their similarity between bounds less than ``within`` apart.
     """
     rows = coded.where(F.col("code").isNotNull()).select("cluster_id", "id", *CODE_COLUMNS, *([vector] if vector else []))
     parts, _ = materialise(search.parts_of(rows, queries), "parts")
@@ -144,18 +147,23 @@ def candidates_dealt(coded: DataFrame, queries: DataFrame, k: int, width: int, v
         own = search._unit(matrix(batch.column(5), width)) if vector else None
         return codes.astype(np.float64) * scale[:, None], slack, batch.column(1), own
 
+    def unit(asked):
+        return search._unit(matrix(asked.column("vector").combine_chunks(), width))
+
+    def lowest(about, slack):
+        if about.shape[1] <= k:
+            return np.full((len(about), 1), -np.inf)
+        return np.partition(about - slack, about.shape[1] - k, axis=1)[:, about.shape[1] - k, None]
+
     def work(held, asked):
         block, slack, ids, own = held
         asked = asked.combine_chunks()
-        probes = search._unit(matrix(asked.column("vector").combine_chunks(), width))
+        probes = unit(asked)
         step = max(1, search._CELLS // 4 // len(block))
         for lo in range(0, len(probes), step):
             some = probes[lo : lo + step]
             about = some @ block.T
-            floor = np.full((len(about), 1), -np.inf)
-            if len(block) > k:
-                floor = np.partition(about - slack, len(block) - k, axis=1)[:, len(block) - k, None]
-            query, item = np.nonzero(about + slack >= floor)
+            query, item = np.nonzero(about + slack >= lowest(about, slack))
             found = [about[query, item] - slack[item], about[query, item] + slack[item]]
             if vector:
                 found.append((some @ own.T)[query, item])
@@ -164,10 +172,35 @@ def candidates_dealt(coded: DataFrame, queries: DataFrame, k: int, width: int, v
                 columns = [named.column("query_id"), named.column("cluster_id"), ids.take(pa.array(item[here])), *(pa.array(x[here]) for x in found)]
                 yield from pa.table(columns, names=names).to_batches()
 
+    def counted(held, asked):
+        block, slack, _, own = held
+        probes, pairs, sound = unit(asked), 0, 0
+        # Without a lowest bound to reach, items are taken a few at a time.
+        wide = _TILE[1] if len(block) <= k else len(block)
+        step = max(1, _TILE[0] * _TILE[1] // wide)
+        for lo in range(0, len(probes), step):
+            some = probes[lo : lo + step]
+            for at in range(0, len(block), wide):
+                here = slice(at, at + wide)
+                about, room = some @ block[here].T, slack[here]
+                lower, upper = about - room, about + room
+                kept = upper >= lowest(about, room)
+                similarity = some @ own[here].T
+                pairs += int(np.count_nonzero(kept))
+                sound += int(np.count_nonzero(kept & (lower <= similarity) & (similarity <= upper) & (upper - lower < within)))
+        yield from pa.table([asked.column("cluster_id")[:1], pa.array([pairs]), pa.array([sound])], names=["cluster_id", "pairs", "held"]).to_batches()
+
+    again = not parts.where((F.col("item_parts") > 1) & (F.col("items") > k)).isEmpty()
+    if within is not None and not again:
+        sums = T.StructType([queries.schema["cluster_id"], T.StructField("pairs", T.LongType()), T.StructField("held", T.LongType())])
+        return search.meet(rows, queries, parts, hold, counted, sums)
     found = search.meet(rows, queries, parts, hold, work, schema)
-    if parts.where((F.col("item_parts") > 1) & (F.col("items") > k)).isEmpty():
+    if again:
+        found = _best_bounds(found, "query_id", k)
+    if within is None:
         return found
-    return _best_bounds(found, "query_id", k)
+    held = F.col("similarity").between(F.col("lower"), F.col("upper")) & (F.col("upper") - F.col("lower") < within)
+    return found.groupBy("cluster_id").agg(F.count("*").alias("pairs"), F.count_if(held).alias("held"))
 
 
 def _best_bounds(found: DataFrame, query: str, k: int) -> DataFrame:

@@ -187,7 +187,8 @@ def _score_in_place(rows: DataFrame, queries: pa.Table, schema: T.StructType, k:
 
 
 def parts_of(rows: DataFrame, queries: DataFrame, block_items: int = BLOCK_ITEMS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
-    """``cluster_id, items, item_parts, query_parts``: into how many parts the items and the queries of each cluster are cut.
+    """``cluster_id, items, item_parts, query_parts, before``: into how many parts the items and the queries of each cluster are cut, and how many pairs
+    of parts the clusters before it have.
 
     Each item is copied for every part of the queries and the other way round, so blocks smaller than a task can take are honoured up to ``FEW_PARTS``.
     """
@@ -198,17 +199,23 @@ def parts_of(rows: DataFrame, queries: DataFrame, block_items: int = BLOCK_ITEMS
 
     parts = parts.withColumn("item_parts", cut(F.col("items"), block_items, F.col("items") / PART_ITEMS))
     pairs = F.col("items") / F.col("item_parts") * F.col("asked")
-    return parts.withColumn("query_parts", cut(F.col("asked"), block_queries, pairs / PART_PAIRS)).drop("asked")
+    parts = parts.withColumn("query_parts", cut(F.col("asked"), block_queries, pairs / PART_PAIRS)).drop("asked")
+    # One row a cluster.
+    so_far = Window.orderBy("cluster_id").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.withColumn("before", F.coalesce(F.sum(F.col("item_parts") * F.col("query_parts")).over(so_far), F.lit(0)))
 
 
 def meet(rows: DataFrame, queries: DataFrame, parts: DataFrame, hold, work, schema: T.StructType | str, block: int = PART_QUERIES) -> DataFrame:
     """``work(hold(items), some)`` for every part of a cluster's items and some of its queries at a time.
 
     ``rows`` begin with ``cluster_id`` and have an ``id``; ``queries`` are ``(query_id, cluster_id, vector)``. In a task the items of a part come first and are
-    held, and queries stream past them.
+    held, and queries stream past them. Pairs of parts are dealt to the tasks in turn, so that no task gets several while another one has none.
     """
     fields = [(f"c{n}", field.dataType) for n, field in enumerate(rows.schema)]
     key = ("cluster_id", "_i", "_q", "_queries")
+    groups = parts.agg(F.sum(F.col("item_parts") * F.col("query_parts"))).first()[0] or 1
+    tasks = min(groups, task_limit(rows))
+    turn = F.pmod(F.col("before") + F.col("_i") * F.col("query_parts") + F.col("_q"), F.lit(tasks)).cast("int").alias("_turn")
 
     def place(column: str, count: str) -> Column:
         return F.pmod(F.xxhash64(column), F.col(count)).cast("int")
@@ -218,11 +225,9 @@ def meet(rows: DataFrame, queries: DataFrame, parts: DataFrame, hold, work, sche
 
     asked = [queries.schema[name] for name in ("query_id", "vector")]
     items = rows.join(parts, "cluster_id").withColumn("_i", place("id", "item_parts")).withColumn("_q", every("query_parts"))
-    items = items.select(*key[:3], F.lit(0).alias("_queries"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in asked], *[F.col(f.name).alias(name) for f, (name, _) in zip(rows.schema, fields)])
+    items = items.select(turn, *key[:3], F.lit(0).alias("_queries"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in asked], *[F.col(f.name).alias(name) for f, (name, _) in zip(rows.schema, fields)])
     probes = queries.join(parts, "cluster_id").withColumn("_q", place("query_id", "query_parts")).withColumn("_i", every("item_parts"))
-    probes = probes.select(*key[:3], F.lit(1).alias("_queries"), *[f.name for f in asked], *[F.lit(None).cast(kind).alias(name) for name, kind in fields])
-    groups = parts.agg(F.sum(F.col("item_parts") * F.col("query_parts"))).first()[0] or 1
-    tasks = min(groups, task_limit(rows))
+    probes = probes.select(turn, *key[:3], F.lit(1).alias("_queries"), *[f.name for f in asked], *[F.lit(None).cast(kind).alias(name) for name, kind in fields])
     names = rows.columns
 
     def task(batches):
@@ -244,7 +249,8 @@ def meet(rows: DataFrame, queries: DataFrame, parts: DataFrame, hold, work, sche
                         few = some.slice(at, block)
                         yield from work(held, pa.table([few.column(4), few.column(0), few.column(5)], names=["query_id", "cluster_id", "vector"]))
 
-    return items.unionByName(probes).repartition(tasks, *key[:3]).sortWithinPartitions(*key).mapInArrow(task, schema)
+    dealt = items.unionByName(probes).repartitionById(tasks, F.col("_turn")).drop("_turn")
+    return dealt.sortWithinPartitions(*key).mapInArrow(task, schema)
 
 
 def _score_dealt(

@@ -26,18 +26,20 @@ class CodedIndex(SearchIndex):
             return super().search(queries, k, space, keep)
         return codes.top_k_coded(self.table.read(), self._asked(queries), k, "reduced", self.model.features.kept, keep, checked=True)
 
-    def candidates(self, queries: DataFrame, k: int = 20, exact: bool = False) -> DataFrame:
+    def candidates(self, queries: DataFrame, k: int = 20, exact: bool = False, within: float | None = None) -> DataFrame:
         """``query_id, id, lower, upper``: the items whose vectors a search would read, and the bounds of their similarity.
 
-        With ``exact`` also the ``cluster_id`` and the ``similarity`` by the vectors, which are then read.
+        With ``exact`` also the ``cluster_id`` and the ``similarity`` by the vectors, which are then read. With ``within`` these pairs are counted where they
+        are made: rows of ``cluster_id, pairs, held`` to be added up, ``held`` being those whose similarity lies between bounds less than ``within`` apart.
         """
+        exact = exact or within is not None
         width = self.model.features.kept
         asked = self._asked(queries).select("query_id", "cluster_id", F.col("reduced").alias("vector"))
         most = codes.most_queries(k, width)
         head = asked.limit(most + 1).toArrow()
         if exact or head.num_rows > most:
             asked, _ = materialise(asked, "queries")
-            found = codes.candidates_dealt(self.table.read(), asked, k, width, "reduced" if exact else None)
+            found = codes.candidates_dealt(self.table.read(), asked, k, width, "reduced" if exact else None, within)
             return found if exact else found.drop("cluster_id")
         found = codes.candidates(self.table.read(), head, k, width)
         numbered = head.select(["query_id"]).append_column("query", [list(range(head.num_rows))])
