@@ -307,3 +307,26 @@ def test_single_precision_hides_no_nearest_centre(scale):
     np.testing.assert_array_equal(labels, chosen)
     two = np.sqrt(np.sort(away, axis=1)[:, :2]) * scale
     assert (gaps <= two[:, 1] - two[:, 0]).all()
+
+
+def test_a_sweep_passes_over_even_splits(spark, monkeypatch):
+    """One split holds nearly all rows, and there is one split more than cores: every core gets its share for all passes."""
+    x, seen = blobs(), []
+    splits = [[([float(v) for v in row],) for row in part] for part in (x, *(x[n : n + 1] + 9 for n in range(4)))]
+    table = spark.createDataFrame(spark.sparkContext.parallelize(splits, 5).flatMap(list), "reduced array<double>")
+    assert table.rdd.getNumPartitions() == 5
+    real = kmeans.fit_blocks
+
+    def watched(blocks, *rest):
+        seen.append(blocks.rdd.mapPartitions(lambda held: [sum(len(rows) for _, rows in held)]).collect())
+        return real(blocks, *rest)
+
+    monkeypatch.setattr(kmeans, "fit_blocks", watched)
+    fits = kmeans.fit_many(table, [2, 3], restarts=1)
+    assert [fit.sizes.sum() for fit in fits] == [len(x) + 4] * 2
+    assert len(seen[0]) == 4 and sum(seen[0]) == len(x) + 4 and max(seen[0]) <= len(x) / 4 + 5
+    size = 8 * 4 * (len(x) + 4)
+    for limit, splits in ((size / 8, 8), (size / 100, 5)):
+        monkeypatch.setattr(partials, "EVEN_BYTES", int(limit))
+        kmeans.fit_many(table, [2], restarts=1)
+        assert len(seen[-1]) == splits and sum(seen[-1]) == len(x) + 4

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vecshoal.functions.blocks import label_vectors
 from vecshoal.operators import partials
-from vecshoal.operators.partials import Blocks, batches_of, gathered, working_copy
+from vecshoal.operators.partials import Blocks, batches_of, dealt_evenly, gathered, working_copy
 from vecshoal.session import remove_path, scratch_path, small_table
 
 _CELLS = 1 << 21
@@ -741,7 +741,7 @@ def fit_many(
     its group has no fit. Vectors that have not ``width`` finite elements (default: the most common number) are left out.
     ``points`` is read once, into a copy that the executors keep.
     """
-    with working_copy(grouped(points, vector, group), width) as blocks:
+    with working_copy(dealt_evenly(grouped(points, vector, group)), width) as blocks:
         return fit_blocks(blocks, grid, restarts, max_iter, tol, seed)
 
 

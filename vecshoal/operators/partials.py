@@ -23,6 +23,9 @@ from vecshoal.functions.blocks import count_widths, fitting, list_column, matrix
 # States of all tasks up to this size are added up by the driver; larger ones by tasks, so many at a time.
 DIRECT_BYTES = 1 << 20
 FAN = 64
+# A table for hundreds of passes is dealt evenly to tasks of so many bytes at most, up to so many tasks a core.
+EVEN_BYTES = 64 << 20
+EVEN_ROUNDS = 4
 # Fits whose states are larger than this in all are taken in several passes.
 STATE_BYTES = 64 << 20
 _ROWS = "slot int, stats array<double>"
@@ -50,6 +53,20 @@ def spread(df: DataFrame, key: str | None = None, rows_per_task: int = 256) -> D
     return df.repartition(wanted, *([key] if key else [])) if wanted > splits else df
 
 
+def dealt_evenly(df: DataFrame, vector: str = "v") -> DataFrame:
+    """A table for hundreds of passes with as many rows in every split, and a split for every core.
+
+    Splits of files are as uneven as these: one may hold all rows, and a few more splits than cores leave most cores waiting in every pass. With one
+    split a core, the executors hold equal shares of what is kept. Only a table that is large for its cores gets more, and a very large one stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df
+    elements = df.agg(F.sum(F.array_size(vector))).first()[0] or 0
+    rounds = max(1, -(-8 * elements // (EVEN_BYTES * cores)))
+    return df.repartition(rounds * cores) if rounds <= EVEN_ROUNDS else df
+
+
 def common_width(rows: DataFrame, vector: str) -> tuple[int, int]:
     """The most common number of elements among all vectors (0 without any), and the count of all rows."""
     counted = rows.groupBy(F.coalesce(F.array_size(vector), F.lit(-1)).alias("width")).count().collect()
